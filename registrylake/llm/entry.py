@@ -4,15 +4,20 @@ from __future__ import annotations
 
 
 def queries() -> dict:
+    from registrylake.llm.balltree import op5_ball_tree
+    from registrylake.llm.langmix import op4_language_mixture
     from registrylake.llm.linededup import op9_line_dedup
     from registrylake.llm.packing import op6_curve_packing
+    from registrylake.llm.posindex import op10_decontaminate
     from registrylake.llm.records import op3_token_records
     from registrylake.llm.simhash import op8_simhash
 
-    return {f.__name__: f for f in (op3_token_records, op6_curve_packing, op8_simhash, op9_line_dedup)}
+    return {f.__name__: f for f in (op3_token_records, op4_language_mixture, op5_ball_tree, op6_curve_packing, op8_simhash, op9_line_dedup, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
+    from registrylake.llm.balltree import OP5_SQL
     from registrylake.llm.linededup import OP9_SQL
+    from registrylake.llm.posindex import OP10_SQL
 
-    return {"op9_line_dedup": OP9_SQL}
+    return {"op5_ball_tree": OP5_SQL, "op9_line_dedup": OP9_SQL, "op10_decontaminate": OP10_SQL}
