@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm.common import lower_ascii, scratch
+from registrylake.llm.common import lower_ascii, scratch, written
 
 BLANK = " \t\n\x0b\x0c\r"
 RUN = "h1 long, h2 long, n_docs long, max_doc long"
@@ -34,28 +34,24 @@ def line_key(line):
     return lower_ascii(F.btrim(line, F.lit(BLANK)))
 
 
-def lines_of(text):
-    return F.split(F.coalesce(text, F.lit("")), "\n")
-
-
 def hashes(key):
     """128 bits of a key: two XXH64 of different seeds."""
     return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), key).alias("h2"))
 
 
-def marked_lines(text, min_chars: int):
-    """Array of (line, hash or null where the key is too short to be judged)."""
+def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
+    """doc_id, a 128-bit digest ``t`` of the text, and ``hs``: each line's key hash, null where the key is too short.
 
-    def one(line):
-        key = line_key(line)
-        return F.struct(line.alias("line"), F.when(F.char_length(key) >= min_chars, hashes(key)).alias("h"))
-
-    return F.transform(lines_of(text), one)
+    The digest tells rows apart that share a doc_id; equal rows lose the same lines.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    hs = F.transform(F.transform(F.split(text, "\n"), line_key), lambda key: F.when(F.char_length(key) >= min_chars, hashes(key)))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), hashes(text).alias("t"), hs.alias("hs"))
 
 
-def batch_keys(docs: DataFrame, min_chars: int) -> DataFrame:
-    """One row for each key of a batch; combined within each task before the shuffle."""
-    one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.array_distinct(F.filter(F.transform(marked_lines(F.col("text"), min_chars), lambda x: x["h"]), lambda h: h.isNotNull()))).alias("h"))
+def batch_keys(lines: DataFrame) -> DataFrame:
+    """One row for each key of a batch (of ``line_hashes``); combined within each task before the shuffle."""
+    one = lines.select("doc_id", F.explode(F.array_distinct(F.filter("hs", lambda h: h.isNotNull()))).alias("h"))
     return one.groupBy(F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2")).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("max_doc"))
 
 
@@ -88,9 +84,9 @@ class LineRuns:
             keys = keys.join(self.spark.table(table), ["h1", "h2"], "left_anti")
         return keys
 
-    def add(self, docs: DataFrame, min_chars: int) -> None:
-        """Adds a batch as a run and compacts the levels that are full."""
-        self._write(batch_keys(docs, min_chars), 0)
+    def add(self, lines: DataFrame) -> None:
+        """Adds a batch (of ``line_hashes``) as a run and compacts the levels that are full."""
+        self._write(batch_keys(lines), 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             tables, self.levels[level] = self.levels[level], []
@@ -127,21 +123,28 @@ def batches_of(docs: DataFrame, count: int) -> list:
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4) -> DataFrame:
     """``docs`` with ``text`` rid of repeated lines, and ``n_lines``, ``n_dropped`` beside it.
 
-    Two shuffles beside the runs' own: the keys that each document would lose meet the repeated keys
-    (a plain join, whose hot keys AQE may split), and what a document loses meets its text again.
+    Keys are made once and kept as hashes. Two shuffles beside the runs' own: the lines' hashes meet the
+    repeated keys (a plain join, whose hot keys AQE may split), and the numbers of the lines that a
+    document loses meet its text again.
     """
     spark = docs.sparkSession
+    lines = written(line_hashes(docs, min_chars), "line-hashes")
     runs = LineRuns(spark, scratch(spark, "lines"), buckets=max(4, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    for batch in batches_of(docs.select("doc_id", "text"), batches):
-        runs.add(batch, min_chars)
+    for batch in batches_of(lines, batches):
+        runs.add(batch)
     common = runs.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "max_doc")
-    held = docs.select(F.col("doc_id").cast("long").alias("_id"), F.explode(F.array_distinct(F.filter(F.transform(marked_lines(F.col("text"), min_chars), lambda x: x["h"]), lambda h: h.isNotNull()))).alias("h")).select("_id", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
-    lost = held.join(common, ["h1", "h2"]).filter(~F.col("_id").eqNullSafe(F.col("max_doc"))).groupBy("_id").agg(F.collect_set(F.struct("h1", "h2")).alias("_lost"))
-    both = docs.join(lost.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(lost["_id"]), "left")
-    lines = both.withColumn("_lines", marked_lines(F.col("text"), min_chars))
-    kept = F.filter(F.col("_lines"), lambda x: ~F.coalesce(F.array_contains(F.col("_lost"), x["h"]), F.lit(False)))
-    lines = lines.withColumn("_kept", kept)
-    return lines.withColumn("n_lines", F.size("_lines").cast("long")).withColumn("n_dropped", (F.size("_lines") - F.size("_kept")).cast("long")).withColumn("text", F.array_join(F.transform("_kept", lambda x: x["line"]), "\n")).drop("_lines", "_kept", "_lost", "_id")
+    held = lines.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), F.posexplode("hs").alias("pos", "h")).filter(F.col("h").isNotNull())
+    held = held.select("_id", "_t", "pos", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
+    lost = held.join(common, ["h1", "h2"]).filter(~F.col("_id").eqNullSafe(F.col("max_doc"))).groupBy("_id", "_t").agg(F.collect_set("pos").alias("_lost"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    both = docs.withColumn("_text", hashes(text))
+    both = both.join(lost.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, at: ~F.array_contains("_lost", at)), "\n")
+    return both.withColumns({
+        "n_lines": F.size(F.split(text, "\n")).cast("long"),
+        "n_dropped": F.coalesce(F.array_size("_lost"), F.lit(0)).cast("long"),
+        "text": F.when(F.col("_lost").isNull(), text).otherwise(kept),
+    }).drop("_text", "_t", "_lost", "_id")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,9 +56,9 @@ def test_levels_compact_and_anti_join(spark, docs_of):
     runs = ld.LineRuns(spark, scratch(spark, "runs"), buckets=4, fanout=3)
     rows = [(i, f"{LONG}\nline number {i % 4} which is long enough to be judged") for i in range(7)]
     for i, row in enumerate(rows):
-        batch = docs_of([row])
-        assert runs.unseen(ld.batch_keys(batch, 40)).count() == (2 if i == 0 else 1 if i < 4 else 0)
-        runs.add(batch, 40)
+        batch = ld.line_hashes(docs_of([row]), 40)
+        assert runs.unseen(ld.batch_keys(batch)).count() == (2 if i == 0 else 1 if i < 4 else 0)
+        runs.add(batch)
     assert [len(x) for x in runs.levels] == [1, 2]
     figures = sorted((r.n_docs, r.max_doc) for r in runs.merged().collect())
     assert figures == [(1, 3), (2, 4), (2, 5), (2, 6), (7, 6)]
