@@ -5,14 +5,17 @@ from __future__ import annotations
 
 def queries() -> dict:
     from registrylake.llm.balltree import op5_ball_tree
+    from registrylake.llm.brown import op1_brown_score
     from registrylake.llm.langmix import op4_language_mixture
     from registrylake.llm.linededup import op9_line_dedup
     from registrylake.llm.packing import op6_curve_packing
     from registrylake.llm.posindex import op10_decontaminate
     from registrylake.llm.records import op3_token_records
     from registrylake.llm.simhash import op8_simhash
+    from registrylake.llm.suffix import op7_suffix_dedup
+    from registrylake.llm.wrapper import op2_wrapper_text
 
-    return {f.__name__: f for f in (op3_token_records, op4_language_mixture, op5_ball_tree, op6_curve_packing, op8_simhash, op9_line_dedup, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_brown_score, op2_wrapper_text, op3_token_records, op4_language_mixture, op5_ball_tree, op6_curve_packing, op7_suffix_dedup, op8_simhash, op9_line_dedup, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
