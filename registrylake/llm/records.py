@@ -93,9 +93,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
         records, index = f"{folder}/{own}.rec", f"{folder}/{own}.idx"
         out, at, offsets, counts = None, 0, [], []
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                for doc_id, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                for doc_id, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1))):
                     if out is None:
                         fs_, name = _opened(records)
                         fs_.create_dir(name.rsplit("/", 1)[0], recursive=True)

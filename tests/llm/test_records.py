@@ -33,7 +33,8 @@ def test_memory_is_bounded():
     enc = PieceEncoder(WORD, remembered=5)
     for i in range(20):
         enc.encode([f"w{i} x{i} y{i}"])
-    assert len(enc.known) <= 5 + 3
+    assert len(enc.known) <= 5 + 3 and len(enc.older) <= 5 + 3
+    assert np.frombuffer(enc.encode(['w0 x1 w19'])[0], enc.dtype).tolist() == plain(WORD, 'w0 x1 w19')
 
 
 def test_round_trip(spark, docs_of, odd_rows):
