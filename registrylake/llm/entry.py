@@ -15,7 +15,9 @@ def queries() -> dict:
     from registrylake.llm.suffix import op7_suffix_dedup
     from registrylake.llm.wrapper import op2_wrapper_text
 
-    return {f.__name__: f for f in (op1_brown_score, op2_wrapper_text, op3_token_records, op4_language_mixture, op5_ball_tree, op6_curve_packing, op7_suffix_dedup, op8_simhash, op9_line_dedup, op10_decontaminate)}
+    import corpus_pipeline
+
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_brown_score, op2_wrapper_text, op3_token_records, op4_language_mixture, op5_ball_tree, op6_curve_packing, op7_suffix_dedup, op8_simhash, op9_line_dedup, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -23,4 +25,6 @@ def oracle_sql() -> dict[str, str]:
     from registrylake.llm.linededup import OP9_SQL
     from registrylake.llm.posindex import OP10_SQL
 
-    return {"op5_ball_tree": OP5_SQL, "op9_line_dedup": OP9_SQL, "op10_decontaminate": OP10_SQL}
+    import corpus_pipeline
+
+    return {k: v for k, v in {"pipeline": corpus_pipeline.ORACLE_SQL}.items() if v} | {"op5_ball_tree": OP5_SQL, "op9_line_dedup": OP9_SQL, "op10_decontaminate": OP10_SQL}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDERS, BUCKETS, SMOOTH, WEIGHT = 4, 1 << 16, 0.05, 0.5
-STEPS, REJECT_BELOW = 12, 0.5
+STEPS, REJECT_BELOW = 12, 0.4
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, langs array<string>, shares array<double>"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -213,6 +213,23 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
     return docs.select(doc_id.alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, RESULT)
 
 
+def accepted(docs: DataFrame, model: Languages, least: float = REJECT_BELOW) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a proportion of at least ``least``; all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        languages = shared.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                texts = part.column(at).cast(pa.string()).to_pylist()
+                keep = [g is not None and g[1] >= least for g in languages.mixtures([letter_words(t) for t in texts])]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: the language of every document of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -56,15 +56,19 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def text_digest(text):
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, t (a digest of the text), fp (the 64 bits as a signed long)."""
 
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": fps.view(np.int64)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "t": batch.column(2), "fp": fps.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_digest(F.col("text")).alias("t")).mapInArrow(run, "doc_id long, t long, fp long")
 
 
 class Classes:
@@ -214,16 +218,33 @@ def links(distinct: DataFrame, budget: int = BUDGET, most: int = 200_000) -> Dat
 
 
 def near_classes(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataFrame:
-    """doc_id, fp, component_id of every row of ``docs``."""
+    """doc_id, t, fp, root (a fingerprint that stands for the class) and component_id of every row of ``docs``."""
     prints = written(fingerprints(docs, words), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct.select("fp"), budget))
     rooted = distinct.join(roots.select(F.col("u").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "classes")
+    of = written(rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id"), "classes")
     return prints.join(of, "fp")
 
 
+def keep_one(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataFrame:
+    """The row with the smallest doc_id of each class of ``docs``; all its columns.
+
+    Of rows that share that doc_id the one whose text's digest is least stays; of equal rows, one.
+    """
+    classes = near_classes(docs, words, budget)
+    firsts = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.first("component_id").alias("_id"), F.min("t").alias("_t"), F.count("*").alias("_n"))
+    firsts = written(firsts.select("_id", "_t", "_n"), "kept")
+    mine = docs.withColumn("_text", text_digest(F.col("text")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t"))
+    if firsts.filter("_n > 1").limit(1).count() == 0:
+        return mine.join(firsts, same, "left_semi").drop("_text")
+    single = mine.join(firsts.filter("_n = 1"), same, "left_semi")
+    shared = mine.join(firsts.filter("_n > 1"), same, "left_semi").dropDuplicates(["doc_id", "_text"])
+    return single.unionByName(shared).drop("_text")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: fingerprint and class of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
