@@ -1 +1 @@
-"""See the package documentation."""
+"""Column functions."""

@@ -1 +1 @@
-"""See the package documentation."""
+"""Relational operators."""

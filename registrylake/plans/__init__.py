@@ -1 +1 @@
-"""See the package documentation."""
+"""Pipelines and driver queries."""
