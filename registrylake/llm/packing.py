@@ -27,6 +27,7 @@ from registrylake.llm.common import written
 from registrylake.llm.encode import encoder
 
 DIMS, BITS = 4, 12
+DIGESTS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -82,9 +83,9 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                ids = enc.encode(part.column(1).to_pylist())
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                ids = enc.encode(part.column(1))
                 points = np.array([curve_point(np.frombuffer(i, enc.dtype)) for i in ids])
                 unit = np.array([[0.5 * (1 + math.erf(v / math.sqrt(2))) for v in p] for p in points])
                 keys = hilbert_key(np.minimum(unit * (1 << BITS), (1 << BITS) - 1))
@@ -103,16 +104,21 @@ def sequence_lengths(total: int, length: int):
             yield 1 << bit
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048) -> DataFrame:
-    """Pieces of packed sequences; see the module's text. One shuffle, of ids by curve key."""
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, digests: bool = False) -> DataFrame:
+    """Pieces of packed sequences; see the module's text. One shuffle, of ids by curve key.
+
+    ``digests``: a checksum of each piece's ids (as unsigned 32-bit integers) in place of the ids.
+    """
     width = encoder(tokenizer).dtype.itemsize
+    digest = (lambda part: zlib.crc32(np.frombuffer(part, f"<u{width}").astype("<u4").tobytes())) if digests else (lambda part: part)
+    name = "ids_crc32" if digests else "ids"
     table = written(encoded(docs, tokenizer, end_id), "packing")
 
     def cut(batches):
         part = TaskContext.get().partitionId() << 40
         stream: list = []  # documents, not yet in a sequence: doc_id, ids, start
         held = seq = 0
-        rows: dict = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
+        rows: dict = {k: [] for k in ("doc_id", "start", "length", name, "doc_tokens", "sequence_id", "offset")}
 
         def emit(size: int) -> None:
             nonlocal held, seq
@@ -121,7 +127,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048) -
                 doc_id, ids, start = stream[at]
                 total = len(ids) // width
                 take = min(total - start, size - offset)
-                for k, v in zip(rows, (doc_id, start, take, ids[start * width : (start + take) * width], total, part + seq, offset)):
+                for k, v in zip(rows, (doc_id, start, take, digest(ids[start * width : (start + take) * width]), total, part + seq, offset)):
                     rows[k].append(v)
                 offset += take
                 if start + take == total:
@@ -151,19 +157,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048) -
             emit(size)
         yield full()
 
-    return table.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "ids").select("doc_id", "ids").mapInArrow(cut, PIECES)
-
-
-def with_crc(pieces: DataFrame, width: int) -> DataFrame:
-    """Replaces the ids by the contract's checksum of them."""
-
-    def crc(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            sums = [zlib.crc32(np.frombuffer(b, f"<u{width}").astype("<u4").tobytes()) for b in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64()) if i == at else c for i, c in enumerate(batch.columns)], names=["ids_crc32" if n == "ids" else n for n in batch.schema.names])
-
-    return pieces.mapInArrow(crc, PIECES.replace("ids binary", "ids_crc32 long"))
+    return table.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "ids").select("doc_id", "ids").mapInArrow(cut, DIGESTS if digests else PIECES)
 
 
 def packed_rows(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -171,7 +165,7 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    return with_crc(pack(docs, path), encoder(path).dtype.itemsize)
+    return pack(docs, path, digests=True)
 
 
 def op6_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
