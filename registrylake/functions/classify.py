@@ -51,7 +51,7 @@ def retry_after_ms(raw: Column, now: Column) -> Column:
     text = F.trim(raw)
     at = F.try_to_timestamp(F.regexp_replace(text, r"^[A-Za-z]{3}, (.*) GMT$", "$1"), F.lit("dd MMM yyyy HH:mm:ss"))
     late = F.greatest(F.lit(0).cast("long"), (F.unix_micros(at) - F.unix_micros(now)) / F.lit(1000)).cast("long")
-    return F.when(text.rlike(r"^\d+$"), text.try_cast("long") * 1000).when(text != "", late)
+    return F.when(text.rlike(r"^\d+$"), text.try_cast("long") * 1000).when(at.isNotNull(), late)
 
 
 def page_retry_after_ms(raw: Column) -> Column:

@@ -425,7 +425,7 @@ def gap_fold(spark, sf):
     return pacing.gap_fold(rows, "user_id", ["ts", "event_id"], "outcome")
 
 
-@query("""WITH a AS (SELECT user_id, event_id, epoch_ms(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS k FROM events)
+@query("""WITH a AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS k FROM events)
 SELECT event_id, max(t - k * 20000000) OVER (PARTITION BY user_id ORDER BY k) + k * 20000000 AS start_ms FROM a""")
 def host_slots(spark, sf):
     return pacing.slots(events(spark, sf), "user_id", "ts", 20_000_000).select("event_id", "start_ms")

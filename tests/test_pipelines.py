@@ -10,7 +10,8 @@ from registrylake.plans import quality as Q
 from registrylake.sources import pages as S
 from registrylake.streaming.upserts import VersionedTable, upsert_stream
 
-NOW = F.lit("2024-05-01").cast("timestamp")
+def now():
+    return F.lit("2024-05-01").cast("timestamp")
 
 
 def bodies(spark, *docs):
@@ -27,7 +28,7 @@ def counts(**n):
 
 
 def run(spark, stored, formulae, installs, req):
-    rows = P.formula_rows(bodies(spark, *formulae), bodies(spark, installs), bodies(spark, req), NOW)
+    rows = P.formula_rows(bodies(spark, *formulae), bodies(spark, installs), bodies(spark, req), now())
     stored = stored if stored is not None else rows.limit(0)
     nxt, snaps = P.artifact_run(stored, rows)
     return spark.createDataFrame(nxt.collect(), nxt.schema), [r.change for r in snaps.collect()]
@@ -64,15 +65,15 @@ def test_registry_choice_and_snapshots(spark):
         [server("a", "1.2.0", description="first"), server("a", "1.10.0"), server("b", "2.0.0", "true"), server("b", "1.0.0", True), server("", "1.0.0")],
         [server("a", "1.10.0", description="tie"), server("c", None, status=None), server("d", "1.0.0", remotes=[{"url": "https://D.example/x"}, {"url": ""}, {"u": 1}, {"url": "nohost"}]), server("e", "1.0.0", status="deleted", remotes=[{"url": "https://e/"}])],
     )
-    rows = {r.name: r for r in P.registry_rows(pages, NOW).collect()}
+    rows = {r.name: r for r in P.registry_rows(pages, now()).collect()}
     assert {k: r.version for k, r in rows.items()} == {"a": "1.10.0", "b": "1.0.0", "c": None, "d": "1.0.0", "e": "1.0.0"}
     assert rows["a"].description is None and rows["c"].status is None
-    empty = P.registry_rows(pages, NOW).limit(0)
-    state1, new = P.registry_run(empty, pages, NOW)
+    empty = P.registry_rows(pages, now()).limit(0)
+    state1, new = P.registry_run(empty, pages, now())
     assert new.count() == 5
     stored = spark.createDataFrame(state1.collect(), state1.schema)
     again = registry(spark, [server("a", "1.10.0"), server("b", "1.0.0", True, message="bye"), server("c", None, status="active"), server("d", "1.0.0", remotes=[{"url": "https://D.example/x"}, {"url": ""}, {"u": 1}, {"url": "nohost"}])])
-    state2, changed = P.registry_run(stored, again, NOW)
+    state2, changed = P.registry_run(stored, again, now())
     assert sorted(r.name for r in changed.collect()) == ["b", "c"]
     live = sorted((r.name, r.host) for r in P.live_endpoints(state2).collect())
     assert live == [("d", "__unparseable__nohost"), ("d", "d.example")]
@@ -84,7 +85,7 @@ def test_packages_first_wins(spark):
         return json.dumps({"objects": [{"package": p} for p in names], "total": 3})
 
     pages = spark.createDataFrame([("sdk", 0, 0, found({"name": "@s/p", "license": "A", "keywords": ["k", "k"]}, {"name": "q", "scope": "unscoped", "publisher": {"username": "u"}})), ("client", 1, 0, found({"name": "@s/p", "license": "B"}))], "keyword string, keyword_no int, page_no int, body string")
-    rows = {r.name: r for r in P.package_rows(pages, bodies(spark, {"q": {"downloads": 5, "start": "s", "end": "e"}, "@s/p": None}), NOW).collect()}
+    rows = {r.name: r for r in P.package_rows(pages, bodies(spark, {"q": {"downloads": 5, "start": "s", "end": "e"}, "@s/p": None}), now()).collect()}
     m = json.loads(rows["@s/p"].manifest)
     assert (m["license"], m["scope"], m["matched_queries"], m["deprecated"], m["keywords"]) == ("A", "s", ["client", "sdk"], None, ["k", "k"])
     assert rows["@s/p"].publisher == "s" and json.loads(rows["@s/p"].metrics)["weekly_downloads"] is None and json.loads(rows["q"].metrics)["weekly_downloads"] == 5
@@ -117,11 +118,11 @@ def test_governance_transitions(spark):
     one = page({"number": 1, "title": "t" * 600, "state": "open", "labels": ["x", {"name": "y"}, {"name": ""}, {}] + ["z"] * 30, "user": None, **base}, {"number": 2, "title": "pr", "pull_request": None, **base}, {"number": 3, **base}, {"number": "4", "title": "text", **base})
     rows = P.governance_rows(one).collect()
     assert [(r.number, len(r.title), r.labels[:3], len(r.labels), r.author) for r in rows] == [(1, 500, ["x", "y", "z"], 20, None)]
-    stored, moved = P.governance_run(P.governance_rows(one).withColumn("fetched_at", NOW).limit(0), one, NOW)
+    stored, moved = P.governance_run(P.governance_rows(one).withColumn("fetched_at", now()).limit(0), one, now())
     assert moved.count() == 0  # first sight
     stored = spark.createDataFrame(stored.collect(), stored.schema)
     two = page({"number": 1, "title": "t", "state": "closed", **base}, {"number": 5, "title": "new", **base})
-    nxt, moved = P.governance_run(stored, two, NOW)
+    nxt, moved = P.governance_run(stored, two, now())
     assert [(r.number, r.from_state, r.to_state) for r in moved.collect()] == [(1, "open", "closed")] and nxt.count() == 2
 
 
@@ -132,7 +133,7 @@ def test_every_endpoint_gets_one_row(spark):
     answers = [("https://a/1", 200, "application/json", '{"result":{"supportedVersions":["v"]}}', None, None, None, None), ("https://t/4", 200, None, None, "AbortError", None, None, "body"), ("https://r/5", 429, None, None, None, None, None, None), ("https://h/6", 500, None, "x", None, None, None, None), ("https://s/7", 200, None, "{}", None, None, None, None)]
     responses = spark.createDataFrame([(*a, 5) for a in answers], "endpoint_url string, http_status int, content_type string, body string, exc_name string, exc_code string, exc_message string, exc_stage string, elapsed_ms long")
     rules = spark.createDataFrame([("host", "S", "weird", None, datetime(2024, 1, 1))], "scope string, pattern string, applies_to string, revoked_at timestamp, effective_at timestamp")
-    rows = {r.endpoint_url: r for r in P.discover_rows(ends, responses, exclusions.active_rules(rules, NOW), "run").collect()}
+    rows = {r.endpoint_url: r for r in P.discover_rows(ends, responses, exclusions.active_rules(rules, now()), "run").collect()}
     assert {u: (r.discover_status, r.error_class) for u, r in rows.items()} == {
         "https://a/1": ("ok", "ok"), "https://{x}/2": ("not_attempted", "template_placeholder"), "nope": ("not_attempted", "other"), "ftp://f/3": ("not_attempted", "other"),
         "https://t/4": ("error", "timeout"), "https://r/5": ("error", "rate_limited"), "https://h/6": ("error", "http_error"), "https://s/7": ("not_attempted", None),
@@ -199,10 +200,10 @@ def test_listing_targets(spark):
 # -- operators ---------------------------------------------------------------------------------------
 def test_exclusion_rules(spark):
     rules = spark.createDataFrame([("host", "EX.com", "all", None, 1), ("endpoint", "https://e/x", "tools", None, 1), ("server", "s9", "discover", None, 1), ("host", "late.com", "all", None, 9), ("host", "gone.com", "all", 2, 1), ("galaxy", "ex.com", "all", None, 1)], "scope string, pattern string, applies_to string, r int, e int")
-    rules = rules.withColumns({"revoked_at": F.when(F.col("r").isNotNull(), NOW), "effective_at": F.when(F.col("e") == 9, F.lit("2030-01-01")).otherwise("2020-01-01").cast("timestamp")})
+    rules = rules.withColumns({"revoked_at": F.when(F.col("r").isNotNull(), now()), "effective_at": F.when(F.col("e") == 9, F.lit("2030-01-01")).otherwise("2020-01-01").cast("timestamp")})
     targets = spark.createDataFrame([("s1", "https://ex.com/", "ex.com"), ("s1", "https://sub.ex.com/", "sub.ex.com"), ("s1", "https://e/x", "e"), ("s1", "https://e/x/y", "e"), ("s9", "https://z/", "z"), ("s1", "https://late.com/", "late.com"), ("s1", "https://gone.com/", "gone.com")], "name string, url string, host string")
     columns = {"endpoint": "url", "host": "host", "server": "name"}
-    hit = lambda m: sorted(r.url for r in exclusions.with_match(targets, exclusions.active_rules(rules, NOW), m, columns).filter("match IS NOT NULL").collect())
+    hit = lambda m: sorted(r.url for r in exclusions.with_match(targets, exclusions.active_rules(rules, now()), m, columns).filter("match IS NOT NULL").collect())
     assert hit("discover") == ["https://ex.com/", "https://z/"] and hit("tools") == ["https://e/x", "https://ex.com/"]
 
 
