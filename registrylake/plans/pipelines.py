@@ -228,6 +228,29 @@ def discover_rows(endpoints: DataFrame, responses: DataFrame, rules: DataFrame,
     return kept.select(F.lit(run_id).alias("scan_run_id"), "name", "endpoint_url", "http_status", F.col("elapsed_ms").alias("response_time_ms"), cls.alias("error_class"), C.tls_valid(F.col("endpoint_url"), cls, F.col("http_status").isNotNull()).alias("tls_valid"), status.alias("discover_status"), F.when(dialled & answered, out["versions"]).alias("protocol_versions"), F.when(dialled & answered, out["source"]).alias("version_source"), F.when(dialled, F.lit("POST")).alias("probe_method"), note.alias("note"))
 
 
+def reach_rows(endpoints: DataFrame, responses: DataFrame, run_id: str, max_redirects: int = 2) -> DataFrame:
+    """One row for each endpoint from its recorded hops.
+
+    ``responses``: endpoint_url, probe_method, hops (array of http_status, location), headers, content_type, exc_name, exc_code,
+    exc_message, elapsed_ms. A malformed redirect is a row of class other, it does not stop the sweep (R21).
+    """
+    both = endpoints.join(responses, "endpoint_url", "left")
+    reason = C.not_attempted_reason(F.col("endpoint_url"))
+    thrown = F.col("exc_name").isNotNull() | F.col("exc_code").isNotNull() | F.col("exc_message").isNotNull()
+    out = C.reach_outcome(F.col("hops"), max_redirects)
+    cls = F.when(reason == "template_placeholder", "template_placeholder").when(reason.isNotNull(), "other").when(thrown, C.exception_class(F.col("exc_name"), F.col("exc_code"), F.col("exc_message"), head_probe=True)).otherwise(out["error_class"])
+    tunnel = X.tunnel_suffix(X.host(F.col("endpoint_url")))
+    note = C.assembled_note(F.when(reason.isNotNull(), F.concat(F.lit("not attempted: "), reason)), F.when(reason.isNull() & tunnel.isNotNull(), F.concat(F.lit("tunnel host "), tunnel)), F.when(reason.isNull(), out["note"]), F.when(reason.isNull() & (cls == "other"), F.substring(C.raw_error(F.col("exc_code"), F.col("exc_message")), 1, 200)))
+    kept = both.filter(reason.isNotNull() | thrown | F.col("hops").isNotNull())
+    asked = reason.isNull()
+    return kept.select(F.lit(run_id).alias("scan_run_id"), "name", "endpoint_url", F.when(asked, out["http_status"]).alias("http_status"), F.col("elapsed_ms").alias("response_time_ms"), cls.alias("error_class"), C.tls_valid(F.col("endpoint_url"), cls, F.col("hops").isNotNull()).alias("tls_valid"), F.when(asked, out["redirect_target"]).alias("redirect_target"), note.alias("note"), F.when(asked, F.col("probe_method")).alias("probe_method"), F.when(asked, F.substring("content_type", 1, C.HEADER_CHARS)).alias("content_type"), F.when(asked, C.allowed_headers(F.col("headers"))).alias("response_headers"))
+
+
+def smoke_slice(rows: DataFrame, order: list, n: int | None) -> tuple[DataFrame, bool]:
+    """The first ``n`` rows and whether the run is a smoke run; all rows without ``n``. The limit is the feature."""
+    return (rows, False) if n is None else (rows.orderBy(*order).limit(n), True)
+
+
 def listing_targets(runs: DataFrame, probes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Endpoints whose newest row in the newest run with evidence is ok, and a histogram of the others."""
     evidence = probes.filter(F.col("discover_status").isNotNull())

@@ -477,3 +477,32 @@ def drift_flags(spark, sf):
 def stable_hash(spark, sf):
     text = F.format_string('{"packages": [{"b": 1, "a": 2}], "other": 1, "version": %d}', "p_size")
     return table(spark, sf, "part").select("p_partkey", J.stable_hash(text).alias("h"))
+
+
+@query("""WITH c AS (SELECT conv_id, turn, role, length(text) > 500 AS req, CASE WHEN contains(text, chr(10)) THEN 'string' ELSE 'number' END AS kind FROM conversations),
+b AS (SELECT conv_id, role, turn, req, kind FROM c WHERE turn < 4), a AS (SELECT conv_id, role, turn - 4 AS turn, req, kind FROM c WHERE turn >= 4),
+t AS (SELECT DISTINCT conv_id, role FROM b), u AS (SELECT DISTINCT conv_id, role FROM a)
+SELECT CAST(conv_id AS VARCHAR) AS endpoint_url, role AS tool_name, CAST(NULL AS VARCHAR) AS name, 'tool_removed' AS change FROM t ANTI JOIN u USING (conv_id, role)
+UNION ALL SELECT CAST(a.conv_id AS VARCHAR), a.role, CAST(a.turn AS VARCHAR), CASE WHEN a.req AND NOT coalesce(b.req, false) THEN 'required_added' ELSE 'type_changed' END
+FROM a SEMI JOIN t USING (conv_id, role) LEFT JOIN b ON a.conv_id = b.conv_id AND a.role = b.role AND a.turn = b.turn WHERE (a.req AND NOT coalesce(b.req, false)) OR (b.req IS NOT NULL AND a.kind <> b.kind)""")
+def breaking_changes(spark, sf):
+    entry = F.struct((F.col("turn") % 4).cast("string").alias("name"), F.when(F.col("text").contains("\n"), "string").otherwise("number").alias("type"), (F.length("text") > 500).alias("required"))
+    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("endpoint_url"), F.col("role").alias("tool_name"), "turn", entry.alias("p"))
+    held = lambda rows: rows.groupBy("endpoint_url", "tool_name").agg(F.collect_list("p").alias("param_set"))
+    return state.breaking_changes(held(c.filter("turn < 4")), held(c.filter("turn >= 4")))
+
+
+@query("""SELECT page_id, CASE WHEN contains(url, '#') THEN 'other' WHEN contains(url, '?') THEN 'ok' ELSE 'http_error' END AS error_class, CASE WHEN contains(url, '#') THEN NULL WHEN contains(url, '?') THEN 200 ELSE 404 END AS http_status,
+CASE WHEN contains(url, '?') AND NOT contains(url, '#') THEN 'https://moved/' END AS redirect_target, CASE WHEN contains(url, '#') THEN 'EPIPE broken' END AS note FROM pages""")
+def reach_rows(spark, sf):
+    from registrylake.plans.pipelines import reach_rows as rows_of
+
+    p = table(spark, sf, "pages").select("page_id", "url")
+    hop = lambda s, to=None: F.struct(F.lit(s).alias("http_status"), F.lit(to).cast("string").alias("location"))
+    broken = F.col("url").contains("#")
+    responses = p.select(
+        F.col("url").alias("endpoint_url"), F.lit("HEAD").alias("probe_method"), F.when(~broken, F.when(F.col("url").contains("?"), F.array(hop(301, "https://moved/"), hop(200))).otherwise(F.array(hop(404)))).alias("hops"), F.lit(None).cast("map<string,string>").alias("headers"), F.lit(None).cast("string").alias("content_type"),
+        F.lit(None).cast("string").alias("exc_name"), F.when(broken, F.lit("EPIPE")).alias("exc_code"), F.when(broken, F.lit("broken")).alias("exc_message"), F.lit(1).cast("long").alias("elapsed_ms"),
+    )
+    out = rows_of(p.select(F.col("page_id").cast("string").alias("name"), F.col("url").alias("endpoint_url")), responses.dropDuplicates(["endpoint_url"]), "run")
+    return out.select(F.col("name").cast("long").alias("page_id"), "error_class", "http_status", "redirect_target", "note")

@@ -141,6 +141,20 @@ def test_every_endpoint_gets_one_row(spark):
     assert rows["https://t/4"].http_status == 200 and rows["https://t/4"].tls_valid is True and rows["https://s/7"].probe_method is None and rows["https://a/1"].protocol_versions == ["v"]
 
 
+def test_reach_rows(spark):
+    ends = spark.createDataFrame([(u, u) for u in ("https://a.ngrok.io/", "http://{x}/", "https://loop/", "https://thrown/", "https://never/")], "name string, endpoint_url string")
+    hops = "array<struct<http_status:int,location:string>>"
+    rows = [("https://a.ngrok.io/", "HEAD", [(200, None)], {"Server": "s", "Date": "d"}, "t", None, None, None, 1), ("https://loop/", "GET", [(301, "u1"), (302, "u2"), (307, "u3"), (200, None)], None, None, None, None, None, 2), ("https://thrown/", "HEAD", None, None, None, None, "UND_ERR_BODY_TIMEOUT", "late", 3)]
+    responses = spark.createDataFrame(rows, f"endpoint_url string, probe_method string, hops {hops}, headers map<string,string>, content_type string, exc_name string, exc_code string, exc_message string, elapsed_ms long")
+    got = {r.endpoint_url: r for r in P.reach_rows(ends, responses, "run").collect()}
+    assert {u: (r.error_class, r.http_status, r.redirect_target, r.probe_method) for u, r in got.items()} == {
+        "https://a.ngrok.io/": ("ok", 200, None, "HEAD"), "http://{x}/": ("template_placeholder", None, None, None), "https://loop/": ("ok", 307, "u3", "GET"), "https://thrown/": ("other", None, None, "HEAD"),
+    }
+    assert got["https://a.ngrok.io/"].response_headers == {"server": "s"} and "tunnel" in got["https://a.ngrok.io/"].note and "budget" in got["https://loop/"].note and "late" in got["https://thrown/"].note
+    kept, smoke = P.smoke_slice(ends, ["name"], 2)
+    assert kept.count() == 2 and smoke and P.smoke_slice(ends, ["name"], None)[1] is False
+
+
 def pages_of(spark, chains_):
     rows = []
     for url, pages in chains_.items():
