@@ -30,7 +30,7 @@ from registrylake.llm.encode import in_chunks
 from registrylake.llm.esais import SuffixSorter
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES, HOT_BYTES, FILTER_BITS = 8 << 20, 64 << 20, 1 << 28
+SHARD_BYTES, HOT_BYTES, FILTER_BITS = 4 << 20, 64 << 20, 1 << 28
 SEGMENT = "doc_id long, t long, start int, n int, h long, c long, self boolean, ctx binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 _ODD = 0x9E3779B97F4A7C15
@@ -99,7 +99,7 @@ def _texts(batch):
     """(doc_ids, digests, data, sizes) of a batch's rows, some megabytes at a time."""
     texts = pc.fill_null(batch.column(2), "")
     at = 0
-    for part in in_chunks(texts, 4096, 4 << 20):
+    for part in in_chunks(texts, 4096, 1 << 20):
         rows = slice(at, at + len(part))
         at += len(part)
         binary = part.cast(pa.binary())
@@ -302,7 +302,7 @@ def lost_windows(rows: DataFrame, length: int, shard_bytes: int, hot_bytes: int,
     return copies.unionByName(sorted_).unionByName(again)
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, budget: int = 64 << 20, base: int = 4 << 20) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, budget: int = 32 << 20, base: int = 4 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every row of ``docs`` (doc_id, text)."""
     keyed = _keyed(docs)
     groups = anchor_groups(keyed, length, gram)
