@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from registrylake.llm.common import written
 
 RESULT = "page_id long, url string, host string, text string, n_chars long"
-COUNTERS, SHARE, LEAST, SHIP_BYTES, DEEPEST = 32, 0.4, 5, 64 << 20, 60
+COUNTERS, SHARE, LEAST, SHIP_BYTES, DEEPEST = 32, 0.7, 5, 64 << 20, 60
 _TAG = re.compile(r"""<(?:!--(?:.*?(?:-->|\Z))|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*'|["'])*)(?:>|\Z))""", re.DOTALL)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "xmp"}
