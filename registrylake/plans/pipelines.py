@@ -106,9 +106,9 @@ def formula_rows(formulae: DataFrame, installs: DataFrame, on_request: DataFrame
         X.has_caveats(F.get_json_object(f, "$.caveats")).alias("has_caveats"), executables.alias("executables"), F.col("_type.artifact_type"), F.col("_type.classification_basis"),
     )
     text = F.to_json(manifest, {"ignoreNullFields": "false"})
-    window = installs.select(F.get_json_object("body", "$.start_date").alias("window_start"), F.get_json_object("body", "$.end_date").alias("window_end")).limit(1)
-    metrics = F.to_json(F.struct("install_30d", "install_on_request_30d", "window_start", "window_end"), {"ignoreNullFields": "false"})
-    return rows.join(F.broadcast(window)).select(
+    window = installs.select(F.get_json_object("body", "$.start_date"), F.get_json_object("body", "$.end_date")).first() or (None, None)  # one document
+    metrics = F.to_json(F.struct("install_30d", "install_on_request_30d", F.lit(window[0]).cast("string").alias("window_start"), F.lit(window[1]).cast("string").alias("window_end")), {"ignoreNullFields": "false"})
+    return rows.select(
         F.lit("homebrew_formula").alias("kind"), F.lit("homebrew").alias("source"), F.col("name").alias("external_id"), "name", F.lit(None).cast("string").alias("publisher"),
         F.get_json_object(f, "$.versions.stable").alias("version"), F.get_json_object(f, "$.desc").alias("description"), F.get_json_object(f, "$.homepage").alias("homepage_url"),
         text.alias("manifest"), metrics.alias("metrics"), J.hash_canonical(text).alias("definition_hash"), X.artifact_status(flag("$.disabled"), flag("$.deprecated")).alias("status"), run_at.alias("last_seen"),

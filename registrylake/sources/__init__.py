@@ -1 +1 @@
-"""See the package documentation."""
+"""Sources."""

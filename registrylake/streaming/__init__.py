@@ -1 +1 @@
-"""See the package documentation."""
+"""Structured Streaming extensions."""
