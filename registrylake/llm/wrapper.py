@@ -43,34 +43,58 @@ NO_NAME = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense",
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
+#: Of these only names that tell comments, adverts and the like apart count on an article, and none on the others.
+FRAMES = {"html", "body", "main"}
+HARD_NAME = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "related", "recommended", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "newsletter", "subscribe", "signup"}
+LAYOUT = re.compile(r"\b(?:has|with|no|without|show|hide)[-_ ]?(?:left|right)?[-_ ]?[a-z]+")
+KEPT, INHERITED, SOFT, HARD = range(4)
+
+
 class Node:
-    __slots__ = ("tag", "sig", "skip", "kids", "group")
+    """``why``: why the element is no content; a soft reason yields to an article inside."""
+
+    __slots__ = ("tag", "sig", "why", "kids", "group")
 
-    def __init__(self, tag: str, sig: str, skip: bool):
-        self.tag, self.sig, self.skip, self.kids, self.group = tag, sig, skip, [], None
+    def __init__(self, tag: str, sig: str, why: int):
+        self.tag, self.sig, self.why, self.kids, self.group = tag, sig, why, [], None
+
+    @property
+    def skip(self) -> bool:
+        return self.why != KEPT
 
 
 def _opened(tag: str, attrs: str, above: bool) -> Node:
-    skip, sig = above or tag in ASIDE, tag
+    why, sig = (SOFT if tag == "form" else HARD if tag in ASIDE else KEPT), tag
     if attrs and not attrs.isspace():
         names = []
         for key, *values in _ATTR.findall(attrs):
             key, value = key.lower(), next((v for v in values if v), "").lower()
             if key in ("class", "id"):
                 names.append(re.sub(r"\d+", "0", value))
-                skip = skip or not NO_NAME.isdisjoint(re.split(r"[^a-z]+", value))
-            elif key == "role":
-                skip = skip or value in NO_ROLE
+                told = set(re.split(r"[^a-z]+", LAYOUT.sub(" ", value))) if tag not in FRAMES else set()
+                if not HARD_NAME.isdisjoint(told):
+                    why = HARD
+                elif tag != "article" and not NO_NAME.isdisjoint(told):
+                    why = max(why, SOFT)
+            elif key == "role" and value in NO_ROLE and tag not in FRAMES:
+                why = HARD
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                skip = True
+                why = HARD
         if names:
             sig = f"{tag}.{' '.join(names)}"
-    return Node(tag, sig, skip)
+    return Node(tag, sig, why or (INHERITED if above else KEPT))
+
+
+def _freed(node: Node, stack: list) -> None:
+    """An article in an element that only its name or a form speaks against: that element is a frame of the page."""
+    if node.why == INHERITED and all(n.why != HARD for n in stack):
+        for n in [*stack, node]:
+            n.why = KEPT
 
 
 def parse(page: str | None) -> Node:
     """Tree of block elements; their kids are nodes, and strings for runs of text."""
-    root = Node("#", "#", False)
+    root = Node("#", "#", KEPT)
     stack, run, at, page = [root], [], 0, page or ""
     hidden = 0  # depth of inline elements that are boilerplate
 
@@ -125,6 +149,8 @@ def parse(page: str | None) -> Node:
             if stack[i].tag not in ("p", "li", "td", "th", "dt", "dd", "tr", "option"):
                 break
         node = _opened(tag, attrs, stack[-1].skip)
+        if tag in ("article", "main"):
+            _freed(node, stack)
         if len(stack) > DEEPEST and node.skip == stack[-1].skip:
             node.kids = stack[-1].kids  # nested beyond sense: its text joins its parent's
         else:

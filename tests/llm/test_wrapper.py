@@ -84,3 +84,18 @@ def test_frequent_texts_survive_any_merging():
     for i in range(5000):
         wr.tally(counts, 7 if r.random() < 0.5 else 1000 + i, 1)
     assert counts[7] >= 2500 - 200 - 5000 / wr.COUNTERS and len(counts) <= wr.COUNTERS
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body class='has-sidebar header-fixed'><div class='content-sidebar-wrap'><article class='post'>yes</article><div class='sidebar'>no</div></div></body>", "yes"),
+    ("<form id=f><div>no</div><article>yes</article></form>", "yes"),
+    ("<article>a long enough main text<section id='comments'><article>short no</article></section></article>", "a long enough main text"),
+    ("<article>main text here</article><div class='comments'><article class='c'>as long as that</article></div>", "main text here"),
+    ("<main class='with-nav'><p>yes</p><nav>no</nav></main>", "yes"),
+    ("<article class='comment'>no</article><article>yes</article>", "yes"),
+    ("<nav><article>no</article></nav><article>yes</article>", "yes"),
+    ("<div class='no-header'><p>yes</p></div>", "yes"),
+    ("<article><header><h2>no</h2></header><p>one</p>two<p>three&nbsp;four", "one two three four"),
+])
+def test_frames_and_names(page, text):
+    assert wr.extract(page, None) == text
