@@ -104,7 +104,7 @@ def watermark(spark, sf):
 
 
 # -- joins and merges --------------------------------------------------------------------------------
-@query("SELECT lang, count(*) AS n_docs, count(quality) AS measured, count(*) - count(quality) AS unmeasured, sum(quality) AS good FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang")
+@query("SELECT lang, count(*) AS n_docs, count(quality) AS measured, count(*) - count(quality) AS unmeasured, CAST(sum(quality) AS BIGINT) AS good FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang")
 def left_join_unmeasured(spark, sf):
     rows = merging.left_measures(table(spark, sf, "documents").select("doc_id", "lang"), table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
     return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.count("quality").alias("measured"), F.count_if(F.col("quality").isNull()).alias("unmeasured"), F.sum("quality").alias("good"))
@@ -435,7 +435,7 @@ def host_slots(spark, sf):
 f AS (SELECT * FROM p WHERE page_no <= 4), m AS (SELECT *, lag(nc) OVER (PARTITION BY conv_id ORDER BY page_no) AS prev FROM f),
 r AS (SELECT *, CASE WHEN nc = '' THEN 'complete' WHEN nc = prev THEN 'repeated_cursor' END AS reason FROM m),
 e AS (SELECT conv_id, coalesce(min(page_no) FILTER (reason IS NOT NULL), max(page_no)) AS page_count, max(page_no) AS pages FROM r GROUP BY conv_id)
-SELECT e.conv_id, 'ok' AS status, coalesce(x.reason, CASE WHEN pages = 4 THEN 'page_cap' ELSE 'unfinished' END) AS reason, page_count, (SELECT sum(n) FROM f WHERE f.conv_id = e.conv_id AND f.page_no <= page_count) AS item_count,
+SELECT e.conv_id, 'ok' AS status, coalesce(x.reason, CASE WHEN pages = 4 THEN 'page_cap' ELSE 'unfinished' END) AS reason, page_count, (SELECT CAST(sum(n) AS BIGINT) FROM f WHERE f.conv_id = e.conv_id AND f.page_no <= page_count) AS item_count,
 coalesce(x.reason, CASE WHEN pages = 4 THEN 'page_cap' ELSE 'unfinished' END) IN ('repeated_cursor', 'page_cap') AS truncated FROM e JOIN r x ON x.conv_id = e.conv_id AND x.page_no = page_count""")
 def cursor_chain(spark, sf):
     cursor = F.when((F.col("turn") > 0) & (F.col("role") == "system"), "").when(F.length("text") > 700, "same").otherwise(F.col("text"))
