@@ -23,6 +23,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,7 +145,7 @@ def _opened(table: pa.Table):
     """Postings and documents (sorted by address) of one shard's rows."""
     docs = [r for r in zip(*(table.column(c).to_pylist() for c in ("term", "base", "doc_id", "n_words"))) if r[1] is not None]
     docs.sort(key=lambda r: r[1])
-    rows = table.filter(pa.compute.is_valid(table.column("term")))
+    rows = table.filter(pc.is_valid(table.column("term")))
     lists = rows.column("postings").combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
         lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
