@@ -73,22 +73,31 @@ def not_attempted_reason(url: Column, templates: bool = True) -> Column:
     return reason.when(~valid, "invalid_url").when(~scheme.isin("http", "https"), "scheme")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once; a plain reuse of a column repeats its work in every branch."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _kind(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value), F.lit("ABSENT"))
 
 
-def _field(body: Column, path: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(body), path, "variant")
+def _part(parsed: Column, path: str) -> Column:
+    return F.try_variant_get(parsed, path, "variant")
+
+
+def _text(parsed: Column, path: str) -> Column:
+    return let(_part(parsed, path), lambda v: F.when(_kind(v) == "STRING", F.try_variant_get(v, "$", "string")))
 
 
-def _text(body: Column, path: str) -> Column:
-    return F.when(_kind(_field(body, path)) == "STRING", F.try_variant_get(F.try_parse_json(body), path, "string"))
+def _message(parsed: Column, listing: bool = False) -> Column:
+    nested = _text(parsed, "$.error.message")
+    return F.coalesce(nested, F.lit("")) if listing else F.coalesce(_text(parsed, "$.error"), nested, _text(parsed, "$.message"), F.lit(""))
 
 
 def error_message(body: Column, listing: bool = False) -> Column:
     """a bare string error, error.message or message; F24b (``listing``): error.message alone; else empty."""
-    nested = _text(body, "$.error.message")
-    return F.coalesce(nested, F.lit("")) if listing else F.coalesce(_text(body, "$.error"), nested, _text(body, "$.message"), F.lit(""))
+    return let(F.try_parse_json(body), lambda v: _message(v, listing))
 
 
 def demands_session(message: Column, listing: bool = False) -> Column:
@@ -105,20 +114,19 @@ def rejection_versions(message: Column) -> Column:
     return F.slice(F.filter(parts, lambda t: t != ""), 1, MAX_VERSIONS)
 
 
+def _advertised(parsed: Column, root: str) -> Column:
+    def at(path: str) -> Column:
+        made = lambda v: F.struct(F.slice(v, 1, MAX_VERSIONS).alias("versions"), F.lit(path).alias("via"), (F.size(v) > MAX_VERSIONS).alias("capped"))
+        strings = lambda v: F.transform(F.filter(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.schema_of_variant(x) == "STRING"), lambda x: F.try_variant_get(x, "$", "string"))
+        many = lambda v: let(strings(v), lambda s: F.when(F.size(s) > 0, made(s)))
+        return let(_part(parsed, f"{root}.{path}"), lambda v: F.when(_kind(v) == "STRING", made(F.array(F.try_variant_get(v, "$", "string")))).when(_kind(v).startswith("ARRAY"), many(v)))
+
+    return F.coalesce(*map(at, VERSION_PATHS))
+
+
 def advertised_versions(body: Column, root: str = "$.result") -> Column:
     """struct of the versions and the first of nine paths that holds a string or an array with strings."""
-    result = None
-    for path in VERSION_PATHS:
-        value = _field(body, f"{root}.{path}")
-        array = F.try_variant_get(F.try_parse_json(body), f"{root}.{path}", "array<variant>")
-        strings = F.filter(array, lambda x: F.schema_of_variant(x) == "STRING")
-        strings = F.transform(strings, lambda x: F.try_variant_get(x, "$", "string"))
-        made = lambda v, path=path: F.struct(F.slice(v, 1, MAX_VERSIONS).alias("versions"), F.lit(path).alias("via"), (F.size(v) > MAX_VERSIONS).alias("capped"))
-        one = F.when(_kind(value) == "STRING", made(F.array(F.try_variant_get(F.try_parse_json(body), f"{root}.{path}", "string"))))
-        many = F.when(_kind(value).startswith("ARRAY") & (F.size(strings) > 0), made(strings))
-        here = F.coalesce(one, many)
-        result = here if result is None else F.coalesce(result, here)
-    return result
+    return let(F.try_parse_json(body), lambda v: _advertised(v, root))
 
 
 def envelope(body: Column, content_type: Column) -> Column:
@@ -131,30 +139,38 @@ def envelope(body: Column, content_type: Column) -> Column:
 
 def discover_outcome(http_status: Column, body: Column, content_type: Column) -> Column:
     """Struct (status, versions, source) of a response that is not 429 and whose body was read."""
-    env = envelope(body, content_type)
-    code = F.try_variant_get(F.try_parse_json(env), "$.error.code", "long")
-    message = error_message(env)
-    told = rejection_versions(message)
-    refused = F.when((message != "") & demands_session(message), "session_required").when((code == METHOD_NOT_FOUND) | ((http_status >= 400) & http_status.isin(405, 501)), "unsupported").otherwise("error")
-    rejected = F.struct(refused.alias("status"), F.when(F.size(told) > 0, told).alias("versions"), F.when(F.size(told) > 0, F.lit("rejection")).alias("source"))
-    nothing = F.struct(F.lit("error").alias("status"), F.lit(None).cast("array<string>").alias("versions"), F.lit(None).cast("string").alias("source"))
-    error = F.get_json_object(env, "$.error")
-    truthy = error.isNotNull() & ~error.isin("", "false", "0")
-    found = advertised_versions(env)
-    fine = F.struct(F.lit("ok").alias("status"), F.coalesce(found["versions"], F.array().cast("array<string>")).alias("versions"), F.when(found.isNotNull(), F.lit("advertised")).alias("source"))
-    answered = F.array_contains(F.json_object_keys(env), "result")
-    return F.when(http_status >= 400, rejected).when(env.isNull(), nothing).when(truthy, rejected).when(F.coalesce(answered, F.lit(False)), fine).otherwise(nothing)
+    made = lambda status, versions, source: F.struct(status.alias("status"), versions.cast("array<string>").alias("versions"), source.cast("string").alias("source"))
+    null = F.lit(None)
+
+    def rejected(v: Column, message: Column) -> Column:
+        code = F.try_variant_get(v, "$.error.code", "long")
+        refused = F.when((message != "") & demands_session(message), "session_required").when((code == METHOD_NOT_FOUND) | ((http_status >= 400) & http_status.isin(405, 501)), "unsupported").otherwise("error")
+        return let(rejection_versions(message), lambda told: made(refused, F.when(F.size(told) > 0, told), F.when(F.size(told) > 0, F.lit("rejection"))))
+
+    def answered(env: Column, v: Column) -> Column:
+        fine = let(_advertised(v, "$.result"), lambda f: made(F.lit("ok"), F.coalesce(f["versions"], F.array().cast("array<string>")), F.when(f.isNotNull(), F.lit("advertised"))))
+        return F.when(F.coalesce(F.array_contains(F.json_object_keys(env), "result"), F.lit(False)), fine).otherwise(made(F.lit("error"), null, null))
+
+    def outcome(env: Column, v: Column) -> Column:
+        error = F.get_json_object(env, "$.error")
+        failed = (http_status >= 400) | (error.isNotNull() & ~error.isin("", "false", "0"))
+        refused = let(_message(v), lambda m: rejected(v, m))
+        return F.when((http_status < 400) & env.isNull(), made(F.lit("error"), null, null)).when(failed, refused).otherwise(answered(env, v))
+
+    return let(envelope(body, content_type), lambda env: let(F.try_parse_json(env), lambda v: outcome(env, v)))
 
 
 def listing_outcome(http_status: Column, env: Column, result_key: str) -> Column:
     """status of one page of a listing; note that a 2xx puts unsupported before session_required."""
-    code = F.try_variant_get(F.try_parse_json(env), "$.error.code", "long")
-    message = error_message(env, listing=True)
-    session = (message != "") & demands_session(message, listing=True)
-    missing = F.coalesce(code == METHOD_NOT_FOUND, F.lit(False))
-    failed = F.when(session, "session_required").when(http_status.isin(405, 501) | missing, "unsupported").otherwise("error")
-    listed = _kind(_field(env, f"$.result.{result_key}")).startswith("ARRAY")
-    return F.when(http_status == 429, "error").when(http_status >= 400, failed).when(listed, "ok").when(missing, "unsupported").when(session, "session_required").otherwise("error")
+
+    def outcome(v: Column, message: Column) -> Column:
+        session = (message != "") & demands_session(message, listing=True)
+        missing = F.coalesce(F.try_variant_get(v, "$.error.code", "long") == METHOD_NOT_FOUND, F.lit(False))
+        failed = F.when(session, "session_required").when(http_status.isin(405, 501) | missing, "unsupported").otherwise("error")
+        listed = _kind(_part(v, f"$.result.{result_key}")).startswith("ARRAY")
+        return F.when(http_status == 429, "error").when(http_status >= 400, failed).when(listed, "ok").when(missing, "unsupported").when(session, "session_required").otherwise("error")
+
+    return let(F.try_parse_json(env), lambda v: let(_message(v, listing=True), lambda m: outcome(v, m)))
 
 
 def reach_outcome(hops: Column, max_redirects: int = 2) -> Column:
