@@ -40,7 +40,7 @@ def byte_letters() -> dict:
 class PieceEncoder:
     """``encode(texts)`` gives one bytes value a text: its ids, little-endian, of ``dtype``."""
 
-    def __init__(self, path: str, remembered: int = 350_000):
+    def __init__(self, path: str, remembered: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -197,6 +197,14 @@ def cutting_rule(spec: dict) -> str:
     return "whole"
 
 
+def row_chunks(batch: pa.RecordBatch, column: int, rows: int = 1024, size: int = 4 << 20):
+    """Slices of a batch by its texts (``column``); Python objects are made for one slice at a time."""
+    at = 0
+    for part in in_chunks(pc.fill_null(batch.column(column), ""), rows, size):
+        yield batch.slice(at, len(part))
+        at += len(part)
+
+
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 

@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm.common import written
+from registrylake.llm.encode import row_chunks
 
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 600_000
 INDEX = "shard long, term binary, postings array<int>, doc_id long, base int, n_words int"
 MATCHES = "shard long, base int, doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -64,8 +65,8 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
         numbers = count(TaskContext.get().partitionId() << 24)
         terms: dict = defaultdict(count().__next__)
         ids, docs_, at = [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for part in (p for batch in batches for p in row_chunks(batch, 1)):
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 words = words_of(text)
                 ids.append(np.fromiter(map(terms.__getitem__, words), np.int32, len(words)))
                 docs_.append((doc_id, at, len(words)))
