@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrylake.llm.encode import row_chunks
+
 ORDERS, BUCKETS, SMOOTH, WEIGHT = 4, 1 << 16, 0.05, 0.5
 STEPS, REJECT_BELOW = 12, 0.4
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, langs array<string>, shares array<double>"
@@ -56,7 +58,7 @@ def grams(words: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Languages:
     """Log-probabilities (order, bucket, language) and a bounded memory of words' log-likelihoods."""
 
-    def __init__(self, names: list, counts: np.ndarray, remembered: int = 300_000):
+    def __init__(self, names: list, counts: np.ndarray, remembered: int = 150_000):
         self.names = names
         totals = counts.sum(axis=1, keepdims=True)
         kinds = (counts.sum(axis=2, keepdims=True) > 0).sum(axis=1, keepdims=True) + 1
@@ -174,7 +176,7 @@ def fit(docs: DataFrame, fit_documents: int = 2000) -> Languages:
 
     def tally(batches):
         held: dict = {}
-        for batch in batches:
+        for batch in (p for b in batches for p in row_chunks(b, 1)):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = letter_words(text)
                 if words:
@@ -201,8 +203,7 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
     def run(batches):
         languages = shared.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in row_chunks(batch, 2, 256):
                 texts = part.column(2).to_pylist()
                 got = [g or ("und", 0.0, [], []) for g in languages.mixtures([letter_words(t) for t in texts])]
                 names, scores, langs, shares = zip(*got)
@@ -221,8 +222,7 @@ def accepted(docs: DataFrame, model: Languages, least: float = REJECT_BELOW) ->
     def run(batches):
         languages = shared.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in row_chunks(batch, at, 256):
                 texts = part.column(at).cast(pa.string()).to_pylist()
                 keep = [g is not None and g[1] >= least for g in languages.mixtures([letter_words(t) for t in texts])]
                 yield part.filter(pa.array(keep, pa.bool_()))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm.common import written
-from registrylake.llm.encode import encoder
+from registrylake.llm.encode import encoder, row_chunks
 
 DIMS, BITS = 4, 12
 DIGESTS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -83,8 +83,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for part in row_chunks(batch, 1):
                 ids = enc.encode(part.column(1))
                 points = np.array([curve_point(np.frombuffer(i, enc.dtype)) for i in ids])
                 unit = np.array([[0.5 * (1 + math.erf(v / math.sqrt(2))) for v in p] for p in points])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm.common import scratch
-from registrylake.llm.encode import crc_of_ids, encoder
+from registrylake.llm.encode import crc_of_ids, encoder, row_chunks
 
 MASK_DELTA = 0xA282EAD8
 MANIFEST = "part int, records string, offsets string, n_docs long, n_tokens long, width int"
@@ -93,8 +93,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
         records, index = f"{folder}/{own}.rec", f"{folder}/{own}.idx"
         out, at, offsets, counts = None, 0, [], []
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for part in row_chunks(batch, 1):
                 for doc_id, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1))):
                     if out is None:
                         fs_, name = _opened(records)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from registrylake.llm.common import written
 from registrylake.llm.components import components
+from registrylake.llm.encode import row_chunks
 
 WORDS, BUDGET = 4, 4
 
@@ -64,9 +65,9 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, t (a digest of the text), fp (the 64 bits as a signed long)."""
 
     def run(batches):
-        for batch in batches:
-            fps = np.array([fingerprint(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "t": batch.column(2), "fp": fps.view(np.int64)})
+        for part in (p for batch in batches for p in row_chunks(batch, 1)):
+            fps = np.array([fingerprint(shingle_hashes(t, words)) for t in part.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "t": part.column(2), "fp": fps.view(np.int64)})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_digest(F.col("text")).alias("t")).mapInArrow(run, "doc_id long, t long, fp long")
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm.common import written
+from registrylake.llm.encode import row_chunks
 
 RESULT = "page_id long, url string, host string, text string, n_chars long"
 COUNTERS, SHARE, LEAST, SHIP_BYTES, DEEPEST = 32, 0.7, 5, 64 << 20, 60
@@ -356,7 +357,7 @@ def induce(pages: DataFrame, most_nodes: int = 200_000) -> DataFrame:
             return made
 
         size = seen = 0
-        for batch in batches:
+        for batch in (p for b in batches for p in row_chunks(b, 1)):
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 new = as_template(Group("#", [parse(page)]))
                 size += nodes(new)
@@ -408,8 +409,7 @@ def main_texts(pages: DataFrame, ship_bytes: int = SHIP_BYTES) -> DataFrame:
     def run(batches):
         known: dict = {}
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in row_chunks(batch, 3, 256):
                 given = part.column(4).to_pylist() if shared is None else [None] * part.num_rows
                 texts = []
                 for host, page, data in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), given):
