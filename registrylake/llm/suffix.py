@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm.common import written
-from registrylake.llm.encode import in_chunks
+from registrylake.llm.encode import in_chunks, row_chunks
 from registrylake.llm.esais import SuffixSorter
 
 LENGTH, GRAM = 100, 32
@@ -259,7 +259,8 @@ def sort_shard(contexts: list, order: list, length: int, budget: int, base: int)
 def lost_windows(rows: DataFrame, length: int, shard_bytes: int, hot_bytes: int, budget: int, base: int) -> DataFrame:
     """doc_id, t, a, b: windows a to b of a document start earlier elsewhere; from ``candidates``."""
     keyed = rows.withColumn("o", _order())
-    firsts = keyed.groupBy("h", "c").agg(F.min("o").alias("first"))
+    # Written, so that it is made once and the joins have a shuffle on either side, whose hot keys AQE may split.
+    firsts = written(keyed.groupBy("h", "c").agg(F.min("o").alias("first")), "firsts")
     met = keyed.drop("ctx").join(firsts, ["h", "c"]).filter("o <> first")
     copies = met.select("doc_id", "t", F.col("start").alias("a"), (F.col("start") + F.col("n") - 1).alias("b"))
     mixed = keyed.filter(F.col("ctx").isNotNull()).join(firsts, ["h", "c"]).filter("o = first").dropDuplicates(["h", "c"]).select("h", "doc_id", "t", "start", "n", "ctx")
@@ -313,8 +314,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sh
     def cut(batches):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in row_chunks(batch, 1, 512):
                 lists = part.column(2)
                 flat = lists.flatten()
                 a, b = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
