@@ -132,7 +132,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     runs = LineRuns(spark, scratch(spark, "lines"), buckets=max(4, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     for batch in batches_of(lines, batches):
         runs.add(batch)
-    common = runs.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "max_doc")
+    # Written, so that the join below has a shuffle on either side and AQE may split a hot key's rows.
+    common = written(runs.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "max_doc"), "common-lines")
     held = lines.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), F.posexplode("hs").alias("pos", "h")).filter(F.col("h").isNotNull())
     held = held.select("_id", "_t", "pos", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
     lost = held.join(common, ["h1", "h2"]).filter(~F.col("_id").eqNullSafe(F.col("max_doc"))).groupBy("_id", "_t").agg(F.collect_set("pos").alias("_lost"))
