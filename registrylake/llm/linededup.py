@@ -134,18 +134,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
         runs.add(batch)
     # Written, so that the join below has a shuffle on either side and AQE may split a hot key's rows.
     common = written(runs.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "max_doc"), "common-lines")
-    held = lines.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), F.posexplode("hs").alias("pos", "h")).filter(F.col("h").isNotNull())
-    held = held.select("_id", "_t", "pos", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
-    lost = held.join(common, ["h1", "h2"]).filter(~F.col("_id").eqNullSafe(F.col("max_doc"))).groupBy("_id", "_t").agg(F.collect_set("pos").alias("_lost"))
+    held = lines.select(F.col("doc_id").alias("__rl_id"), F.col("t").alias("__rl_t"), F.posexplode("hs").alias("pos", "h")).filter(F.col("h").isNotNull())
+    held = held.select("__rl_id", "__rl_t", "pos", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
+    lost = held.join(common, ["h1", "h2"]).filter(~F.col("__rl_id").eqNullSafe(F.col("max_doc"))).groupBy("__rl_id", "__rl_t").agg(F.collect_set("pos").alias("__rl_lost"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    both = docs.withColumn("_text", hashes(text))
-    both = both.join(lost.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left")
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, at: ~F.array_contains("_lost", at)), "\n")
+    both = docs.withColumn("__rl_text", hashes(text))
+    both = both.join(lost.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("__rl_id")) & (F.col("__rl_text") == F.col("__rl_t")), "left")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, at: ~F.array_contains("__rl_lost", at)), "\n")
     return both.withColumns({
         "n_lines": F.size(F.split(text, "\n")).cast("long"),
-        "n_dropped": F.coalesce(F.array_size("_lost"), F.lit(0)).cast("long"),
-        "text": F.when(F.col("_lost").isNull(), text).otherwise(kept),
-    }).drop("_text", "_t", "_lost", "_id")
+        "n_dropped": F.coalesce(F.array_size("__rl_lost"), F.lit(0)).cast("long"),
+        "text": F.when(F.col("__rl_lost").isNull(), text).otherwise(kept),
+    }).drop("__rl_text", "__rl_t", "__rl_lost", "__rl_id")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

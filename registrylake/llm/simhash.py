@@ -235,15 +235,15 @@ def keep_one(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataF
     Of rows that share that doc_id the one whose text's digest is least stays; of equal rows, one.
     """
     classes = near_classes(docs, words, budget)
-    firsts = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.first("component_id").alias("_id"), F.min("t").alias("_t"), F.count("*").alias("_n"))
-    firsts = written(firsts.select("_id", "_t", "_n"), "kept")
-    mine = docs.withColumn("_text", text_digest(F.col("text")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t"))
-    if firsts.filter("_n > 1").limit(1).count() == 0:
-        return mine.join(firsts, same, "left_semi").drop("_text")
-    single = mine.join(firsts.filter("_n = 1"), same, "left_semi")
-    shared = mine.join(firsts.filter("_n > 1"), same, "left_semi").dropDuplicates(["doc_id", "_text"])
-    return single.unionByName(shared).drop("_text")
+    firsts = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.first("component_id").alias("__rl_id"), F.min("t").alias("__rl_t"), F.count("*").alias("__rl_n"))
+    firsts = written(firsts.select("__rl_id", "__rl_t", "__rl_n"), "kept")
+    mine = docs.withColumn("__rl_text", text_digest(F.col("text")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__rl_id")) & (F.col("__rl_text") == F.col("__rl_t"))
+    if firsts.filter("__rl_n > 1").limit(1).count() == 0:
+        return mine.join(firsts, same, "left_semi").drop("__rl_text")
+    single = mine.join(firsts.filter("__rl_n = 1"), same, "left_semi")
+    shared = mine.join(firsts.filter("__rl_n > 1"), same, "left_semi").dropDuplicates(["doc_id", "__rl_text"])
+    return single.unionByName(shared).drop("__rl_text")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

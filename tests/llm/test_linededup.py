@@ -65,8 +65,9 @@ def test_levels_compact_and_anti_join(spark, docs_of):
 
 
 def test_extra_columns_pass(docs_of):
-    out = ld.dedup_lines(docs_of([(1, "a\nb")], "h1"))
-    assert out.select("h1", "source").first() == ("x", "src")
+    for name in ("h1", "_id", "_lost", "t", "hs", "pos", "max_doc"):
+        out = ld.dedup_lines(docs_of([(1, "a\nb")], name))
+        assert out.select(name, "source", "text").first() == ("x", "src", "a\nb")
 
 
 def test_main_path_is_native(docs_of):

@@ -74,6 +74,14 @@ def test_repeated_rows_keep_one(spark):
     assert got == sorted([(1, "a b c d e f"), (1, "z"), (None, "q"), (3, None)], key=repr)
 
 
+def test_clashing_names_pass(spark):
+    from registrylake.llm.simhash import keep_one
+
+    docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y")], "doc_id long, text string, lang string")
+    for name in ("_id", "fp", "root", "t", "component_id"):
+        assert keep_one(docs.withColumnRenamed("lang", name)).collect() == [(1, "a b c d e f", "x")]
+
+
 def test_empty_tables(spark, tmp_path):
     write(spark, tmp_path, [], [])
     assert pipeline.run(spark, str(tmp_path)).collect() == []
