@@ -37,8 +37,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that benchmark passages contaminate."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    bad = written(posindex.contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    bad = written(posindex.contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("__rl_id")).distinct(), "contaminated")
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__rl_id")), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
