@@ -2,10 +2,10 @@
 
 Pages are read into trees of block elements. The pages of a host are aligned by simple tree matching
 (the order-preserving matching of equal nodes with the most pairs, by dynamic programming over the children) and
-merged into one template tree, whose nodes count the pages that reached them and keep the most frequent texts
-(Misra-Gries counters, so that a template's size has a bound and merging templates is safe). Tasks merge
+merged into one template tree. Tasks merge
 the pages they meet; partial templates of a host are merged in two steps, so that a host with a third of all
-pages is no task's burden. For extraction a page is aligned with its host's template: a text that many
+pages is no task's burden. Then every page is aligned with its host's template, and the pages that hold a text at a node
+are counted exactly, whatever the number of texts there. For extraction a page is aligned once more: a text that many
 pages of the host hold at the same node is template, other texts fill slots; slots inside navigation, advert, form
 and comment elements are no content, and of the rest those of the article element (or else of the
 densest container of slots) are the main text. All of every page takes part.
@@ -17,10 +17,10 @@ dense containers the first wins; repeated rows are extracted alike; an empty tab
 
 from __future__ import annotations
 
+import hashlib
 import html as html_
 import pickle
 import re
-import zlib
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -184,12 +184,14 @@ class Group:
 
 
 def digest(text: str) -> int:
-    data = text.encode("utf-8", "surrogatepass")
-    return zlib.crc32(data) << 32 | zlib.crc32(data, 0x9E3779B9)
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def tally(counts: dict, key: int, n: int) -> None:
-    """Misra-Gries: any text of more than 1 / (COUNTERS + 1) of the weight stays, short by at most that share."""
+    """Misra-Gries: any text of more than 1 / (COUNTERS + 1) of the weight stays, short by at most that share.
+
+    The induction does not use it (``constant_texts`` counts exactly); only its test does.
+    """
     if key in counts or len(counts) < COUNTERS:
         counts[key] = counts.get(key, 0) + n
         return
@@ -202,12 +204,9 @@ def tally(counts: dict, key: int, n: int) -> None:
         tally(counts, key, n - least)
 
 
-#: A template node: signature, pages, text counters, children.
+#: A template node: signature, pages, digests of its template texts, children; and its number once it is complete.
 def as_template(g: Group) -> list:
-    counts: dict = {}
-    for key in {digest(t) for t in g.texts}:
-        tally(counts, key, 1)
-    return [g.sig, 1, counts, [as_template(k) for k in g.kids]]
+    return [g.sig, 1, set(), [as_template(k) for k in g.kids]]
 
 
 def matching(a: list, b: list, sig_a, sig_b, kids_a, kids_b) -> tuple[int, list]:
@@ -245,8 +244,6 @@ _G_SIG, _G_KIDS = (lambda g: g.sig), (lambda g: g.kids)
 def merge(into: list, other: list) -> None:
     """Adds a template of the same signature to ``into``."""
     into[1] += other[1]
-    for key, n in other[2].items():
-        tally(into[2], key, n)
     _, pairs = matching(into[3], other[3], _T_SIG, _T_SIG, _T_KIDS, _T_KIDS)
     matched = {j: i for i, j in pairs}
     kids, at = [], 0
@@ -271,6 +268,25 @@ def nodes(template: list) -> int:
     return 1 + sum(map(nodes, template[3]))
 
 
+def loaded(data: bytes | None, fixed: list | None) -> list | None:
+    """A stored template with its nodes numbered in preorder and the template texts ``fixed`` (node, digest) at them."""
+    if data is None:
+        return None
+    flat: list = []
+
+    def number(t: list) -> None:
+        t.append(len(flat))
+        flat.append(t)
+        for k in t[3]:
+            number(k)
+
+    template = pickle.loads(data)
+    number(template)
+    for f in fixed or ():
+        flat[f["node"]][2].add(f["digest"])
+    return template
+
+
 def align(group: Group, template: list) -> None:
     group.match = template
     for i, j in matching(template[3], group.kids, _T_SIG, _G_SIG, _T_KIDS, _G_KIDS)[1]:
@@ -279,7 +295,20 @@ def align(group: Group, template: list) -> None:
 
 def _constant(node: Node, text: str) -> bool:
     t = node.group.match
-    return t is not None and t[1] >= LEAST and t[2].get(digest(text), 0) >= SHARE * t[1]
+    return t is not None and bool(t[2]) and digest(text) in t[2]
+
+
+def _held(node: Node, out: set) -> None:
+    """(number of the template node, digest) of the texts below a node outside boilerplate; no digest: a page with texts there."""
+    if node.skip:
+        return
+    t = node.group.match
+    for k in node.kids:
+        if not isinstance(k, str):
+            _held(k, out)
+        elif t is not None:
+            out.add((t[4], None))
+            out.add((t[4], digest(k)))
 
 
 def _slots(node: Node, out: list) -> None:
@@ -391,37 +420,71 @@ def induce(pages: DataFrame, most_nodes: int = 200_000) -> DataFrame:
     return partial.groupBy("host", "part").applyInArrow(join, "host string, part int, template binary").select("host", "template").groupBy("host").applyInArrow(join, "host string, template binary")
 
 
-def main_texts(pages: DataFrame, ship_bytes: int = SHIP_BYTES) -> DataFrame:
-    """page_id, url, host, text, n_chars of every row of ``pages`` (page_id, url, html)."""
-    url = F.col("url").cast("string")
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"), F.col("html").cast("string").alias("html"))
-    templates = written(induce(pages), "templates")
-    small = (templates.agg(F.sum(F.length("template"))).first()[0] or 0) <= ship_bytes
+def with_templates(pages: DataFrame, templates: DataFrame, ship_bytes: int, make, schema: str) -> DataFrame:
+    """``make`` of batches (page_id, url, host, html) and their pages' templates, for all ``pages``."""
+    size = F.sum(F.length("template") + 16 * F.greatest(F.size("fixed"), F.lit(0)))
+    small = (templates.agg(size).first()[0] or 0) <= ship_bytes
 
     if small:  # their size was just measured
         got = templates.toArrow()
-        shared = pages.sparkSession.sparkContext.broadcast(dict(zip(got.column("host").to_pylist(), got.column("template").to_pylist())))
+        shared = pages.sparkSession.sparkContext.broadcast(dict(zip(got.column("host").to_pylist(), zip(got.column("template").to_pylist(), got.column("fixed").to_pylist()))))
         rows = pages
     else:
         shared = None
-        rows = pages.join(templates, "host", "left").select("page_id", "url", "host", "html", "template")
+        rows = pages.join(templates, "host", "left").select("page_id", "url", "host", "html", "template", "fixed")
 
     def run(batches):
         known: dict = {}
         for batch in batches:
             for part in row_chunks(batch, 3, 256):
-                given = part.column(4).to_pylist() if shared is None else [None] * part.num_rows
-                texts = []
-                for host, page, data in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), given):
+                given = [None] * part.num_rows if shared is not None else zip(part.column(4).to_pylist(), part.column(5).to_pylist())
+                met = []
+                for host, data in zip(part.column(2).to_pylist(), given):
                     if host not in known:
                         if len(known) >= 256:
                             known.clear()
-                        data = shared.value.get(host) if shared is not None else data
-                        known[host] = pickle.loads(data) if data is not None else None
-                    texts.append(extract(page, known[host]))
-                yield pa.RecordBatch.from_pydict({"page_id": part.column(0), "url": part.column(1), "host": part.column(2), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
+                        known[host] = loaded(*(shared.value.get(host, (None, None)) if shared is not None else data))
+                    met.append(known[host])
+                yield make(part, met)
+
+    return rows.mapInArrow(run, schema)
+
+
+def constant_texts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> DataFrame:
+    """host, fixed: the (node, digest) that SHARE of the pages with texts at the node hold, by exact counts."""
+    keys = pa.list_(pa.struct([("node", pa.int32()), ("digest", pa.int64())]))
+
+    def place(part: pa.RecordBatch, met: list) -> pa.RecordBatch:
+        out = []
+        for page, template in zip(part.column(3).to_pylist(), met):
+            root, held = parse(page), set()
+            group = Group("#", [root])
+            if template is not None:
+                align(group, template)
+            _held(root, held)
+            out.append([{"node": n, "digest": d} for n, d in held])
+        return pa.RecordBatch.from_pydict({"host": part.column(2), "keys": pa.array(out, keys)})
+
+    placed = with_templates(pages, templates, ship_bytes, place, "host string, keys array<struct<node: int, digest: long>>")
+    counts = placed.select("host", F.explode("keys").alias("k")).groupBy("host", F.col("k.node").alias("node"), F.col("k.digest").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts.filter(F.col("n") >= SHARE * LEAST), "texts")
+    total = counts.filter(F.col("digest").isNull() & (F.col("n") >= LEAST)).select("host", "node", F.col("n").alias("pages"))
+    texts = counts.filter(F.col("digest").isNotNull()).join(total, ["host", "node"]).filter(F.col("n") >= SHARE * F.col("pages"))
+    return texts.groupBy("host").agg(F.collect_list(F.struct("node", "digest")).alias("fixed"))
+
+
+def main_texts(pages: DataFrame, ship_bytes: int = SHIP_BYTES) -> DataFrame:
+    """page_id, url, host, text, n_chars of every row of ``pages`` (page_id, url, html)."""
+    url = F.col("url").cast("string")
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"), F.col("html").cast("string").alias("html"))
+    templates = written(induce(pages).withColumn("fixed", F.lit(None).cast("array<struct<node: int, digest: long>>")), "trees")
+    templates = written(templates.drop("fixed").join(constant_texts(pages, templates, ship_bytes), "host", "left"), "templates")
+
+    def make(part: pa.RecordBatch, met: list) -> pa.RecordBatch:
+        texts = [extract(page, template) for page, template in zip(part.column(3).to_pylist(), met)]
+        return pa.RecordBatch.from_pydict({"page_id": part.column(0), "url": part.column(1), "host": part.column(2), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
 
-    return rows.mapInArrow(run, RESULT)
+    return with_templates(pages, templates, ship_bytes, make, RESULT)
 
 
 def op2_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,3 +99,11 @@ def test_frequent_texts_survive_any_merging():
 ])
 def test_frames_and_names(page, text):
     assert wr.extract(page, None) == text
+
+
+@pytest.mark.parametrize("ship", [wr.SHIP_BYTES, 0])
+def test_constant_texts_among_many_at_one_node(spark, ship):
+    menu = "".join(f"<li>entry {k}</li>" for k in range(45))
+    rows = [(i, "http://long.example/", f"<article><ul>{menu}</ul>" + "".join(f"<p>own {i} {k}</p>" for k in range(40)) + "<p>Constant notice</p></article>") for i in range(20)]
+    for r in wr.main_texts(frame(spark, rows), ship).collect():
+        assert r.text == " ".join(f"own {r.page_id} {k}" for k in range(40))
