@@ -5,8 +5,9 @@ Pages are read into trees of block elements. The pages of a host are aligned by
 merged into one template tree. Tasks merge
 the pages they meet; partial templates of a host are merged in two steps, so that a host with a third of all
 pages is no task's burden. Then every page is aligned with its host's template, and the pages that hold a text at a node
-are counted exactly, whatever the number of texts there. For extraction a page is aligned once more: a text that many
-pages of the host hold at the same node is template, other texts fill slots; slots inside navigation, advert, form
+are counted exactly, whatever the number of texts there; pages of a host with the same texts at the same nodes (copies) count
+as one. For extraction a page is aligned once more: a text that the share ``SHARE`` of all the host's differing
+pages hold at the same node is template, other texts fill slots; slots inside navigation, advert, form
 and comment elements are no content, and of the rest those of the article element (or else of the
 densest container of slots) are the main text. All of every page takes part.
 
@@ -299,16 +300,15 @@ def _constant(node: Node, text: str) -> bool:
 
 
 def _held(node: Node, out: set) -> None:
-    """(number of the template node, digest) of the texts below a node outside boilerplate; no digest: a page with texts there."""
+    """(number of the template node or -1, digest) of the texts below a node outside boilerplate."""
     if node.skip:
         return
     t = node.group.match
     for k in node.kids:
-        if not isinstance(k, str):
+        if isinstance(k, str):
+            out.add((-1 if t is None else t[4], digest(k)))
+        else:
             _held(k, out)
-        elif t is not None:
-            out.add((t[4], None))
-            out.add((t[4], digest(k)))
 
 
 def _slots(node: Node, out: list) -> None:
@@ -451,7 +451,7 @@ def with_templates(pages: DataFrame, templates: DataFrame, ship_bytes: int, make
 
 
 def constant_texts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> DataFrame:
-    """host, fixed: the (node, digest) that SHARE of the pages with texts at the node hold, by exact counts."""
+    """host, fixed: the (node, digest) that SHARE of the host's differing pages hold, by exact counts."""
     keys = pa.list_(pa.struct([("node", pa.int32()), ("digest", pa.int64())]))
 
     def place(part: pa.RecordBatch, met: list) -> pa.RecordBatch:
@@ -462,14 +462,16 @@ def constant_texts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> D
             if template is not None:
                 align(group, template)
             _held(root, held)
-            out.append([{"node": n, "digest": d} for n, d in held])
+            out.append([{"node": n, "digest": d} for n, d in [(-1, None), *sorted(held)]])
         return pa.RecordBatch.from_pydict({"host": part.column(2), "keys": pa.array(out, keys)})
 
     placed = with_templates(pages, templates, ship_bytes, place, "host string, keys array<struct<node: int, digest: long>>")
-    counts = placed.select("host", F.explode("keys").alias("k")).groupBy("host", F.col("k.node").alias("node"), F.col("k.digest").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    # A page's keys begin with the mark (-1, null), so that the host's differing pages are counted with the texts.
+    one = placed.distinct().select("host", F.explode("keys").alias("k")).filter((F.col("k.node") >= 0) | F.col("k.digest").isNull())
+    counts = one.groupBy("host", F.col("k.node").alias("node"), F.col("k.digest").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
     counts = written(counts.filter(F.col("n") >= SHARE * LEAST), "texts")
-    total = counts.filter(F.col("digest").isNull() & (F.col("n") >= LEAST)).select("host", "node", F.col("n").alias("pages"))
-    texts = counts.filter(F.col("digest").isNotNull()).join(total, ["host", "node"]).filter(F.col("n") >= SHARE * F.col("pages"))
+    total = counts.filter(F.col("digest").isNull() & (F.col("n") >= LEAST)).select("host", F.col("n").alias("pages"))
+    texts = counts.filter(F.col("digest").isNotNull()).join(total, "host").filter(F.col("n") >= SHARE * F.col("pages"))
     return texts.groupBy("host").agg(F.collect_list(F.struct("node", "digest")).alias("fixed"))
 
 

@@ -107,3 +107,20 @@ def test_constant_texts_among_many_at_one_node(spark, ship):
     rows = [(i, "http://long.example/", f"<article><ul>{menu}</ul>" + "".join(f"<p>own {i} {k}</p>" for k in range(40)) + "<p>Constant notice</p></article>") for i in range(20)]
     for r in wr.main_texts(frame(spark, rows), ship).collect():
         assert r.text == " ".join(f"own {r.page_id} {k}" for k in range(40))
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_copies_of_a_longer_article_keep_it(spark, same):
+    rows = [(i, "http://big.example/", f"<article><h1>Title {i}</h1><p>Own {i}</p></article>") for i in range(30)]
+    long = "<article><h1>Long</h1><p>Lead {}</p><h2>Part</h2><p>More</p><ul><li>a</li><li>b</li></ul></article>"
+    rows += [(100 + i, "http://big.example/", long.format(0 if same else i)) for i in range(6 if same else 10)]
+    got = {r.page_id: r.text for r in wr.main_texts(frame(spark, rows)).collect()}
+    assert all(got[i] == f"Title {i} Own {i}" for i in range(30))
+    assert all(t == f"Long Lead {0 if same else i - 100} Part More a b" for i, t in got.items() if i >= 100)
+
+
+def test_copies_count_once(spark):
+    rows = [(i, "http://most.example/", f"<article><p>Notice</p><p>Own {i}</p></article>") for i in range(10)]
+    rows += [(100 + i, "http://most.example/", "<article><p>Notice</p><p>Copied</p><h2>Text</h2></article>") for i in range(90)]
+    got = {r.page_id: r.text for r in wr.main_texts(frame(spark, rows)).collect()}
+    assert got == {i: f"Own {i}" for i in range(10)} | {100 + i: "Copied Text" for i in range(90)}
