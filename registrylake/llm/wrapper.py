@@ -8,12 +8,11 @@ pages is no task's burden. Then every page is aligned with its host's template,
 are counted exactly, whatever the number of texts there; pages of a host with the same texts at the same nodes (copies) count
 as one. For extraction a page is aligned once more: a text that the share ``SHARE`` of all the host's differing
 pages hold at the same node is template, other texts fill slots; slots inside navigation, advert, form
-and comment elements are no content, and of the rest those of the article element (or else of the
-densest container of slots) are the main text. All of every page takes part.
+and comment elements are no content, and of the rest those of the article elements (or else of the
+main elements, or else all) are the main text, in page order and whatever their sizes. All of every page takes part.
 
 Nulls, empties and ties: a null or empty html gives an empty text; a null or malformed url belongs to
-the nameless host; a page whose slots are all template text (a host of copies) keeps that text; of equally
-dense containers the first wins; repeated rows are extracted alike; an empty table gives no rows.
+the nameless host; a page whose slots are all template text (a host of copies) keeps that text; repeated rows are extracted alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -331,24 +330,6 @@ def _articles(node: Node, tag: str, out: list) -> None:
                 _articles(k, tag, out)
 
 
-def _densest(node: Node) -> Node:
-    """The lowest container that holds at least four fifths of the slots' text below ``node``."""
-
-    def weight(n: Node) -> int:
-        out: list = []
-        _slots(n, out)
-        return sum(len(t) for t, fixed in out if not fixed)
-
-    total = weight(node)
-    while total:
-        kids = [k for k in node.kids if not isinstance(k, str)]
-        best = max(kids, key=weight, default=None)
-        if best is None or weight(best) < 0.8 * total:
-            break
-        node = best
-    return node
-
-
 def extract(page: str | None, template: list | None) -> str:
     root = parse(page)
     group = Group("#", [root])
@@ -358,13 +339,9 @@ def extract(page: str | None, template: list | None) -> str:
     _articles(root, "article", roots)
     if not roots:
         _articles(root, "main", roots)
-    found = []
-    for r in roots or [_densest(root)]:
-        out: list = []
-        _slots(r, out)
-        found.append(out)
-    sizes = [sum(len(t) for t, _ in out) for out in found]
-    slots = [s for out, n in zip(found, sizes) if n >= 0.25 * max(sizes) for s in out]
+    slots: list = []
+    for r in roots or [root]:
+        _slots(r, slots)
     kept = [t for t, fixed in slots if not fixed]
     return " ".join(kept if kept else [t for t, _ in slots])
 

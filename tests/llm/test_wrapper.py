@@ -124,3 +124,12 @@ def test_copies_count_once(spark):
     rows += [(100 + i, "http://most.example/", "<article><p>Notice</p><p>Copied</p><h2>Text</h2></article>") for i in range(90)]
     got = {r.page_id: r.text for r in wr.main_texts(frame(spark, rows)).collect()}
     assert got == {i: f"Own {i}" for i in range(10)} | {100 + i: "Copied Text" for i in range(90)}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article>" + "long " * 50 + "</article><article>short</article>", "long " * 50 + "short"),
+    ("<main>" + "long " * 50 + "</main><main>short</main>", "long " * 50 + "short"),
+    ("<div><h1>Head</h1></div><div>Lead</div><div>" + "<p>long</p>" * 50 + "</div><div class='share'>no</div><div>Last</div>", "Head Lead " + "long " * 50 + "Last"),
+])
+def test_no_text_is_left_out_for_its_size(page, text):
+    assert wr.extract(page, None) == text
