@@ -2,9 +2,9 @@
 
 A *run* is a Parquet table of ``(h1, h2, n_docs, max_doc)``, one row for each line key of one or more
 batches, bucketed and sorted by the 128-bit key hash. ``LineRuns.add`` merge-anti-joins a batch's keys
-with every run, says which were new, and adds the batch as a run of level 0; when ``fanout`` runs stand
-on one level they are compacted into one run of the next (counts added, largest doc_id kept). A key's
-figures over all batches are thus sums over its few runs. All runs have the same buckets, so that the
+with every run, adds the new ones as a run of level 0 and puts the figures of the known ones beside it as
+increments; when ``fanout`` runs stand on one level they and their increments are compacted into one run of the
+next (counts added, largest doc_id kept). A key's figures over all batches are thus sums over its few runs and increments. All runs have the same buckets, so that the
 anti-joins move only the new batch. Merging reads the runs' files without their buckets, on purpose: a
 union of bucketed columnar scans states the scans' partitioning without keeping it (seen in Spark
 4.1.2), so that grouping it without an exchange leaves a key's rows apart.
@@ -64,19 +64,22 @@ class LineRuns:
     buckets: int = 16
     fanout: int = 4
     levels: list = field(default_factory=list)
+    #: Run -> path of the increments that came with it.
+    more: dict = field(default_factory=dict)
     made: int = 0
 
     @property
     def runs(self) -> list:
         return [table for level in self.levels for table in level]
 
-    def _write(self, rows: DataFrame, level: int) -> None:
+    def _write(self, rows: DataFrame, level: int) -> str:
         name = f"line_run_{abs(hash(self.folder)):x}_{self.made}"
         self.made += 1
         rows.repartition(self.buckets, "h1", "h2").sortWithinPartitions("h1", "h2").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", f"{self.folder}/{name}").mode("overwrite").saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
+        return name
 
     def unseen(self, keys: DataFrame) -> DataFrame:
         """The keys of ``keys`` that no run holds."""
@@ -85,22 +88,29 @@ class LineRuns:
         return keys
 
     def add(self, lines: DataFrame) -> None:
-        """Adds a batch (of ``line_hashes``) as a run and compacts the levels that are full."""
-        self._write(batch_keys(lines), 0)
+        """Adds a batch's (of ``line_hashes``) new keys as a run, its known ones as increments, and compacts the levels that are full."""
+        if self.runs:
+            keys = written(batch_keys(lines), "batch-keys")
+            name = self._write(self.unseen(keys), 0)
+            self.more[name] = f"{self.folder}/{name}_more"
+            keys.join(self.spark.table(name), ["h1", "h2"], "left_anti").write.parquet(self.more[name])
+        else:
+            self._write(batch_keys(lines), 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             tables, self.levels[level] = self.levels[level], []
             self._write(self.merged(tables), level + 1)
             for t in tables:
                 self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+                self.more.pop(t, None)
             level += 1
 
     def merged(self, tables: list | None = None) -> DataFrame:
-        """One row for each key over the given runs (all runs by default)."""
+        """One row for each key over the given runs (all runs by default) and their increments."""
         tables = self.runs if tables is None else tables
         if not tables:
             return self.spark.createDataFrame([], RUN)
-        every = self.spark.read.schema(RUN).parquet(*[f"{self.folder}/{t}" for t in tables])
+        every = self.spark.read.schema(RUN).parquet(*[f"{self.folder}/{t}" for t in tables], *[self.more[t] for t in tables if t in self.more])
         return every.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
 
 

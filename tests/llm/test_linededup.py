@@ -64,6 +64,15 @@ def test_levels_compact_and_anti_join(spark, docs_of):
     assert figures == [(1, 3), (2, 4), (2, 5), (2, 6), (7, 6)]
 
 
+def test_runs_hold_new_keys_and_increments_the_others(spark, docs_of):
+    runs = ld.LineRuns(spark, scratch(spark, "runs"), buckets=4)
+    for i in range(3):
+        runs.add(ld.line_hashes(docs_of([(i, f"{LONG}\nline number {i} which is long enough to be judged too")]), 40))
+    assert [spark.table(t).count() for t in runs.runs] == [2, 1, 1]
+    assert [spark.read.parquet(p).count() for p in runs.more.values()] == [1, 1]
+    assert sorted((r.n_docs, r.max_doc) for r in runs.merged().collect()) == [(1, 0), (1, 1), (1, 2), (3, 2)]
+
+
 def test_extra_columns_pass(docs_of):
     for name in ("h1", "_id", "_lost", "t", "hs", "pos", "max_doc"):
         out = ld.dedup_lines(docs_of([(1, "a\nb")], name))
