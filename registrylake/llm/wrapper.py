@@ -1,18 +1,22 @@
 """HTML extraction by wrapper induction.
 
 Pages are read into trees of block elements. The pages of a host are aligned by simple tree matching
-(the order-preserving matching of equal nodes with the most pairs, by dynamic programming over the children) and
-merged into one template tree. Tasks merge
-the pages they meet; partial templates of a host are merged in two steps, so that a host with a third of all
-pages is no task's burden. Then every page is aligned with its host's template, and the pages that hold a text at a node
-are counted exactly, whatever the number of texts there; pages of a host with the same texts at the same nodes (copies) count
-as one. For extraction a page is aligned once more: a text that the share ``SHARE`` of all the host's differing
-pages hold at the same node is template, other texts fill slots; slots inside navigation, advert, form
-and comment elements are no content, and of the rest those of the article elements (or else of the
-main elements, or else all) are the main text, in page order and whatever their sizes. All of every page takes part.
+(the order-preserving matching of equal nodes with the most pairs, by dynamic programming over the children in linear
+space) and merged into one template tree. Tasks merge the pages they meet, exact copies once; partial templates of a host are merged in
+two steps, so that a host with a third of all pages is no task's burden. Then every page is aligned with its host's template, and the
+pages that hold a text at a node are counted exactly, whatever the number of texts there; pages of a host with the same texts at the
+same nodes (copies) count as one. For extraction a page is aligned once more: a text that the share ``SHARE`` of all the host's differing
+pages hold at the same node is template, other texts fill slots and are content. Two differing pages are enough evidence for that, but
+inside an article element, where near copies of an article agree as a frame does, it takes ``WITNESSES``. Element names decide what a template
+cannot tell: slots inside navigation, advert, form and comment elements are no content, and where a page has article elements (or else main
+elements) the others are their neighbours. What is left is the main text, in page order and whatever its size.
+
+A partial template of at least 64 pages forgets nodes that fewer than an eighth of them reach. No template text is lost by that: a node that
+``SHARE`` of a host's pages reach is reached by that share of the pages of one partial template at least, and merging keeps it.
 
 Nulls, empties and ties: a null or empty html gives an empty text; a null or malformed url belongs to
-the nameless host; a page whose slots are all template text (a host of copies) keeps that text; repeated rows are extracted alike; an empty table gives no rows.
+the nameless host; a page whose slots are all template text (a host of copies) keeps that text; elements nested deeper than ``DEEPEST`` belong to the
+element at that depth, with all their text; repeated rows are extracted alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +25,9 @@ import hashlib
 import html as html_
 import pickle
 import re
+import sys
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +36,10 @@ from pyspark.sql import functions as F
 from registrylake.llm.common import written
 from registrylake.llm.encode import row_chunks
 
+KNOWN = ("template", "fixed", "pages")
 RESULT = "page_id long, url string, host string, text string, n_chars long"
-COUNTERS, SHARE, LEAST, SHIP_BYTES, DEEPEST = 32, 0.7, 5, 64 << 20, 60
+SHARE, WITNESSES, SHIP_BYTES, DEEPEST = 0.7, 5, 64 << 20, 250
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 40 * DEEPEST))
 _TAG = re.compile(r"""<(?:!--(?:.*?(?:-->|\Z))|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*'|["'])*)(?:>|\Z))""", re.DOTALL)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "xmp"}
@@ -163,9 +171,9 @@ def parse(page: str | None) -> Node:
 
 
 class Group:
-    """Equal neighbours of a page as one node: signature, texts, child groups."""
+    """Equal neighbours of a page as one node: signature, texts, child groups; ``shape`` and ``size`` of the tree of groups."""
 
-    __slots__ = ("sig", "texts", "kids", "match")
+    __slots__ = ("sig", "texts", "kids", "match", "shape", "size")
 
     def __init__(self, sig: str, members: list):
         self.sig, self.texts, self.kids, self.match = sig, [], [], None
@@ -181,121 +189,173 @@ class Group:
                 upto += 1
             self.kids.append(Group(kids[at].sig, kids[at:upto]))
             at = upto
+        measure(self)
+
+
+class Template:
+    """A template node: signature, pages that reached it, children; its number and its template texts once it is complete."""
+
+    __slots__ = ("sig", "pages", "kids", "shape", "size", "number", "fixed")
+
+    def __init__(self, sig: str, pages: int, kids: list):
+        self.sig, self.pages, self.kids, self.number, self.fixed = sig, pages, kids, -1, set()
+        measure(self)
+
+    def dump(self) -> bytes:
+        """Signature, pages and number of children of the nodes in preorder."""
+        flat = list(self.nodes())
+        return pickle.dumps(([t.sig for t in flat], [t.pages for t in flat], [len(t.kids) for t in flat]))
+
+    def nodes(self):
+        stack = [self]
+        while stack:
+            t = stack.pop()
+            yield t
+            stack += reversed(t.kids)
+
+    @classmethod
+    def load(cls, data: bytes) -> "Template":
+        done: list = []
+        for sig, pages, kids in zip(*(reversed(x) for x in pickle.loads(data))):
+            done.append(cls(sig, pages, [done.pop() for _ in range(kids)]))
+        return done[0]
+
+
+def measure(node) -> None:
+    node.shape = hash((node.sig, *(k.shape for k in node.kids)))
+    node.size = 1 + sum(k.size for k in node.kids)
 
 
 def digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def tally(counts: dict, key: int, n: int) -> None:
-    """Misra-Gries: any text of more than 1 / (COUNTERS + 1) of the weight stays, short by at most that share.
+def as_template(g: Group) -> Template:
+    return Template(g.sig, 1, [as_template(k) for k in g.kids])
 
-    The induction does not use it (``constant_texts`` counts exactly); only its test does.
-    """
-    if key in counts or len(counts) < COUNTERS:
-        counts[key] = counts.get(key, 0) + n
-        return
-    least = min(n, min(counts.values()))
-    for k in [k for k, v in counts.items() if v <= least]:
-        del counts[k]
-    for k in counts:
-        counts[k] -= least
-    if n > least:
-        tally(counts, key, n - least)
-
-
-#: A template node: signature, pages, digests of its template texts, children; and its number once it is complete.
-def as_template(g: Group) -> list:
-    return [g.sig, 1, set(), [as_template(k) for k in g.kids]]
-
-
-def matching(a: list, b: list, sig_a, sig_b, kids_a, kids_b) -> tuple[int, list]:
-    """Simple tree matching of two lists of children: size and matched pairs of positions."""
-    if not a or not b:
-        return 0, []
-    names = [sig_a(x) for x in a]
-    if names == [sig_b(y) for y in b] and len(set(names)) == len(names):  # nothing else can match
-        return len(a) + sum(matching(kids_a(x), kids_b(y), sig_a, sig_b, kids_a, kids_b)[0] for x, y in zip(a, b)), [(i, i) for i in range(len(a))]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    size: dict = {}
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            here = max(best[i][j + 1], best[i + 1][j])
-            if sig_a(x) == sig_b(y):
-                size[i, j] = 1 + matching(kids_a(x), kids_b(y), sig_a, sig_b, kids_a, kids_b)[0]
-                here = max(here, best[i][j] + size[i, j])
-            best[i + 1][j + 1] = here
-    i, j, pairs = len(a), len(b), []
-    while i and j:
-        if (i - 1, j - 1) in size and best[i][j] == best[i - 1][j - 1] + size[i - 1, j - 1]:
-            pairs.append((i - 1, j - 1))
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return best[-1][-1], pairs[::-1]
+
+_SIZES: dict = {}
 
 
-_T_SIG, _T_KIDS = (lambda t: t[0]), (lambda t: t[3])
-_G_SIG, _G_KIDS = (lambda g: g.sig), (lambda g: g.kids)
+def pair_size(x, y) -> int:
+    """Matched nodes of two trees whose roots have one signature."""
+    if x.shape == y.shape:
+        return x.size
+    key = (x.shape, y.shape)
+    if key not in _SIZES:
+        if len(_SIZES) > 200_000:
+            _SIZES.clear()
+        _SIZES[key] = 1 + matching(x.kids, y.kids)[0]
+    return _SIZES[key]
 
 
-def merge(into: list, other: list) -> None:
+def _row(weights: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The last row of the table of best sums: of all of ``a`` with each beginning of ``b``."""
+    best = np.zeros(len(b) + 1, np.int64)
+    for i in a.tolist():
+        best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + weights[i][b]))
+    return best
+
+
+def matching(a: list, b: list) -> tuple[int, list]:
+    """Simple tree matching of two lists of children: size and matched pairs of positions.
+
+    Equal trees at either end are matched at once (no other matching is larger). The table between them is made row by
+    row, and the pairs are found by halving, so that space is linear in the lists.
+    """
+    lo, n, m = 0, len(a), len(b)
+    while lo < min(n, m) and a[lo].shape == b[lo].shape:
+        lo += 1
+    while min(n, m) > lo and a[n - 1].shape == b[m - 1].shape:
+        n, m = n - 1, m - 1
+    pairs = [(i, i) for i in range(lo)]
+    tail = [(n + k, m + k) for k in range(len(a) - n)]
+    total = sum(a[i].size for i, _ in pairs) + sum(a[i].size for i, _ in tail)
+    names = [x.sig for x in a[lo:n]]
+    if names and n > lo and m > lo:
+        if names == [y.sig for y in b[lo:m]] and len(set(names)) == len(names):  # nothing else can match
+            between = [(i, i) for i in range(lo, n)]
+            total += sum(pair_size(a[i], b[i]) for i, _ in between)
+        else:
+            size, between = _between(a[lo:n], b[lo:m])
+            total, between = total + size, [(i + lo, j + lo) for i, j in between]
+        pairs += between
+    return total, pairs + tail
+
+
+def _between(a: list, b: list) -> tuple[int, list]:
+    kinds_a, kinds_b = {}, {}
+    at = np.array([kinds_a.setdefault(x.shape, (len(kinds_a), x))[0] for x in a])
+    bt = np.array([kinds_b.setdefault(y.shape, (len(kinds_b), y))[0] for y in b])
+    weights = np.zeros((len(kinds_a), len(kinds_b)), np.int64)
+    for i, x in kinds_a.values():
+        for j, y in kinds_b.values():
+            if x.sig == y.sig:
+                weights[i, j] = pair_size(x, y)
+    pairs, total, todo = [], 0, [(0, len(a), 0, len(b))]
+    while todo:
+        i, k, j, m = todo.pop()
+        if k == i or m == j:
+            continue
+        if k - i == 1:
+            own = weights[at[i]][bt[j:m]]
+            best = int(np.argmax(own))
+            if own[best]:
+                pairs.append((i, j + best))
+                total += int(own[best])
+            continue
+        half = (i + k) // 2
+        cut = j + int(np.argmax(_row(weights, at[i:half], bt[j:m]) + _row(weights, at[half:k][::-1], bt[j:m][::-1])[::-1]))
+        todo += [(half, k, cut, m), (i, half, j, cut)]
+    return total, sorted(pairs)
+
+
+def merge(into: Template, other: Template) -> None:
     """Adds a template of the same signature to ``into``."""
-    into[1] += other[1]
-    _, pairs = matching(into[3], other[3], _T_SIG, _T_SIG, _T_KIDS, _T_KIDS)
-    matched = {j: i for i, j in pairs}
+    into.pages += other.pages
+    matched = {j: i for i, j in matching(into.kids, other.kids)[1]}
     kids, at = [], 0
-    for j, kid in enumerate(other[3]):
+    for j, kid in enumerate(other.kids):
         if j in matched:
-            kids += into[3][at : matched[j] + 1]
+            kids += into.kids[at : matched[j] + 1]
             at = matched[j] + 1
             merge(kids[-1], kid)
         else:
             kids.append(kid)
-    into[3] = kids + into[3][at:]
-
+    into.kids = kids + into.kids[at:]
+    measure(into)
 
-def prune(template: list, least: int) -> None:
-    """Drops nodes that too few pages reached to ever tell template from slot."""
-    template[3] = [k for k in template[3] if k[1] >= least]
-    for k in template[3]:
-        prune(k, least)
 
+def forget(template: Template, least: float) -> None:
+    """Drops the nodes that fewer than ``least`` pages reached."""
+    template.kids = [k for k in template.kids if k.pages >= least]
+    for k in template.kids:
+        forget(k, least)
+    measure(template)
 
-def nodes(template: list) -> int:
-    return 1 + sum(map(nodes, template[3]))
 
-
-def loaded(data: bytes | None, fixed: list | None) -> list | None:
-    """A stored template with its nodes numbered in preorder and the template texts ``fixed`` (node, digest) at them."""
+def loaded(data: bytes | None, fixed: list | None, pages: int | None) -> tuple | None:
+    """A stored template, its nodes numbered in preorder, with the template texts ``fixed`` (node, digest), and the host's differing pages."""
     if data is None:
         return None
-    flat: list = []
-
-    def number(t: list) -> None:
-        t.append(len(flat))
-        flat.append(t)
-        for k in t[3]:
-            number(k)
-
-    template = pickle.loads(data)
-    number(template)
+    template = Template.load(data)
+    flat = list(template.nodes())
+    for number, t in enumerate(flat):
+        t.number = number
     for f in fixed or ():
-        flat[f["node"]][2].add(f["digest"])
-    return template
+        flat[f["node"]].fixed.add(f["digest"])
+    return template, pages or 0
 
 
-def align(group: Group, template: list) -> None:
+def align(group: Group, template: Template) -> None:
     group.match = template
-    for i, j in matching(template[3], group.kids, _T_SIG, _G_SIG, _T_KIDS, _G_KIDS)[1]:
-        align(group.kids[j], template[3][i])
+    for i, j in matching(template.kids, group.kids)[1]:
+        align(group.kids[j], template.kids[i])
 
 
 def _constant(node: Node, text: str) -> bool:
     t = node.group.match
-    return t is not None and bool(t[2]) and digest(text) in t[2]
+    return t is not None and bool(t.fixed) and digest(text) in t.fixed
 
 
 def _held(node: Node, out: set) -> None:
@@ -305,7 +365,7 @@ def _held(node: Node, out: set) -> None:
     t = node.group.match
     for k in node.kids:
         if isinstance(k, str):
-            out.add((-1 if t is None else t[4], digest(k)))
+            out.add((-1 if t is None else t.number, digest(k)))
         else:
             _held(k, out)
 
@@ -330,11 +390,12 @@ def _articles(node: Node, tag: str, out: list) -> None:
                 _articles(k, tag, out)
 
 
-def extract(page: str | None, template: list | None) -> str:
+def extract(page: str | None, known: tuple | None) -> str:
+    """Main text of a page; ``known`` is its host's template as ``loaded`` gives it."""
     root = parse(page)
     group = Group("#", [root])
-    if template is not None:
-        align(group, template)
+    if known is not None:
+        align(group, known[0])
     roots: list = []
     _articles(root, "article", roots)
     if not roots:
@@ -342,6 +403,8 @@ def extract(page: str | None, template: list | None) -> str:
     slots: list = []
     for r in roots or [root]:
         _slots(r, slots)
+    if roots and known is not None and known[1] < WITNESSES:
+        slots = [(t, False) for t, _ in slots]
     kept = [t for t, fixed in slots if not fixed]
     return " ".join(kept if kept else [t for t, _ in slots])
 
@@ -351,30 +414,38 @@ def host_of(url):
 
 
 def induce(pages: DataFrame, most_nodes: int = 200_000) -> DataFrame:
-    """host, template (pickled) from all ``pages`` (host, html)."""
+    """host, template (dumped) from all ``pages`` (host, html); a task holds about ``most_nodes`` nodes of partial templates."""
 
     def learn(batches):
         held: dict = {}
+        met: set = set()
         part = TaskContext.get().partitionId() % 32
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_pydict({"host": pa.array(list(held), pa.string()), "part": pa.array([part] * len(held), pa.int32()), "template": pa.array([pickle.dumps(t) for t in held.values()], pa.binary())})
+            for t in held.values():
+                if t.pages >= 64:
+                    forget(t, t.pages / 8)
+            made = pa.RecordBatch.from_pydict({"host": pa.array(list(held), pa.string()), "part": pa.array([part] * len(held), pa.int32()), "template": pa.array([t.dump() for t in held.values()], pa.binary())})
             held.clear()
+            met.clear()
             return made
 
-        size = seen = 0
+        size = 0
         for batch in (p for b in batches for p in row_chunks(b, 1)):
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                key = digest(f"{host}\n{page}")
+                if key in met:
+                    continue
+                met.add(key)
                 new = as_template(Group("#", [parse(page)]))
-                size += nodes(new)
-                seen += 1
+                size += new.size
                 if host in held:
                     merge(held[host], new)
                 else:
                     held[host] = new
                 if size > most_nodes:  # merged nodes were counted twice; look again
-                    size = sum(map(nodes, held.values()))
-                    if size > most_nodes // 2:
+                    size = sum(t.size for t in held.values())
+                    if size > most_nodes // 2 or len(met) > most_nodes:
                         yield out()
                         size = 0
         if held:
@@ -383,15 +454,13 @@ def induce(pages: DataFrame, most_nodes: int = 200_000) -> DataFrame:
     def join(table: pa.Table) -> pa.Table:
         total = None
         for data in table.column("template").to_pylist():
-            t = pickle.loads(data)
+            t = Template.load(data)
             if total is None:
                 total = t
             else:
                 merge(total, t)
-            if nodes(total) > most_nodes:
-                prune(total, 2)
         names = [c for c in ("host", "part") if c in table.column_names]
-        return pa.table({**{c: table.column(c)[:1] for c in names}, "template": pa.array([pickle.dumps(total)], pa.binary())})
+        return pa.table({**{c: table.column(c)[:1] for c in names}, "template": pa.array([total.dump()], pa.binary())})
 
     partial = pages.select("host", "html").mapInArrow(learn, "host string, part int, template binary")
     return partial.groupBy("host", "part").applyInArrow(join, "host string, part int, template binary").select("host", "template").groupBy("host").applyInArrow(join, "host string, template binary")
@@ -404,23 +473,23 @@ def with_templates(pages: DataFrame, templates: DataFrame, ship_bytes: int, make
 
     if small:  # their size was just measured
         got = templates.toArrow()
-        shared = pages.sparkSession.sparkContext.broadcast(dict(zip(got.column("host").to_pylist(), zip(got.column("template").to_pylist(), got.column("fixed").to_pylist()))))
+        shared = pages.sparkSession.sparkContext.broadcast(dict(zip(got.column("host").to_pylist(), zip(*(got.column(c).to_pylist() for c in KNOWN)))))
         rows = pages
     else:
         shared = None
-        rows = pages.join(templates, "host", "left").select("page_id", "url", "host", "html", "template", "fixed")
+        rows = pages.join(templates, "host", "left").select("page_id", "url", "host", "html", *KNOWN)
 
     def run(batches):
         known: dict = {}
         for batch in batches:
             for part in row_chunks(batch, 3, 256):
-                given = [None] * part.num_rows if shared is not None else zip(part.column(4).to_pylist(), part.column(5).to_pylist())
+                given = [None] * part.num_rows if shared is not None else zip(*(part.column(4 + i).to_pylist() for i in range(len(KNOWN))))
                 met = []
                 for host, data in zip(part.column(2).to_pylist(), given):
                     if host not in known:
                         if len(known) >= 256:
                             known.clear()
-                        known[host] = loaded(*(shared.value.get(host, (None, None)) if shared is not None else data))
+                        known[host] = loaded(*(shared.value.get(host, (None, None, None)) if shared is not None else data))
                     met.append(known[host])
                 yield make(part, met)
 
@@ -428,7 +497,7 @@ def with_templates(pages: DataFrame, templates: DataFrame, ship_bytes: int, make
 
 
 def constant_texts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> DataFrame:
-    """host, fixed: the (node, digest) that SHARE of the host's differing pages hold, by exact counts."""
+    """host, pages, fixed: the host's differing pages and the (node, digest) that SHARE of them hold, by exact counts."""
     keys = pa.list_(pa.struct([("node", pa.int32()), ("digest", pa.int64())]))
 
     def place(part: pa.RecordBatch, met: list) -> pa.RecordBatch:
@@ -437,7 +506,7 @@ def constant_texts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> D
             root, held = parse(page), set()
             group = Group("#", [root])
             if template is not None:
-                align(group, template)
+                align(group, template[0])
             _held(root, held)
             out.append([{"node": n, "digest": d} for n, d in [(-1, None), *sorted(held)]])
         return pa.RecordBatch.from_pydict({"host": part.column(2), "keys": pa.array(out, keys)})
@@ -446,18 +515,19 @@ def constant_texts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> D
     # A page's keys begin with the mark (-1, null), so that the host's differing pages are counted with the texts.
     one = placed.distinct().select("host", F.explode("keys").alias("k")).filter((F.col("k.node") >= 0) | F.col("k.digest").isNull())
     counts = one.groupBy("host", F.col("k.node").alias("node"), F.col("k.digest").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
-    counts = written(counts.filter(F.col("n") >= SHARE * LEAST), "texts")
-    total = counts.filter(F.col("digest").isNull() & (F.col("n") >= LEAST)).select("host", F.col("n").alias("pages"))
+    counts = written(counts.filter(F.col("n") >= 2), "texts")
+    total = counts.filter(F.col("digest").isNull()).select("host", F.col("n").alias("pages"))
     texts = counts.filter(F.col("digest").isNotNull()).join(total, "host").filter(F.col("n") >= SHARE * F.col("pages"))
-    return texts.groupBy("host").agg(F.collect_list(F.struct("node", "digest")).alias("fixed"))
+    return total.join(texts.groupBy("host").agg(F.collect_list(F.struct("node", "digest")).alias("fixed")), "host", "left")
 
 
 def main_texts(pages: DataFrame, ship_bytes: int = SHIP_BYTES) -> DataFrame:
     """page_id, url, host, text, n_chars of every row of ``pages`` (page_id, url, html)."""
     url = F.col("url").cast("string")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"), F.col("html").cast("string").alias("html"))
-    templates = written(induce(pages).withColumn("fixed", F.lit(None).cast("array<struct<node: int, digest: long>>")), "trees")
-    templates = written(templates.drop("fixed").join(constant_texts(pages, templates, ship_bytes), "host", "left"), "templates")
+    none = {"fixed": F.lit(None).cast("array<struct<node: int, digest: long>>"), "pages": F.lit(None).cast("long")}
+    templates = written(induce(pages).withColumns(none), "trees")
+    templates = written(templates.select("host", "template").join(constant_texts(pages, templates, ship_bytes), "host", "left").select("host", *KNOWN), "templates")
 
     def make(part: pa.RecordBatch, met: list) -> pa.RecordBatch:
         texts = [extract(page, template) for page, template in zip(part.column(3).to_pylist(), met)]

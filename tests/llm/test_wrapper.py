@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -57,14 +58,14 @@ def test_empty_table(spark):
 
 def test_matching_is_the_largest_in_order():
     def tree(spec):
-        return [spec[0], 1, {}, [tree(k) for k in spec[1:]]]
+        return wr.Template(spec[0], 1, [tree(k) for k in spec[1:]])
 
     def brute(a, b):
         if not a or not b:
             return 0
         best = max(brute(a[1:], b), brute(a, b[1:]))
-        if a[0][0] == b[0][0]:
-            best = max(best, 1 + brute(a[0][3], b[0][3]) + brute(a[1:], b[1:]))
+        if a[0].sig == b[0].sig:
+            best = max(best, 1 + brute(a[0].kids, b[0].kids) + brute(a[1:], b[1:]))
         return best
 
     r = random.Random(3)
@@ -72,18 +73,84 @@ def test_matching_is_the_largest_in_order():
     def any_tree(depth):
         return (r.choice("abc"), *(any_tree(depth - 1) for _ in range(r.randrange(0, 4 if depth else 1))))
 
-    for _ in range(60):
-        a, b = tree(("r", *(any_tree(2) for _ in range(3)))), tree(("r", *(any_tree(2) for _ in range(4))))
-        size, pairs = wr.matching(a[3], b[3], wr._T_SIG, wr._T_SIG, wr._T_KIDS, wr._T_KIDS)
-        assert size == brute(a[3], b[3]) and pairs == sorted(pairs) and all(a[3][i][0] == b[3][j][0] for i, j in pairs)
+    for _ in range(200):
+        a, b = tree(("r", *(any_tree(2) for _ in range(r.randrange(5))))), tree(("r", *(any_tree(2) for _ in range(r.randrange(5)))))
+        size, pairs = wr.matching(a.kids, b.kids)
+        assert size == brute(a.kids, b.kids) == sum(1 + brute(a.kids[i].kids, b.kids[j].kids) for i, j in pairs)
+        assert pairs == sorted(pairs) and [j for _, j in pairs] == sorted({j for _, j in pairs}) and all(a.kids[i].sig == b.kids[j].sig for i, j in pairs)
 
 
-def test_frequent_texts_survive_any_merging():
-    r = random.Random(1)
-    counts: dict = {}
-    for i in range(5000):
-        wr.tally(counts, 7 if r.random() < 0.5 else 1000 + i, 1)
-    assert counts[7] >= 2500 - 200 - 5000 / wr.COUNTERS and len(counts) <= wr.COUNTERS
+def test_templates_survive_their_file():
+    t = wr.as_template(wr.Group("#", [wr.parse(page(1))]))
+    again = wr.Template.load(t.dump())
+    assert [(x.sig, x.pages, len(x.kids), x.shape, x.size) for x in t.nodes()] == [(x.sig, x.pages, len(x.kids), x.shape, x.size) for x in again.nodes()]
+
+
+def alternating(n, k):
+    return "<div>" + "".join(f"<h2>part {i} {k}</h2><p>text {i} {k}</p>" + ("<ul><li>x</li></ul>" if (i * k) % 7 == 3 else "") for i in range(n)) + "</div>"
+
+
+def test_long_alternating_siblings_merge_fast():
+    a, b = (wr.as_template(wr.Group("#", [wr.parse(alternating(1600, k))])) for k in (1, 2))
+    began = time.time()
+    wr.merge(a, b)
+    assert time.time() - began < 1.5
+    known = wr.loaded(a.dump(), None, 2)
+    assert wr.extract(alternating(1600, 2), known).split()[:3] == ["part", "0", "2"] and len(wr.extract(alternating(1600, 2), known).split()) == 1600 * 6 + sum((2 * i) % 7 == 3 for i in range(1600))
+
+
+NEUTRAL = "<body><div class='q1'><div>Start</div><div>All parts</div></div><div class='q2'><div class='q3'>Title {i}</div><div class='q4'>Own text {i}</div><div class='q4'>As ever</div><div class='q4'>More {i}</div></div><div class='q5'>Made by hand</div></body>"
+
+
+def test_the_template_decides_where_names_are_neutral(spark):
+    rows = [(i, "http://plain.example/", NEUTRAL.format(i=i)) for i in range(9)]
+    for r in wr.main_texts(frame(spark, rows)).collect():
+        assert r.text == f"Title {r.page_id} Own text {r.page_id} More {r.page_id}"
+        assert wr.extract(NEUTRAL.format(i=r.page_id), None) == f"Start All parts Title {r.page_id} Own text {r.page_id} As ever More {r.page_id} Made by hand"
+
+
+def test_two_pages_are_enough_outside_an_article(spark):
+    rows = [(i, "http://two.example/", NEUTRAL.format(i=i)) for i in range(2)]
+    assert {r.text for r in wr.main_texts(frame(spark, rows)).collect()} == {f"Title {i} Own text {i} More {i}" for i in range(2)}
+    rows = [(i, "http://near.example/", f"<div>Frame</div><article><h1>Same</h1><p>Nearly the same</p><p>but for {i}</p></article>") for i in range(2)]
+    assert {r.text for r in wr.main_texts(frame(spark, rows)).collect()} == {f"Same Nearly the same but for {i}" for i in range(2)}
+
+
+@pytest.mark.parametrize("ship", [wr.SHIP_BYTES, 0])
+def test_against_exact_counts_of_texts_by_place(spark, ship):
+    """Brute force: on pages whose blocks all have names of their own, a text is template if 70 % of the differing pages have it in its block."""
+    r = random.Random(11)
+    rows, want = [], {}
+    for host in range(4):
+        kinds = [(f"k{chr(97 + b)}x", r.choice(["fixed", "own", "some"])) for b in range(8)] + [("last", "own")]
+        pages = []
+        for i in range(12):
+            blocks = []
+            for name, kind in kinds:
+                if name != "last" and r.random() < 0.15:
+                    continue
+                blocks.append((name, f"{name} constant" if kind == "fixed" or (kind == "some" and r.random() < 0.5) else f"{name} own {host} {i}"))
+            pages.append(blocks)
+        pages += pages[:3]  # copies count once
+        differing = {tuple(p) for p in pages}
+        share = {x: sum(x in p for p in differing) / len(differing) for p in differing for x in p}
+        for n, blocks in enumerate(pages):
+            rows.append((host * 100 + n, f"http://h{host}.example/", "<body>" + "".join(f"<div class='{k}'><p>{t}</p></div>" for k, t in blocks) + "</body>"))
+            want[host * 100 + n] = " ".join(t for k, t in blocks if share[k, t] < wr.SHARE)
+    assert {r.page_id: r.text for r in wr.main_texts(frame(spark, rows), ship).collect()} == want
+
+
+def test_rare_nodes_are_forgotten_and_frequent_ones_kept(spark):
+    rows = [(i, "http://wild.example/", f"<div class='q'><p>Frame</p></div><div class='w{chr(97 + i % 26)}{chr(97 + i // 26)}'><p>own {i}</p></div>") for i in range(300)]
+    frame_ = frame(spark, rows).select("host", "html").repartition(1)
+    (made,) = wr.induce(frame_).collect()
+    assert wr.Template.load(made.template).size < 40
+    assert {r.page_id: r.text for r in wr.main_texts(frame(spark, rows)).collect()} == {i: f"own {i}" for i in range(300)}
+
+
+def test_clashing_columns(spark):
+    rows = spark.createDataFrame([(i, "http://c.example/", NEUTRAL.format(i=i), "t", "x", 1, 2) for i in range(6)], "page_id long, url string, html string, text string, template string, pages int, fixed int")
+    assert {r.text for r in wr.main_texts(rows).collect()} == {f"Title {i} Own text {i} More {i}" for i in range(6)}
 
 
 @pytest.mark.parametrize("page, text", [
