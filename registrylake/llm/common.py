@@ -58,6 +58,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def partitions_of(df: DataFrame, size, target: int) -> int:
+    """How many partitions of about ``target`` bytes hold ``df``, whose rows have ``size`` bytes: at least the session's shuffle partitions."""
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // target))
+
+
 def lower_ascii(column) -> object:
     """A-Z to a-z and nothing else (``lower`` would change other scripts too)."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -3,7 +3,9 @@
 A tokenizer with a byte-level or word pre-tokenizer never merges across certain places of a text.
 ``PieceEncoder`` cuts a chunk of texts there (in Arrow), remembers the ids of the pieces it met lately,
 lets the library encode the others, and lays the pieces' ids together (in numpy); the result equals the
-library's on the whole text. A tokenizer whose cutting rule is not recognised gets whole texts.
+library's on the whole text: that of ``encode(text, add_special_tokens=False)``, which turns the literal of a special
+token that stands in a text into that token's id. Texts with such a literal, and all texts of a tokenizer whose cutting
+rule is not recognised, are given to the library whole.
 """
 
 from __future__ import annotations
@@ -45,12 +47,13 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.remembered = remembered
         with open(path, encoding="utf-8") as f:
-            self.rule = cutting_rule(json.load(f))
+            spec = json.load(f)
+        self.rule = cutting_rule(spec)
+        self.literals = [t["content"] for t in spec.get("added_tokens") or []]
         #: Pieces and their ids: with rule ``space`` a piece owns the space before it, or starts with a line feed.
         self.known: dict = {}
         self.older: dict = {}  # the generation before: what is still in use moves over
@@ -168,7 +171,11 @@ class PieceEncoder:
             for part in in_chunks(texts):
                 if len(self.known) > self.remembered:
                     self.older, self.known = self.known, {}
-                out += self._encode(part)
+                done = self._encode(part)
+                for literal in self.literals:
+                    for i in np.flatnonzero(pc.match_substring(part, literal).to_numpy(zero_copy_only=False)).tolist():
+                        done[i] = self._whole(part[i].as_py())
+                out += done
             return out
         finally:
             if collecting:
@@ -189,6 +196,8 @@ def in_chunks(texts: pa.Array, rows: int = 1024, size: int = 6 << 20):
 def cutting_rule(spec: dict) -> str:
     """``space``: pieces own one leading space; ``white``: white space is dropped; else ``whole``."""
     pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    if any(t.get("normalized") or t.get("lstrip") or t.get("rstrip") or not t.get("content") for t in spec.get("added_tokens") or []):
+        return "whole"
     if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
         return "space"
     first = (pre.get("pretokenizers") or [{}])[0] if pre.get("type") == "Sequence" else {}

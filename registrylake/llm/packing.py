@@ -23,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm.common import written
+from registrylake.llm.common import partitions_of, written
 from registrylake.llm.encode import encoder, row_chunks
 
-DIMS, BITS = 4, 12
+DIMS, BITS, HASHED, RANGE_BYTES = 4, 12, 1 << 14, 64 << 20
 DIGESTS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -61,19 +61,24 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 _DIRECTIONS: dict = {}
 
 
-def directions(size: int, dims: int = DIMS) -> np.ndarray:
+def directions(size: int = HASHED, dims: int = DIMS) -> np.ndarray:
     if (size, dims) not in _DIRECTIONS:
         _DIRECTIONS[size, dims] = np.random.default_rng(20240229).standard_normal((size, dims)).astype("f4")
     return _DIRECTIONS[size, dims]
 
 
-def curve_point(ids: np.ndarray, size: int = 1 << 16) -> np.ndarray:
+def bucket(tokens: np.ndarray) -> np.ndarray:
+    """Token ids, of a vocabulary of any size, hashed to ``HASHED`` directions (multiply and take the high bits)."""
+    return (tokens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - (HASHED.bit_length() - 1))).astype(np.int64)
+
+
+def curve_point(ids: np.ndarray) -> np.ndarray:
     """Projection of the document's hashed counts, scaled by their length: near N(0, 1) for any text."""
     if not len(ids):
         return np.zeros(DIMS)
     tokens, counts = np.unique(ids, return_counts=True)
     weights = np.sqrt(counts.astype("f8"))
-    return weights @ directions(size)[tokens.astype(np.int64) % size] / math.sqrt(float(weights @ weights))
+    return weights @ directions()[bucket(tokens)] / math.sqrt(float(weights @ weights))
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -156,7 +161,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, d
             emit(size)
         yield full()
 
-    return table.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "ids").select("doc_id", "ids").mapInArrow(cut, DIGESTS if digests else PIECES)
+    parts = partitions_of(table, F.col("n") * width, RANGE_BYTES)
+    return table.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id", "ids").select("doc_id", "ids").mapInArrow(cut, DIGESTS if digests else PIECES)
 
 
 def packed_rows(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -29,11 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm.common import scratch
+from registrylake.llm.common import partitions_of, scratch
 from registrylake.llm.encode import crc_of_ids, encoder, row_chunks
 
 MASK_DELTA = 0xA282EAD8
 MANIFEST = "part int, records string, offsets string, n_docs long, n_tokens long, width int"
+READ_BYTES, SHARD_BYTES = 8 << 20, 64 << 20
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -80,11 +81,11 @@ def _opened(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> list:
+def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, shard_bytes: int = SHARD_BYTES) -> list:
     """Encodes ``docs`` (doc_id, text) in doc_id order into record files under ``folder``; returns the manifest.
 
-    One range shuffle of the texts by doc_id; encoding and writing are one step after it. The manifest
-    has a row for each shard (not for each document), in order of doc_id.
+    One range shuffle of the texts by doc_id, into shards of about ``shard_bytes`` of text; encoding and writing are one
+    step after it. Records are read back ``READ_BYTES`` at a time. The manifest has a row for each shard (not for each document), in order of doc_id.
     """
 
     def write(batches):
@@ -111,7 +112,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
                 f.write(pack_index(offsets, counts))
             yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "records": [records], "offsets": [index], "n_docs": [len(counts)], "n_tokens": [sum(counts)], "width": pa.array([enc.dtype.itemsize], pa.int32())})
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ordered = ordered.repartitionByRange(partitions_of(ordered, F.octet_length("text"), shard_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
     return sorted(ordered.mapInArrow(write, MANIFEST).collect(), key=lambda r: r.part)
 
 
@@ -134,15 +136,18 @@ def read_records(spark: SparkSession, manifest: list) -> DataFrame:
                 fs_, name = _opened(records)
                 with fs_.open_input_file(name) as f:
                     ends = np.append(offsets[1:], f.size()).astype("i8")
-                    for lo in range(0, len(offsets), 2048):
+                    lo = 0
+                    while lo < len(offsets):
                         at = int(offsets[lo])
+                        hi = max(lo + 1, int(np.searchsorted(ends, at + READ_BYTES, side="right")))
                         f.seek(at)
-                        block = f.read(int(ends[min(lo + 2048, len(ends)) - 1]) - at)
-                        got = [unframe(memoryview(block), int(o) - at) for o in offsets[lo : lo + 2048]]
+                        block = f.read(int(ends[hi - 1]) - at)
+                        got = [unframe(memoryview(block), int(o) - at) for o in offsets[lo:hi]]
                         ids = [np.frombuffer(g[1], f"<u{width}") for g in got]
-                        if [len(i) for i in ids] != counts[lo : lo + 2048].tolist():
+                        if [len(i) for i in ids] != counts[lo:hi].tolist():
                             raise ValueError("index and records differ")
-                        yield pa.RecordBatch.from_pydict({"doc_id": pa.array([g[0] for g in got], pa.int64()), "start": starts[lo : lo + 2048], "n_tokens": pa.array([len(i) for i in ids], pa.int64()), "ids_crc32": pa.array([crc_of_ids(i) for i in ids], pa.int64())})
+                        yield pa.RecordBatch.from_pydict({"doc_id": pa.array([g[0] for g in got], pa.int64()), "start": starts[lo:hi], "n_tokens": pa.array([len(i) for i in ids], pa.int64()), "ids_crc32": pa.array([crc_of_ids(i) for i in ids], pa.int64())})
+                        lo = hi
 
     shards = spark.createDataFrame(rows, "records string, offsets string, width int, start long")
     return shards.repartition(len(rows)).mapInArrow(read, READ)

@@ -26,7 +26,6 @@ def test_sequence_lengths():
 
 def check(rows, docs):
     tok = Tokenizer.from_file(WORD)
-    tok.encode_special_tokens = True
     want = defaultdict(list)
     for i, t in docs:
         want[i].append(tok.encode(t or "", add_special_tokens=False).ids + [1])

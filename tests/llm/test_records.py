@@ -17,7 +17,6 @@ BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path
 
 def plain(path, text):
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return tok.encode(text, add_special_tokens=False).ids
 
 
@@ -29,6 +28,15 @@ def test_pieces_equal_whole_text(path, text):
     assert np.frombuffer(enc.encode([text])[0], enc.dtype).tolist() == plain(path, text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_literals_of_special_tokens(path):
+    enc = encoder(path)
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y\nword", "<|ENDOFTEXT|> <|endoftext |>", "plain words"):
+        for _ in range(2):
+            assert np.frombuffer(enc.encode([text, "plain <| words"])[0], enc.dtype).tolist() == plain(path, text)
+    assert 50256 in plain(BYTE, "a <|endoftext|> b") and 49407 in plain(WORD, "a <|endoftext|> b")
+
+
 def test_memory_is_bounded():
     enc = PieceEncoder(WORD, remembered=5)
     for i in range(20):
@@ -48,6 +56,15 @@ def test_round_trip(spark, docs_of, odd_rows):
     assert got == want
 
 
+def test_reads_and_shards_are_bounded_by_bytes(spark, docs_of, monkeypatch):
+    rows = [(i, "some words " * (i % 50)) for i in range(400)]
+    manifest = records.write_records(docs_of(rows), scratch(spark, "t"), BYTE, shard_bytes=4000)
+    assert len(manifest) > 16 and all(m.n_tokens < 4000 for m in manifest)
+    whole = sorted(map(tuple, records.read_records(spark, manifest).collect()))
+    monkeypatch.setattr(records, "READ_BYTES", 300)
+    assert sorted(map(tuple, records.read_records(spark, manifest).collect())) == whole and [r[0] for r in whole] == list(range(400))
+
+
 def test_empty_table(spark, docs_of):
     manifest = records.write_records(docs_of([]), scratch(spark, "t"), BYTE)
     assert records.read_records(spark, manifest).collect() == []
