@@ -42,7 +42,7 @@ def byte_letters() -> dict:
 class PieceEncoder:
     """``encode(texts)`` gives one bytes value a text: its ids, little-endian, of ``dtype``."""
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, remembered: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -74,7 +74,18 @@ class PieceEncoder:
         through the whole tokenizer, some in one call where the marks between them can be told.
         """
         known, spaced = self.known, self.rule == "space"
-        rest = [p for p in pieces if not self._learn_word(p)]
+        rest, words, marks, get, code = [], _WORDISH.fullmatch, self.behind, known.get, self.code
+        tokenize = self.tokenizer.model.tokenize
+        for p in pieces:
+            found = words(p)
+            if found is None:
+                rest.append(p)
+                continue
+            word, mark = found.groups()
+            ids = get(word) if mark else None
+            if ids is None:
+                ids = array(code, [t.id for t in tokenize(self._as_letters(word))]).tobytes()
+            known[p] = ids + marks[mark]
         for lo in range(0, len(rest), 64):
             part = rest[lo : lo + 64]
             texts = [p if not spaced else p[1:] if p[0] == "\n" else " " + p for p in part]
@@ -88,23 +99,14 @@ class PieceEncoder:
             for p, got in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 known[p] = (self.feed if spaced and p[0] == "\n" else b"") + array(self.code, got.ids).tobytes()
 
-    def _learn_word(self, piece: str) -> bool:
-        found = _WORDISH.fullmatch(piece)
-        if not found:
-            return False
-        word, mark = found.groups()
-        ids = self.known.get(word) if mark else None
-        if ids is None:
-            plain = word.isascii()
-            if self.rule == "white":
-                word = word.lower()
-            if not plain:
-                word = word.encode().decode("latin-1").translate(self.letters)
-            if self.rule == "space":
-                word = self.space + word
-            ids = array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-        self.known[piece] = ids + self.behind[mark]
-        return True
+    def _as_letters(self, word: str) -> str:
+        """A plain word as the model's vocabulary writes it."""
+        plain = word.isascii()
+        if self.rule == "white":
+            word = word.lower()
+        if not plain:
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return self.space + word if self.rule == "space" else word
 
     def _whole(self, text: str) -> bytes:
         return array(self.code, self._plain(text)).tobytes() if text else b""
