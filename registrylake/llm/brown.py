@@ -1,18 +1,24 @@
 """LM scoring with a Brown class-based bigram model.
 
-Words are counted over the whole training corpus. *Units* of clustering are the words with at least
-2**-17 of all tokens (so at most 2**17 of them, whatever the corpus) and ``POOLS`` pools of the other
-words, by their ending. Exchange clustering gives every unit one of ``CLASSES`` classes: each round counts,
-over the whole corpus, how often each unit stands before and after each class, then moves units to the class
-that raises the likelihood of the class bigrams most, with the class counts held still; every other unit may move in a
-round, so that units which attract one another do not swap places for ever.
+Words are counted over the whole training corpus. The words with at least 2**-20 of all tokens (so at most 2**20 of them,
+whatever the corpus) have numbers; texts are kept as numbers, and the other words beside them.
+
+Exchange clustering works on the *units*, the words with at least 2**-17 of all tokens: each round counts over the whole
+training corpus how often each unit stands before and after each class, proposes to every unit the class that raises the
+likelihood of the class bigrams most, and moves a random share of them. As units move together, the new likelihood is
+counted, and a round that does not raise it is taken back and tried with a quarter of its moves, at last with the best
+one alone; so the likelihood never falls. The share follows what the moves brought together of what they promised alone.
+It ends when all promised gains together are below ``TOLERANCE`` nats for each token.
+
+Then every other training word, however rare, gets the class that its own contexts make most likely, with the classes
+of the units held still: first the numbered words, then the others in a shuffle by word. Words seen fewer than ``LEAST`` times
+have too few contexts and share the class ``RARE``; in the place of a predecessor all words without numbers stand for it.
 
     P(w | v) = (1 - u) * (MIX * P(class w | class v) * c(w) / n(class w) + (1 - MIX) * c(w) / N)
 
 for known words, with class transitions smoothed by the class's frequency, and u = 1 / (N + V + 1) for
-unknown ones, the mass that the base model gives them. A word's count enters as a factor, so a task needs the
-counts of frequent words only (at least 2**-20 of all tokens: at most 2**20, broadcast); the rarer words of each
-document meet the count table in a shuffle join. Every statistic covers every training document.
+unknown ones, the mass that the base model gives them. Words without numbers meet their counts and classes in a shuffle
+join. Every statistic covers every training document. ``perplexity`` is 10 ** (-score / n_tokens).
 
 Nulls, empties and ties: a null or empty text is one end token; a null doc_id is training text, not held
 out; equal gains go to the lowest class; repeated rows count, and are scored, as often as they occur; an
@@ -22,10 +28,11 @@ empty training corpus gives every token probability one; an empty table gives no
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +40,11 @@ from pyspark.sql import functions as F
 from registrylake.llm.common import written
 from registrylake.llm.encode import row_chunks
 
-CLASSES, POOLS, ROUNDS, MIX = 64, 2048, 4, 0.95
+CLASSES, LEAST, MIX, TOLERANCE, MOST_ROUNDS = 64, 3, 0.95, 0.02, 40
 UNIT_SHARE, TABLE_SHARE, BLOCK = 1 << 17, 1 << 20, 256
 END = b""  # the end token; no word is empty
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+#: Numbers 0 and 1 are the end token and any word without a number; so are the classes of both, the first and the last.
+FIRST_WORD, RARE = 2, CLASSES - 1
 
 
 def tokens_of(text: str | None) -> list:
@@ -65,66 +73,49 @@ def count_words(docs: DataFrame, most: int = 400_000) -> DataFrame:
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tally, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class Units(dict):
-    """Word -> unit: 0 the end token, then the frequent words, then the pools of the others by ending."""
+class Numbers(dict):
+    """Word -> number; words without one have 1."""
 
     def __init__(self, words: list):
-        super().__init__((w, i + 1) for i, w in enumerate(words))
+        super().__init__((w, i + FIRST_WORD) for i, w in enumerate(words))
         self[END] = 0
-        self.first_pool = len(words) + 1
-        self.size = self.first_pool + POOLS
+        self.size = len(words) + FIRST_WORD
 
     def __missing__(self, word: bytes) -> int:
-        return self.first_pool + ((int.from_bytes(word[-3:], "little") * 2654435761 & 0xFFFFFFFF) >> 21)
+        return 1
 
     def __reduce__(self):
-        return (Units, (sorted((w for w in self if w), key=self.__getitem__),))
-
-
-def phi(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1e-300))
-
-
-def moves(before: np.ndarray, after: np.ndarray, pairs: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """The best class of each unit: ``before``/``after`` are its counts of classes on the left and right."""
-    rows, cols = pairs.sum(axis=1), pairs.sum(axis=0)
-    best = own.copy()
-    for lo in range(0, len(own), 128):
-        b, a, o = before[lo : lo + 128], after[lo : lo + 128], own[lo : lo + 128]
-        n, at = len(o), np.arange(len(o))
-        out = np.broadcast_to(pairs, (n, *pairs.shape)).copy()  # class -> successor class
-        out[at, o] -= a
-        into = np.broadcast_to(pairs.T, (n, *pairs.shape)).copy()  # class -> predecessor class
-        into[at, o] -= b
-        out, into = np.maximum(out, 0), np.maximum(into, 0)
-        left, right = np.broadcast_to(rows, (n, len(rows))).copy(), np.broadcast_to(cols, (n, len(cols))).copy()
-        left[at, o] -= a.sum(axis=1)
-        right[at, o] -= b.sum(axis=1)
-        gain = (phi(out + a[:, None, :]) - phi(out)).sum(axis=2) + (phi(into + b[:, None, :]) - phi(into)).sum(axis=2)
-        gain -= phi(left + a.sum(axis=1)[:, None]) - phi(left) + phi(right + b.sum(axis=1)[:, None]) - phi(right)
-        gain[:, 0] = -np.inf  # the end token's class
-        pick = np.argmax(gain, axis=1)
-        better = gain[at, pick] > gain[at, o] + 1e-6
-        best[lo : lo + 128] = np.where(better, pick, o)
-    return best
+        return (Numbers, (sorted((w for w in self if w), key=self.__getitem__),))
 
 
-def unit_sequences(docs: DataFrame, units: Units) -> DataFrame:
-    """The training corpus as unit numbers, one row for each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(units)
-    kind = "<u2" if units.size <= 1 << 16 else "<u4"
+def numbered(docs: DataFrame, numbers: Numbers) -> DataFrame:
+    """rid, doc_id, held_out, ids (numbers of all tokens) and rare (the words without one, in order) of every row of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(numbers)
+    kind = kind_of(numbers.size)
 
     def run(batches):
         get = shared.value.__getitem__
-        for part in (p for batch in batches for p in row_chunks(batch, 0)):
-            ids = [np.fromiter(map(get, t), kind, len(t)).tobytes() for t in map(tokens_of, part.column(0).to_pylist())]
-            yield pa.RecordBatch.from_pydict({"ids": pa.array(ids, pa.binary())})
+        row = TaskContext.get().partitionId() << 32
+        for part in (p for batch in batches for p in row_chunks(batch, 2)):
+            ids, rare = [], []
+            for words in map(tokens_of, part.column(2).to_pylist()):
+                n = np.fromiter(map(get, words), kind, len(words))
+                ids.append(n.tobytes())
+                rare.append([words[i] for i in np.flatnonzero(n == 1).tolist()])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(ids))), part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))], names=["rid", "doc_id", "held_out", "ids", "rare"])
+            row += len(ids)
+
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), is_held_out(doc_id).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return written(rows.mapInArrow(run, "rid long, doc_id long, held_out boolean, ids binary, rare array<binary>"), "numbers")
 
-    return written(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "ids binary"), "units")
+
+def kind_of(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
 
 
 def streams(batches, kind: str, least: int = 1 << 20):
-    """Arrays of about ``least`` unit numbers; documents end with unit 0, which is also what precedes them."""
+    """Arrays of about ``least`` numbers; documents end with 0, which is also what precedes them."""
     held, size = [], 0
     for batch in batches:
         for data in batch.column(0).to_pylist():
@@ -137,168 +128,357 @@ def streams(batches, kind: str, least: int = 1 << 20):
         yield np.frombuffer(b"".join(held), kind)
 
 
+def phi(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def likelihood(pairs: np.ndarray) -> float:
+    """Of the class bigrams, in nats; what the classes cannot change is left out."""
+    return float(phi(pairs).sum() - phi(pairs.sum(axis=0)).sum() - phi(pairs.sum(axis=1)).sum())
+
+
+def moves(before: np.ndarray, after: np.ndarray, twice: np.ndarray, pairs: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best class of each unit and what its move alone gains, exactly.
+
+    ``before``/``after`` are a unit's counts of classes on the left and right, ``twice`` how often it follows itself.
+    """
+    best, gains = own.copy(), np.zeros(len(own))
+    kk = np.arange(len(pairs))
+    for lo in range(0, len(own), 128):
+        o, d = own[lo : lo + 128], twice[lo : lo + 128].astype(np.float64)
+        b, a = before[lo : lo + 128].astype(np.float64), after[lo : lo + 128].astype(np.float64)
+        n, at = len(o), np.arange(len(o))
+        b[at, o] -= d
+        a[at, o] -= d
+        rest = np.broadcast_to(pairs, (n, *pairs.shape)).copy()  # the pairs without the unit
+        rest[at, o, :] -= a
+        rest[at, :, o] -= b
+        rest[at, o, o] -= d
+        more, less = (a.sum(axis=1) + d)[:, None], (b.sum(axis=1) + d)[:, None]
+        # Sums of rows and columns: what the unit's neighbours have of it stays wherever the unit goes.
+        rows, cols = rest.sum(axis=2) + b, rest.sum(axis=1) + a
+        had = phi(rest)
+        out, into = phi(rest + a[:, None, :]) - had, phi(rest + b[:, :, None]) - had
+        gain = out.sum(axis=2) + into.sum(axis=1) - out[:, kk, kk] - into[:, kk, kk]
+        gain += phi(rest[:, kk, kk] + a + b + d[:, None]) - had[:, kk, kk]
+        gain -= phi(rows + more) - phi(rows) + phi(cols + less) - phi(cols)
+        gain[:, [0, -1]] = -np.inf  # the classes of the end token and of rare words
+        pick = np.argmax(gain, axis=1)
+        more = gain[at, pick] - gain[at, o]
+        best[lo : lo + 128] = np.where(more > 1e-6, pick, o)
+        gains[lo : lo + 128] = np.where(more > 1e-6, more, 0)
+    return best, gains
+
+
 def context_counts(sequences: DataFrame, kind: str, size: int, classes: np.ndarray) -> DataFrame:
-    """block, data: counts of (unit, class before) and (unit, class after) for ``BLOCK`` units; and the class pairs."""
-    shared = sequences.sparkSession.sparkContext.broadcast(classes)
-    cells = BLOCK * CLASSES
+    """block, data, pairs: counts of (unit, class before), of (unit, class after) and of units that follow themselves, a
+    unit's block being its number modulo the number of blocks (frequent ones are spread); and the class pairs that begin there.
+
+    Numbers from ``size`` on count as 1, words without a number.
+    """
+    shared = sequences.sparkSession.sparkContext.broadcast(classes[:size])
+    blocks = -(-size // BLOCK)
 
     def run(batches):
         cls = shared.value.astype(np.int64)
-        before, after = np.zeros(size * CLASSES, np.int64), np.zeros(size * CLASSES, np.int64)
+        before, after, twice = np.zeros((size, CLASSES), np.int64), np.zeros((size, CLASSES), np.int64), np.zeros(size, np.int64)
         for ids in streams(batches, kind):
             u = ids.astype(np.int64)
+            u[u >= size] = 1
             prev = np.concatenate(([0], u[:-1]))
-            before += np.bincount(u * CLASSES + cls[prev], minlength=len(before))
-            after += np.bincount(prev * CLASSES + cls[u], minlength=len(after))
-        for block in range(-(-size // BLOCK)):
-            part = np.concatenate([np.pad(x[block * cells : (block + 1) * cells], (0, max(0, (block + 1) * cells - len(x)))) for x in (before, after)])
+            before += np.bincount(u * CLASSES + cls[prev], minlength=before.size).reshape(before.shape)
+            after += np.bincount(prev * CLASSES + cls[u], minlength=after.size).reshape(after.shape)
+            twice += np.bincount(u[u == prev], minlength=size)
+        for block in range(blocks):
+            part = np.concatenate([x[block::blocks].ravel() for x in (before, after, twice)])
             at = np.flatnonzero(part)
             if len(at):
                 yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "at": pa.array([at.astype("<u4").tobytes()], pa.binary()), "n": pa.array([part[at].astype("<i8").tobytes()], pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(2 * cells, np.int64)
+        block = table.column("block")[0].as_py()
+        cls = shared.value[block::blocks]
+        total = np.zeros(len(cls) * (2 * CLASSES + 1), np.int64)
         for at, n in zip(table.column("at").to_pylist(), table.column("n").to_pylist()):
             total[np.frombuffer(at, "<u4")] += np.frombuffer(n, "<i8")
-        block = table.column("block")[0].as_py()
-        cls = shared.value[block * BLOCK : (block + 1) * BLOCK]
         pairs = np.zeros((CLASSES, CLASSES), np.int64)
-        np.add.at(pairs, cls, total[cells:].reshape(BLOCK, CLASSES)[: len(cls)])
+        np.add.at(pairs, cls, total[len(cls) * CLASSES : -len(cls)].reshape(-1, CLASSES))
         return pa.table({"block": pa.array([block], pa.int32()), "data": pa.array([total.tobytes()], pa.binary()), "pairs": pa.array([pairs.tobytes()], pa.binary())})
 
-    return sequences.mapInArrow(run, "block int, at binary, n binary").groupBy("block").applyInArrow(add, "block int, data binary, pairs binary")
+    counts = sequences.mapInArrow(run, "block int, at binary, n binary").groupBy("block").applyInArrow(add, "block int, data binary, pairs binary")
+    return written(counts, "contexts")
 
 
 def class_pairs(table: DataFrame) -> np.ndarray:
-    """Sum of the class pair counts over the blocks, of which there are at most (2**17 + POOLS) / BLOCK."""
+    """Sum of the class pair counts over the blocks, of which there are at most 2**17 / BLOCK and one."""
     total = np.zeros((CLASSES, CLASSES), np.int64)
     for row in table.select("pairs").toLocalIterator():
         total += np.frombuffer(row.pairs, np.int64).reshape(CLASSES, CLASSES)
-    return total
+    return total.astype(np.float64)
 
 
-def exchange(sequences: DataFrame, kind: str, size: int, classes: np.ndarray, number: int) -> np.ndarray:
-    """One round: the classes after it."""
-    counts = written(context_counts(sequences, kind, size, classes), "contexts")
-    shared = sequences.sparkSession.sparkContext.broadcast((classes, class_pairs(counts).astype(np.float64)))
+def proposals(counts: DataFrame, size: int, classes: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units that gain by a move, their new classes and what each would gain alone, the largest gains first."""
+    shared = counts.sparkSession.sparkContext.broadcast((classes[:size], pairs))
+    blocks = -(-size // BLOCK)
 
     def run(batches):
         cls, pairs = shared.value
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = cls[block * BLOCK : (block + 1) * BLOCK].astype(np.int64)
-                before, after = np.frombuffer(data, np.int64).reshape(2, BLOCK, CLASSES)[:, : len(own)].astype(np.float64)
-                unit = block * BLOCK + np.arange(len(own))
-                new = moves(before, after, pairs, own)
-                turn = (((unit * 2654435761) >> 7) + number) % 2 == 0
-                seen = before.sum(axis=1) > 0
-                yield pa.RecordBatch.from_pydict({"unit": pa.array(unit, pa.int64()), "class": pa.array(np.where(turn & seen & (unit > 0), new, own), pa.int32())})
+                unit = np.arange(size)[block::blocks]
+                own = cls[unit].astype(np.int64)
+                counts = np.frombuffer(data, np.int64)
+                before, after = counts[: -len(own)].reshape(2, len(own), CLASSES)
+                new, gain = moves(before, after, counts[-len(own) :], pairs, own)
+                pick = np.flatnonzero((gain > 0) & (unit >= FIRST_WORD))
+                yield pa.RecordBatch.from_pydict({"unit": pa.array(unit[pick], pa.int64()), "class": pa.array(new[pick], pa.int32()), "gain": pa.array(gain[pick], pa.float64())})
+
+    got = counts.select("block", "data").mapInArrow(run, "unit long, class int, gain double").toArrow()
+    unit, new, gain = (got.column(c).to_numpy() for c in ("unit", "class", "gain"))
+    order = np.lexsort((unit, -gain))
+    return unit[order], new[order], gain[order]
+
+
+def exchange(sequences: DataFrame, kind: str, size: int, classes: np.ndarray, rounds: int = MOST_ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, list]:
+    """Classes after rounds of checked moves, and (likelihood, units moved) at the start and after each round."""
+    counts = context_counts(sequences, kind, size, classes)
+    pairs = class_pairs(counts)
+    tokens, history, share = max(1.0, pairs.sum()), [(likelihood(pairs), 0)], 0.5
+    chance = np.random.default_rng(len(classes))
+    while len(history) <= rounds:
+        unit, new, gain = proposals(counts, size, classes, pairs)
+        if gain.sum() < tolerance * tokens:
+            break
+        before = history[-1][0]
+        while True:
+            # The largest gain alone raises the likelihood surely; many at once may get in each other's way.
+            take = np.flatnonzero(chance.random(len(unit)) < share) if share > 1 / len(unit) else np.arange(1)
+            trial = classes.copy()
+            trial[unit[take]] = new[take]
+            counts_ = context_counts(sequences, kind, size, trial)
+            pairs_ = class_pairs(counts_)
+            value = likelihood(pairs_)
+            if value > before or share <= 1 / len(unit):
+                break
+            share /= 4
+        if value <= before:
+            break
+        classes, counts, pairs = trial, counts_, pairs_
+        history.append((value, len(take)))
+        kept = (value - before) / gain[take].sum()
+        share = min(1.0, share * (0.5 if kept < 0.3 else 3 if kept > 0.7 else 1.3))
+    return classes, history
+
+
+# -- classes of the words that are no units ----------------------------------------------------------
+def by_contexts(codes: np.ndarray, n: np.ndarray, word: np.ndarray, size: int, pairs: np.ndarray) -> np.ndarray:
+    """The class of each of ``size`` words from its contexts (code: class before * CLASSES + class after), the pairs held still.
+
+    A word's counts are small against the classes', so its gain in a class is the slope of the likelihood there.
+    """
+    log = np.log(pairs + 0.5)
+    rows, cols = np.log(pairs.sum(axis=1) + 0.5 * CLASSES), np.log(pairs.sum(axis=0) + 0.5 * CLASSES)
+    b, a = (np.bincount(word * CLASSES + part, n, size * CLASSES).reshape(size, CLASSES) for part in (codes // CLASSES, codes % CLASSES))
+    total = b.sum(axis=1)
+    gain = b @ log + a @ log.T - total[:, None] * (rows + cols)[None, :]
+    gain[:, [0, -1]] = -np.inf
+    return np.where(total >= LEAST, np.argmax(gain, axis=1), RARE)
+
+
+def shifted(ids: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, and the classes before and after each."""
+    u = ids.astype(np.int64)
+    c = cls[u].astype(np.int64)
+    return u, np.concatenate(([0], c[:-1])), np.concatenate((c[1:], [0]))
+
+
+def place_numbered(sequences: DataFrame, kind: str, units: int, classes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Classes with those of the numbered words from ``units`` on, of which there are at most 2**20, by their contexts."""
+    size = len(classes)
+    if units >= size:
+        return classes
+    shared = sequences.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches):
+        for ids in streams(batches, kind):
+            u, before, after = shifted(ids, shared.value)
+            pick = np.flatnonzero(u >= units)
+            key, n = np.unique((u[pick] << 12) | (before[pick] * CLASSES + after[pick]), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"unit": pa.array(key >> 12, pa.int64()), "code": pa.array(key & 4095, pa.int32()), "n": pa.array(n, pa.int64())})
+
+    def place(batches):
+        for batch in batches:
+            unit, contexts = batch.column(0).to_numpy(), batch.column(1)
+            codes, n = (contexts.flatten().field(i).to_numpy() for i in (0, 1))
+            word = np.repeat(np.arange(len(unit)), pc.list_value_length(contexts).to_numpy())
+            yield pa.RecordBatch.from_pydict({"unit": unit, "class": pa.array(by_contexts(codes, n, word, len(unit), pairs), pa.int32())})
+
+    got = grouped(sequences.mapInArrow(run, "unit long, code int, n long"), "unit").select("unit", "contexts").mapInArrow(place, "unit long, class int").toArrow()
+    out = classes.copy()
+    out[got.column("unit").to_numpy()] = got.column("class").to_numpy()
+    return out
+
+
+def grouped(rows: DataFrame, key: str) -> DataFrame:
+    """key, c, contexts: a list of at most CLASSES**2 (code, n) for each word; one shuffle, by word."""
+    dealt = rows.repartition(key).groupBy(key, "code").agg(F.sum("n").alias("n"))
+    return dealt.groupBy(key).agg(F.sum("n").alias("c"), F.collect_list(F.struct("code", "n")).alias("contexts"))
+
+
+def rare_contexts(table: DataFrame, kind: str, classes: np.ndarray, schema: str, columns) -> DataFrame:
+    """A row for each token without a number, made by ``columns`` (batch, words, row number, class before, class after)."""
+    shared = table.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                ids = part.column("ids").to_pylist()
+                u, before, after = shifted(np.frombuffer(b"".join(ids), kind), shared.value)
+                at = np.flatnonzero(u == 1)
+                row = np.repeat(np.arange(len(ids)), [len(i) // np.dtype(kind).itemsize for i in ids])[at]
+                if len(at):
+                    yield columns(part, part.column("rare").flatten(), row, before[at], after[at])
 
-    got = counts.select("block", "data").mapInArrow(run, "unit long, class int").toArrow()
-    after = classes.copy()
-    after[got.column("unit").to_numpy()] = got.column("class").to_numpy()
-    return after
+    return table.mapInArrow(run, schema)
 
 
+def place_rare(table: DataFrame, kind: str, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """word, c, class, contexts of the training words without a number."""
+
+    def columns(part, words, row, before, after):
+        return pa.RecordBatch.from_pydict({"word": words, "code": pa.array(before * CLASSES + after, pa.int32()), "n": pa.array(np.ones(len(row), np.int64))})
+
+    def place(batches):
+        for batch in batches:
+            contexts = batch.column(2)
+            codes, n = (contexts.flatten().field(i).to_numpy() for i in (0, 1))
+            word = np.repeat(np.arange(batch.num_rows), pc.list_value_length(contexts).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(by_contexts(codes, n, word, batch.num_rows, pairs), pa.int32())], names=["word", "c", "contexts", "class"])
+
+    rows = rare_contexts(table, kind, classes, "word binary, code int, n long", columns)
+    kinds = "word binary, c long, contexts array<struct<code: int, n: long>>, class int"
+    return written(grouped(rows, "word").select("word", "c", "contexts").mapInArrow(place, kinds), "rare-words")
+
+
+# -- the model -----------------------------------------------------------------------------------------
 @dataclass
 class BrownModel:
     tokens: int
     words: int
-    units: Units
+    numbers: Numbers
+    #: By number: counts and classes.
+    counts: np.ndarray
     classes: np.ndarray
     #: log10 of all factors of P(w | v) but c(w), by class of v and class of w.
     factor: np.ndarray
-    counts: DataFrame
+    #: word, c, class of the training words without a number.
+    rare: DataFrame
+    #: ``docs`` as ``numbered`` gives them.
+    table: DataFrame
+    history: list = field(default_factory=list)
 
     @property
     def unknown(self) -> float:
         return -np.log10(self.tokens + self.words + 1.0)
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> BrownModel:
-    """Counts, clusters and estimates over all of ``docs`` (text)."""
-    counts = written(count_words(docs), "words")
+def train(docs: DataFrame, rounds: int = MOST_ROUNDS) -> BrownModel:
+    """Counts, clusters and estimates over the rows of ``docs`` that are not held out; the others are only numbered."""
+    counts = written(count_words(docs.filter(~is_held_out(F.col("doc_id").cast("long")))), "words")
     tokens, words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("word")).first()
-    frequent = counts.filter((F.col("c") * UNIT_SHARE >= tokens) & (F.length("word") > 0)).orderBy(F.desc("c"), "word").select("word").toArrow().column("word").to_pylist()
-    units = Units(frequent)
-    kind = "<u2" if units.size <= 1 << 16 else "<u4"
-    classes = (1 + np.arange(units.size) % (CLASSES - 1)).astype(np.uint8)
+    known = counts.filter((F.col("c") * TABLE_SHARE >= tokens) & (F.length("word") > 0)).orderBy(F.desc("c"), "word").toArrow()
+    ends = counts.filter(F.length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    numbers = Numbers(known.column("word").to_pylist())
+    of = np.concatenate(([ends, 0], known.column("c").to_numpy().astype(np.int64)))
+    units = FIRST_WORD + int((of[FIRST_WORD:] * UNIT_SHARE >= tokens).sum())
+    kind = kind_of(numbers.size)
+    classes = np.full(numbers.size, RARE, np.uint8)
+    classes[FIRST_WORD:units] = 1 + np.arange(units - FIRST_WORD) % (CLASSES - 2)
     classes[0] = 0
-    sequences = unit_sequences(docs, units)
-    for number in range(rounds):
-        classes = exchange(sequences, kind, units.size, classes, number)
-    pairs = class_pairs(context_counts(sequences, kind, units.size, classes)).astype(np.float64)
+    table = numbered(docs, numbers)
+    training = table.filter(~F.col("held_out"))
+    sequences = training.select("ids")
+    classes, history = exchange(sequences, kind, units, classes, rounds)
+    pairs = class_pairs(context_counts(sequences, kind, units, classes))
+    classes = place_numbered(sequences, kind, units, classes, pairs)
+    pairs = pair_counts(sequences, kind, classes)
+    rare = place_rare(training, kind, classes, pairs)
+    # A word without a number counted as the class RARE; it now counts as a token of its own class.
+    pairs[:, RARE] = 0
+    each = rare.select("class", F.explode("contexts").alias("x")).groupBy(F.floor(F.col("x.code") / CLASSES).alias("v"), "class").agg(F.sum("x.n").alias("n"))
+    for v, w, n in each.collect():  # at most CLASSES**2 rows
+        pairs[v, w] += n
     size = pairs.sum(axis=0)  # tokens of each class
     total = max(1.0, size.sum())
     step = (pairs + size[None, :] / total) / (pairs.sum(axis=1, keepdims=True) + 1)
     inside = np.divide(step, size[None, :], out=np.zeros_like(step), where=size[None, :] > 0)
     with np.errstate(divide="ignore"):
         factor = np.log10((1 - 1 / (tokens + words + 1.0)) * (MIX * inside + (1 - MIX) / total))
-    return BrownModel(tokens, words, units, classes, factor, counts)
+    return BrownModel(tokens, words, numbers, of, classes, factor, rare.select("word", "c", "class"), table, history)
 
 
-def score(docs: DataFrame, model: BrownModel) -> DataFrame:
-    """The contract's columns for every row of ``docs``.
+def pair_counts(sequences: DataFrame, kind: str, classes: np.ndarray) -> np.ndarray:
+    """Counts of class pairs over all of ``sequences``."""
+    shared = sequences.sparkSession.sparkContext.broadcast(classes)
 
-    A task emits, for each document, what frequent words contribute, and one row for each distinct rarer
-    word of it; the latter meet the counts, and one sum for each document ends it.
+    def run(batches):
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for ids in streams(batches, kind):
+            c = shared.value[ids].astype(np.int64)
+            total += np.bincount(np.concatenate(([0], c[:-1])) * CLASSES + c, minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"code": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
+
+    out = np.zeros(CLASSES * CLASSES)
+    for code, n in sequences.mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n")).collect():  # at most CLASSES**2 rows
+        out[code] = n
+    return out.reshape(CLASSES, CLASSES)
+
+
+def score(model: BrownModel) -> DataFrame:
+    """The contract's columns, and perplexity, for every row of the model's table.
+
+    A task adds up what a document's numbered words contribute. The other words meet their counts in a join by word; one
+    sum for each document ends it.
     """
-    context = docs.sparkSession.sparkContext
-    table = model.counts.filter(F.col("c") * TABLE_SHARE >= model.tokens).toArrow()  # at most 2**20 rows
-    shared = context.broadcast((model.units, dict(zip(table.column("word").to_pylist(), table.column("c").to_pylist())), model.classes, model.factor))
-    floor = float(model.unknown)
+    table, kind, floor, base_floor = model.table, kind_of(model.numbers.size), float(model.unknown), float(model.unknown)
+    shared = table.sparkSession.sparkContext.broadcast((model.counts, model.classes, model.factor))
 
-    def run(batches):
-        units, known, classes, factor = shared.value
-        unit_of, count_of, end = units.__getitem__, known.get, known.get(END, 0)
-        row = TaskContext.get().partitionId() << 32
+    def local(batches):
+        counts, classes, factor = shared.value
+        with np.errstate(divide="ignore"):
+            log, more = np.log10(counts.astype(np.float64)), np.log10(counts + 1.0) + base_floor
         for batch in batches:
-            for part in row_chunks(batch, 1, 256):
-                rid, word, a, n = [], [], [], []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words = tokens_of(text)
-                    cls = classes[np.fromiter(map(unit_of, words), np.int64, len(words))]
-                    inner = factor[np.concatenate(([0], cls[:-1])), cls]
-                    c = np.fromiter((count_of(w, 0) for w in words), np.float64, len(words))
-                    c[-1] = end
-                    have = c > 0
-                    if not end:
-                        have[-1] = False
-                    base = float(np.log10(c[have] + 1).sum() + have.sum() * floor)
-                    total = float(np.log10(c[have]).sum() + inner[have].sum())
-                    rare: dict = {}
-                    for i in np.flatnonzero(~have).tolist():
-                        old = rare.get(words[i])
-                        rare[words[i]] = (1, inner[i]) if old is None else (old[0] + 1, old[1] + inner[i])
-                    # A word holds no space: these keys meet no count, and spread over the join's partitions.
-                    own = row.to_bytes(8, "big")
-                    rid += [row] * (3 + len(rare))
-                    word += [b" 0" + own, b" 1" + own, b" 2" + own, *rare]
-                    a += [total, base, float(doc_id is None), *[v[1] for v in rare.values()]]
-                    n += [int(have.sum()), len(words), doc_id or 0, *[v[0] for v in rare.values()]]
-                    row += 1
-                yield pa.RecordBatch.from_pydict({"rid": pa.array(rid, pa.int64()), "word": pa.array(word, pa.binary()), "a": pa.array(a, pa.float64()), "n": pa.array(n, pa.int64())})
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "rid long, word binary, a double, n long")
-    rare = model.counts.filter((F.col("c") * TABLE_SHARE < model.tokens))
-    met = rows.join(rare, "word", "left")
-    kind = F.substring("word", 1, 2)
-    is_ = lambda x: kind == F.lit(x).cast("binary")
-    own = F.substring("word", 1, 1) == F.lit(" ").cast("binary")
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                ids = part.column(3).to_pylist()
+                size = np.array([len(i) // np.dtype(kind).itemsize for i in ids], np.int64)
+                u = np.frombuffer(b"".join(ids), kind)
+                cls = classes[u]
+                have = counts[u] > 0
+                s = np.where(have, log[u] + factor[np.concatenate(([0], cls[:-1])), cls], np.where(u == 0, floor, 0.0))
+                b = np.where(have, more[u], np.where(u == 0, base_floor, 0.0))
+                first = np.cumsum(size) - size
+                s, b, k = (np.add.reduceat(x, first) if len(first) else x for x in (s, b, have.astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(size), pa.array(k), pa.array(b), pa.array(s)], names=["rid", "doc_id", "held_out", "n_tokens", "k", "b", "s"])
+
+    def columns(part, words, row, before, after):
+        return pa.RecordBatch.from_pydict({"word": words, "rid": part.column("rid").take(pa.array(row)), "v": pa.array(before, pa.int32())})
+
+    own = table.select("rid", "doc_id", "held_out", "ids").mapInArrow(local, "rid long, doc_id long, held_out boolean, n_tokens long, k long, b double, s double")
+    rare = rare_contexts(table.select("rid", "ids", "rare"), kind, model.classes, "word binary, rid long, v int", columns).join(model.rare, "word", "left")
     known = F.col("c").isNotNull()
-    parts = met.select(
-        "rid",
-        F.when(is_(" 0"), F.col("a")).when(own, 0.0).when(known, F.col("a") + F.col("n") * F.log10("c")).otherwise(F.col("n") * floor).alias("s"),
-        F.when(is_(" 1"), F.col("a")).when(own, 0.0).when(known, F.col("n") * (F.log10(F.col("c") + 1) + floor)).otherwise(F.col("n") * floor).alias("b"),
-        F.when(is_(" 0"), F.col("n")).when(known, F.col("n")).otherwise(0).alias("k"),
-        F.when(is_(" 1"), F.col("n")).alias("t"),
-        F.when(is_(" 2") & (F.col("a") == 0), F.col("n")).alias("d"),
-    )
-    whole = parts.groupBy("rid").agg(F.sum("s").alias("score"), F.sum("b").alias("base_score"), F.sum("k").alias("n_known"), F.max("t").alias("n_tokens"), F.max("d").alias("doc_id"))
-    return whole.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(int(model.tokens)).cast("long").alias("train_tokens"), "base_score", "score")
+    factor = F.element_at(F.lit(model.factor.ravel()), (F.col("v") * CLASSES + F.col("class") + 1).cast("int"))
+    each = rare.select("rid", F.when(known, F.log10("c") + factor).otherwise(floor).alias("s"), F.when(known, F.log10(F.col("c") + 1) + base_floor).otherwise(base_floor).alias("b"), known.cast("long").alias("k"))
+    sums = each.groupBy("rid").agg(*[F.sum(c).alias(f"r{c}") for c in "sbk"])
+    whole = own.join(sums.hint("shuffle_hash"), "rid", "left")
+    both = lambda c: F.col(c) + F.coalesce(f"r{c}", F.lit(0))
+    out = whole.select("doc_id", "held_out", "n_tokens", both("k").alias("n_known"), F.lit(int(model.tokens)).cast("long").alias("train_tokens"), both("b").alias("base_score"), both("s").alias("score"))
+    return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
 def op1_brown_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op1: log10 probabilities of every document of ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return score(docs, train(docs.filter(~is_held_out(F.col("doc_id")))))
+    return score(train(spark.read.parquet(f"{sf_dir}/documents.parquet")))
