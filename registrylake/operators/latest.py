@@ -41,19 +41,33 @@ def watermark(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max(at).alias("newest"))
 
 
-def runs_with_rows(runs: DataFrame, events: DataFrame, at: str, bucket: str = "day") -> DataFrame:
+CELLS = {"day": "INTERVAL 1 DAY", "hour": "INTERVAL 1 HOUR", "minute": "INTERVAL 1 MINUTE"}
+
+
+def runs_with_rows(runs: DataFrame, events: DataFrame, at: str, cells: tuple = ("day", "minute")) -> DataFrame:
     """Finished runs whose window, both ends included, holds an event.
 
-    The range condition is met within buckets of time: events are reduced to their distinct times of each
-    bucket's first and last, runs are spread over the buckets that they touch, and an equi-join
-    replaces the nested loop; only the two end buckets of a run need the exact times.
+    Events are reduced to the first and the last of each cell of time (one row a cell, summed up before any shuffle), runs
+    are spread over the cells that they touch, and an equi-join meets them. A cell's first or last event lies in the
+    window, or none does, unless the window lies strictly between the two; such runs, which fit into one cell, are
+    tried with the next finer cells, and against the exact times only within the finest.
     """
-    done = runs.filter(F.col("finished_at").isNotNull())
-    unit = {"day": "INTERVAL 1 DAY", "hour": "INTERVAL 1 HOUR"}[bucket]
-    cell = lambda c: F.date_trunc(bucket, c)
-    spread = done.withColumn("_cell", F.explode(F.sequence(cell(F.col("started_at")), cell(F.col("finished_at")), F.expr(unit))))
-    times = events.select(F.col(at).alias("_at")).filter(F.col("_at").isNotNull()).distinct().withColumn("_cell", cell(F.col("_at")))
-    return spread.join(times, (spread["_cell"] == times["_cell"]) & times["_at"].between(spread["started_at"], spread["finished_at"]), "left_semi").drop("_cell").dropDuplicates(["run_id"])
+    open_ = runs.filter(F.col("finished_at").isNotNull())
+    times = events.select(F.col(at).alias("_at")).filter(F.col("_at").isNotNull())
+    found = None
+    for unit in cells:
+        cell = lambda c: F.date_trunc(unit, c)  # noqa: B023, E731
+        ends = times.groupBy(cell(F.col("_at")).alias("_cell")).agg(F.min("_at").alias("_a"), F.max("_at").alias("_z"))
+        spread = open_.withColumn("_cell", F.explode(F.sequence(cell(F.col("started_at")), cell(F.col("finished_at")), F.expr(CELLS[unit]))))
+        inside = lambda t: F.col(t).between(F.col("started_at"), F.col("finished_at"))
+        met = spread.join(ends, "_cell").withColumn("_in", inside("_a") | inside("_z")).filter(F.col("_in") | ((F.col("_a") < F.col("started_at")) & (F.col("finished_at") < F.col("_z"))))
+        sure = met.filter("_in").select(*runs.columns).dropDuplicates(["run_id"])
+        found = sure if found is None else found.unionByName(sure)
+        open_ = met.filter(~F.col("_in")).select(*runs.columns).dropDuplicates(["run_id"])
+    exact = times.withColumn("_cell", F.date_trunc(cells[-1], "_at"))
+    last = open_.withColumn("_cell", F.date_trunc(cells[-1], "started_at"))
+    same = (last["_cell"] == exact["_cell"]) & exact["_at"].between(last["started_at"], last["finished_at"])
+    return found.unionByName(last.join(exact, same, "left_semi").drop("_cell"))
 
 
 def latest_run_with_rows(runs: DataFrame, events: DataFrame, at: str) -> DataFrame:

@@ -1,11 +1,12 @@
-"""First-wins and last-wins joins, grouping, caps and unions."""
+"""First-wins and last-wins joins, grouping, caps and unions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from registrylake.operators import ordered
+
 
 def last_wins(rows: DataFrame, key: str, ordinal: str) -> DataFrame:
     """One row a key: the one with the greatest ordinal."""
@@ -48,18 +49,51 @@ def capped(rows: DataFrame, order: list, cap: int) -> tuple[DataFrame, DataFrame
     return kept, left
 
 
-def lookup_batches(names: DataFrame, name: str, size: int = 128) -> DataFrame:
-    """Batch number of each name. Ranks come from per-range counts, so no window sees all rows."""
-    spark = names.sparkSession
-    parts = names.select(name).distinct().repartitionByRange(name).sortWithinPartitions(name).withColumn("_part", F.spark_partition_id())
-    counts = {r["_part"]: r["count"] for r in parts.groupBy("_part").count().collect()}
-    base, at = [], 0
-    for p in sorted(counts):
-        base.append((p, at))
-        at += counts[p]
-    offsets = spark.createDataFrame(base or [(0, 0)], "_part int, _base long")
-    rank = F.row_number().over(W.partitionBy("_part").orderBy(name)) - 1 + F.col("_base")
-    return parts.join(F.broadcast(offsets), "_part").select(name, F.floor(rank / size).alias("batch"))
+def lookup_batches(names: DataFrame, name: str, size: int = 128, parts: int | None = None) -> DataFrame:
+    """Batch number of each distinct name, ``size`` names a batch in order of the names."""
+    placed = ordered.numbered(names.select(name).distinct(), [name], "batch", parts)
+    return placed.withColumn("batch", F.floor(F.col("batch") / size))
+
+
+def lookup_results(batches: DataFrame, name: str, responses: DataFrame) -> DataFrame:
+    """(name, value) of batched lookups; ``responses``: batch, body, NULL where a call failed.
+
+    A body is an object by name; that of a batch of one name is the value itself. Names of a failed batch, names that the
+    body lacks and names that it gives as null have a NULL value: unmeasured, never zero.
+    """
+    sized = batches.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    known = batches.join(sized, "batch").join(responses, "batch", "left")
+    entry = F.element_at(F.from_json("body", "map<string,string>"), F.col(name))
+    single = F.when(F.try_parse_json("body").isNotNull() & (F.col("body") != "null"), F.col("body"))
+    return known.select(name, F.when(F.col("n") == 1, single).otherwise(entry).alias("value"))
+
+
+def paged(rows: DataFrame, order: list, size: int, page: int) -> DataFrame:
+    """Page ``page`` (from 0) of ``size`` rows by ``order``; a sort with limit and offset, which are the feature."""
+    return rows.orderBy(*order).offset(page * size).limit(size)
+
+
+def count_pair(rows: DataFrame, sentinel) -> DataFrame:
+    """All rows, and those that ``sentinel`` marks, in one pass."""
+    return rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(sentinel).alias("marked"))
+
+
+def object_of(rows: DataFrame, keys: list, name: str, value: str) -> DataFrame:
+    """For each key the JSON object of names and values, in order of the names; the caller's names are unique."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(name).cast("string").alias("k"), F.col(value).alias("v"))))
+    return rows.groupBy(*keys).agg(F.to_json(F.map_from_entries(pairs)).alias("object"))
+
+
+def utf16_sorted(texts):
+    """T4: an array of texts by UTF-16 code units, as the stored hashes have it; bytes of UTF-16BE compare as its units do."""
+    keyed = F.transform(texts, lambda x: F.struct(F.encode(x, "UTF-16BE").alias("k"), x.alias("x")))
+    return F.transform(F.array_sort(keyed), lambda e: e["x"])
+
+
+def locale_sorted(texts):
+    """T5: an array of texts by the root collation (letters before case); equal ones by their bytes."""
+    keyed = F.transform(texts, lambda x: F.struct(F.collate(x, "UNICODE").alias("k"), x.alias("x")))
+    return F.transform(F.array_sort(keyed), lambda e: e["x"])
 
 
 def bag_union(*tables: DataFrame) -> DataFrame:

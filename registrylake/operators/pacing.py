@@ -7,8 +7,11 @@ from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from registrylake.operators import ordered
+
 BASE_GAP, MAX_GAP, MAX_RETRY_AFTER, RAISE, DECAY = 150, 60_000, 300_000, 4, 0.8
 
 
@@ -20,17 +23,31 @@ def decayed(gap: float, base: int = BASE_GAP) -> int:
     return int(max(base, (gap * DECAY + 0.5) // 1))
 
 
-def gap_after(outcomes: Column, base: int = BASE_GAP) -> Column:
-    """The gap after an array of outcomes (``429``, ``ok``, others), folded in order."""
+def gap_after(outcomes: Column, base: int = BASE_GAP, start: Column | None = None) -> Column:
+    """The gap after an array of outcomes (``429``, ``ok``, others), folded in order from ``start`` (the base gap)."""
     up = lambda g: F.least(F.lit(MAX_GAP).cast("long"), F.greatest(F.lit(base).cast("long"), g) * RAISE)
     down = lambda g: F.greatest(F.lit(base).cast("long"), F.floor(g * DECAY + 0.5))
-    return F.aggregate(outcomes, F.lit(base).cast("long"), lambda g, o: F.when(o == "429", up(g)).when(o == "ok", down(g)).otherwise(g))
+    first = F.lit(base).cast("long") if start is None else start
+    return F.aggregate(outcomes, first, lambda g, o: F.when(o == "429", up(g)).when(o == "ok", down(g)).otherwise(g))
+
 
+def gap_fold(rows: DataFrame, host: str, order: list[str], outcome: str, base: int = BASE_GAP, parts: int | None = None) -> DataFrame:
+    """A16's inputs: last gap, 429s and requests of each host.
 
-def gap_fold(rows: DataFrame, host: str, order: list[str], outcome: str, base: int = BASE_GAP) -> DataFrame:
-    """A16's inputs: last gap, 429s and requests of each host."""
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(outcome).alias("_o")))), lambda x: x["_o"])
-    return rows.groupBy(host).agg(listed.alias("_o"), F.count_if(F.col(outcome) == "429").alias("n_429"), F.count(F.lit(1)).alias("n_requests")).select(host, gap_after(F.col("_o"), base).alias("gap_ms"), "n_429", "n_requests")
+    A host's history is cut into ranges, so that none is a single array. The fold of a range rises with the gap that it
+    starts from; where the least and the largest start give one result, every start does, and the range is that number. The
+    few others (short ones, mostly) keep the outcomes that move the gap. The ranges of a host are folded in order.
+    """
+    cut = ordered.ranged(rows.select(host, *order, F.col(outcome).alias("__rl_o")), [host, *order], parts)
+    moves = F.when(F.col("__rl_o").isin("429", "ok"), F.struct(*order, "__rl_o"))
+    listed = F.transform(F.array_sort(F.collect_list(moves)), lambda x: x["__rl_o"])
+    each = cut.groupBy(host, ordered.RANGE).agg(listed.alias("__rl_o"), F.count_if(F.col("__rl_o") == "429").alias("n_429"), F.count(F.lit(1)).alias("n_requests"))
+    low, high = gap_after(F.col("__rl_o"), base), gap_after(F.col("__rl_o"), base, F.lit(MAX_GAP).cast("long"))
+    told = each.withColumns({"low": low, "high": high})
+    step = F.struct(ordered.RANGE, F.when(F.col("low") == F.col("high"), F.col("low")).alias("gap"), F.when(F.col("low") != F.col("high"), F.col("__rl_o")).alias("o"))
+    whole = told.groupBy(host).agg(F.array_sort(F.collect_list(step)).alias("__rl_steps"), F.sum("n_429").alias("n_429"), F.sum("n_requests").alias("n_requests"))
+    gap = F.aggregate("__rl_steps", F.lit(base).cast("long"), lambda g, x: F.coalesce(x["gap"], gap_after(x["o"], base, g)))
+    return whole.select(host, gap.alias("gap_ms"), "n_429", "n_requests")
 
 
 def sweep_statistics(hosts: DataFrame, host: str, base: int = BASE_GAP) -> tuple[DataFrame, DataFrame]:
@@ -95,12 +112,22 @@ def simulate(endpoints: list, perform, workers: int = 8, deadline: float = float
     return {"rows": rows, "undispatched": sum(len(s.queue) for s in ring), "gaps": {h: s.gap for h, s in hosts.items()}, "n_429": sum(s.n_429 for s in ring)}
 
 
-def slots(rows: DataFrame, host: str, at: str, gap_ms: int = 100) -> DataFrame:
-    """Start times of a host's requests, at least ``gap_ms`` apart: the latest of (arrival_i + (k - i) * gap) over i up to k."""
-    from pyspark.sql import Window as W
+def slots(rows: DataFrame, host: str, at: str, gap_ms: int = 100, tiebreak: str | None = None, parts: int | None = None) -> DataFrame:
+    """Start times of a host's requests, at least ``gap_ms`` apart: the latest of (arrival_i + (k - i) * gap) over i up to k.
 
-    w = W.partitionBy(host).orderBy(at)
-    k = F.row_number().over(w)
-    ranked = rows.withColumn("_k", k)
-    head = F.max(F.unix_millis(at) - F.col("_k") * gap_ms).over(w.rowsBetween(W.unboundedPreceding, 0))
-    return ranked.withColumn("start_ms", head + F.col("_k") * gap_ms).drop("_k")
+    The maximum runs within a range of the host's requests and goes on from the ranges before. Requests of one time go by ``tiebreak``.
+    """
+    order = [at, tiebreak] if tiebreak else [at]
+    cut = ordered.ranged(rows, [host, *order], parts)
+    w = ordered.within([host], order)
+    ranked = cut.withColumn("__rl_k", F.row_number().over(w)).withColumn("__rl_t", F.unix_millis(at) - F.col("__rl_k") * gap_ms)
+    tops = ranked.groupBy(host, ordered.RANGE).agg(F.count(F.lit(1)).alias("__rl_n"), F.max("__rl_t").alias("__rl_top"))
+    # The place of a range's first request among the host's, and the top of the ranges before it on the same scale.
+    earlier = ordered.before([host])
+    tops = tops.withColumn("__rl_base", F.coalesce(F.sum("__rl_n").over(earlier), F.lit(0)))
+    tops = tops.withColumn("__rl_head", F.max(F.col("__rl_top") - F.col("__rl_base") * gap_ms).over(earlier))
+    tops = tops.select(F.col(host).alias("__rl_host"), F.col(ordered.RANGE).alias("__rl_r"), "__rl_base", "__rl_head")
+    both = ranked.join(tops, F.col(host).eqNullSafe(F.col("__rl_host")) & (F.col(ordered.RANGE) == F.col("__rl_r")))
+    own = F.max("__rl_t").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("__rl_base") * gap_ms
+    start = F.greatest(own, F.col("__rl_head")) + (F.col("__rl_base") + F.col("__rl_k")) * gap_ms
+    return both.withColumn("start_ms", start).select(*rows.columns, "start_ms")

@@ -7,9 +7,10 @@ never reads what it overwrites.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from registrylake.operators import ordered
+
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
     """K1: ``update`` columns take the incoming value (also NULL), other columns keep the stored one; new keys are added.
@@ -72,10 +73,10 @@ def transitions(stored: DataFrame, incoming: DataFrame, keys: list[str], state:
     return incoming.withColumnRenamed(state, "to_state").join(old, keys).filter(F.col("from_state") != F.col("to_state"))
 
 
-def transition_history(rows: DataFrame, keys: list[str], at: str, tiebreak: str, state: str) -> DataFrame:
-    """W4 over a full history: each row whose state differs from the one before it."""
-    w = W.partitionBy(*keys).orderBy(at, tiebreak)
-    return rows.withColumn("from_state", F.lag(state).over(w)).filter(F.col("from_state") != F.col(state)).withColumnRenamed(state, "to_state")
+def transition_history(rows: DataFrame, keys: list[str], at: str, tiebreak: str, state: str, parts: int | None = None) -> DataFrame:
+    """W4 over a full history: each row whose state differs from the one before it; a hot key's history is cut into ranges."""
+    told = ordered.carried(rows, keys, [at, tiebreak], F.col(state), "from_state", parts)
+    return told.filter(F.col("from_state") != F.col(state)).withColumnRenamed(state, "to_state")
 
 
 def breaking_changes(before: DataFrame, after: DataFrame) -> DataFrame:

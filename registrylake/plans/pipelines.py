@@ -38,7 +38,7 @@ def string_field(text: Column, path: str) -> Column:
 
 
 def sorted_strings(text: Column, path: str) -> Column:
-    return F.array_sort(F.coalesce(json_array(text, path), F.array().cast("array<string>")))
+    return merging.utf16_sorted(F.coalesce(json_array(text, path), F.array().cast("array<string>")))
 
 
 # -- registry ----------------------------------------------------------------------------------------
@@ -162,13 +162,19 @@ def app_rows(trees: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select(F.lit("app").alias("source"), F.col("app").alias("external_id"), X.title_of_slug(F.col("app")).alias("name"), F.when(instant, "instant").otherwise("poll").alias("mode"), X.provider_type(F.col("app"), APP_INTERNAL, APP_PROTOCOL).alias("provider_type"), "has_common_webhook", sources.alias("sources"), "event_types")
 
 
+def by_path(files: Column) -> Column:
+    """T5: structs (path, mode) by the root collation of their paths; equal ones by their bytes."""
+    keyed = F.transform(files, lambda f: F.struct(F.collate(f["path"], "UNICODE").alias("k"), f.alias("f")))
+    return F.transform(F.array_sort(keyed), lambda e: e["f"])
+
+
 def node_rows(trees: DataFrame, texts: DataFrame) -> DataFrame:
     """Node directories with a trigger file; directories that differ in case only are one, and counted."""
     files = refuse_truncated(trees).filter(F.col("path").rlike(r"Trigger\.node\.ts$"))
     read = files.join(texts, "path", "left").select("path", F.split_part("path", F.lit("/"), F.lit(1)).alias("name"), X.trigger_mode(F.col("text")).alias("mode"))
     grouped = read.groupBy(F.lower("name").alias("external_id")).agg(
         F.min("name").alias("name"), F.count_distinct("name").alias("n_directories"), merging.mode_of_any(F.col("mode") == "instant", F.col("mode") == "poll").alias("mode"),
-        F.array_sort(F.collect_set(F.struct("path", "mode"))).alias("trigger_files"),
+        by_path(F.collect_set(F.struct("path", "mode"))).alias("trigger_files"),
     )
     return grouped.select(F.lit("node").alias("source"), "external_id", "name", "mode", X.provider_type(F.col("external_id"), NODE_INTERNAL, NODE_PROTOCOL).alias("provider_type"), "trigger_files", (F.col("n_directories") - 1).alias("collisions"))
 
