@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from registrylake.functions.text import trimmed
+
 # Transport classes, and codes that point at each.
 ERROR_CLASSES = ["dns_failure", "connection_refused", "timeout", "tls_error", "rate_limited", "http_error", "ok", "template_placeholder", "other"]
 DISCOVER_STATUSES = ["ok", "unsupported", "error", "session_required", "not_attempted"]
@@ -27,7 +29,7 @@ VERSION_LIST = r"(?i)\bsupported\s+versions?\b\s*:\s*([^)\]}\n]+)"
 
 
 def raw_error(code: Column, message: Column) -> Column:
-    return F.trim(F.concat(F.coalesce(code, F.lit("")), F.lit(" "), F.coalesce(message, F.lit(""))))
+    return trimmed(F.concat(F.coalesce(code, F.lit("")), F.lit(" "), F.coalesce(message, F.lit(""))))
 
 
 def exception_class(name: Column, code: Column, message: Column, head_probe: bool = False) -> Column:
@@ -48,7 +50,7 @@ def status_class(http_status: Column) -> Column:
 
 def retry_after_ms(raw: Column, now: Column) -> Column:
     """whole seconds or an HTTP date; NULL for anything else."""
-    text = F.trim(raw)
+    text = trimmed(raw)
     at = F.try_to_timestamp(F.regexp_replace(text, r"^[A-Za-z]{3}, (.*) GMT$", "$1"), F.lit("dd MMM yyyy HH:mm:ss"))
     late = F.greatest(F.lit(0).cast("long"), (F.unix_micros(at) - F.unix_micros(now)) / F.lit(1000)).cast("long")
     return F.when(text.rlike(r"^\d+$"), text.try_cast("long") * 1000).when(at.isNotNull(), late)
@@ -56,7 +58,7 @@ def retry_after_ms(raw: Column, now: Column) -> Column:
 
 def page_retry_after_ms(raw: Column) -> Column:
     """The page reader's own rule: any number of seconds, also fractions, rounded up; blank is 0."""
-    number = F.when(F.trim(raw) == "", F.lit(0.0)).when(F.trim(raw).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), F.trim(raw).try_cast("double"))
+    number = F.when(trimmed(raw) == "", F.lit(0.0)).when(trimmed(raw).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), trimmed(raw).try_cast("double"))
     return F.when(number >= 0, F.ceil(number * 1000).cast("long"))
 
 
@@ -110,7 +112,7 @@ def demands_session(message: Column, listing: bool = False) -> Column:
 def rejection_versions(message: Column) -> Column:
     """versions that a rejection names, verbatim, at most 64; empty if none."""
     found = F.regexp_extract(message, VERSION_LIST, 1)
-    parts = F.transform(F.split(found, "[,;]"), lambda t: F.trim(F.regexp_replace(F.trim(t), r"[.)\]}]+$", "")))
+    parts = F.transform(F.split(found, "[,;]"), lambda t: trimmed(F.regexp_replace(trimmed(t), r"[.)\]}]+$", "")))
     return F.slice(F.filter(parts, lambda t: t != ""), 1, MAX_VERSIONS)
 
 
@@ -131,7 +133,7 @@ def advertised_versions(body: Column, root: str = "$.result") -> Column:
 
 def envelope(body: Column, content_type: Column) -> Column:
     """The JSON of a body, or of the first ``data:`` line of an event stream that holds something; NULL if none."""
-    frames = F.transform(F.filter(F.split(body, "\r?\n"), lambda x: x.startswith("data:")), lambda x: F.trim(F.substring(x, 6, 2147483647)))
+    frames = F.transform(F.filter(F.split(body, "\r?\n"), lambda x: x.startswith("data:")), lambda x: trimmed(F.substring(x, 6, 2147483647)))
     full = F.filter(frames, lambda x: F.try_parse_json(x).isNotNull() & ~x.isin("null", "false", "0", '""', "-0", "0.0"))
     stream = F.coalesce(F.lower(content_type).contains("text/event-stream"), F.lit(False))
     return F.when(stream, F.get(full, 0)).when(F.try_parse_json(body).isNotNull(), body)

@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 INSTALL_FLOOR, TOOL_RATIO, EVENT_CAP = 100, 0.5, 100
 
 
+#: White space and line ends as ECMAScript trims them.
+WHITE = "\t\n\x0b\x0c\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
+def trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITE))
+
+
 def semver(version: Column) -> Column:
     """(major, minor, patch) of an anchored prefix, one leading v allowed, else zeros; structs compare as versions do."""
     part = lambda i: F.coalesce(F.regexp_extract(version, r"^v?(\d+)\.(\d+)\.(\d+)", i).try_cast("long"), F.lit(0).cast("long"))
@@ -18,7 +26,7 @@ def semver(version: Column) -> Column:
 
 def parsed_count(raw: Column) -> Column:
     """a number, or text with thousands separators; blank text is 0 (R14), junk is NULL."""
-    text = F.trim(F.replace(raw.cast("string"), F.lit(","), F.lit("")))
+    text = trimmed(F.replace(raw.cast("string"), F.lit(","), F.lit("")))
     return F.when(text == "", F.lit(0.0)).when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double"))
 
 
@@ -36,7 +44,7 @@ def artifact_status(disabled: Column, deprecated: Column) -> Column:
 
 def has_caveats(caveats: Column) -> Column:
     """F17."""
-    return F.coalesce(F.trim(caveats) != "", F.lit(False))
+    return F.coalesce(trimmed(caveats) != "", F.lit(False))
 
 
 def provider_type(segment: Column, internal: list, protocol: list) -> Column:

@@ -26,6 +26,11 @@ def left_measures(rows: DataFrame, measures: DataFrame, key: str) -> DataFrame:
     return rows.join(measures, key, "left")
 
 
+def measured(rows: DataFrame, value) -> DataFrame:
+    """How many rows have ``value`` and how many lack it."""
+    return rows.agg(F.count(value).alias("measured"), F.count_if(value.isNull()).alias("unmeasured"))
+
+
 def coverage_by_query(rows: DataFrame, query: str, total: str, ordinal: str, window: int) -> DataFrame:
     """Rows fetched, last total that upstream named, and whether it lies beyond the window."""
     last = F.max_by(total, F.when(F.col(total).isNotNull(), F.col(ordinal)))

@@ -228,8 +228,8 @@ def discover_rows(endpoints: DataFrame, responses: DataFrame, rules: DataFrame,
     answered = ~thrown & (F.col("http_status") != 429)
     cls = F.when(F.col("match").isNotNull(), F.lit(None)).when(reason == "template_placeholder", "template_placeholder").when(reason.isNotNull(), "other").when(thrown, C.exception_class(F.col("exc_name"), F.col("exc_code"), F.col("exc_message"))).otherwise(C.status_class(F.col("http_status")))
     status = F.when(F.col("match").isNotNull() | reason.isNotNull(), "not_attempted").when(answered, out["status"]).otherwise("error")
-    note = C.assembled_note(exclusions.exclusion_note(F.col("match")), F.when(reason.isNotNull(), F.concat(F.lit("not attempted: "), reason)), F.when(thrown & (cls == "other"), F.substring(C.raw_error(F.col("exc_code"), F.col("exc_message")), 1, 200)), F.when(F.col("http_status") == 429, F.lit("429")))
     dialled = F.col("match").isNull() & reason.isNull()
+    note = C.assembled_note(exclusions.exclusion_note(F.col("match")), F.when(reason.isNotNull(), F.concat(F.lit("not attempted: "), reason)), F.when(dialled & thrown & (cls == "other"), F.substring(C.raw_error(F.col("exc_code"), F.col("exc_message")), 1, 200)), F.when(dialled & (F.col("http_status") == 429), F.lit("429")))
     kept = both.filter(~dialled | thrown | F.col("http_status").isNotNull())
     return kept.select(F.lit(run_id).alias("scan_run_id"), "name", "endpoint_url", "http_status", F.col("elapsed_ms").alias("response_time_ms"), cls.alias("error_class"), C.tls_valid(F.col("endpoint_url"), cls, F.col("http_status").isNotNull()).alias("tls_valid"), status.alias("discover_status"), F.when(dialled & answered, out["versions"]).alias("protocol_versions"), F.when(dialled & answered, out["source"]).alias("version_source"), F.when(dialled, F.lit("POST")).alias("probe_method"), note.alias("note"))
 
@@ -287,8 +287,10 @@ def captures(spec: ListSpec, pages: DataFrame, max_pages: int = chains.MAX_PAGES
     listed = json_array(F.col("env"), f"$.result.{spec.result_key}")
     read = pages.withColumn("env", env).select(*keys, "page_no", "env", C.listing_outcome(F.col("http_status"), F.col("env"), spec.result_key).alias("status"), string_field(F.col("env"), "$.result.nextCursor").alias("next_cursor"), F.coalesce(F.size(listed), F.lit(0)).cast("long").alias("n_items"), F.col("exc_name").alias("exception"), listed.alias("items"), F.octet_length("body").alias("bytes"), F.when(kind_of(F.col("env"), "$.result.ttl").isin("BIGINT", "DOUBLE"), F.get_json_object("env", "$.result.ttl").try_cast("double")).alias("ttl"), F.when(kind_of(F.col("env"), f"$.result.capabilities.{spec.result_key}.listChanged") == "BOOLEAN", F.get_json_object("env", f"$.result.capabilities.{spec.result_key}.listChanged") == "true").alias("list_changed"))
     ends = chains.fold_chains(read, keys, max_pages)
-    given = read.groupBy(*keys).agg(F.max_by("ttl", F.when(F.col("ttl").isNotNull(), F.col("page_no"))).alias("cache_ttl_ms"), F.max_by("list_changed", F.when(F.col("list_changed").isNotNull(), F.col("page_no"))).alias("list_changed"))
-    parents = ends.join(given, keys).withColumn("capture_id", state.capture_id("run_id", "endpoint_url", F.col("captured_at").cast("string")))
+    # Only pages that the chain read to its end say something; a failed page's body is not looked at.
+    good = read.join(ends.select(*keys, "page_count"), keys).filter((F.col("page_no") <= F.col("page_count")) & (F.col("status") == "ok") & F.col("exception").isNull())
+    given = chains.last_given(good, keys, "ttl", "page_no").join(chains.last_given(good, keys, "list_changed", "page_no"), keys).withColumnRenamed("ttl", "cache_ttl_ms")
+    parents = ends.join(given, keys, "left").withColumn("capture_id", state.capture_id("run_id", "endpoint_url", F.col("captured_at").cast("string")))
     whole = parents.filter((F.col("status") == "ok") & (F.col("reason") != "exception")).select(*keys, "capture_id", "page_count")
     rows = read.join(whole, keys).filter(F.col("page_no") <= F.col("page_count")).select("capture_id", "page_no", F.posexplode("items").alias("pos", "item"))
     return parents, rows.select("capture_id", "page_no", "pos", spec.item_row(F.col("item")).alias("r")).select("capture_id", "page_no", "pos", *[f"r.{c}" for c in spec.item_columns])

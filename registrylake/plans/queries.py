@@ -13,6 +13,7 @@ from registrylake.functions import classify as C
 from registrylake.functions import jsonhash as J
 from registrylake.functions import text as X
 from registrylake.operators import chains, exclusions, latest, merging, pacing, state
+from registrylake.plans import quality
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -206,12 +207,6 @@ def status_histogram(spark, sf):
     return exclusions.histogram(table(spark, sf, "events"), "event_type")
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (n_chars > 2000) AS long_texts, count(*) FILTER (lang <> 'en') AS foreign_texts, count(*) FILTER (text LIKE '%' || chr(10) || '%') AS with_lines, count(*) FILTER (n_chars > 2000 AND lang <> 'en') AS both FROM documents")
-def conditional_tally(spark, sf):
-    d, long_, foreign = table(spark, sf, "documents"), F.col("n_chars") > 2000, F.col("lang") != "en"
-    return d.agg(F.count(F.lit(1)).alias("total"), F.count_if(long_).alias("long_texts"), F.count_if(foreign).alias("foreign_texts"), F.count_if(F.col("text").contains("\n")).alias("with_lines"), F.count_if(long_ & foreign).alias("both"))
-
-
 def matched(spark, sf) -> DataFrame:
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
     rule = lambda scope, pattern, applies: [F.lit(scope).alias("scope"), pattern.alias("pattern"), F.lit(applies).alias("applies_to")]
@@ -222,13 +217,18 @@ def matched(spark, sf) -> DataFrame:
         .unionByName(spark.range(1).select(*rule("server", F.lit("MACHINERY"), "tools")))
         .unionByName(spark.range(1).select(*rule("galaxy", F.lit("AUTOMOBILE"), "all")))
     ).withColumns({"revoked_at": F.lit(None).cast("timestamp"), "effective_at": F.lit("2024-01-01").cast("timestamp")})
+    # A rule is in force from its time on, to the instant; one in the future or revoked is not.
+    times = {"host 3": ("2024-05-01", "2024-01-01"), "host 4": (None, "2024-06-02"), "host 0": (None, "2024-06-01")}
+    for key, (revoked, since) in times.items():
+        more = n.filter(f"n_regionkey = {key[-1]}").select(*rule("host", F.upper("n_name"), "discover"), F.lit(revoked).cast("timestamp").alias("revoked_at"), F.lit(since).cast("timestamp").alias("effective_at"))
+        rules = rules.unionByName(more)
     now = F.lit("2024-06-01").cast("timestamp")
     targets = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.lower("n_name").alias("host"), "c_mktsegment")
     return exclusions.with_match(targets, exclusions.active_rules(rules, now), "discover", {"endpoint": "c_custkey", "host": "host", "server": "c_mktsegment"})
 
 
-MATCHED = """WITH m AS (SELECT c_custkey, CASE WHEN c_acctbal < -900 THEN 'endpoint' WHEN n_regionkey = 2 THEN 'host' WHEN c_mktsegment = 'BUILDING' THEN 'server' END AS scope,
- CASE WHEN c_acctbal < -900 THEN CAST(c_custkey AS VARCHAR) WHEN n_regionkey = 2 THEN lower(n_name) WHEN c_mktsegment = 'BUILDING' THEN 'BUILDING' END AS pattern FROM customer JOIN nation ON c_nationkey = n_nationkey) """
+MATCHED = """WITH m AS (SELECT c_custkey, CASE WHEN c_acctbal < -900 THEN 'endpoint' WHEN n_regionkey IN (0, 2) THEN 'host' WHEN c_mktsegment = 'BUILDING' THEN 'server' END AS scope,
+ CASE WHEN c_acctbal < -900 THEN CAST(c_custkey AS VARCHAR) WHEN n_regionkey IN (0, 2) THEN lower(n_name) WHEN c_mktsegment = 'BUILDING' THEN 'BUILDING' END AS pattern FROM customer JOIN nation ON c_nationkey = n_nationkey) """
 
 
 @query(MATCHED + "SELECT c_custkey, scope, pattern, 'excluded by operator request: ' || scope || ' ' || pattern AS note FROM m")
@@ -244,7 +244,7 @@ def coverage_partition(spark, sf):
 @query("SELECT event_type, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(ts))) / 3.6e9 AS age_hours, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(ts))) / 3.6e9 > 48 AS stale FROM events GROUP BY event_type")
 def freshness(spark, sf):
     age = X.age_hours(F.col("newest"), F.lit("2024-02-01").cast("timestamp"))
-    return latest.watermark(events(spark, sf), ["event_type"], "ts").select("event_type", age.alias("age_hours"), (age > 48).alias("stale"))
+    return latest.watermark(events(spark, sf), ["event_type"], "ts").select("event_type", age.alias("age_hours"), (age > quality.STALE_HOURS).alias("stale"))
 
 
 # -- scalar functions --------------------------------------------------------------------------------
@@ -272,16 +272,6 @@ def tunnel_suffix(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.tunnel_suffix(X.host(F.col("url")), ["example.com", "example.net"]).alias("suffix"))
 
 
-@query(r"""WITH p AS (SELECT page_id, split_part(split_part(url, '://', 2), '/', 1) AS host, 'sources/' || split_part(split_part(url, '://', 2), '/', 2) || '/' || page_id AS path FROM pages),
-d AS (SELECT *, nullif(regexp_extract(path, '^sources/([^/]+)/', 1), 'common') AS dir FROM p)
-SELECT host, array_to_string(list_sort(list(DISTINCT dir)), ',') AS dirs, arg_max(path, page_id) AS last_path, bool_or(dir = 'fr') AS any_fr FROM d GROUP BY host""")
-def path_group(spark, sf):
-    rest = F.split_part("url", F.lit("://"), F.lit(2))
-    p = table(spark, sf, "pages").select("page_id", F.split_part(rest, F.lit("/"), F.lit(1)).alias("host"), F.concat(F.lit("sources/"), F.split_part(rest, F.lit("/"), F.lit(2)), F.lit("/"), "page_id").alias("path"))
-    d = p.withColumn("dir", X.source_dir(F.col("path")))
-    return d.groupBy("host").agg(F.array_join(F.array_sort(F.collect_set("dir")), ",").alias("dirs"), F.max_by("path", "page_id").alias("last_path"), F.bool_or(F.col("dir") == "fr").alias("any_fr"))
-
-
 @query(r"""SELECT page_id, len(v) AS n, array_to_string(list_sort(v), '|') AS event_values FROM (SELECT page_id, list_distinct(regexp_extract_all(replace(html, 'href=', 'value: '), 'value:\s*["''`]([^"''`\n]{1,80})["''`]', 1)) AS v FROM pages)""")
 def regex_extract_all(spark, sf):
     v = X.event_values(F.replace("html", F.lit("href="), F.lit("value: ")))
@@ -304,11 +294,6 @@ def token_estimate(spark, sf):
     return table(spark, sf, "documents").select("doc_id", J.token_estimate(F.col("text")).alias("tokens"))
 
 
-@query("SELECT doc_id, sha256(text) AS content_hash FROM documents")
-def content_hash(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("content_hash"))
-
-
 @query("""SELECT event_id, true AS same, sha256('{"7":null,"event_type":"' || event_type || '","k":[1,100],"user_id":' || user_id || '}') AS hash FROM events""")
 def canonical_hash_equal(spark, sf):
     a = F.format_string('{"user_id": %d, "k": [1.0, 1e2], "event_type": "%s", "7": null}', "user_id", "event_type")
@@ -389,12 +374,10 @@ def not_attempted(spark, sf):
     return table(spark, sf, "events").select("event_id", C.not_attempted_reason(url).alias("reason"), C.tls_valid(url, cls, kind.isin("signup", "purchase")).alias("tls"))
 
 
-@query("""SELECT event_id, CASE WHEN user_id < 60 THEN '{"omitted":' || strlen(repeat(props, user_id)) || '}' ELSE 'kept' END AS raw FROM events""")
+@query("""SELECT event_id, CASE WHEN user_id % 10 = 3 THEN NULL WHEN strlen(repeat(props || 'é', CAST(user_id AS INT))) <= 400 THEN repeat(props || 'é', CAST(user_id AS INT)) ELSE '{"_omitted":"result exceeded MAX_RAW_BYTES","bytes":' || strlen(repeat(props || 'é', CAST(user_id AS INT))) || ',"cap":400}' END AS raw FROM events""")
 def bounded_raw(spark, sf):
-    raw = C.bounded_raw(F.repeat("props", F.col("user_id").cast("int")), 0)
-    size = F.octet_length(F.repeat("props", F.col("user_id").cast("int")))
-    shown = F.concat(F.lit('{"omitted":'), F.coalesce(F.get_json_object(raw, "$.bytes"), size.cast("string")), F.lit("}"))
-    return table(spark, sf, "events").select("event_id", F.when(F.col("user_id") < 60, shown).otherwise("kept").alias("raw"))
+    text = F.when(F.col("user_id") % 10 != 3, F.repeat(F.concat("props", F.lit("é")), F.col("user_id").cast("int")))
+    return table(spark, sf, "events").select("event_id", C.bounded_raw(text, 400).alias("raw"))
 
 
 @query("SELECT event_id, CASE event_type WHEN 'click' THEN 'server=' || user_id || ',www-authenticate=' || repeat('x', 256) WHEN 'view' THEN NULL ELSE 'server=s' END AS headers FROM events")
@@ -417,6 +400,24 @@ def title_of_slug(spark, sf):
     return table(spark, sf, "part").select("p_partkey", X.title_of_slug(F.concat(F.replace("p_name", F.lit(" "), F.lit("_-")), F.lit("-x9"))).alias("title"))
 
 
+@query("""WITH p AS (SELECT o_orderkey, o_orderkey % 9 AS i, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'one' WHEN 2 THEN 'x|y' END AS v, o_orderkey % 70 AS n FROM orders)
+SELECT o_orderkey, coalesce(v, CASE WHEN o_orderkey % 4 = 3 THEN array_to_string(list_transform(range(0, least(64, n + 1)), lambda k: 'v' || k), '|') ELSE 'last' END) AS versions,
+ CASE WHEN v IS NULL AND o_orderkey % 4 = 0 THEN '_meta.protocolVersion' ELSE ['supportedVersions', 'protocolVersions', 'protocol_versions', 'supportedProtocolVersions', 'supported_protocol_versions', 'versions', '_meta.protocolVersions', 'protocolVersion', '_meta.protocolVersion'][i + 1] END AS via, o_orderkey % 4 = 3 AND n >= 64 AS capped FROM p""")
+def version_paths(spark, sf):
+    """each of the nine places, in order; numbers and empty lists fall through; at most 64."""
+    k = F.col("o_orderkey")
+    many = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), k % 70), lambda i: F.concat(F.lit('"v'), i, F.lit('"'))), ",")
+    value = F.when(k % 4 == 0, F.lit('[7, null]')).when(k % 4 == 1, F.lit('"one"')).when(k % 4 == 2, F.lit('["x", 5, {"z": 1}, "y"]')).otherwise(F.concat(F.lit("["), many, F.lit("]")))
+    plain = [p for p in C.VERSION_PATHS if "." not in p]
+    places = F.array(*map(F.lit, C.VERSION_PATHS))
+    at = F.element_at(places, (k % 9 + 1).cast("int"))
+    inner = F.concat(F.lit('"'), F.element_at(F.split(at, "[.]"), -1), F.lit('": '), value)
+    last = F.when((k % 9 != 8) | (k % 4 == 0), F.lit('"protocolVersion": "last"'))
+    meta = F.concat(F.lit('"_meta": {'), F.concat_ws(", ", F.when(at.startswith("_meta") & ((k % 9 != 8) | (k % 4 != 0)), inner), last), F.lit("}"))
+    body = F.concat(F.lit('{"result": {'), F.concat_ws(", ", meta, F.when(at.isin(plain), inner)), F.lit("}}"))
+    return table(spark, sf, "orders").select("o_orderkey", C.advertised_versions(body).alias("a")).select("o_orderkey", F.array_join("a.versions", "|").alias("versions"), "a.via", "a.capped")
+
+
 # -- folds -------------------------------------------------------------------------------------------
 @query("""SELECT user_id, CAST(list_reduce(list_prepend(CAST(150 AS DOUBLE), o), lambda g, x: CASE WHEN x = 1 THEN least(60000, greatest(150, g) * 4) ELSE greatest(150, floor(g * CAST(0.8 AS DOUBLE) + 0.5)) END) AS BIGINT) AS gap_ms, n_429, n AS n_requests
 FROM (SELECT user_id, list(CASE WHEN event_type = 'error' THEN CAST(1 AS DOUBLE) ELSE 0 END ORDER BY ts, event_id) AS o, count(*) FILTER (event_type = 'error') AS n_429, count(*) AS n FROM events GROUP BY user_id)""")
@@ -462,21 +463,18 @@ def contract_hash(spark, sf):
     return schemas(spark, sf).select("p_partkey", J.contract_hash(F.col("s")).alias("h"))
 
 
-@query("SELECT p_partkey, p_type || ':string:true,size:integer|null:true' AS params, 2 AS n, 2 AS required, 4 AS depth FROM part")
+@query("SELECT p_partkey, p_type || ':string:true,size:integer|null:true' AS params FROM part")
 def param_set(spark, sf):
     shown = F.array_join(F.transform(J.param_set(F.col("s")), lambda p: F.concat_ws(":", p["name"], p["type"], p["required"].cast("string"))), ",")
-    return schemas(spark, sf).select("p_partkey", shown.alias("params"), J.param_count(F.col("s")).alias("n"), J.required_count(F.col("s")).alias("required"), J.max_depth(F.col("s")).alias("depth"))
-
-
-@query("SELECT p_partkey, true AS type_union, false AS union_via_composition, false AS has_ref, false AS has_defs FROM part")
-def drift_flags(spark, sf):
-    return schemas(spark, sf).select("p_partkey", J.false_drift(F.col("s")).alias("f")).select("p_partkey", "f.*")
+    return schemas(spark, sf).select("p_partkey", shown.alias("params"))
 
 
-@query("""SELECT p_partkey, sha256('{"version":' || p_size || ',"packages":[{"b":1,"a":2}]}') AS h FROM part""")
+@query("""SELECT p_partkey, sha256('{' || array_to_string(list_filter([CASE WHEN p_size % 5 > 0 THEN '"version":' || CASE WHEN p_size % 7 = 0 THEN 'null' ELSE '"' || p_brand || '"' END END, CASE WHEN p_size % 2 = 0 THEN '"packages":[{"b":' || p_size || ',"a":0.5}]' END, CASE WHEN p_size % 3 = 0 THEN '"remotes":[]' END], lambda x: x IS NOT NULL), ',') || '}') AS h FROM part""")
 def stable_hash(spark, sf):
-    text = F.format_string('{"packages": [{"b": 1, "a": 2}], "other": 1, "version": %d}', "p_size")
-    return table(spark, sf, "part").select("p_partkey", J.stable_hash(text).alias("h"))
+    n = F.col("p_size")
+    version = F.when(n % 5 > 0, F.concat(F.lit('"version": '), F.when(n % 7 == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), "p_brand", F.lit('"')))))
+    parts = [F.when(n % 3 == 0, F.lit('"remotes": []')), F.lit('"other": {"version": 1}'), version, F.when(n % 2 == 0, F.concat(F.lit('"packages": [{"b": '), n, F.lit('.0, "a": 5e-1}]')))]
+    return table(spark, sf, "part").select("p_partkey", J.stable_hash(F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))).alias("h"))
 
 
 @query("""WITH c AS (SELECT conv_id, turn, role, length(text) > 500 AS req, CASE WHEN contains(text, chr(10)) THEN 'string' ELSE 'number' END AS kind FROM conversations),

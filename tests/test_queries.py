@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from registrylake.plans.queries import QUERIES, SQL
+from registrylake.plans.pipeline_queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
