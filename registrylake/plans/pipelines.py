@@ -299,8 +299,8 @@ def captures(spec: ListSpec, pages: DataFrame, max_pages: int = chains.MAX_PAGES
 def tool_row(item: Column) -> Column:
     """Hashes and depth are NULL without a schema, counts 0."""
     schema = F.when(kind_of(item, "$.inputSchema").startswith("OBJECT"), F.get_json_object(item, "$.inputSchema"))
-    flags = J.false_drift(schema)
-    return F.struct(string_field(item, "$.name").alias("tool_name"), string_field(item, "$.title").alias("tool_title"), string_field(item, "$.description").alias("description"), schema.alias("input_schema"), J.schema_hash(schema).alias("schema_hash"), J.contract_hash(schema).alias("contract_hash"), J.param_set(schema).alias("param_set"), F.coalesce(J.param_count(schema), F.lit(0)).alias("param_count"), F.coalesce(J.required_count(schema), F.lit(0)).alias("required_count"), J.max_depth(schema).alias("max_depth"), *[flags[n].alias(n) for n in J.FLAGS.names], J.token_estimate(item).alias("token_estimate"))
+    f = J.schema_facts(schema)
+    return F.struct(string_field(item, "$.name").alias("tool_name"), string_field(item, "$.title").alias("tool_title"), string_field(item, "$.description").alias("description"), schema.alias("input_schema"), f["schema_hash"].alias("schema_hash"), f["contract_hash"].alias("contract_hash"), f["param_set"].alias("param_set"), F.coalesce(J.param_count(schema), F.lit(0)).alias("param_count"), F.coalesce(f["required_count"], F.lit(0)).alias("required_count"), f["max_depth"].alias("max_depth"), *[f[n].alias(n) for n in J.FLAGS.names], J.token_estimate(item).alias("token_estimate"))
 
 
 TOOLS = ListSpec("tools/list", "tools", tool_row, ("tool_name", "tool_title", "description", "input_schema", "schema_hash", "contract_hash", "param_set", "param_count", "required_count", "max_depth", "type_union", "union_via_composition", "has_ref", "has_defs", "token_estimate"))

@@ -1,4 +1,4 @@
-"""Run rules and bookkeeping."""
+"""Run rules and bookkeeping."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrylake.operators.shared import shared_folder
+from registrylake.sources.fetching import chunks
+
 # The columns that an item upsert must be able to change.
 UPDATE_COLUMNS = ["title", "state", "author", "labels", "created_at", "updated_at", "url", "fetched_at"]
 STALE_HOURS = 48.0
@@ -81,10 +84,67 @@ def status_text(counts: dict, failed: str | None = None) -> str:
 
 
 def run_record(spark: SparkSession, run_id: str, source: str, started_at, finished_at, counts: dict, failed: str | None = None) -> DataFrame:
-    """K5: a run's row, appended once when it ends; unlike the original it names its source."""
+    """K5: a run's row at its end; unlike the original it names its source."""
     return spark.createDataFrame([(run_id, source, started_at, finished_at, counts.get("pages", 0), counts.get("rows", 0), status_text(counts, failed))], RUN)
 
 
+def running_record(spark: SparkSession, run_id: str, source: str, started_at) -> DataFrame:
+    """K5: a run's row at its start, without an end."""
+    return spark.createDataFrame([(run_id, source, started_at, None, 0, 0, "running")], RUN)
+
+
+def runs_of(records: DataFrame) -> DataFrame:
+    """K5: one row for each run from its appended records: the finished one if there is one, else the running one."""
+    rest = [c for c in records.columns if c != "id"]
+    best = F.max_by(F.struct(*rest), F.coalesce(F.unix_micros("finished_at"), F.lit(-1)))
+    return records.groupBy("id").agg(best.alias("r")).select("id", *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def access_facts(grants: DataFrame, role: str, items: str = "items", moves: str = "transitions") -> dict:
+    """The facts that ``write_access_problems`` judges, from a table of grants (role, relation, column, privilege; column NULL for the whole relation).
+
+    A grant on the whole relation covers its columns.
+    """
+    mine = grants.filter(F.col("role") == role)
+    has = lambda relation, privilege, column=None: (F.col("relation") == relation) & (F.col("privilege") == privilege) & (F.col("column").isNull() if column is None else F.col("column").isNull() | (F.col("column") == column))
+    any_ = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    row = mine.agg(any_(has(items, "INSERT")).alias("items_insert"), any_(has(items, "SELECT")).alias("items_select"), any_(has(moves, "INSERT")).alias("transitions_insert"), F.create_map(*[x for c in UPDATE_COLUMNS for x in (F.lit(c), any_(has(items, "UPDATE", c)))]).alias("items_update_cols")).first()
+    return row.asDict()
+
+
+def admitted(constraints: DataFrame, name: str, value: str) -> tuple[str | None, str | None]:
+    """``value`` if the check constraint ``name`` (table: name, definition) admits it, else NULL and why; an absent constraint admits anything."""
+    found = constraints.filter(F.col("name") == name).select(F.max("definition")).first()[0]
+    if found is None:
+        return value, f"no constraint {name}"
+    if f"'{value}'" in found:
+        return value, None
+    return None, f"{name} does not admit {value}: {found}"
+
+
+def rolled_back(spark: SparkSession, work: Callable[[str], object]):
+    """K4: ``work(folder)`` may write tables below ``folder``; they are deleted whatever happens, and its result or failure is passed on."""
+    folder = f"{shared_folder(spark)}/registrylake/dry-run-{uuid.uuid4().hex}"
+    try:
+        return work(folder)
+    finally:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def chunked(rows: list, write: Callable[[list], None], size: int = 500) -> tuple[int, int]:
+    """K7: rows of a driver-side log, written ``size`` at a time; (rows written, chunks failed). A failed chunk does not stop the others."""
+    done = failed = 0
+    for part in chunks(rows, size):
+        try:
+            write(part)
+            done += len(part)
+        except Exception:  # noqa: BLE001  counted
+            failed += 1
+    return done, failed
+
+
 def log_record(spark: SparkSession, source: str, started_at, completed_at, counts: dict, error: str | None = None) -> DataFrame:
     """K6: one log row with JSON metadata."""
     took = int((completed_at - started_at).total_seconds() * 1000)

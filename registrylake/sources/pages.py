@@ -55,6 +55,13 @@ def bounded_body(body, cap: int):
     return F.when(F.octet_length(body) <= cap, body).otherwise(F.try_validate_utf8(F.decode(F.substring(F.encode(body, "UTF-8"), 1, cap), "UTF-8")))
 
 
+def _store(path: str):
+    """The file system and the path in it: of a store that driver and executors share, or of the local machine."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+
+
 class _Chain(InputPartition):
     def __init__(self, name: str):
         self.name = name
@@ -62,24 +69,42 @@ class _Chain(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.folder, self.limit = options["path"], int(options.get("maxPages", 1_000_000))
+        self.path, self.limit = options["path"], int(options["maxPages"]) if options.get("maxPages") else None
         self.since = options.get("updatedSince")
 
+    @property
+    def folder(self) -> str:
+        return _store(self.path)[1].rstrip("/")
+
+    @property
+    def files(self):
+        return _store(self.path)[0]
+
     def partitions(self):
-        return [_Chain(n) for n in sorted(os.listdir(self.folder))]
+        from pyarrow import fs
+
+        found = self.files.get_file_info(fs.FileSelector(self.folder))
+        return [_Chain(i.base_name) for i in sorted(found, key=lambda i: i.base_name) if i.type == fs.FileType.Directory]
 
     def read(self, partition):
-        """Follows one chain: a page names the next one's cursor; a cursor seen before ends it."""
+        """Follows one chain: a page names the next one's cursor; a cursor seen before ends it.
+
+        There is no limit unless ``maxPages`` asks for one; a chain that it cuts says so in its last page (``truncated``).
+        """
         cursor, seen, number = "first", set(), 0
-        while cursor and cursor not in seen and number < self.limit:
+        while cursor and cursor not in seen:
             seen.add(cursor)
-            with open(os.path.join(self.folder, partition.name, f"{cursor}.json"), encoding="utf-8") as f:
-                page = json.load(f)
+            with self.files.open_input_stream(f"{self.folder}/{partition.name}/{cursor}.json") as f:
+                page = json.loads(f.read().decode("utf-8"))
+            following = (page.get("metadata") or {}).get("nextCursor")
+            last = self.limit is not None and number + 1 >= self.limit
+            if last and following:
+                page["truncated"] = True
             if self.since:
                 page["servers"] = [s for s in page.get("servers", []) if str(s.get("updatedAt", "")) >= self.since]
             yield partition.name, number, json.dumps(page, ensure_ascii=False)
             number += 1
-            cursor = (page.get("metadata") or {}).get("nextCursor")
+            cursor = None if last else following
 
 
 class CursorPages(DataSource):
