@@ -27,6 +27,7 @@ empty training corpus gives every token probability one; an empty table gives no
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from registrylake.llm.common import written
 from registrylake.llm.encode import row_chunks
 
-CLASSES, LEAST, MIX, TOLERANCE, MOST_ROUNDS = 64, 3, 0.95, 0.02, 40
+CLASSES, LEAST, MIX, TOLERANCE, MOST_ROUNDS = 64, 3, 0.95, 0.03, 40
 UNIT_SHARE, TABLE_SHARE, BLOCK = 1 << 17, 1 << 20, 256
 END = b""  # the end token; no word is empty
 #: Numbers 0 and 1 are the end token and any word without a number; so are the classes of both, the first and the last.
@@ -193,14 +194,14 @@ def context_counts(sequences: DataFrame, kind: str, size: int, classes: np.ndarr
             part = np.concatenate([x[block::blocks].ravel() for x in (before, after, twice)])
             at = np.flatnonzero(part)
             if len(at):
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "at": pa.array([at.astype("<u4").tobytes()], pa.binary()), "n": pa.array([part[at].astype("<i8").tobytes()], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "at": pa.array([at.astype("<u2").tobytes()], pa.binary()), "n": pa.array([zlib.compress(part[at].astype("<i8").tobytes(), 1)], pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         cls = shared.value[block::blocks]
         total = np.zeros(len(cls) * (2 * CLASSES + 1), np.int64)
         for at, n in zip(table.column("at").to_pylist(), table.column("n").to_pylist()):
-            total[np.frombuffer(at, "<u4")] += np.frombuffer(n, "<i8")
+            total[np.frombuffer(at, "<u2")] += np.frombuffer(zlib.decompress(n), "<i8")
         pairs = np.zeros((CLASSES, CLASSES), np.int64)
         np.add.at(pairs, cls, total[len(cls) * CLASSES : -len(cls)].reshape(-1, CLASSES))
         return pa.table({"block": pa.array([block], pa.int32()), "data": pa.array([total.tobytes()], pa.binary()), "pairs": pa.array([pairs.tobytes()], pa.binary())})
