@@ -1,15 +1,19 @@
 """External induced sorting of suffixes, with common-prefix values, for one shard.
 
-The text lies in a file (memory-mapped). Suffixes are induced from the sorted left-most S-type (LMS)
-suffixes by two disk-backed priority queues: a queue hands out symbols in ascending (L-type pass) or
-descending (S-type pass) order, and for each symbol its suffixes in the order of their arrival, which is
-their order. Queued suffix tuples (position, common prefix with the one before) beyond the memory budget
-are spilled to a file. All suffixes of a symbol that are there are taken at once and induce their
+The text lies in a file (memory-mapped), and so do the types of its suffixes, the left-most S-type (LMS) places, the
+names and every order that is made of them; memory holds blocks of ``BLOCK`` entries, queues up to ``budget`` bytes and
+what ``base`` names take. Suffixes are induced from the sorted LMS suffixes by two disk-backed priority
+queues: a queue hands out symbols in ascending (L-type pass) or descending (S-type pass) order, and for each symbol its suffixes in
+the order of their arrival, which is their order. Queued suffix tuples (position, common prefix with the one before) beyond
+the budget are spilled to a file. All suffixes of a symbol that are there are taken at once and induce their
 predecessors in one step of array operations; those that fall on the same symbol make the next step.
 
-LMS substrings are sorted by the same two passes and named; equal names make a shorter string of names,
-which is sorted by recursion on disk while it is longer than the budget, else in memory. Common
-prefixes, cut at ``limit``, start with those of neighbouring LMS suffixes; an induced suffix has one more
+LMS substrings are sorted by the same two passes and named; equal names make a shorter string of names, which
+``NameSorter`` sorts by the same induction, recursively, while it is longer than ``base``. Its alphabet is large, so its
+queue goes by ranges of symbols, and the suffixes of a range are sorted by symbol and arrival when the range's turn comes; what
+they induce within the window that is worked on is merged into it.
+
+Common prefixes, cut at ``limit``, start with those of neighbouring LMS suffixes; an induced suffix has one more
 than the least value passed between its source and the source before it that fell on the same symbol.
 Suffixes that agree in their first ``limit`` symbols may stand in any order.
 """
@@ -19,26 +23,57 @@ from __future__ import annotations
 import heapq
 import os
 import tempfile
+import uuid
 
 import numpy as np
 
 ENTRY = np.dtype([("at", "<i8"), ("lcp", "<i2")])
+NAMED = np.dtype([("at", "<i8"), ("symbol", "<i8")])
 FAR = np.int16(32767)
+BLOCK = 1 << 18
+
+
+class Folder:
+    """Files of one sort, and what it did."""
+
+    def __init__(self, path: str):
+        self.path, self.spills, self.recursions = path, 0, 0
+
+    def array(self, dtype, size: int) -> np.ndarray:
+        """An array in a file of its own, which goes with the folder."""
+        return np.asarray(np.memmap(os.path.join(self.path, uuid.uuid4().hex), dtype, "w+", shape=(max(1, size),)))[:size]
+
+
+class Stream:
+    """Values appended to a file, then read as an array."""
+
+    def __init__(self, folder: Folder, dtype):
+        self.path, self.dtype, self.size = os.path.join(folder.path, uuid.uuid4().hex), np.dtype(dtype), 0
+        self.file = open(self.path, "wb")
+
+    def add(self, values: np.ndarray) -> None:
+        self.file.write(np.ascontiguousarray(values, self.dtype).tobytes())
+        self.size += len(values)
+
+    def done(self) -> np.ndarray:
+        self.file.close()
+        return np.asarray(np.memmap(self.path, self.dtype, "r")) if self.size else np.zeros(0, self.dtype)
 
 
 class BucketQueue:
     """Symbols in order, each with its tuples in order of arrival; tuples beyond ``budget`` are on disk."""
 
-    def __init__(self, folder: str, descending: bool, budget: int):
-        self.sign, self.budget, self.held = -1 if descending else 1, budget, 0
-        self.file = tempfile.TemporaryFile(dir=folder)
-        self.heap, self.chunks, self.spills = [], {}, 0
+    def __init__(self, folder: Folder, descending: bool, budget: int, dtype=ENTRY):
+        self.sign, self.budget, self.held, self.folder, self.dtype = -1 if descending else 1, budget, 0, folder, dtype
+        self.file = tempfile.TemporaryFile(dir=folder.path)
+        self.heap, self.chunks = [], {}
 
     def push(self, symbol: int, items: np.ndarray) -> None:
         if symbol not in self.chunks:
             self.chunks[symbol] = []
             heapq.heappush(self.heap, self.sign * symbol)
-        self.chunks[symbol].append(items)
+        # A small view would keep the whole array that it is cut from.
+        self.chunks[symbol].append(items.copy() if items.base is not None and 2 * items.nbytes < getattr(items.base, "nbytes", 0) else items)
         self.held += items.nbytes
         if self.held > self.budget:
             self._spill()
@@ -46,13 +81,15 @@ class BucketQueue:
     def _spill(self) -> None:
         self.file.seek(0, os.SEEK_END)
         for parts in self.chunks.values():
-            for i, part in enumerate(parts):
-                if isinstance(part, np.ndarray):
-                    where = self.file.tell()
-                    self.file.write(part.tobytes())
-                    parts[i] = (where, len(part))
+            fresh = [p for p in parts if isinstance(p, np.ndarray)]
+            if fresh:
+                # A symbol's chunks in memory are its last ones; they become one on disk.
+                where = self.file.tell()
+                joined = fresh[0] if len(fresh) == 1 else np.concatenate(fresh)
+                self.file.write(joined.tobytes())
+                parts[len(parts) - len(fresh) :] = [(where, len(joined))]
         self.held = 0
-        self.spills += 1
+        self.folder.spills += 1
 
     def first(self) -> int | None:
         return self.sign * self.heap[0] if self.heap else None
@@ -63,55 +100,49 @@ class BucketQueue:
         heapq.heappop(self.heap)
         return parts
 
-    def read(self, part) -> np.ndarray:
+    def read(self, part, lo: int = 0, size: int | None = None) -> np.ndarray:
         if isinstance(part, np.ndarray):
-            self.held -= part.nbytes
-            return part
-        self.file.seek(part[0])
-        return np.frombuffer(self.file.read(part[1] * ENTRY.itemsize), ENTRY)
+            return part[lo : None if size is None else lo + size]
+        n = part[1] - lo if size is None else min(size, part[1] - lo)
+        self.file.seek(part[0] + lo * self.dtype.itemsize)
+        return np.frombuffer(self.file.read(n * self.dtype.itemsize), self.dtype)
 
     def gathered(self, parts: list, step: int, backwards: bool = False):
         """Parts joined to arrays of about ``step`` tuples; ``backwards`` from the last on, each in its own order."""
-        at = len(parts) if backwards else 0
-        while at > 0 if backwards else at < len(parts):
-            lo = hi = at
-            size = 0
-            while size < step and (lo > 0 if backwards else hi < len(parts)):
-                part = parts[lo - 1] if backwards else parts[hi]
-                size += len(part) if isinstance(part, np.ndarray) else part[1]
-                lo, hi = (lo - 1, hi) if backwards else (lo, hi + 1)
-            some = [self.read(p) for p in parts[lo:hi]]
-            yield some[0] if len(some) == 1 else np.concatenate(some)
-            at = lo if backwards else hi
+        held: list = []
+        size = 0
+        for part in reversed(parts) if backwards else parts:
+            n = len(part) if isinstance(part, np.ndarray) else part[1]
+            if isinstance(part, np.ndarray):
+                self.held -= part.nbytes
+            spans = [(lo, min(step, n - lo)) for lo in range(0, n, step)]
+            for lo, k in reversed(spans) if backwards else spans:
+                held.append(self.read(part, lo, k))
+                size += k
+                if size >= step:
+                    yield held[0] if len(held) == 1 else np.concatenate(held[::-1] if backwards else held)
+                    held, size = [], 0
+        if held:
+            yield held[0] if len(held) == 1 else np.concatenate(held[::-1] if backwards else held)
 
     def close(self) -> None:
         self.file.close()
 
 
-class Spool:
-    """Chunks by symbol, written once and read back in reverse; on disk beyond ``budget``."""
-
-    def __init__(self, folder: str, budget: int):
-        self.queue = BucketQueue(folder, True, budget)
-
-    def add(self, symbol: int, items: np.ndarray) -> None:
-        self.queue.push(symbol, items)
-
-
 def entries(at: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     out = np.empty(len(at), ENTRY)
     out["at"], out["lcp"] = at, lcp
     return out
 
 
-def s_types(text: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+def s_types(text: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     """Whether each suffix is S-type, from right to left in blocks; the last symbol is the least and S-type."""
     n = len(text)
-    out = np.zeros(n, bool)
-    out[-1] = True
+    out = np.zeros(n, bool) if out is None else out
+    out[n - 1] = True
     hi = n - 1
     while hi > 0:
-        lo = max(0, hi - block)
+        lo = max(0, hi - BLOCK)
         step = np.sign(text[lo + 1 : hi + 1].astype(np.int64) - text[lo:hi])
         # the next change at or after each place; beyond the block it is the type of the place behind it
         place = np.where(step != 0, np.arange(hi - lo), hi - lo)
@@ -122,8 +153,17 @@ def s_types(text: np.ndarray, block: int = 1 << 20) -> np.ndarray:
     return out
 
 
-def lms_places(kinds: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(kinds[1:] & ~kinds[:-1]) + 1
+def is_lms(kinds: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (at > 0) & kinds[at] & ~kinds[np.maximum(at - 1, 0)]
+
+
+def lms_places(kinds: np.ndarray, folder: Folder) -> np.ndarray:
+    """The LMS places in order of the text."""
+    out = Stream(folder, "<i8")
+    for lo in range(1, len(kinds), BLOCK):
+        part = kinds[lo - 1 : lo + BLOCK]
+        out.add(np.flatnonzero(part[1:] & ~part[:-1]) + lo)
+    return out.done()
 
 
 def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
@@ -131,11 +171,9 @@ def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.nda
     out = np.zeros(len(a), np.int16)
     live, n = np.arange(len(a)), len(text)
     if text.dtype == np.uint8 and len(a) > 64:
-        padded = np.concatenate((text, np.zeros(8, np.uint8)))
-        words = np.ndarray((n,), "<u8", padded, strides=(1,))
         for k in range(0, limit, 8):
             # The unique last value ends a prefix before either suffix runs out.
-            x = words[np.minimum(a[live] + k, n - 1)] ^ words[np.minimum(b[live] + k, n - 1)]
+            x = _words(text, a[live] + k) ^ _words(text, b[live] + k)
             low = x & (~x + np.uint64(1))
             out[live] += np.where(x == 0, 8, np.bitwise_count(low - np.uint64(1)) // 8).astype(np.int16)
             live = live[x == 0]
@@ -152,10 +190,23 @@ def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.nda
     return out
 
 
+def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros stand behind the text."""
+    n = len(text)
+    whole = np.ndarray((n - 7,), "<u8", text, strides=(1,)) if n >= 8 else None
+    fine = at <= n - 8
+    out = np.zeros(len(at), np.uint64)
+    if whole is not None:
+        out[fine] = whole[at[fine]]
+    for i in np.flatnonzero(~fine).tolist():
+        out[i] = int.from_bytes(bytes(text[min(at[i], n) :][:8]).ljust(8, b"\0"), "little")
+    return out
+
+
 class Induction:
     """One pass over the symbols in either direction."""
 
-    def __init__(self, text: np.ndarray, kinds: np.ndarray, folder: str, descending: bool, budget: int, limit: int | None):
+    def __init__(self, text: np.ndarray, kinds: np.ndarray, folder: Folder, descending: bool, budget: int, limit: int | None):
         self.text, self.kinds, self.descending, self.limit = text, kinds, descending, limit
         self.queue = BucketQueue(folder, descending, budget)
         self.least: dict = {}  # symbol -> least common prefix passed since its last tuple
@@ -223,11 +274,10 @@ class Induction:
 
 
 class SuffixSorter:
-    """Sorts the suffixes of ``text`` (an array of non-negative integers whose last value is a unique least)."""
+    """Sorts the suffixes of ``text`` (bytes whose last value is a unique least)."""
 
-    def __init__(self, text: np.ndarray, folder: str, budget: int = 64 << 20, limit: int = 100, base: int = 4 << 20, step: int = 1 << 18):
-        self.text, self.folder, self.budget, self.limit, self.base, self.step = text, folder, budget, limit, base, step
-        self.depth = 0
+    def __init__(self, text: np.ndarray, folder: Folder, budget: int = 4 << 20, limit: int = 100, base: int = 1 << 18, step: int | None = None):
+        self.text, self.folder, self.budget, self.limit, self.base, self.step = text, folder, budget, limit, base, step or BLOCK // 2
 
     def _pass(self, seeds, descending: bool, kinds, limit, out, passed=None) -> None:
         """Drives one induction.
@@ -266,101 +316,126 @@ class SuffixSorter:
                         run.last = int(chunk["at"][-1])
         run.queue.close()
 
-    def _induce(self, lms: np.ndarray, lcp: np.ndarray, kinds: np.ndarray, limit: int | None, out) -> None:
-        """From LMS suffixes in order (with their common prefixes) all suffixes; ``out(chunk, is_s)`` in descending order."""
-        larges = Spool(self.folder, self.budget)
-        self._pass(_Sorted(self.text, lms, lcp), False, kinds, limit, larges.add)
-        self._pass(_Reversed(larges.queue, self.step), True, kinds, limit, lambda symbol, chunk: out(chunk, True), lambda chunk: out(chunk, False))
-        larges.queue.close()
+    def _induce(self, seeds, kinds: np.ndarray, limit: int | None, out) -> None:
+        """From LMS suffixes by symbol all suffixes; ``out(chunk, is_s)`` in descending order."""
+        larges = BucketQueue(self.folder, True, self.budget)
+        self._pass(seeds, False, kinds, limit, larges.push)
+        self._pass(_Reversed(larges, self.step), True, kinds, limit, lambda symbol, chunk: out(chunk, True), lambda chunk: out(chunk, False))
+        larges.close()
 
     def sorted_lms(self) -> tuple[np.ndarray, np.ndarray]:
-        """LMS suffixes in order."""
-        text, kinds = self.text, s_types(self.text)
-        lms = lms_places(kinds)
+        """LMS suffixes in order, and the types."""
+        text, folder = self.text, self.folder
+        kinds = s_types(text, folder.array(bool, len(text)))
+        lms = lms_places(kinds, folder)
         if len(lms) < 2:
             return lms, kinds
-        is_lms = np.zeros(len(text), bool)
-        is_lms[lms] = True
-        order = lms[np.argsort(text[lms], kind="stable")]
-        found: list = []
+        seeds = BucketQueue(folder, False, self.budget)
+        for lo in range(0, len(lms), self.step):
+            part = np.asarray(lms[lo : lo + self.step])
+            heads = text[part]
+            order = np.argsort(heads, kind="stable")
+            cuts = np.flatnonzero(np.diff(heads[order].astype(np.int64), prepend=-1))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
+                seeds.push(int(heads[order[a]]), entries(part[order[a:b]], np.zeros(b - a, np.int16)))
+        found = Stream(folder, "<i8")
 
         def keep(chunk, is_s):
             if is_s:
-                found.append(chunk["at"][is_lms[chunk["at"]]])
-
-        self._induce(order, np.zeros(len(order), np.int16), kinds, None, keep)
-        by_substring = np.concatenate(found)[::-1]
-        # the last LMS suffix is the end mark, which nothing precedes in the S pass
-        missing = np.setdiff1d(lms, by_substring, assume_unique=True)
-        by_substring = np.concatenate((missing, by_substring))
-        names = self._names(lms, by_substring)
-        if names.max() == len(lms) - 1:
-            return by_substring, kinds
-        if len(names) <= self.base:
-            rank = order_in_memory(names, self.limit)
-        else:
-            path = os.path.join(self.folder, f"names-{self.depth}.bin")
-            names.astype("<i8").tofile(path)
-            inner = SuffixSorter(np.memmap(path, "<i8", "r"), self.folder, self.budget, self.limit, self.base, self.step)
-            inner.depth = self.depth + 1
-            rank = inner.order()
-        return lms[rank], kinds
-
-    def _names(self, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-        """Names of the LMS substrings in text order; equal substrings share one."""
-        text = self.text
-        length = np.ones(len(lms), np.int64)
-        length[:-1] = np.diff(lms) + 1
-        where = np.searchsorted(lms, ordered)
-        a, b = ordered[:-1], ordered[1:]
-        na, nb = length[where[:-1]], length[where[1:]]
-        same = na == nb
-        live, k = np.flatnonzero(same), 0
-        while len(live):
-            live = live[na[live] > k]
-            differ = text[a[live] + k] != text[b[live] + k]
-            same[live[differ]] = False
-            live = live[~differ]
-            k += 1
-        names = np.empty(len(lms), np.int64)
-        names[where] = np.concatenate(([0], np.cumsum(~same)))
-        return names
-
-    def runs(self):
-        """Yields (positions, common prefix with the suffix before) of all suffixes in descending order.
-
-        The common prefix is that with the suffix just yielded, at most ``limit``.
+                found.add(chunk["at"][is_lms(kinds, chunk["at"])])
+
+        self._induce(_Queued(seeds, self.step), kinds, None, keep)
+        seeds.close()
+        by_substring = found.done()[::-1]  # all but the last place, the end mark, which nothing follows
+        names, many = self._names(lms, by_substring)
+        if many == len(lms):
+            return _with_end(by_substring, lms[-1], folder), kinds
+        rank = order_of_names(names, many, folder, self.budget, self.limit, self.base)
+        return _taken(lms, rank, folder), kinds
+
+    def _names(self, lms: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, int]:
+        """Names of the LMS substrings in text order, equal substrings sharing one, and how many there are."""
+        text, names, number = self.text, self.folder.array("<i8", len(lms)), self.folder.array("<i4", len(self.text))
+        names[len(lms) - 1] = 0
+        for lo in range(0, len(lms), BLOCK):
+            number[lms[lo : lo + BLOCK]] = np.arange(lo, min(lo + BLOCK, len(lms)))
+        at, last = 0, None
+        for lo in range(0, len(ordered), BLOCK):
+            here = np.asarray(ordered[lo : lo + BLOCK])
+            where = number[here]
+            length = lms[where + 1] - here + 1
+            a, na = (np.concatenate(([last[0] if last else here[0]], here[:-1])), np.concatenate(([last[1] if last else -1], length[:-1])))
+            same = na == length
+            live, k = np.flatnonzero(same), 0
+            while len(live):
+                live = live[length[live] > k]
+                differ = text[a[live] + k] != text[here[live] + k]
+                same[live[differ]] = False
+                live = live[~differ]
+                k += 1
+            new = at + np.cumsum(~same)
+            names[where] = new
+            at, last = int(new[-1]), (int(here[-1]), int(length[-1]))
+        return names, at + 1
+
+    def visit(self, out) -> None:
+        """``out(positions, common prefix with the suffix before)`` of all suffixes in descending order, chunk by chunk.
+
+        The common prefix is that with the suffix just passed, at most ``limit``.
         """
         order, kinds = self.sorted_lms()
-        lcp = np.zeros(len(order), np.int16)
-        if len(order) > 1:
-            lcp[1:] = common(self.text, order[:-1], order[1:], self.limit)
-        out: list = []
-        self._induce(order, lcp, kinds, self.limit, lambda chunk, is_s: out.append(chunk))
-        yield from out
+        lcp = self.folder.array("<i2", len(order))
+        for lo in range(1, len(order), BLOCK):
+            hi = min(lo + BLOCK, len(order))
+            lcp[lo:hi] = common(self.text, np.asarray(order[lo - 1 : hi - 1]), np.asarray(order[lo:hi]), self.limit)
+        self._induce(_Sorted(self.text, order, lcp, self.step), kinds, self.limit, lambda chunk, is_s: out(chunk))
 
-    def order(self) -> np.ndarray:
-        """All suffixes in ascending order."""
-        order, kinds = self.sorted_lms()
-        out: list = []
-        self._induce(order, np.zeros(len(order), np.int16), kinds, None, lambda chunk, is_s: out.append(chunk["at"]))
-        found = np.concatenate(out)[::-1]
-        return np.concatenate((np.setdiff1d(np.arange(len(self.text)), found), found))
+
+def _with_end(ordered: np.ndarray, end: int, folder: Folder) -> np.ndarray:
+    out = Stream(folder, "<i8")
+    out.add(np.array([end]))
+    for lo in range(0, len(ordered), BLOCK):
+        out.add(ordered[lo : lo + BLOCK])
+    return out.done()
+
+
+def _taken(values: np.ndarray, order: np.ndarray, folder: Folder) -> np.ndarray:
+    out = Stream(folder, "<i8")
+    for lo in range(0, len(order), BLOCK):
+        out.add(values[np.asarray(order[lo : lo + BLOCK])])
+    return out.done()
+
+
+class _Queued:
+    """Seeds in a queue, by symbol."""
+
+    def __init__(self, queue: BucketQueue, step: int):
+        self.queue, self.step, self.symbols = queue, step, list(queue.chunks)
+
+    def chunks(self, symbol):
+        yield from self.queue.gathered(self.queue.chunks.pop(symbol), self.step)
 
 
 class _Sorted:
     """Sorted suffixes as seeds, by symbol."""
 
-    def __init__(self, text, order, lcp):
-        self.order, self.lcp = order, lcp
-        heads = text[order]
-        cuts = np.flatnonzero(np.diff(heads.astype(np.int64), prepend=-1))
-        self.symbols = heads[cuts].tolist()
-        self.spans = dict(zip(self.symbols, zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)])))
+    def __init__(self, text, order, lcp, step):
+        self.order, self.lcp, self.step = order, lcp, step
+        cuts, heads, before = [], [], -1
+        for lo in range(0, len(order), BLOCK):
+            head = text[np.asarray(order[lo : lo + BLOCK])].astype(np.int64)
+            new = np.flatnonzero(np.diff(head, prepend=before))
+            cuts += (new + lo).tolist()
+            heads += head[new].tolist()
+            before = int(head[-1])
+        self.symbols = heads
+        self.spans = dict(zip(heads, zip(cuts, [*cuts[1:], len(order)])))
 
     def chunks(self, symbol):
-        lo, hi = self.spans[symbol]
-        yield entries(self.order[lo:hi], self.lcp[lo:hi])
+        first, last = self.spans[symbol]
+        for lo in range(first, last, self.step):
+            hi = min(lo + self.step, last)
+            yield entries(self.order[lo:hi], self.lcp[lo:hi])
 
 
 class _Reversed:
@@ -381,6 +456,125 @@ class _Reversed:
             yield items
 
 
+# -- strings of names --------------------------------------------------------------------------------
+def order_of_names(names: np.ndarray, many: int, folder: Folder, budget: int, reach: int, base: int) -> np.ndarray:
+    """The suffixes of a string of ``many`` different names, in order at least of their first ``reach`` symbols."""
+    if len(names) <= base:
+        return order_in_memory(np.asarray(names), reach)
+    folder.recursions += 1
+    return NameSorter(names, many, folder, budget, reach, base).order()
+
+
+class NameSorter:
+    """Induced sorting of a string of names, whose last is the unique least; all but windows and ranges is in files."""
+
+    def __init__(self, text: np.ndarray, many: int, folder: Folder, budget: int, reach: int, base: int, window: int = 4096):
+        self.text, self.many, self.folder, self.budget, self.reach, self.base, self.window = text, many, folder, budget, reach, base, window
+        # Ranges of symbols with about equally many suffixes, by a sample of the text.
+        sample = np.sort(np.asarray(text[:: max(1, len(text) // 4096)]))
+        self.cuts = np.unique(sample[:: max(1, len(sample) // max(64, len(text) * NAMED.itemsize // max(1, budget)))])
+
+    def order(self) -> np.ndarray:
+        text, folder = self.text, self.folder
+        kinds = s_types(text, folder.array(bool, len(text)))
+        lms = lms_places(kinds, folder)
+        if len(lms) < 2:
+            return self._induced(lms, kinds, None)
+        found = Stream(folder, "<i8")
+        self._induced(lms, kinds, lambda at: found.add(at[is_lms(kinds, at)]))
+        by_substring = found.done()[::-1]
+        names, many = SuffixSorter._names(self, lms, by_substring)
+        if many == len(lms):
+            order = _with_end(by_substring, lms[-1], folder)
+        else:
+            order = _taken(lms, order_of_names(names, many, folder, self.budget, self.reach, self.base), folder)
+        return self._induced(order, kinds, None)
+
+    def _induced(self, lms: np.ndarray, kinds: np.ndarray, keep) -> np.ndarray | None:
+        """All suffixes in order, from LMS suffixes in the order in which those of one symbol shall stand; or, with ``keep``, the S-type ones to it, last first."""
+        ranges = len(self.cuts) + 1
+        seeds = BucketQueue(self.folder, False, self.budget, NAMED)
+        for lo in range(0, len(lms), BLOCK):
+            self._deal(seeds, np.asarray(lms[lo : lo + BLOCK]), False)
+        larges = [Stream(self.folder, NAMED) for _ in range(ranges)]
+        self._pass(kinds, False, lambda r: [*seeds.gathered(seeds.chunks.pop(r, []), BLOCK)], lambda r, at, symbol, seed: larges[r].add(_named(at[~seed], symbol[~seed])))
+        seeds.close()
+        whole = None if keep else Stream(self.folder, "<i8")
+
+        def out(r, at, symbol, seed):
+            if keep:
+                keep(at[~seed])
+            else:
+                whole.add(at)
+
+        self._pass(kinds, True, lambda r: [np.asarray(larges[r].done())[::-1]], out)
+        if keep:
+            return None
+        return _with_end(whole.done()[::-1], len(self.text) - 1, self.folder)
+
+    def _deal(self, queue: BucketQueue, at: np.ndarray, descending: bool) -> None:
+        """Pushes suffixes to the ranges of their symbols, in their order."""
+        symbol = np.asarray(self.text[at])
+        r = np.searchsorted(self.cuts, symbol, side="right")
+        order = np.argsort(r, kind="stable")
+        cuts = np.flatnonzero(np.diff(r[order], prepend=-1))
+        made = _named(at[order], symbol[order])
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
+            queue.push(int(r[order[a]]), made[a:b])
+
+    def _pass(self, kinds: np.ndarray, descending: bool, seeds, out) -> None:
+        """One induction; keys rise in the direction of the pass, and a symbol's induced suffixes come before its seeds."""
+        queue = BucketQueue(self.folder, descending, self.budget, NAMED)
+        ranges = len(self.cuts) + 1
+        sign = -1 if descending else 1
+        for r in range(ranges - 1, -1, -1) if descending else range(ranges):
+            mine = [*queue.gathered(queue.take(r), BLOCK)] if queue.first() == r else []
+            theirs = seeds(r)
+            both = np.concatenate([*mine, *theirs]) if mine or theirs else np.zeros(0, NAMED)
+            n = sum(map(len, mine))
+            at, key = both["at"], both["symbol"] * (2 * sign)
+            key[n:] += 1
+            order = np.argsort(key, kind="stable")
+            at, key = at[order], key[order]
+            late_at, late_key = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            lo = 0
+            while lo < len(at) or len(late_at):
+                hi = min(lo + self.window, len(at))
+                # Suffixes induced from now on stand behind those of their symbol that are there already.
+                bound = int(key[hi - 1]) if hi < len(at) else None
+                join = np.ones(len(late_at), bool) if bound is None else late_key < bound
+                now_at, now_key = np.concatenate((at[lo:hi], late_at[join])), np.concatenate((key[lo:hi], late_key[join]))
+                late_at, late_key, lo = late_at[~join], late_key[~join], hi
+                order = np.argsort(now_key, kind="stable")
+                now_at, now_key = now_at[order], now_key[order]
+                while len(now_at):
+                    prev = now_at - 1
+                    symbol = np.asarray(self.text[np.maximum(prev, 0)])
+                    ok = (prev >= 0) & (kinds[np.maximum(prev, 0)] == descending)
+                    own = ok & (np.searchsorted(self.cuts, symbol, side="right") == r)
+                    made = symbol * (2 * sign)
+                    near = own if bound is None else own & (made < bound)
+                    # Final are those before the least key that they induce here, and those of that key.
+                    stop = len(now_at) if not near.any() else int(np.searchsorted(now_key, made[near].min(), side="right"))
+                    ok, own, near = ok[:stop], own[:stop], near[:stop]
+                    out(r, now_at[:stop], now_key[:stop] // 2 * sign, (now_key[:stop] & 1).astype(bool))
+                    self._deal(queue, prev[:stop][ok & ~own], descending)
+                    late = own & ~near
+                    late_at, late_key = np.concatenate((late_at, prev[:stop][late])), np.concatenate((late_key, made[:stop][late]))
+                    now_at, now_key = now_at[stop:], now_key[stop:]
+                    if near.any():
+                        now_at, now_key = np.concatenate((now_at, prev[:stop][near])), np.concatenate((now_key, made[:stop][near]))
+                        order = np.argsort(now_key, kind="stable")
+                        now_at, now_key = now_at[order], now_key[order]
+        queue.close()
+
+
+def _named(at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    out = np.empty(len(at), NAMED)
+    out["at"], out["symbol"] = at, symbol
+    return out
+
+
 def order_in_memory(names: np.ndarray, reach: int) -> np.ndarray:
     """Order of the suffixes of a string of names, right at least for their first ``reach`` symbols."""
     n, rank, k = len(names), names.astype(np.int64), 1

@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 
 from registrylake.llm.common import written
 from registrylake.llm.encode import in_chunks, row_chunks
-from registrylake.llm.esais import SuffixSorter
+from registrylake.llm.esais import Folder, Stream, SuffixSorter
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES, HOT_BYTES, FILTER_BITS = 4 << 20, 64 << 20, 1 << 28
+SHARD_BYTES, HOT_BYTES, FILTER_BITS = 16 << 20, 64 << 20, 1 << 28
+BUDGET, BASE = 2 << 20, 1 << 18
+PLACE = np.dtype([("doc", "<i8"), ("t", "<i8"), ("start", "<i4"), ("size", "<i4"), ("null", "?")])
 SEGMENT = "doc_id long, t long, start int, n int, h long, c long, self boolean, ctx binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 _ODD = 0x9E3779B97F4A7C15
@@ -196,64 +198,118 @@ def candidates(keyed: DataFrame, groups: DataFrame, length: int, gram: int) -> D
     return written(keyed.mapInArrow(run, SEGMENT).join(groups, "h").withColumn("ctx", F.when(F.col("mixed"), F.col("ctx"))), "segments")
 
 
-def sort_shard(contexts: list, order: list, length: int, budget: int, base: int) -> list:
-    """For each context the windows that an earlier equal one has: (context, first window, last window) runs.
-
-    ``order``: the context's earliest place as (doc key, start); window i of it is at start + i.
-    """
-    with tempfile.TemporaryDirectory() as folder:
-        path = f"{folder}/text.bin"
-        sizes = np.array([len(c) for c in contexts], np.int64)
-        with open(path, "wb") as f:
-            for c in contexts:  # 0 is the end, 1 stands between contexts; no UTF-8 byte is above 0xF4
-                f.write((np.frombuffer(c, np.uint8) + np.uint8(2)).tobytes() + b"\x01")
-            f.write(b"\x00")
-        text = np.memmap(path, np.uint8, "r")
-        first = np.concatenate(([0], np.cumsum(sizes + 1)))
-        rank = np.empty(len(contexts), np.int64)  # contexts in order of place: ties of equal windows go by (place, start)
-        by = sorted(range(len(contexts)), key=order.__getitem__)
-        rank[by] = np.arange(len(by))
-        docs = {}
-        doc_no = np.array([docs.setdefault(order[i][0], len(docs)) for i in by], np.int64)  # ascending with the key
-        doc_of = np.empty(len(contexts), np.int64)
-        doc_of[by] = doc_no
-        start_of = np.array([o[1] for o in order], np.int64)
-        lost = np.zeros(int(first[-1]), bool)
-        tail: list = []
-
-        def settle(at: np.ndarray, head: np.ndarray) -> None:
-            """``at`` in sorted order, ``head``: starts a run of equal windows."""
-            ctx = np.searchsorted(first, at, side="right") - 1
-            inner = at - first[ctx]
-            fine = (ctx < len(contexts)) & (inner + length <= np.append(sizes, 0)[np.minimum(ctx, len(contexts))])
+class Shard:
+    """Contexts of one shard: their bytes in a file, their places beside it; and which of their windows are lost."""
+
+    def __init__(self, folder: Folder, length: int):
+        self.folder, self.length = folder, length
+        self.bytes, self.meta = Stream(folder, np.uint8), Stream(folder, PLACE)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """A batch of (doc_id, t, start, ctx)."""
+        binary = batch.column(3)
+        sizes = pc.binary_length(binary).to_numpy(zero_copy_only=False).astype(np.int64)
+        # 0 is the end, 1 stands behind each context; no UTF-8 byte is above 0xF4.
+        text = np.full(int(sizes.sum()) + len(sizes), 1, np.uint8)
+        inside = np.ones(len(text), bool)
+        inside[np.cumsum(sizes + 1) - 1] = False
+        text[inside] = np.frombuffer(b"".join(binary.to_pylist()), np.uint8) + np.uint8(2)
+        self.bytes.add(text)
+        made = np.empty(len(sizes), PLACE)
+        made["null"] = np.asarray(batch.column(0).is_valid())
+        made["doc"] = pc.fill_null(batch.column(0), 0).to_numpy()
+        made["t"], made["start"], made["size"] = batch.column(1).to_numpy(), batch.column(2).to_numpy(), sizes
+        self.meta.add(made)
+
+    def lost_runs(self, budget: int, base: int):
+        """Yields (doc_id, t, first window, last window) arrays, doc_id with the mask of those that are there."""
+        self.bytes.add(np.zeros(1, np.uint8))
+        text, meta = self.bytes.done(), self.meta.done()
+        n = len(meta)
+        first = np.zeros(n + 1, np.int64)
+        first[0] = 0
+        np.cumsum(meta["size"] + 1, out=first[1:])
+        # Documents in order of (doc_id, null first, digest); a context's number is its document's.
+        low = meta["t"] >> 33 & ((1 << 31) - 1)
+        by = np.lexsort((low, meta["doc"], meta["null"]))
+        new = np.ones(n, bool)
+        for key in (low, meta["doc"], meta["null"]):
+            new[1:] &= key[by[1:]] == key[by[:-1]]
+        new[1:] = ~new[1:]
+        doc_of = self.folder.array("<i8", n)
+        doc_of[by] = np.cumsum(new)
+        del by, new, low
+        lost = self.folder.array(bool, len(text))
+        start_of, sizes, length = meta["start"], np.append(meta["size"], 0), self.length
+        best: tuple | None = None  # of the run that may go on: document, place, positions
+
+        def settle(chunk: np.ndarray) -> None:
+            """Sorted suffixes: of each run of equal windows only the earliest place is kept; the last run may go on."""
+            nonlocal best
+            at, head = chunk["at"], chunk["lcp"] < length
             run = np.cumsum(head)
+            goes_on = run[-1] == 0  # no new run began in this chunk
+            many = ~head
+            many[:-1] |= ~head[1:]
+            many[-1] = True  # others may follow
+            at, run = at[many], run[many]
+            ctx = np.searchsorted(first, at, side="right") - 1
+            inner = at - first[np.minimum(ctx, n)]
+            fine = (ctx < n) & (inner + length <= sizes[np.minimum(ctx, n)])
             at, ctx, inner, run = at[fine], ctx[fine], inner[fine], run[fine]
-            place = start_of[ctx] + inner
-            sort = np.lexsort((place, doc_of[ctx], run))
-            run, at = run[sort], at[sort]
-            d, p = doc_of[ctx[sort]], place[sort]
-            lead = np.flatnonzero(np.diff(run, prepend=-1))
-            group = np.repeat(lead, np.diff(np.append(lead, len(run))))
-            lost[at[(d != d[group]) | (p != p[group])]] = True
-
-        for chunk in SuffixSorter(text, folder, budget, length, base).runs():
-            tail.append(chunk)
-            if sum(map(len, tail)) > 1 << 19:
-                both = np.concatenate(tail)
-                heads = np.flatnonzero(both["lcp"] < length)
-                if len(heads) and heads[-1] > 0:  # the last run may go on
-                    settle(both["at"][: heads[-1]], both["lcp"][: heads[-1]] < length)
-                    tail = [both[heads[-1] :]]
+            if len(at):
+                d, p = doc_of[ctx], start_of[ctx] + inner
+                sort = np.lexsort((p, d, run))
+                run, at, d, p = run[sort], at[sort], d[sort], p[sort]
+                lead = np.flatnonzero(np.diff(run, prepend=-1))
+                group = np.repeat(lead, np.diff(np.append(lead, len(run))))
+                same = (d == d[group]) & (p == p[group])
+                lost[at[~same]] = True
+                if best is not None and run[0] == 0:  # the run from before goes on
+                    mine, here = (int(d[0]), int(p[0])), at[(run == 0) & same]
+                    if mine < best[:2]:
+                        lost[best[2]] = True
+                        kept = (*mine, here)
+                    elif mine > best[:2]:
+                        lost[here] = True
+                        kept = best
+                    else:
+                        kept = (*mine, np.concatenate((best[2], here)))
+                else:
+                    kept = best if goes_on else None
+                last = run == run[-1]
+                if run[-1] == np.sum(head):
+                    best = kept if run[-1] == 0 and kept is not None else (int(d[lead[-1]]), int(p[lead[-1]]), at[last & same])
                 else:
-                    tail = [both]
-        if tail:
-            both = np.concatenate(tail)
-            settle(both["at"], both["lcp"] < length)
-        del text
-    edge = np.diff(lost.astype(np.int8), prepend=0, append=0)
-    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
-    ctx = np.searchsorted(first, begin, side="right") - 1
-    return list(zip(ctx.tolist(), (begin - first[ctx]).tolist(), (end - first[ctx]).tolist()))
+                    best = None
+            elif not goes_on:
+                best = None
+
+        SuffixSorter(text, self.folder, budget, length, base).visit(settle)
+        for lo in range(0, n, 1 << 12):
+            hi = min(lo + (1 << 12), n)
+            here = np.asarray(lost[first[lo] : first[hi]])
+            edge = np.diff(here.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
+            begin, end = np.flatnonzero(edge == 1) + first[lo], np.flatnonzero(edge == -1) - 1 + first[lo]
+            ctx = np.searchsorted(first, begin, side="right") - 1
+            yield meta["doc"][ctx], meta["null"][ctx], meta["t"][ctx], start_of[ctx] + (begin - first[ctx]), start_of[ctx] + (end - first[ctx])
+
+
+def sorted_shard(batches, length: int, budget: int, base: int, report: dict | None = None):
+    """doc_id, t, a, b: the windows of the shard's contexts that start earlier elsewhere in it, by the external suffix sort."""
+    with tempfile.TemporaryDirectory() as path:
+        folder = Folder(path)
+        shard, any_ = Shard(folder, length), False
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                shard.add(batch.slice(lo, 4096))
+                any_ = True
+        if any_:
+            for doc, there, t, a, b in shard.lost_runs(budget, base):
+                if len(doc):
+                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc, pa.int64(), mask=~there.astype(bool)), "t": pa.array(t, pa.int64()), "a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32())})
+        if report is not None:
+            report.update(spills=folder.spills, recursions=folder.recursions)
 
 
 def lost_windows(rows: DataFrame, length: int, shard_bytes: int, hot_bytes: int, budget: int, base: int) -> DataFrame:
@@ -265,45 +321,27 @@ def lost_windows(rows: DataFrame, length: int, shard_bytes: int, hot_bytes: int,
     copies = met.select("doc_id", "t", F.col("start").alias("a"), (F.col("start") + F.col("n") - 1).alias("b"))
     mixed = keyed.filter(F.col("ctx").isNotNull()).join(firsts, ["h", "c"]).filter("o = first").dropDuplicates(["h", "c"]).select("h", "doc_id", "t", "start", "n", "ctx")
     mixed = written(mixed, "contexts")
-    sizes = mixed.groupBy("h").agg(F.sum(F.length("ctx")).alias("bytes"))
-    total = mixed.agg(F.sum(F.length("ctx"))).first()[0] or 0
-    hot = sizes.filter(F.col("bytes") > hot_bytes).select("h")
+    hot = mixed.groupBy("h").agg(F.sum(F.length("ctx")).alias("bytes"), F.sum("n").alias("windows")).filter(F.col("bytes") > hot_bytes)
+    hot = written(hot, "hot-anchors")
+    more, least, any_hot = hot.agg(F.coalesce(F.sum("windows"), F.lit(0)) * (length + 1), F.coalesce(F.sum("bytes"), F.lit(0)), F.count("h")).first()
+    total = (mixed.agg(F.sum(F.length("ctx") + 1)).first()[0] or 0) - least + more
     shards = max(1, -(-total // shard_bytes))
+    shard = mixed.select("doc_id", "t", "start", "ctx", F.xxhash64("h").alias("s"))
+    if any_hot:
+        # A hot anchor is spread by its windows: equal ones meet in one shard, where the sort settles them as any others.
+        each = mixed.join(hot.select("h"), "h", "left_semi").select("doc_id", "t", "start", "ctx", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
+        window = F.substring("ctx", F.col("k") + 1, length)
+        single = each.select("doc_id", "t", (F.col("start") + F.col("k")).cast("int").alias("start"), window.alias("ctx"), F.xxhash64(window).alias("s"))
+        shard = mixed.join(hot.select("h"), "h", "left_anti").select("doc_id", "t", "start", "ctx", F.xxhash64("h").alias("s")).unionByName(single)
 
     def sort(batches):
-        held = pa.Table.from_batches(list(batches)) if batches else None
-        if held is None or not held.num_rows:
-            return
-        doc_id, t, start = (held.column(c).to_pylist() for c in ("doc_id", "t", "start"))
-        order = [((i is not None, i or 0, d >> 33 & (1 << 31) - 1), s) for i, d, s in zip(doc_id, t, start)]
-        got = sort_shard(held.column("ctx").to_pylist(), order, length, budget, base)
-        if got:
-            ctx, a, b = zip(*got)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc_id[i] for i in ctx], pa.int64()), "t": pa.array([t[i] for i in ctx], pa.int64()), "a": pa.array([start[i] + x for i, x in zip(ctx, a)], pa.int32()), "b": pa.array([start[i] + x for i, x in zip(ctx, b)], pa.int32())})
-
-    def all_of(batches):
-        yield from sort(list(batches))
-
-    calm = mixed.join(hot, "h", "left_anti").repartition(shards, F.xxhash64("h"))
-    sorted_ = calm.mapInArrow(all_of, "doc_id long, t long, a int, b int")
-
-    def windows(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                rows_ = [(i, t, s + k, ctx[k : k + length]) for i, t, s, n, ctx in zip(*(part.column(c).to_pylist() for c in range(1, 6))) for k in range(n)]
-                ids, ts, at, text = zip(*rows_)
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "t": pa.array(ts, pa.int64()), "start": pa.array(at, pa.int32()), "w": pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in text], pa.binary())})
+        yield from sorted_shard(batches, length, budget, base)
 
-    if hot.limit(1).count() == 0:
-        return copies.unionByName(sorted_)
-    single = written(mixed.join(hot, "h", "left_semi").mapInArrow(windows, "doc_id long, t long, start int, w binary").withColumn("o", _order()), "windows")
-    least = single.groupBy("w").agg(F.min("o").alias("first"))
-    again = single.join(least, "w").filter("o <> first").select("doc_id", "t", F.col("start").alias("a"), F.col("start").alias("b"))
-    return copies.unionByName(sorted_).unionByName(again)
+    sorted_ = shard.repartition(shards, "s").select("doc_id", "t", "start", "ctx").mapInArrow(sort, "doc_id long, t long, a int, b int")
+    return copies.unionByName(sorted_)
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, budget: int = 32 << 20, base: int = 4 << 20) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, budget: int = BUDGET, base: int = BASE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every row of ``docs`` (doc_id, text)."""
     keyed = _keyed(docs)
     groups = anchor_groups(keyed, length, gram)

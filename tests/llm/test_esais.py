@@ -1,4 +1,5 @@
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -16,14 +17,15 @@ def texts():
     yield [r.choice((3, 3, 3, 7)) for _ in range(500)]
 
 
-@pytest.mark.parametrize("kind", [np.int64, np.uint8])
-@pytest.mark.parametrize("how", [{}, {"budget": 60, "base": 8, "step": 5}])
+@pytest.mark.parametrize("kind", [np.uint8])
+@pytest.mark.parametrize("how", [{}, {"budget": 60, "base": 8, "step": 5}, {"budget": 400, "base": 4}])
 def test_all_suffixes_in_order_with_common_prefixes(tmp_path, how, kind):
     for limit in (1000, 7):
         for raw in texts():
             text = np.array([*raw, 0], kind)
-            s = esais.SuffixSorter(text, str(tmp_path), limit=limit, **how)
-            chunks = list(s.runs())
+            with tempfile.TemporaryDirectory(dir=tmp_path) as path:
+                chunks = []
+                esais.SuffixSorter(text, esais.Folder(path), limit=limit, **how).visit(lambda c: chunks.append(c.copy()))
             at = np.concatenate([c["at"] for c in chunks]) if chunks else np.zeros(0, int)
             lcp = np.concatenate([c["lcp"] for c in chunks]) if chunks else np.zeros(0, int)
             suffix = {i: tuple(text[i:].tolist()) for i in range(len(text))}
@@ -37,11 +39,24 @@ def test_all_suffixes_in_order_with_common_prefixes(tmp_path, how, kind):
 
 
 def test_queue_spills_and_keeps_order(tmp_path):
-    q = esais.BucketQueue(str(tmp_path), False, 100)
+    q = esais.BucketQueue(esais.Folder(str(tmp_path)), False, 100)
     for i in range(50):
         q.push(i % 3, esais.entries(np.array([i]), np.array([0])))
     got = []
     while q.heap:
         s = q.first()
         got += [(s, int(x)) for part in q.take(s) for x in q.read(part)["at"]]
-    assert q.spills and got == sorted((i % 3, i) for i in range(50))
+    assert q.folder.spills and got == sorted((i % 3, i) for i in range(50))
+
+
+@pytest.mark.parametrize("window, base, budget", [(4096, 4, 1 << 20), (3, 2, 50), (1, 2, 300)])
+def test_names_are_sorted_by_recursive_induction(tmp_path, window, base, budget):
+    r = random.Random(9)
+    raws = [[r.randrange(1, 1 + k) for _ in range(n)] for k in (1, 2, 5, 400) for n in (1, 3, 30, 700)] + [[1, 2] * 200, [5, 4, 3, 2, 1] * 50, [7] * 300 + [3] * 5 + [7] * 300]
+    for raw in raws:
+        text = np.array([*raw, 0], np.int64)
+        with tempfile.TemporaryDirectory(dir=tmp_path) as path:
+            folder = esais.Folder(path)
+            order = esais.NameSorter(text, len(set(raw)) + 1, folder, budget, 10**6, base, window).order()
+            assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+            assert budget > 50 or len(raw) < 300 or len(set(raw)) < 100 or folder.spills

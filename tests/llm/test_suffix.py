@@ -1,10 +1,12 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from registrylake.llm import suffix
+from registrylake.llm import esais, suffix
 
 
 def brute(rows, length):
@@ -51,7 +53,7 @@ def corpus(seed, n=60):
 ODD = [(5000, None), (5001, ""), (5002, "a" * 900), (5003, "a" * 500), (5004, "abc" * 200), (5005, "xyz" * 10), (None, "a" * 150), (5006, "日本" * 80), (5006, "日本" * 80), (5007, "q" * 60000)]
 
 
-@pytest.mark.parametrize("how", [{}, {"shard_bytes": 3000, "budget": 500, "base": 50}, {"hot_bytes": 500}])
+@pytest.mark.parametrize("how", [{}, {"shard_bytes": 3000, "budget": 500, "base": 50}, {"hot_bytes": 500}, {"hot_bytes": 0, "shard_bytes": 20000, "base": 100}])
 def test_against_brute_force(docs_of, how):
     rows = corpus(1) + ODD
     assert run(docs_of(rows, "start"), length=30, gram=8, **how) == brute(rows, 30)
@@ -75,3 +77,65 @@ def test_equal_windows_share_their_anchor():
     of = {(int(d), int(s) + k): int(a) for d, s, m, a in zip(doc, start, n, h) for k in range(m)}
     assert len(of) == sum(len(x) - 99 for x in texts)
     assert all(of[0, 50 + k] == of[1, 50 + k] for k in range(61))
+
+
+def spread(seed, size):
+    """Contexts with many repeats among them, as one batch after another."""
+    r = random.Random(seed)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9))) for _ in range(300)]
+    pool = [" ".join(r.choice(words) for _ in range(200)) for _ in range(50)]
+    made = 0
+    while made < size:
+        rows = []
+        for _ in range(500):
+            text = r.choice(pool)
+            at = r.randrange(len(text) - 170)
+            ctx = (text[at : at + r.randrange(100, 169)] if r.random() < 0.5 else " ".join(r.choice(words) for _ in range(30)))[:168].encode()
+            rows.append((r.randrange(10**6), r.getrandbits(62), r.randrange(1000), ctx))
+            made += len(ctx)
+        yield pa.RecordBatch.from_pydict(dict(zip(("doc_id", "t", "start", "ctx"), (pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))))))
+
+
+def lost_of(batches, length=100):
+    """Brute force over the windows of all contexts."""
+    best, places = {}, []
+    for b in batches:
+        for doc, t, start, ctx in zip(*(c.to_pylist() for c in b.columns)):
+            for k in range(len(ctx) - length + 1):
+                key = (doc, t >> 33 & (1 << 31) - 1, start + k)
+                places.append((ctx[k : k + length], key, (doc, t, start + k)))
+                best[ctx[k : k + length]] = min(best.get(ctx[k : k + length], key), key)
+    return {at for w, key, at in places if key != best[w]}
+
+
+@pytest.mark.parametrize("how", [(1 << 30, 1 << 30), (2000, 200), (500, 20)])
+def test_a_shard_against_brute_force(how):
+    batches = list(spread(3, 150_000))
+    report: dict = {}
+    got = set()
+    for b in suffix.sorted_shard(iter(batches), 100, *how, report):
+        for doc, t, a, z in zip(*(c.to_pylist() for c in b.columns)):
+            got |= {(doc, t, k) for k in range(a, z + 1)}
+    assert got == lost_of(batches) and len(got) > 1000
+    assert how[0] > 10**6 or (report["spills"] > 0 and report["recursions"] > 0)
+
+
+def test_production_settings_spill_and_recurse():
+    """In a full default shard the queues spill and names are sorted by recursion."""
+    report: dict = {}
+    rows = sum(b.num_rows for b in suffix.sorted_shard(spread(4, suffix.SHARD_BYTES), 100, suffix.BUDGET, suffix.BASE, report))
+    assert report["spills"] > 0 and report["recursions"] > 0 and rows > 0
+
+
+def test_memory_stays_far_below_the_shard(monkeypatch):
+    """All that is allocated in a sort of a shard, with small blocks and budgets: the rest is in files."""
+    monkeypatch.setattr(esais, "BLOCK", esais.BLOCK // 32)
+    peaks = []
+    for size in (3 << 20, 12 << 20):
+        report: dict = {}
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in suffix.sorted_shard(spread(4, size), 100, suffix.BUDGET // 8, suffix.BASE // 32, report))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert rows > 0 and report["spills"] > 0 and report["recursions"] > 0
+    assert peaks[1] < 8 << 20 and peaks[1] < 2 * peaks[0]
