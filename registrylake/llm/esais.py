@@ -27,21 +27,39 @@ import uuid
 
 import numpy as np
 
-ENTRY = np.dtype([("at", "<i8"), ("lcp", "<i2")])
-NAMED = np.dtype([("at", "<i8"), ("symbol", "<i8")])
+#: Suffix tuples: position and common prefix, or position and name; positions take four bytes in texts below 2 GB.
+ENTRY = {4: np.dtype([("at", "<i4"), ("lcp", "<i2")]), 8: np.dtype([("at", "<i8"), ("lcp", "<i2")])}
+NAMED = {4: np.dtype([("at", "<i4"), ("symbol", "<i4")]), 8: np.dtype([("at", "<i8"), ("symbol", "<i8")])}
 FAR = np.int16(32767)
 BLOCK = 1 << 18
 
 
+def width(text: np.ndarray) -> int:
+    """Bytes of a position."""
+    return 4 if len(text) < 1 << 31 else 8
+
+
+def joined(parts: list) -> np.ndarray:
+    """Tuples of several arrays in one; as plain bytes, since numpy looks at each field of each array otherwise."""
+    if len(parts) == 1:
+        return parts[0]
+    kind = parts[0].dtype
+    plain = np.dtype(f"V{kind.itemsize}")
+    return np.concatenate([np.ascontiguousarray(p).view(plain) for p in parts]).view(kind)
+
+
 class Folder:
-    """Files of one sort, and what it did."""
+    """Files of one sort, and what it did; a file's space is free again when its array is no longer used."""
 
     def __init__(self, path: str):
         self.path, self.spills, self.recursions = path, 0, 0
 
     def array(self, dtype, size: int) -> np.ndarray:
-        """An array in a file of its own, which goes with the folder."""
-        return np.asarray(np.memmap(os.path.join(self.path, uuid.uuid4().hex), dtype, "w+", shape=(max(1, size),)))[:size]
+        """An array in a file of its own."""
+        path = os.path.join(self.path, uuid.uuid4().hex)
+        made = np.asarray(np.memmap(path, dtype, "w+", shape=(max(1, size),)))[:size]
+        os.unlink(path)
+        return made
 
 
 class Stream:
@@ -57,13 +75,15 @@ class Stream:
 
     def done(self) -> np.ndarray:
         self.file.close()
-        return np.asarray(np.memmap(self.path, self.dtype, "r")) if self.size else np.zeros(0, self.dtype)
+        made = np.asarray(np.memmap(self.path, self.dtype, "r")) if self.size else np.zeros(0, self.dtype)
+        os.unlink(self.path)
+        return made
 
 
 class BucketQueue:
     """Symbols in order, each with its tuples in order of arrival; tuples beyond ``budget`` are on disk."""
 
-    def __init__(self, folder: Folder, descending: bool, budget: int, dtype=ENTRY):
+    def __init__(self, folder: Folder, descending: bool, budget: int, dtype: np.dtype):
         self.sign, self.budget, self.held, self.folder, self.dtype = -1 if descending else 1, budget, 0, folder, dtype
         self.file = tempfile.TemporaryFile(dir=folder.path)
         self.heap, self.chunks = [], {}
@@ -85,9 +105,9 @@ class BucketQueue:
             if fresh:
                 # A symbol's chunks in memory are its last ones; they become one on disk.
                 where = self.file.tell()
-                joined = fresh[0] if len(fresh) == 1 else np.concatenate(fresh)
-                self.file.write(joined.tobytes())
-                parts[len(parts) - len(fresh) :] = [(where, len(joined))]
+                one = joined(fresh)
+                self.file.write(one.tobytes())
+                parts[len(parts) - len(fresh) :] = [(where, len(one))]
         self.held = 0
         self.folder.spills += 1
 
@@ -120,17 +140,17 @@ class BucketQueue:
                 held.append(self.read(part, lo, k))
                 size += k
                 if size >= step:
-                    yield held[0] if len(held) == 1 else np.concatenate(held[::-1] if backwards else held)
+                    yield joined(held[::-1] if backwards else held)
                     held, size = [], 0
         if held:
-            yield held[0] if len(held) == 1 else np.concatenate(held[::-1] if backwards else held)
+            yield joined(held[::-1] if backwards else held)
 
     def close(self) -> None:
         self.file.close()
 
 
-def entries(at: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    out = np.empty(len(at), ENTRY)
+def entries(at: np.ndarray, lcp: np.ndarray, kind: np.dtype) -> np.ndarray:
+    out = np.empty(len(at), kind)
     out["at"], out["lcp"] = at, lcp
     return out
 
@@ -159,7 +179,7 @@ def is_lms(kinds: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def lms_places(kinds: np.ndarray, folder: Folder) -> np.ndarray:
     """The LMS places in order of the text."""
-    out = Stream(folder, "<i8")
+    out = Stream(folder, f"<i{width(kinds)}")
     for lo in range(1, len(kinds), BLOCK):
         part = kinds[lo - 1 : lo + BLOCK]
         out.add(np.flatnonzero(part[1:] & ~part[:-1]) + lo)
@@ -208,7 +228,8 @@ class Induction:
 
     def __init__(self, text: np.ndarray, kinds: np.ndarray, folder: Folder, descending: bool, budget: int, limit: int | None):
         self.text, self.kinds, self.descending, self.limit = text, kinds, descending, limit
-        self.queue = BucketQueue(folder, descending, budget)
+        self.kind = ENTRY[width(text)]
+        self.queue = BucketQueue(folder, descending, budget, self.kind)
         self.least: dict = {}  # symbol -> least common prefix passed since its last tuple
         self.last: int | None = None  # position passed last
 
@@ -254,7 +275,7 @@ class Induction:
                 self.least.update(got)
             else:
                 new = np.zeros(len(k), np.int16)
-            made = entries(prev[k], new)
+            made = entries(prev[k], new, self.kind)
             for a, b in zip(cuts.tolist(), ends.tolist()):
                 self.queue.push(int(x[a]), made[a:b])
         elif self.limit is not None and len(at):
@@ -318,7 +339,7 @@ class SuffixSorter:
 
     def _induce(self, seeds, kinds: np.ndarray, limit: int | None, out) -> None:
         """From LMS suffixes by symbol all suffixes; ``out(chunk, is_s)`` in descending order."""
-        larges = BucketQueue(self.folder, True, self.budget)
+        larges = BucketQueue(self.folder, True, self.budget, ENTRY[width(self.text)])
         self._pass(seeds, False, kinds, limit, larges.push)
         self._pass(_Reversed(larges, self.step), True, kinds, limit, lambda symbol, chunk: out(chunk, True), lambda chunk: out(chunk, False))
         larges.close()
@@ -330,15 +351,15 @@ class SuffixSorter:
         lms = lms_places(kinds, folder)
         if len(lms) < 2:
             return lms, kinds
-        seeds = BucketQueue(folder, False, self.budget)
+        seeds = BucketQueue(folder, False, self.budget, ENTRY[width(text)])
         for lo in range(0, len(lms), self.step):
             part = np.asarray(lms[lo : lo + self.step])
             heads = text[part]
             order = np.argsort(heads, kind="stable")
             cuts = np.flatnonzero(np.diff(heads[order].astype(np.int64), prepend=-1))
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
-                seeds.push(int(heads[order[a]]), entries(part[order[a:b]], np.zeros(b - a, np.int16)))
-        found = Stream(folder, "<i8")
+                seeds.push(int(heads[order[a]]), entries(part[order[a:b]], np.zeros(b - a, np.int16), seeds.dtype))
+        found = Stream(folder, f"<i{width(text)}")
 
         def keep(chunk, is_s):
             if is_s:
@@ -355,7 +376,7 @@ class SuffixSorter:
 
     def _names(self, lms: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, int]:
         """Names of the LMS substrings in text order, equal substrings sharing one, and how many there are."""
-        text, names, number = self.text, self.folder.array("<i8", len(lms)), self.folder.array("<i4", len(self.text))
+        text, names, number = self.text, self.folder.array(f"<i{width(self.text)}", len(lms)), self.folder.array(f"<i{width(self.text)}", len(self.text))
         names[len(lms) - 1] = 0
         for lo in range(0, len(lms), BLOCK):
             number[lms[lo : lo + BLOCK]] = np.arange(lo, min(lo + BLOCK, len(lms)))
@@ -392,7 +413,7 @@ class SuffixSorter:
 
 
 def _with_end(ordered: np.ndarray, end: int, folder: Folder) -> np.ndarray:
-    out = Stream(folder, "<i8")
+    out = Stream(folder, ordered.dtype)
     out.add(np.array([end]))
     for lo in range(0, len(ordered), BLOCK):
         out.add(ordered[lo : lo + BLOCK])
@@ -400,7 +421,7 @@ def _with_end(ordered: np.ndarray, end: int, folder: Folder) -> np.ndarray:
 
 
 def _taken(values: np.ndarray, order: np.ndarray, folder: Folder) -> np.ndarray:
-    out = Stream(folder, "<i8")
+    out = Stream(folder, values.dtype)
     for lo in range(0, len(order), BLOCK):
         out.add(values[np.asarray(order[lo : lo + BLOCK])])
     return out.done()
@@ -420,7 +441,7 @@ class _Sorted:
     """Sorted suffixes as seeds, by symbol."""
 
     def __init__(self, text, order, lcp, step):
-        self.order, self.lcp, self.step = order, lcp, step
+        self.order, self.lcp, self.step, self.kind = order, lcp, step, ENTRY[width(text)]
         cuts, heads, before = [], [], -1
         for lo in range(0, len(order), BLOCK):
             head = text[np.asarray(order[lo : lo + BLOCK])].astype(np.int64)
@@ -435,7 +456,7 @@ class _Sorted:
         first, last = self.spans[symbol]
         for lo in range(first, last, self.step):
             hi = min(lo + self.step, last)
-            yield entries(self.order[lo:hi], self.lcp[lo:hi])
+            yield entries(self.order[lo:hi], self.lcp[lo:hi], self.kind)
 
 
 class _Reversed:
@@ -460,7 +481,7 @@ class _Reversed:
 def order_of_names(names: np.ndarray, many: int, folder: Folder, budget: int, reach: int, base: int) -> np.ndarray:
     """The suffixes of a string of ``many`` different names, in order at least of their first ``reach`` symbols."""
     if len(names) <= base:
-        return order_in_memory(np.asarray(names), reach)
+        return order_in_memory(names, reach).astype(names.dtype)
     folder.recursions += 1
     return NameSorter(names, many, folder, budget, reach, base).order()
 
@@ -470,9 +491,10 @@ class NameSorter:
 
     def __init__(self, text: np.ndarray, many: int, folder: Folder, budget: int, reach: int, base: int, window: int = 4096):
         self.text, self.many, self.folder, self.budget, self.reach, self.base, self.window = text, many, folder, budget, reach, base, window
+        self.kind = NAMED[width(text)]
         # Ranges of symbols with about equally many suffixes, by a sample of the text.
         sample = np.sort(np.asarray(text[:: max(1, len(text) // 4096)]))
-        self.cuts = np.unique(sample[:: max(1, len(sample) // max(64, len(text) * NAMED.itemsize // max(1, budget)))])
+        self.cuts = np.unique(sample[:: max(1, len(sample) // max(64, len(text) * self.kind.itemsize // max(1, budget)))])
 
     def order(self) -> np.ndarray:
         text, folder = self.text, self.folder
@@ -480,7 +502,7 @@ class NameSorter:
         lms = lms_places(kinds, folder)
         if len(lms) < 2:
             return self._induced(lms, kinds, None)
-        found = Stream(folder, "<i8")
+        found = Stream(folder, f"<i{width(text)}")
         self._induced(lms, kinds, lambda at: found.add(at[is_lms(kinds, at)]))
         by_substring = found.done()[::-1]
         names, many = SuffixSorter._names(self, lms, by_substring)
@@ -493,13 +515,13 @@ class NameSorter:
     def _induced(self, lms: np.ndarray, kinds: np.ndarray, keep) -> np.ndarray | None:
         """All suffixes in order, from LMS suffixes in the order in which those of one symbol shall stand; or, with ``keep``, the S-type ones to it, last first."""
         ranges = len(self.cuts) + 1
-        seeds = BucketQueue(self.folder, False, self.budget, NAMED)
+        seeds = BucketQueue(self.folder, False, self.budget, self.kind)
         for lo in range(0, len(lms), BLOCK):
             self._deal(seeds, np.asarray(lms[lo : lo + BLOCK]), False)
-        larges = [Stream(self.folder, NAMED) for _ in range(ranges)]
-        self._pass(kinds, False, lambda r: [*seeds.gathered(seeds.chunks.pop(r, []), BLOCK)], lambda r, at, symbol, seed: larges[r].add(_named(at[~seed], symbol[~seed])))
+        larges = [Stream(self.folder, self.kind) for _ in range(ranges)]
+        self._pass(kinds, False, lambda r: [*seeds.gathered(seeds.chunks.pop(r, []), BLOCK)], lambda r, at, symbol, seed: larges[r].add(self._named(at[~seed], symbol[~seed])))
         seeds.close()
-        whole = None if keep else Stream(self.folder, "<i8")
+        whole = None if keep else Stream(self.folder, f"<i{width(self.text)}")
 
         def out(r, at, symbol, seed):
             if keep:
@@ -512,27 +534,32 @@ class NameSorter:
             return None
         return _with_end(whole.done()[::-1], len(self.text) - 1, self.folder)
 
+    def _named(self, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        out = np.empty(len(at), self.kind)
+        out["at"], out["symbol"] = at, symbol
+        return out
+
     def _deal(self, queue: BucketQueue, at: np.ndarray, descending: bool) -> None:
         """Pushes suffixes to the ranges of their symbols, in their order."""
         symbol = np.asarray(self.text[at])
         r = np.searchsorted(self.cuts, symbol, side="right")
         order = np.argsort(r, kind="stable")
         cuts = np.flatnonzero(np.diff(r[order], prepend=-1))
-        made = _named(at[order], symbol[order])
+        made = self._named(at[order], symbol[order])
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
             queue.push(int(r[order[a]]), made[a:b])
 
     def _pass(self, kinds: np.ndarray, descending: bool, seeds, out) -> None:
         """One induction; keys rise in the direction of the pass, and a symbol's induced suffixes come before its seeds."""
-        queue = BucketQueue(self.folder, descending, self.budget, NAMED)
+        queue = BucketQueue(self.folder, descending, self.budget, self.kind)
         ranges = len(self.cuts) + 1
         sign = -1 if descending else 1
         for r in range(ranges - 1, -1, -1) if descending else range(ranges):
             mine = [*queue.gathered(queue.take(r), BLOCK)] if queue.first() == r else []
             theirs = seeds(r)
-            both = np.concatenate([*mine, *theirs]) if mine or theirs else np.zeros(0, NAMED)
+            both = joined([*mine, *theirs]) if mine or theirs else np.zeros(0, self.kind)
             n = sum(map(len, mine))
-            at, key = both["at"], both["symbol"] * (2 * sign)
+            at, key = both["at"].astype(np.int64), both["symbol"].astype(np.int64) * (2 * sign)
             key[n:] += 1
             order = np.argsort(key, kind="stable")
             at, key = at[order], key[order]
@@ -549,7 +576,7 @@ class NameSorter:
                 now_at, now_key = now_at[order], now_key[order]
                 while len(now_at):
                     prev = now_at - 1
-                    symbol = np.asarray(self.text[np.maximum(prev, 0)])
+                    symbol = self.text[np.maximum(prev, 0)].astype(np.int64)
                     ok = (prev >= 0) & (kinds[np.maximum(prev, 0)] == descending)
                     own = ok & (np.searchsorted(self.cuts, symbol, side="right") == r)
                     made = symbol * (2 * sign)
@@ -569,12 +596,6 @@ class NameSorter:
         queue.close()
 
 
-def _named(at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    out = np.empty(len(at), NAMED)
-    out["at"], out["symbol"] = at, symbol
-    return out
-
-
 def order_in_memory(names: np.ndarray, reach: int) -> np.ndarray:
     """Order of the suffixes of a string of names, right at least for their first ``reach`` symbols."""
     n, rank, k = len(names), names.astype(np.int64), 1

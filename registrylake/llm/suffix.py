@@ -30,8 +30,8 @@ from registrylake.llm.encode import in_chunks, row_chunks
 from registrylake.llm.esais import Folder, Stream, SuffixSorter
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES, HOT_BYTES, FILTER_BITS = 16 << 20, 64 << 20, 1 << 28
-BUDGET, BASE = 2 << 20, 1 << 18
+SHARD_BYTES, HOT_BYTES, FILTER_BITS = 4 << 20, 64 << 20, 1 << 28
+BUDGET, BASE = 1 << 20, 1 << 19
 PLACE = np.dtype([("doc", "<i8"), ("t", "<i8"), ("start", "<i4"), ("size", "<i4"), ("null", "?")])
 SEGMENT = "doc_id long, t long, start int, n int, h long, c long, self boolean, ctx binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
@@ -246,7 +246,7 @@ class Shard:
         def settle(chunk: np.ndarray) -> None:
             """Sorted suffixes: of each run of equal windows only the earliest place is kept; the last run may go on."""
             nonlocal best
-            at, head = chunk["at"], chunk["lcp"] < length
+            at, head = chunk["at"].astype(np.int64), chunk["lcp"] < length
             run = np.cumsum(head)
             goes_on = run[-1] == 0  # no new run began in this chunk
             many = ~head

@@ -39,9 +39,9 @@ def test_all_suffixes_in_order_with_common_prefixes(tmp_path, how, kind):
 
 
 def test_queue_spills_and_keeps_order(tmp_path):
-    q = esais.BucketQueue(esais.Folder(str(tmp_path)), False, 100)
+    q = esais.BucketQueue(esais.Folder(str(tmp_path)), False, 100, esais.ENTRY[4])
     for i in range(50):
-        q.push(i % 3, esais.entries(np.array([i]), np.array([0])))
+        q.push(i % 3, esais.entries(np.array([i]), np.array([0]), q.dtype))
     got = []
     while q.heap:
         s = q.first()
