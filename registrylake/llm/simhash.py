@@ -7,8 +7,8 @@ goes down pairs of nodes level by level, adds up the bits in which the two paths
 pair as soon as they exceed the budget. A pair of nodes whose members are known to be one class already
 is dropped as well, and a trie's members that differ in one bit are linked first; a large group of near
 copies thus costs its members, not its pairs. The join returns a spanning forest of links, never the
-pairs of a group. A block value with very many fingerprints is split: its trie is cut into subtries, and each
-pair of subtries that the budget allows is a task's share.
+pairs of a group. A block value with very many fingerprints is split: what lies behind the block is cut into blocks in
+turn, and each fingerprint goes to as many tries as there are of them.
 
 Nulls, empties and ties: a text without words (null, empty, white space) has fingerprint zero and is
 linked like any other; equal texts share their fingerprint and class; the class id is the smallest
@@ -169,53 +169,72 @@ def _range_label(label: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarra
     return np.where(changes[hi - 1] == changes[lo], label[lo], -1)
 
 
-def _turned(values: np.ndarray, bits: int) -> np.ndarray:
-    return values if not bits else (values << np.uint64(bits)) | (values >> np.uint64(64 - bits))
+def split_columns(budget: int) -> list:
+    """For each of the ``budget + 1`` blocks of the bits behind the first ``f`` of ``x``: (``x`` with the block moved up behind those, new ``f``), as SQL.
 
-
-def block_edges(bits: int) -> list:
-    """(first bit, width) of the budget + 1 blocks."""
-    cuts = [round(i * 64 / (bits + 1)) for i in range(bits + 2)]
-    return list(zip(cuts, (b - a for a, b in zip(cuts, cuts[1:]))))
-
-
-def links(distinct: DataFrame, budget: int = BUDGET, most: int = 200_000) -> DataFrame:
-    """Edges ``(u, v)`` of a spanning forest of each trie, from a table of distinct ``fp``."""
-    blocks = block_edges(budget)
-    turn = lambda at: F.shiftleft("fp", at).bitwiseOR(F.shiftrightunsigned("fp", 64 - at)) if at else F.col("fp")
-    # key: the block and its value; x: the fingerprint turned so that the block leads.
-    every = F.explode(F.array(*[F.struct(F.lit(i).alias("b"), turn(at).alias("x"), F.lit(w).alias("w")) for i, (at, w) in enumerate(blocks)])).alias("t")
-    spread = distinct.select(every).select("t.b", "t.x", F.expr("shiftrightunsigned(t.x, 64 - t.w)").alias("head"))
-    crowded = spread.groupBy("b", "head").count().filter(F.col("count") > most)
-    split = crowded.select("b", "head", F.ceil(F.log2(F.col("count") / most) + 1).cast("int").alias("deep"))
-    near = spread.join(split, ["b", "head"], "left")
-    wide = F.expr(f"""CASE WHEN deep IS NULL THEN array(struct(-1 AS lo, -1 AS hi)) ELSE transform(filter(sequence(0, shiftleft(1, deep) - 1),
-        o -> bit_count(o ^ own) <= {budget}), o -> struct(least(o, own) AS lo, greatest(o, own) AS hi)) END""")
-    shares = near.withColumn("own", F.expr(f"CASE WHEN deep IS NOT NULL THEN cast(shiftrightunsigned(shiftleft(x, CASE b {' '.join(f'WHEN {i} THEN {w}' for i, (_, w) in enumerate(blocks))} END), 64 - deep) AS int) END")).select("b", "head", "x", F.explode(wide).alias("s")).select("b", "head", "s.lo", "s.hi", "x")
+    Two values that agree in their first ``f`` bits and differ in at most ``budget`` of the others agree in one of the blocks.
+    """
+    out = []
+    for i in range(budget + 1):
+        at = f"(f + CAST(round({i} * (64 - f) / {budget + 1}.0) AS INT))"
+        end = f"(f + CAST(round({i + 1} * (64 - f) / {budget + 1}.0) AS INT))"
+        width = f"({end} - {at})"
+        first = "(CASE WHEN f > 0 THEN x & ~(shiftleft(1L, 64 - f) - 1L) ELSE 0L END)"
+        block = f"shiftleft(shiftrightunsigned(shiftleft(x, {at}), 64 - {width}), 64 - f - {width})"
+        between = f"(CASE WHEN {at} > f THEN shiftleft(shiftrightunsigned(shiftleft(x, f), 64 - ({at} - f)), 64 - {end}) ELSE 0L END)"
+        rest = f"(x & (shiftleft(1L, 64 - {end}) - 1L))"
+        rest = f"(CASE WHEN {end} < 64 THEN {rest} ELSE 0L END)"
+        out.append((f"{first} | {block} | {between} | {rest}", f"f + {width}"))
+    return out
+
+
+def spread(rows: DataFrame, budget: int) -> DataFrame:
+    """fp, x, f, path, k: each value once for every block; ``k`` stands for the path of blocks and the bits agreed on."""
+    every = F.explode(F.array(*[F.struct(F.expr(x).alias("x"), F.expr(f).cast("int").alias("f"), (F.col("path") * 8 + i + 1).alias("path")) for i, (x, f) in enumerate(split_columns(budget))])).alias("t")
+    out = rows.select("fp", every).select("fp", "t.x", "t.f", "t.path")
+    return out.withColumn("k", F.xxhash64("path", F.expr("shiftrightunsigned(x, 64 - f)")))
+
+
+def links(distinct: DataFrame, budget: int = BUDGET, most: int = 2_000_000, levels: int = 3) -> DataFrame:
+    """Edges ``(u, v)`` of a spanning forest of each trie, from a table of distinct ``fp``.
+
+    The values of a crowded trie (more than ``most``) go on to tries of one block more, ``budget + 1`` of them for each
+    value, at most ``levels`` times; a trie that is crowded still then holds values of one tight group and is one task's.
+    """
+    parts = []
+    rows = distinct.select("fp", F.col("fp").alias("x"), F.lit(0).alias("f"), F.lit(0).cast("long").alias("path"))
+    for level in range(levels):
+        rows = spread(rows, budget)
+        if level + 1 == levels:
+            parts.append(rows)
+            break
+        crowded = written(rows.groupBy("k").count().filter(F.col("count") > most).select("k"), "crowded")
+        if crowded.limit(1).count() == 0:
+            parts.append(rows)
+            break
+        parts.append(rows.join(crowded, "k", "left_anti"))
+        rows = written(rows.join(crowded, "k", "left_semi").select("fp", "x", "f", "path"), "crowded-values")
 
     def join(batches):
-        rows: dict = {}
+        held: dict = {}
         for batch in batches:
-            b, key, x = batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_numpy().view(np.uint64)
-            lo = batch.column(1).to_numpy()
-            for one in np.unique(b):
-                pick = b == one
-                whole = pick & (lo < 0)
-                if whole.any():
-                    rows.setdefault((int(one), None), []).append(x[whole])
-                cut = pick & (lo >= 0)
-                for k in np.unique(key[cut]):
-                    rows.setdefault((int(one), int(k)), []).append(x[cut & (key == k)])
-        for (one, _), parts in rows.items():
-            at, width = blocks[one]
-            values = np.unique(np.concatenate(parts))
-            label = trie_join(values, width, budget).label
-            moved = np.flatnonzero(label != np.arange(len(values)))
-            back = _turned(values, (64 - at) % 64).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"u": back[moved], "v": back[label[moved]]})
-
-    keyed = shares.select(F.col("b").cast("int").alias("b"), F.col("lo").cast("long").alias("lo"), F.xxhash64("b", "head", "lo", "hi").alias("k"), "x")
-    return keyed.repartition("k").mapInArrow(join, "u long, v long")
+            path, f, x, fp = (batch.column(i).to_numpy() for i in range(1, 5))
+            for one in np.unique(path):
+                pick = path == one
+                held.setdefault((int(one), int(f[pick][0])), []).append((x[pick].view(np.uint64), fp[pick]))
+        for (_, shared), parts_ in held.items():
+            x, fp = (np.concatenate(c) for c in zip(*parts_))
+            order = np.argsort(x)
+            x, fp = x[order], fp[order]
+            label = trie_join(x, shared, budget).label
+            moved = np.flatnonzero(label != np.arange(len(x)))
+            yield pa.RecordBatch.from_pydict({"u": fp[moved], "v": fp[label[moved]]})
+
+    out = None
+    for part in parts:
+        edges = part.select("k", "path", "f", "x", "fp").repartition("k").mapInArrow(join, "u long, v long")
+        out = edges if out is None else out.unionByName(edges)
+    return out
 
 
 def near_classes(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataFrame:

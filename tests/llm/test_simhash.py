@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 import xxhash
 
 from registrylake.llm import simhash
@@ -84,14 +85,31 @@ def test_documents_against_brute_force(docs_of, odd_rows):
 def test_crowded_blocks_are_split(spark):
     values = cloud(3, 250)
     frame = spark.createDataFrame([(int(np.uint64(v).astype(np.int64)),) for v in values], "fp long")
-    for most in (4, 10_000):
-        edges = simhash.links(frame, most=most).collect()
+    for most, levels in ((4, 3), (4, 2), (1, 4), (40, 3), (10_000, 3)):
+        edges = simhash.links(frame, most=most, levels=levels).collect()
         at = {int(np.uint64(v).astype(np.int64)): i for i, v in enumerate(values)}
         c = simhash.Classes(len(values))
         c.link(np.array([at[e.u] for e in edges]), np.array([at[e.v] for e in edges]))
         assert c.label.tolist() == classes(values)
 
 
+def test_values_that_differ_in_few_bits_share_a_block(spark):
+    r = np.random.default_rng(2)
+    a = r.integers(0, 1 << 63, 200, dtype=np.uint64)
+    b = a.copy()
+    for i in range(200):
+        for bit in r.choice(64, 4, replace=False):
+            b[i] ^= np.uint64(1) << np.uint64(bit)
+    rows = spark.createDataFrame([(int(v), i) for i in range(200) for v in (a[i].astype(np.int64), b[i].astype(np.int64))], "fp long, i int")
+    level = simhash.spread(rows.select("fp", F.col("fp").alias("x"), F.lit(0).alias("f"), F.lit(0).cast("long").alias("path")), 4)
+    for _ in range(3):
+        got = level.join(rows, "fp").groupBy("i", "k").agg(F.count_distinct("fp").alias("n")).filter("n = 2").select("i").distinct().count()
+        assert got == 200
+        bits = level.select((F.bit_count("x") - F.bit_count("fp")).alias("d")).distinct().collect()
+        assert [x.d for x in bits] == [0]  # bits move, none is lost
+        level = simhash.spread(level.select("fp", "x", "f", "path"), 4)
+
+
 def test_large_group_of_near_copies_is_quick():
     r = np.random.default_rng(0)
     base = np.uint64(0x123456789ABCDEF0)
