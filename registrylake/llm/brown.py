@@ -211,10 +211,10 @@ def context_counts(sequences: DataFrame, kind: str, size: int, classes: np.ndarr
 
 
 def class_pairs(table: DataFrame) -> np.ndarray:
-    """Sum of the class pair counts over the blocks, of which there are at most 2**17 / BLOCK and one."""
+    """Sum of the class pair counts over the blocks: at most 2**17 / BLOCK and one, of 32 KB each, in one job."""
     total = np.zeros((CLASSES, CLASSES), np.int64)
-    for row in table.select("pairs").toLocalIterator():
-        total += np.frombuffer(row.pairs, np.int64).reshape(CLASSES, CLASSES)
+    for pairs in table.select("pairs").toArrow().column("pairs").to_pylist():
+        total += np.frombuffer(pairs, np.int64).reshape(CLASSES, CLASSES)
     return total.astype(np.float64)
 
 
