@@ -31,7 +31,7 @@ import numpy as np
 ENTRY = {4: np.dtype([("at", "<i4"), ("lcp", "<i2")]), 8: np.dtype([("at", "<i8"), ("lcp", "<i2")])}
 NAMED = {4: np.dtype([("at", "<i4"), ("symbol", "<i4")]), 8: np.dtype([("at", "<i8"), ("symbol", "<i8")])}
 FAR = np.int16(32767)
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 
 
 def width(text: np.ndarray) -> int:
