@@ -1,10 +1,10 @@
 """Exact top-k inner-product search by branch and bound on one ball tree per shard.
 
 Every component x becomes floor(1024 * x). A shard of at most ``shard_size`` vectors is a balanced
-ball tree, kept as one row of a table in the shared folder. For a block of queries (bounded; blocks
-follow one another) each shard first scores every query's most promising leaf; the k-th best of all
-shards' findings is a lower bound of the query's k-th score and is shared with all shards. Each shard
-then goes down its tree with all queries at once, drops (query, node) pairs whose bound
+ball tree, kept as one row of a table in the shared folder, and so are blocks of queries; a task goes through the blocks
+with its tree, one block at a time. Each shard first scores every query's most promising leaf; the k-th best of all
+shards' findings is a lower bound of the query's k-th score and is shared with all shards, and raised again by what a
+first part of the shards finds. Each shard goes down its tree with all queries at once, drops (query, node) pairs whose bound
 ``q.center + |q| * radius`` falls below the shared or its own k-th score, and takes the leaves that are
 left in order of their bounds. Scores are exact integers; bounds are widened by more than their rounding.
 
@@ -18,16 +18,20 @@ or smallest long; an empty table gives no rows.
 from __future__ import annotations
 
 import io
+import pickle
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from registrylake.llm.common import written
+from registrylake.llm.common import rows_at, written, written_at
 
 K, LEAF, SHARD, BLOCK = 10, 64, 16_384, 4_096
+BLOCKS = "b long, queries binary, kth binary"
+FOUND = "b long, q int, query_id long, vec_id long, score long"
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 NO_ID = HIGH  # stands for a null vec_id inside a shard
 
@@ -136,8 +140,6 @@ class BallTree:
         bound = self._bounds(q, norm, who, node)
         leaves = []
         while len(who):
-            if first_only:
-                pass
             keep = bound >= kth[who]
             who, node, bound = who[keep], node[keep], bound[keep]
             end = self.first_child[node] < 0
@@ -221,57 +223,84 @@ def build_trees(vectors: DataFrame, shard_size: int = SHARD) -> DataFrame:
     return written(vectors.mapInArrow(build, "tree binary"), "trees")
 
 
-def query_blocks(queries: DataFrame, block: int):
-    """The queries in bounded blocks of about ``block`` rows: (ids, matrix); one block is held at a time."""
-    total = queries.count()
-    n = -(-total // block)
-    for b in range(n):
-        part = queries if n == 1 else queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == b)
-        got = part.toArrow()
-        if got.num_rows:
-            yield np.array(got.column("vec_id").to_pylist(), np.int64), whole(got.column("embedding").to_pylist())
+def query_blocks(queries: DataFrame, block: int) -> tuple[DataFrame, str]:
+    """b, queries (ids and matrix of at most ``block`` rows), kth (none yet): a table of the shared folder, and its path."""
 
+    def build(batches):
+        ids, rows, made = [], [], TaskContext.get().partitionId() << 24
 
-def search_block(trees: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score for one block of queries."""
-    context = trees.sparkSession.sparkContext
-    shared = context.broadcast((ids, matrix))
+        def out() -> pa.RecordBatch:
+            nonlocal made
+            data = pickle.dumps((np.array(ids, np.int64), whole(rows)))
+            ids.clear(), rows.clear()
+            made += 1
+            return pa.RecordBatch.from_pydict({"b": pa.array([made], pa.int64()), "queries": pa.array([data], pa.binary()), "kth": pa.array([None], pa.binary())})
 
-    def seeds(batches):
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                who, _, score = BallTree.load(data).search(*shared.value, np.full(len(shared.value[0]), -np.inf), k, first_only=True)
-                yield pa.RecordBatch.from_pydict({"q": pa.array(who, pa.int32()), "score": pa.array(score, pa.int64())})
+            for i, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids.append(i)
+                rows.append(r)
+                if len(ids) >= block:
+                    yield out()
+        if ids:
+            yield out()
+
+    return written_at(queries.mapInArrow(build, BLOCKS), "queries")
 
-    best = W.partitionBy("q").orderBy(F.desc("score"))
-    kth = trees.mapInArrow(seeds, "q int, score long").withColumn("r", F.row_number().over(best)).filter(F.col("r") == k).select("q", "score").toArrow()
-    known = np.full(len(ids), -np.inf)
-    exact = kth.column("score").to_numpy()
-    known[kth.column("q").to_numpy()] = np.where(np.abs(exact) < 1 << 53, exact, np.nextafter(exact.astype(float), -np.inf))
-    bound = context.broadcast(known)
 
-    def find(batches):
+def found(trees: DataFrame, path: str, k: int, first_only: bool = False) -> DataFrame:
+    """What the shards of ``trees`` find for the query blocks at ``path``: a task holds one tree and one block at a time."""
+
+    def search(batches):
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                who, found, score = BallTree.load(data).search(*shared.value, bound.value, k)
-                yield pa.RecordBatch.from_pydict({"q": pa.array(who, pa.int32()), "query_id": pa.array(shared.value[0][who], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.int64())})
+                tree = BallTree.load(data)
+                for b, queries, kth in rows_at(path):
+                    ids, matrix = pickle.loads(queries)
+                    known = np.full(len(ids), -np.inf) if kth is None else np.frombuffer(kth, np.float64)
+                    who, near, score = tree.search(ids, matrix, known, k, first_only)
+                    yield pa.RecordBatch.from_pydict({"b": pa.array(np.full(len(who), b), pa.int64()), "q": pa.array(who, pa.int32()), "query_id": pa.array(ids[who], pa.int64()), "vec_id": pa.array(near, pa.int64()), "score": pa.array(score, pa.int64())})
 
-    order = W.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    ranked = trees.mapInArrow(find, "q int, query_id long, vec_id long, score long").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")
+    return trees.select("tree").mapInArrow(search, FOUND)
+
+
+def shared_scores(blocks: DataFrame, rows: DataFrame, k: int) -> tuple[DataFrame, str]:
+    """``blocks`` with the k-th best score of each query among ``rows`` (no candidate twice) where that is above the one known; and the table's path."""
+    best = W.partitionBy("b", "q").orderBy(F.desc("score"))
+    last = rows.select("b", "q", "score").withColumn("r", F.row_number().over(best)).filter(F.col("r") == k)
+    each = last.groupBy("b").agg(F.collect_list("q").alias("qs"), F.collect_list("score").alias("scores"))
+
+    def put(batches):
+        for batch in batches:
+            kth = []
+            for queries, old, qs, scores in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+                known = np.full(len(pickle.loads(queries)[0]), -np.inf) if old is None else np.frombuffer(old, np.float64).copy()
+                exact = np.array(scores or [], np.int64)
+                # A double below a large score, so that nothing that equals it is dropped.
+                value = np.where(np.abs(exact) < 1 << 53, exact, np.nextafter(exact.astype(float), -np.inf))
+                at = np.array(qs or [], np.int64)
+                known[at] = np.maximum(known[at], value)
+                kth.append(known.tobytes())
+            yield pa.RecordBatch.from_pydict({"b": batch.column(0), "queries": batch.column(1), "kth": pa.array(kth, pa.binary())})
+
+    return written_at(blocks.join(each, "b", "left").select("b", "queries", "kth", "qs", "scores").mapInArrow(put, BLOCKS), "queries")
 
 
 def top_k(table: DataFrame, queries: DataFrame, k: int = K, shard_size: int = SHARD, block: int = BLOCK) -> DataFrame:
-    """The k best vectors of ``table`` for every row of ``queries`` (both: vec_id, embedding)."""
-    spark = table.sparkSession
-    trees = build_trees(usable(table), shard_size)
-    parts = [search_block(trees, ids, matrix, k) for ids, matrix in query_blocks(usable(queries), block)]
-    if not parts:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The k best vectors of ``table`` for every row of ``queries`` (both: vec_id, embedding).
+
+    Three waves, whatever the sizes: every shard's most promising leaf, then an eighth of the shards, then the others; the k-th
+    scores that a wave brings are shared with all shards of the next.
+    """
+    trees = build_trees(usable(table), shard_size).withColumn("wave", F.pmod(F.xxhash64("tree"), F.lit(8)) == 0)
+    blocks, path = query_blocks(usable(queries), block)
+    blocks, path = shared_scores(blocks, found(trees, path, k, first_only=True), k)
+    early = written(found(trees.filter("wave"), path, k), "found")
+    blocks, path = shared_scores(blocks, early, k)
+    every = early.unionByName(found(trees.filter(~F.col("wave")), path, k))
+    order = W.partitionBy("b", "q").orderBy(F.desc("score"), "vec_id")
+    ranked = every.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")
 
 
 def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

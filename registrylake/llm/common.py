@@ -42,13 +42,31 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, safe from lost executors."""
+    return written_at(df, name, partition_by)[0]
+
+
+def written_at(df: DataFrame, name: str, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
+    """As ``written``, and the table's path."""
     spark = df.sparkSession
     path = scratch(spark, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def rows_at(path: str):
+    """The rows of a table written by ``written_at``, one at a time as tuples: for tasks that go through a whole side table block by block."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, folder = fs.FileSystem.from_uri(path)
+    for info in sorted(store.get_file_info(fs.FileSelector(folder)), key=lambda i: i.path):
+        if info.path.endswith(".parquet"):
+            with store.open_input_file(info.path) as f:
+                for batch in pq.ParquetFile(f).iter_batches(batch_size=1):
+                    yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

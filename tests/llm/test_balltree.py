@@ -42,6 +42,27 @@ def test_against_brute_force(spark, how):
     assert run(spark, rows, **how) == brute(rows, [(i, v) for i, v in rows if i is not None and i % 100 == 0], 10)
 
 
+def test_clashing_columns(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(250)]
+    table = spark.createDataFrame([(i, v, 1, 2, 3, 4.0) for i, v in rows], "vec_id long, embedding array<float>, b int, q int, rank int, score double")
+    got = sorted(map(tuple, bt.top_k(table, table.filter("vec_id % 100 = 0"), 10, shard_size=40).collect()), key=repr)
+    assert got == brute(rows, [(i, v) for i, v in rows if i % 100 == 0], 10)
+
+
+def test_later_waves_know_the_scores_of_earlier_ones(spark):
+    rows = made(3, 2000)
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA).repartition(4)
+    trees = bt.build_trees(bt.usable(table), 100)
+    blocks, path = bt.query_blocks(bt.usable(table.filter("vec_id % 100 = 0")), 7)
+    assert blocks.count() >= 3
+    first = bt.found(trees, path, 10).count()
+    blocks, path = bt.shared_scores(blocks, bt.found(trees, path, 10, first_only=True), 10)
+    second = bt.found(trees, path, 10).count()
+    blocks, path = bt.shared_scores(blocks, bt.found(trees, path, 10), 10)
+    third = bt.found(trees, path, 10).count()
+    assert first > second > third >= 20 * 10
+
+
 def test_fewer_than_k_and_repeats(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [-1.0, 5.0])]
     assert run(spark, rows) == brute(rows, rows[:2], 10)
