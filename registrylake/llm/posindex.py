@@ -5,8 +5,8 @@ own: a row for each term with its posting list (addresses within the shard, as d
 document with the address of its first word. Between two documents one address stays empty, so that no phrase
 crosses them. The index is a Parquet table in the shared folder.
 
-A search takes the phrases in blocks of bounded size, reads the postings of their terms only, and within
-each shard intersects offset-adjusted lists, starting from the phrase's rarest term there: a start that the
+A search reads the postings of the phrases' terms only, once, and goes through the phrases in blocks of bounded size, which are
+a table of the shared folder too; within each shard it intersects offset-adjusted lists, starting from the phrase's rarest term there: a start that the
 rarest term proposes lives on while each next-rarest term has a posting at its offset.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z to a-z. Nulls, empties, ties and repeats: a
@@ -18,6 +18,7 @@ nothing.
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
 from itertools import count
 
@@ -28,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm.common import written
+from registrylake.llm.common import rows_at, written, written_at
 from registrylake.llm.encode import row_chunks
 
 SHARD_WORDS = 600_000
 INDEX = "shard long, term binary, postings array<int>, doc_id long, base int, n_words int"
-MATCHES = "shard long, base int, doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>"
+MATCHES = "doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -154,11 +155,9 @@ def _opened(table: pa.Table):
     return Postings(rows.column("term").to_pylist(), [values[a:b].astype(np.int64) for a, b in zip(cuts, cuts[1:])]), docs
 
 
-def _for_terms(index: DataFrame, terms: set) -> DataFrame:
-    """Document rows and the posting rows of ``terms``, a set that the caller has bounded."""
-    spark = index.sparkSession
-    wanted = spark.createDataFrame([(bytearray(t),) for t in sorted(terms)], "term binary")
-    return index.filter(F.col("term").isNull()).union(index.filter(F.col("term").isNotNull()).join(F.broadcast(wanted), "term", "left_semi").select(index.columns))
+def _for_terms(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """Document rows and the posting rows of ``terms`` (term); the optimizer broadcasts the terms if their written size allows it."""
+    return index.filter(F.col("term").isNull()).unionByName(index.filter(F.col("term").isNotNull()).join(terms, "term", "left_semi").select(index.columns))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,41 +169,56 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[at], ends[np.append(at[1:], len(ends)) - 1] if len(at) else ends
 
 
-def phrase_matches(index: DataFrame, phrases: dict) -> DataFrame:
-    """A row for each document: spans of exact matches of ``phrases`` (word tuple -> names), and their names.
+def phrase_matches(index: DataFrame, path: str, terms: DataFrame) -> DataFrame:
+    """A row for each document: spans of exact matches of the phrases at ``path`` (see ``phrase_blocks``), and their names.
 
-    ``phrases`` is one bounded block; see ``blocks_of``.
+    ``terms``: the phrases' terms. A task holds the postings of one shard and one block of phrases at a time.
     """
-    spark = index.sparkSession
-    shared = spark.sparkContext.broadcast(list(phrases.items()))
 
     def search(table: pa.Table) -> pa.Table:
-        found, docs = _opened(table)
-        items = shared.value
+        postings, docs = _opened(table)
         bases = np.array([r[1] for r in docs], np.int64)
         spans, names = defaultdict(list), defaultdict(set)
-        lengths = np.array([len(p) for p, _ in items], np.int64)
-        for which, start in found.phrases([p for p, _ in items]):
-            doc = np.searchsorted(bases, start, side="right") - 1
-            order = np.argsort(doc, kind="stable")
-            which, start, doc = which[order], start[order], doc[order]
-            cuts = np.flatnonzero(np.diff(doc, prepend=-1))
-            for a, b in zip(cuts, [*cuts[1:], len(doc)]):
-                d = int(doc[a])
-                lo = start[a:b] - bases[d]
-                spans[d].append((lo, lo + lengths[which[a:b]]))
-                for w in np.unique(which[a:b]):
-                    names[d].update(items[w][1])
-        rows: dict = {k: [] for k in ("shard", "base", "doc_id", "n_words", "starts", "ends", "items")}
-        number = table.column("shard")[0].as_py()
-        for d, (_, base, doc_id, n) in enumerate(docs):
+        for items in _phrases_at(path):
+            lengths = np.array([len(p) for p, _ in items], np.int64)
+            for which, start in postings.phrases([p for p, _ in items]):
+                doc = np.searchsorted(bases, start, side="right") - 1
+                order = np.argsort(doc, kind="stable")
+                which, start, doc = which[order], start[order], doc[order]
+                cuts = np.flatnonzero(np.diff(doc, prepend=-1))
+                for a, b in zip(cuts, [*cuts[1:], len(doc)]):
+                    d = int(doc[a])
+                    lo = start[a:b] - bases[d]
+                    spans[d].append((lo, lo + lengths[which[a:b]]))
+                    for w in np.unique(which[a:b]):
+                        names[d].update(items[w][1])
+        rows: dict = {k: [] for k in ("doc_id", "n_words", "starts", "ends", "items")}
+        for d, (_, _, doc_id, n) in enumerate(docs):
             lo, hi = merged(*(np.concatenate(x) for x in zip(*spans[d]))) if d in spans else ((), ())
-            for k, v in zip(rows, (number, base, doc_id, n, list(lo), list(hi), sorted(names.get(d, ())))):
+            for k, v in zip(rows, (doc_id, n, list(lo), list(hi), sorted(names.get(d, ())))):
                 rows[k].append(v)
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), kinds)})
 
-    return _for_terms(index, {t for p in phrases for t in p}).groupBy("shard").applyInArrow(search, MATCHES)
+    return _for_terms(index, terms).groupBy("shard").applyInArrow(search, MATCHES)
+
+
+_LAST: dict = {}
+
+
+def _phrases_at(path: str):
+    """The blocks of phrases at ``path``; a worker keeps the only block of a small benchmark."""
+    if path in _LAST:
+        yield _LAST[path]
+        return
+    blocks = 0
+    for (data,) in rows_at(path):
+        items = pickle.loads(data)
+        blocks += 1
+        yield items
+    if blocks == 1:
+        _LAST.clear()
+        _LAST[path] = items
 
 
 def proximity_matches(index: DataFrame, terms: list, width: int) -> DataFrame:
@@ -220,7 +234,8 @@ def proximity_matches(index: DataFrame, terms: list, width: int) -> DataFrame:
         first, last, doc = first[same], last[same], doc[same]
         return pa.table({"doc_id": pa.array([docs[d][2] for d in doc], pa.int64()), "start": pa.array(first - bases[doc], pa.int64()), "end": pa.array(last - bases[doc] + 1, pa.int64())})
 
-    return _for_terms(index, set(wanted)).groupBy("shard").applyInArrow(search, "doc_id long, start long, end long")
+    asked = index.sparkSession.createDataFrame([(bytearray(t),) for t in sorted(set(wanted))], "term binary")
+    return _for_terms(index, asked).groupBy("shard").applyInArrow(search, "doc_id long, start long, end long")
 
 
 def windows_of(words: list, width: int) -> list:
@@ -229,49 +244,40 @@ def windows_of(words: list, width: int) -> list:
     return [tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
 
 
-def blocks_of(benchmark: DataFrame, width: int, block_chars: int = 4_000_000):
-    """The benchmark's windows in blocks: window -> item ids. Only one block is held at a time."""
-    sized = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // block_chars)
-    for b in range(n):
+def phrase_blocks(benchmark: DataFrame, width: int, block_chars: int = 4_000_000) -> tuple[str, DataFrame]:
+    """The benchmark's windows: the path of a table of blocks, each a list of (window, item ids) from about ``block_chars`` of text; and their terms."""
+    plain = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+    def build(batches):
         phrases: dict = {}
-        part = sized if n == 1 else sized.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
-        for item_id, text in part.collect():
-            for window in windows_of(words_of(text), width):
-                phrases.setdefault(window, set()).update([item_id] if item_id is not None else [])
+        size = 0
+        for part in (p for batch in batches for p in row_chunks(batch, 1)):
+            for item_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for window in windows_of(words_of(text), width):
+                    phrases.setdefault(window, set()).update([item_id] if item_id is not None else [])
+                size += len(text or "")
+                if size >= block_chars:
+                    yield pa.RecordBatch.from_pydict({"phrases": pa.array([pickle.dumps(list(phrases.items()))], pa.binary())})
+                    phrases, size = {}, 0
         if phrases:
-            yield phrases
-
+            yield pa.RecordBatch.from_pydict({"phrases": pa.array([pickle.dumps(list(phrases.items()))], pa.binary())})
 
-def _joined(rows: DataFrame) -> DataFrame:
-    """One row for each document from the rows of several blocks."""
-    every = rows.groupBy("shard", "base").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-
-    def merge(batches):
-        for batch in batches:
-            at = {n: i for i, n in enumerate(batch.schema.names)}
-            spans = [merged(np.array(a, np.int64), np.array(b, np.int64)) for a, b in zip(batch.column(at["starts"]).to_pylist(), batch.column(at["ends"]).to_pylist())]
-            columns = list(batch.columns)
-            columns[at["starts"]] = pa.array([list(s[0]) for s in spans], pa.list_(pa.int32()))
-            columns[at["ends"]] = pa.array([list(s[1]) for s in spans], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+    def terms(batches):
+        for part in (p for batch in batches for p in row_chunks(batch, 1)):
+            met = {w for text in part.column(1).to_pylist() for w in words_of(text)}
+            yield pa.RecordBatch.from_pydict({"term": pa.array(list(met), pa.binary())})
 
-    return every.mapInArrow(merge, MATCHES)
+    _, path = written_at(plain.mapInArrow(build, "phrases binary"), "phrases")
+    return path, written(plain.mapInArrow(terms, "term binary").distinct(), "terms")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20, block_chars: int = 4_000_000, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, starts, ends, items, contaminated of every row of ``docs``."""
-    index = build_index(docs, shard_words)
-    parts = [phrase_matches(index, phrases) for phrases in blocks_of(benchmark, width, block_chars)] or [phrase_matches(index, {})]
-    rows = parts[0]
-    if len(parts) > 1:
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        rows = _joined(rows)
+    path, terms = phrase_blocks(benchmark, width, block_chars)
+    rows = phrase_matches(build_index(docs, shard_words), path, terms)
     n_hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
     hit = rows.withColumn("n_hit", n_hit)
-    return hit.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).drop("shard", "base")
+    return hit.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
