@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -35,9 +36,40 @@ def shared_root(spark: SparkSession) -> str:
     return _OWN_ROOTS[app]
 
 
+#: Scratch paths of this driver that still stand, oldest first.
+_STANDING: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nobody else uses."""
-    return f"{shared_root(spark)}/registrylake/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nobody else uses; it is deleted when the driver ends, if not before."""
+    path = f"{shared_root(spark)}/registrylake/{name}-{uuid.uuid4().hex}"
+    if not _STANDING:
+        atexit.unregister(_drop_all)
+        atexit.register(_drop_all)
+    _STANDING.append(path)
+    return path
+
+
+def _drop_all() -> None:
+    """Deletes what stands when the driver ends; without a session, and without complaint if the store is gone."""
+    from pyarrow import fs
+
+    for path in _STANDING:
+        with contextlib.suppress(Exception):
+            store, folder = fs.FileSystem.from_uri(path)
+            store.delete_dir(folder)
+    _STANDING.clear()
+
+
+def standing() -> int:
+    """How many scratch paths stand; what comes later can be dropped by ``drop_scratch`` from this mark on."""
+    return len(_STANDING)
+
+
+def drop_scratch(spark: SparkSession, since: int, keep: set) -> None:
+    """Deletes the scratch paths made since the mark, but for those in ``keep``; no DataFrame that is still to run may read them."""
+    for path in [p for p in _STANDING[since:] if p not in keep]:
+        drop_path(spark, path)
 
 
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -74,6 +106,8 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _STANDING:
+        _STANDING.remove(path)
 
 
 def partitions_of(df: DataFrame, size, target: int) -> int:

@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -53,6 +55,69 @@ def test_mixture_and_penalty(spark):
     assert alone == "cc" and langs1 == ["cc"] and none is None
 
 
+def brute_mixture(model, words):
+    """Word by word in plain Python: EM over each nested set of languages, then the least penalised cost."""
+    kinds = Counter(w for w in words if any(map(str.isalpha, w)))
+    if not kinds:
+        return None
+    langs = range(len(model.names))
+    log = {w: [langmix.WEIGHT * sum(float(model.logp[o, b, k]) for b, o, _ in zip(*(x.tolist() for x in langmix.grams([w])))) for k in langs] for w in kinds}
+    n = sum(kinds.values())
+
+    def em(allowed):
+        share = {k: 1 / len(allowed) for k in allowed}
+        for _ in range(langmix.STEPS):
+            new = dict.fromkeys(allowed, 0.0)
+            for w, c in kinds.items():
+                top = max(log[w][k] for k in allowed)
+                like = {k: share[k] * math.exp(log[w][k] - top) for k in allowed}
+                for k in allowed:
+                    new[k] += c * like[k] / sum(like.values())
+            share = {k: v / n for k, v in new.items()}
+        total = 0.0
+        for w, c in kinds.items():
+            top = max(log[w][k] for k in allowed)
+            total += c * (top + math.log(sum(share[k] * math.exp(log[w][k] - top) for k in allowed)))
+        return share, total
+
+    full, _ = em(list(langs))
+    alone = [sum(c * log[w][k] for w, c in kinds.items()) for k in langs]
+    best, cost = {max(langs, key=lambda k: (alone[k], -k)): 1.0}, -max(alone)
+    rank = sorted(langs, key=lambda k: (-full[k], k))
+    for size in range(2, len(model.names) + 1):
+        share, like = em(rank[:size])
+        if -like + (size - 1) * 0.5 * math.log(max(n, 2)) < cost - 1e-9:
+            best, cost = share, -like + (size - 1) * 0.5 * math.log(max(n, 2))
+    pick = max(best, key=lambda k: (best[k], -k))
+    return model.names[pick], full[pick], [model.names[k] for k in sorted(best, key=lambda k: (-best[k], k)) if best[k] > 0]
+
+
+def test_mixtures_against_brute_force(spark):
+    docs = frame(spark, corpus(200, 5))
+    model = langmix.fit(docs)
+    r = random.Random(8)
+    texts = [t for _, t, _ in corpus(15, 6)] + [" ".join(r.choice(TEXTS[k].split()) for k in r.choices(sorted(TEXTS), [r.random() for _ in TEXTS], k=n)) for n in (1, 2, 5, 12, 30, 60, 200) for _ in range(4)] + ["", "12 !", "qq zz", "é", "the le der"]
+    words = [langmix.letter_words(t) for t in texts]
+    sizes = set()
+    for got, w in zip(model.mixtures(words), words):
+        want = brute_mixture(model, w)
+        assert (got is None) == (want is None)
+        if want:
+            assert got[0] == want[0] and got[2] == want[2] and abs(got[1] - min(1, want[1])) < 1e-4
+            sizes.add(len(want[2]))
+    assert sizes == {1, 2, 3}
+
+
+def test_clashing_columns_pass(spark):
+    docs = frame(spark, corpus(120, 7))
+    model = langmix.fit(docs)
+    want = sorted((r.doc_id, r.lang_pred) for r in langmix.predict(docs, model).collect())
+    odd = docs.selectExpr("doc_id", "'x' AS lang_pred", "1 AS score", "text", "true AS held_out", "lang", "array(1) AS langs", "2 AS shares")
+    assert sorted((r.doc_id, r.lang_pred) for r in langmix.predict(odd, langmix.fit(odd)).collect()) == want
+    kept = langmix.accepted(odd, model)
+    assert kept.columns == odd.columns and {r.lang_pred for r in kept.collect()} == {"x"}
+
+
 def test_em_raises_the_likelihood():
     rng = np.random.default_rng(0)
     logs, weight, doc = rng.normal(size=(40, 3)) * 5, rng.integers(1, 5, 40).astype(float), np.repeat([0, 1], 20)
