@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrylake.llm import langmix, linededup, packing, posindex, simhash
-from registrylake.llm.common import written
+from registrylake.llm.common import drop_scratch, standing, written, written_at
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-    return written(STAGES[-1][1](spark, docs, sf_dir), f"stage-{STAGES[-1][0]}")
+    """Each stage is written before the next begins; what a stage wrote on the way is deleted with its predecessor's rows."""
+    docs, mark = spark.read.parquet(f"{sf_dir}/documents.parquet"), standing()
+    for name, stage in STAGES:
+        docs, path = written_at(stage(spark, docs, sf_dir), f"stage-{name}")
+        drop_scratch(spark, mark, {path})
+    return docs
