@@ -6,8 +6,13 @@ anchor make a segment, whose context is the bytes that its windows cover. Anchor
 dropped; segments with equal contexts keep the earliest (the windows of the others all start earlier
 there), with no more than sums and minima per group; and the different contexts of an anchor go to a
 shard, where an external induced suffix sort (``esais``) with common-prefix values tells which windows
-are equal. A shard may be far larger than memory; an anchor with more bytes of contexts than ``hot_bytes`` is
-cut into single windows, which are grouped by their bytes instead. Earliest is by (doc_id, start).
+are equal. The sort streams: a shard's bytes, the places of its contexts and all orders are in files of the task, and the
+sorted suffixes are settled chunk by chunk; queues spill and names recurse at the default sizes already. An anchor with more
+bytes of contexts than ``hot_bytes`` is spread over the shards by its windows, so that no shard grows with it; the same sort settles
+them. Earliest is by (doc_id, start).
+
+Contexts of one anchor count as equal if their 64-bit digests agree: two different ones among n do by chance in one of
+2**65 / n**2 cases.
 
 Nulls, empties, ties and repeats: a null text is empty and loses nothing; a null doc_id comes before all
 others; rows that share a doc_id come in order of a digest of their text, and rows that also share
