@@ -129,6 +129,16 @@ def streams(batches, kind: str, least: int = 1 << 20):
         yield np.frombuffer(b"".join(held), kind)
 
 
+def unit_streams(sequences: DataFrame, kind: str, size: int) -> DataFrame:
+    """``sequences`` for the rounds of the exchange: numbers from ``size`` on as 1, some million tokens in a row."""
+
+    def run(batches):
+        for ids in streams(batches, kind):
+            yield pa.RecordBatch.from_pydict({"ids": pa.array([np.where(ids < size, ids, 1).astype(kind_of(size)).tobytes()], pa.binary())})
+
+    return written(sequences.mapInArrow(run, "ids binary"), "units")
+
+
 def phi(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -174,8 +184,6 @@ def moves(before: np.ndarray, after: np.ndarray, twice: np.ndarray, pairs: np.nd
 def context_counts(sequences: DataFrame, kind: str, size: int, classes: np.ndarray) -> DataFrame:
     """block, data, pairs: counts of (unit, class before), of (unit, class after) and of units that follow themselves, a
     unit's block being its number modulo the number of blocks (frequent ones are spread); and the class pairs that begin there.
-
-    Numbers from ``size`` on count as 1, words without a number.
     """
     shared = sequences.sparkSession.sparkContext.broadcast(classes[:size])
     blocks = -(-size // BLOCK)
@@ -185,7 +193,6 @@ def context_counts(sequences: DataFrame, kind: str, size: int, classes: np.ndarr
         before, after, twice = np.zeros((size, CLASSES), np.int64), np.zeros((size, CLASSES), np.int64), np.zeros(size, np.int64)
         for ids in streams(batches, kind):
             u = ids.astype(np.int64)
-            u[u >= size] = 1
             prev = np.concatenate(([0], u[:-1]))
             before += np.bincount(u * CLASSES + cls[prev], minlength=before.size).reshape(before.shape)
             after += np.bincount(prev * CLASSES + cls[u], minlength=after.size).reshape(after.shape)
@@ -241,8 +248,8 @@ def proposals(counts: DataFrame, size: int, classes: np.ndarray, pairs: np.ndarr
     return unit[order], new[order], gain[order]
 
 
-def exchange(sequences: DataFrame, kind: str, size: int, classes: np.ndarray, rounds: int = MOST_ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, list]:
-    """Classes after rounds of checked moves, and (likelihood, units moved) at the start and after each round."""
+def exchange(sequences: DataFrame, kind: str, size: int, classes: np.ndarray, rounds: int = MOST_ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, list, np.ndarray]:
+    """Classes after rounds of checked moves, (likelihood, units moved) at the start and after each round, and the class pairs."""
     counts = context_counts(sequences, kind, size, classes)
     pairs = class_pairs(counts)
     tokens, history, share = max(1.0, pairs.sum()), [(likelihood(pairs), 0)], 0.5
@@ -269,7 +276,7 @@ def exchange(sequences: DataFrame, kind: str, size: int, classes: np.ndarray, ro
         history.append((value, len(take)))
         kept = (value - before) / gain[take].sum()
         share = min(1.0, share * (0.5 if kept < 0.3 else 3 if kept > 0.7 else 1.3))
-    return classes, history
+    return classes, history, pairs
 
 
 # -- classes of the words that are no units ----------------------------------------------------------
@@ -401,8 +408,7 @@ def train(docs: DataFrame, rounds: int = MOST_ROUNDS) -> BrownModel:
     table = numbered(docs, numbers)
     training = table.filter(~F.col("held_out"))
     sequences = training.select("ids")
-    classes, history = exchange(sequences, kind, units, classes, rounds)
-    pairs = class_pairs(context_counts(sequences, kind, units, classes))
+    classes, history, pairs = exchange(unit_streams(sequences, kind, units), kind_of(units), units, classes, rounds)
     classes = place_numbered(sequences, kind, units, classes, pairs)
     pairs = pair_counts(sequences, kind, classes)
     rare = place_rare(training, kind, classes, pairs)
