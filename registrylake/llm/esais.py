@@ -539,6 +539,16 @@ class NameSorter:
         out["at"], out["symbol"] = at, symbol
         return out
 
+    def _least(self, at, key, kinds, descending, least, most, sign, bound):
+        """The least key that sorted suffixes induce within their window; none if they induce nothing there."""
+        before = np.maximum(at - 1, 0)
+        symbol = self.text[before].astype(np.int64)
+        made = symbol * (2 * sign)
+        near = (at > 0) & (kinds[before] == descending) & (symbol >= least) & (symbol < most)
+        if bound is not None:
+            near &= made < bound
+        return int(made[near].min()) if near.any() else None
+
     def _deal(self, queue: BucketQueue, at: np.ndarray, descending: bool) -> None:
         """Pushes suffixes to the ranges of their symbols, in their order."""
         symbol = np.asarray(self.text[at])
@@ -564,6 +574,7 @@ class NameSorter:
             order = np.argsort(key, kind="stable")
             at, key = at[order], key[order]
             late_at, late_key = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            least, most = self.cuts[r - 1] if r else 0, self.cuts[r] if r < ranges - 1 else np.iinfo(np.int64).max
             lo = 0
             while lo < len(at) or len(late_at):
                 hi = min(lo + self.window, len(at))
@@ -574,25 +585,51 @@ class NameSorter:
                 late_at, late_key, lo = late_at[~join], late_key[~join], hi
                 order = np.argsort(now_key, kind="stable")
                 now_at, now_key = now_at[order], now_key[order]
-                while len(now_at):
-                    prev = now_at - 1
-                    symbol = self.text[np.maximum(prev, 0)].astype(np.int64)
-                    ok = (prev >= 0) & (kinds[np.maximum(prev, 0)] == descending)
-                    own = ok & (np.searchsorted(self.cuts, symbol, side="right") == r)
+                more: list = []  # what is induced behind this window, but in this range
+
+                def induced(at_: np.ndarray, key_: np.ndarray):
+                    """Passes final suffixes; those that they induce in this window."""
+                    prev = at_ - 1
+                    before = np.maximum(prev, 0)
+                    ok = (prev >= 0) & (kinds[before] == descending)
+                    out(r, at_, key_ // 2 * sign, (key_ & 1).astype(bool))  # noqa: B023
+                    prev = prev[ok]
+                    if not len(prev):
+                        return prev, prev
+                    symbol = self.text[prev].astype(np.int64)
+                    own = (symbol >= least) & (symbol < most)  # noqa: B023
+                    if not own.all():
+                        self._deal(queue, prev[~own], descending)
+                        prev, symbol = prev[own], symbol[own]
                     made = symbol * (2 * sign)
-                    near = own if bound is None else own & (made < bound)
+                    if bound is None:  # noqa: B023
+                        return prev, made
+                    near = made < bound  # noqa: B023
+                    if not near.all():
+                        more.append((prev[~near], made[~near]))  # noqa: B023
+                    return prev[near], made[near]
+
+                while len(now_at):
                     # Final are those before the least key that they induce here, and those of that key.
-                    stop = len(now_at) if not near.any() else int(np.searchsorted(now_key, made[near].min(), side="right"))
-                    ok, own, near = ok[:stop], own[:stop], near[:stop]
-                    out(r, now_at[:stop], now_key[:stop] // 2 * sign, (now_key[:stop] & 1).astype(bool))
-                    self._deal(queue, prev[:stop][ok & ~own], descending)
-                    late = own & ~near
-                    late_at, late_key = np.concatenate((late_at, prev[:stop][late])), np.concatenate((late_key, made[:stop][late]))
+                    here = self._least(now_at, now_key, kinds, descending, least, most, sign, bound)
+                    stop = len(now_at) if here is None else int(np.searchsorted(now_key, here, side="right"))
+                    new_at, new_key = induced(now_at[:stop], now_key[:stop])
                     now_at, now_key = now_at[stop:], now_key[stop:]
-                    if near.any():
-                        now_at, now_key = np.concatenate((now_at, prev[:stop][near])), np.concatenate((now_key, made[:stop][near]))
+                    wait: list = []
+                    while len(new_at):
+                        # A run of one symbol: what is induced on the key that is being passed comes next.
+                        next_ = new_key == here
+                        if not next_.all():
+                            wait.append((new_at[~next_], new_key[~next_]))
+                        if not next_.any():
+                            break
+                        new_at, new_key = induced(new_at[next_], new_key[next_])
+                    if wait:
+                        now_at, now_key = np.concatenate([now_at, *(w[0] for w in wait)]), np.concatenate([now_key, *(w[1] for w in wait)])
                         order = np.argsort(now_key, kind="stable")
                         now_at, now_key = now_at[order], now_key[order]
+                if more:
+                    late_at, late_key = np.concatenate([late_at, *(m[0] for m in more)]), np.concatenate([late_key, *(m[1] for m in more)])
         queue.close()
 
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm.common import written
+from registrylake.llm.common import drop_path, written, written_at
 from registrylake.llm.encode import in_chunks, row_chunks
 from registrylake.llm.esais import Folder, Stream, SuffixSorter
 
@@ -168,8 +168,8 @@ def filter_of(groups: DataFrame, most_bits: int = FILTER_BITS) -> Filter:
     return out
 
 
-def anchor_groups(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    """h, mixed of the anchors that occur more than once, or repeat within a segment."""
+def anchor_groups(keyed: DataFrame, length: int, gram: int) -> tuple[DataFrame, str]:
+    """h, mixed of the anchors that occur more than once, or repeat within a segment; and the table's path."""
 
     def run(batches):
         for batch in batches:
@@ -178,7 +178,7 @@ def anchor_groups(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64()), "w": pa.array(1 + twice.astype(np.int64), pa.int64())})
 
     rows = keyed.mapInArrow(run, "h long, c long, w long").groupBy("h").agg(F.sum("w").alias("w"), F.max("w").alias("most"), F.min("c").alias("c1"), F.max("c").alias("c2"))
-    return written(rows.filter("w > 1").select("h", ((F.col("c1") != F.col("c2")) | (F.col("most") > 1)).alias("mixed")), "anchors")
+    return written_at(rows.filter("w > 1").select("h", ((F.col("c1") != F.col("c2")) | (F.col("most") > 1)).alias("mixed")), "anchors")
 
 
 def candidates(keyed: DataFrame, groups: DataFrame, length: int, gram: int) -> DataFrame:
@@ -349,8 +349,10 @@ def lost_windows(rows: DataFrame, length: int, shard_bytes: int, hot_bytes: int,
 def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, budget: int = BUDGET, base: int = BASE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every row of ``docs`` (doc_id, text)."""
     keyed = _keyed(docs)
-    groups = anchor_groups(keyed, length, gram)
-    lost = lost_windows(candidates(keyed, groups, length, gram), length, shard_bytes, hot_bytes, budget, base)
+    groups, path = anchor_groups(keyed, length, gram)
+    rows = candidates(keyed, groups, length, gram)
+    drop_path(docs.sparkSession, path)
+    lost = lost_windows(rows, length, shard_bytes, hot_bytes, budget, base)
     whole = lost.groupBy(F.col("doc_id").alias("i"), F.col("t").alias("d")).agg(F.collect_list(F.struct("a", "b")).alias("lost"))
     both = keyed.join(whole.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(F.col("i")) & (keyed["t"] == F.col("d")), "left").select("doc_id", "text", "lost")
 
