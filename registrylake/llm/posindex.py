@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from registrylake.llm.common import rows_at, written, written_at
 from registrylake.llm.encode import row_chunks
 
-SHARD_WORDS = 600_000
+SHARD_WORDS = 400_000
 INDEX = "shard long, term binary, postings array<int>, doc_id long, base int, n_words int"
 MATCHES = "doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>"
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
