@@ -110,7 +110,7 @@ FORM = """SELECT p_partkey AS k, 'f' || p_partkey AS name, CASE WHEN p_size % 4
 FORM_COUNTS = f"""WITH f AS ({twin(FORM)}), g AS (SELECT *, CASE WHEN twice THEN 7.0 WHEN kind = 0 THEN NULL WHEN kind = 1 THEN 0.0 WHEN kind = 2 THEN NULL ELSE n END AS installs FROM f),
 b AS (SELECT *, CASE WHEN NOT exe THEN 'no-executables' WHEN installs >= 100 AND req IS NOT NULL THEN 'on-request-ratio' ELSE 'unmatched-default' END AS basis FROM g),
 t AS (SELECT *, CASE WHEN basis = 'on-request-ratio' AND req / installs >= 0.5 THEN 'tool' ELSE 'library' END AS kind_ FROM b),
-rows AS (SELECT name AS external_id, version, CASE WHEN disabled THEN 'disabled' WHEN deprecated THEN 'deprecated' ELSE 'active' END AS status, kind_ AS artifact_type, installs AS install_30d, CAST(req AS DOUBLE) AS on_request_30d,
+rows AS (SELECT name AS external_id, version, CASE WHEN disabled THEN 'disabled' WHEN deprecated THEN 'deprecated' ELSE 'active' END AS status, kind_ AS artifact_type, CAST(installs AS DOUBLE) AS install_30d, CAST(req AS DOUBLE) AS on_request_30d,
  sha256('{{"artifact_type":"' || kind_ || '","classification_basis":"' || basis || '","dependencies":["B","a","b' || n || '"],"deprecated":' || CAST(deprecated AS VARCHAR) || ',"disabled":' || CAST(disabled AS VARCHAR) ||
  ',"executables":' || CASE WHEN exe THEN '["a","' || z || '"]' ELSE '[]' END || ',"full_name":"' || coalesce(full_name, name) || '","has_caveats":' || CAST(coalesce(caveats = 'Note', false) AS VARCHAR) || ',"license":"' || license || '","name":"' || name || '","tap":null}}') AS definition_hash FROM t) """
 
