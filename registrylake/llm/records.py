@@ -14,7 +14,7 @@ Each task writes files under names of its own (an attempt that is lost leaves fi
 manifest names those of the attempts that finished.
 
 Nulls, empties and ties: a null text is an empty document (its record has the end id alone); a null
-doc_id sorts first; rows that share a doc_id follow one another, by text; an empty table gives no shard.
+doc_id sorts first; rows that share a doc_id follow one another, by a digest of the text and the text; an empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -112,8 +112,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
                 f.write(pack_index(offsets, counts))
             yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "records": [records], "offsets": [index], "n_docs": [len(counts)], "n_tokens": [sum(counts)], "width": pa.array([enc.dtype.itemsize], pa.int32())})
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = ordered.repartitionByRange(partitions_of(ordered, F.octet_length("text"), shard_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("t"))
+    parts = partitions_of(ordered, F.octet_length("text"), shard_bytes)
+    # The digest lets a doc_id that very many rows share (or lack) span several shards.
+    ordered = ordered.repartitionByRange(parts, "doc_id", "t").sortWithinPartitions("doc_id", "t", "text").select("doc_id", "text")
     return sorted(ordered.mapInArrow(write, MANIFEST).collect(), key=lambda r: r.part)
 
 

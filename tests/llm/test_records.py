@@ -56,6 +56,15 @@ def test_round_trip(spark, docs_of, odd_rows):
     assert got == want
 
 
+def test_a_shared_doc_id_spans_shards(spark, docs_of):
+    rows = [(7 if i % 2 else None, f"text number {i} " * 20) for i in range(600)]
+    manifest = records.write_records(docs_of(rows), scratch(spark, "t"), BYTE, shard_bytes=2000)
+    got = sorted(map(tuple, records.read_records(spark, manifest).collect()), key=lambda r: r[1])
+    assert len(got) == 600 and [r[0] for r in got] == [None] * 300 + [7] * 300
+    assert max(m.n_docs for m in manifest) < 120
+    assert all(a[1] + a[2] == b[1] for a, b in zip(got, got[1:]))
+
+
 def test_reads_and_shards_are_bounded_by_bytes(spark, docs_of, monkeypatch):
     rows = [(i, "some words " * (i % 50)) for i in range(400)]
     manifest = records.write_records(docs_of(rows), scratch(spark, "t"), BYTE, shard_bytes=4000)
