@@ -13,6 +13,8 @@ from registrylake.functions import classify as C
 from registrylake.functions import jsonhash as J
 from registrylake.functions import text as X
 from registrylake.operators import chains, exclusions, latest, merging, pacing, state
+from registrylake.operators.rangetable import RangeTable
+from registrylake.operators.shared import scratch
 from registrylake.plans import quality
 
 QUERIES: dict = {}
@@ -164,6 +166,37 @@ def snapshot_on_any_of_three(spark, sf):
     return state.changed(old.select("c_custkey", *hashes), c.select("c_custkey", *hashes), ["c_custkey"], hashes).select("c_custkey", "change")
 
 
+ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double"
+
+
+@query("""WITH m AS (SELECT max(o_orderkey) AS top FROM orders),
+incoming AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders, m WHERE 100 * o_orderkey > 98 * top UNION ALL SELECT o_orderkey + top, 'N', o_totalprice FROM orders, m WHERE 100 * o_orderkey <= top)
+SELECT coalesce(o.o_orderkey, i.o_orderkey) AS o_orderkey, o.o_custkey, CASE WHEN i.o_orderkey IS NULL THEN o.o_orderstatus ELSE i.o_orderstatus END AS o_orderstatus, CASE WHEN i.o_orderkey IS NULL THEN CAST(o.o_totalprice AS DOUBLE) ELSE CAST(i.o_totalprice AS DOUBLE) END AS o_totalprice
+FROM orders o FULL JOIN incoming i ON o.o_orderkey = i.o_orderkey""")
+def upsert_ranges(spark, sf):
+    """K1, J3 on files of key ranges: all orders are stored, then the last ones change and new ones come; other files stay as they are."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    top = rows.agg(F.max("o_orderkey")).first()[0] or 0
+    price = F.col("o_totalprice")
+    later = rows.filter(100 * F.col("o_orderkey") > 98 * top).select("o_orderkey", F.lit("X").alias("o_orderstatus"), (price + 1).alias("o_totalprice"))
+    more = rows.filter(100 * F.col("o_orderkey") <= top).select((F.col("o_orderkey") + top).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), price)
+    stored = RangeTable(spark, scratch(spark, "orders"), ORDERS, ["o_orderkey"], rows_per_file=10_000)
+    stored.upsert(rows)
+    stored.upsert(later.unionByName(more), ["o_orderstatus", "o_totalprice"])
+    return stored.read()
+
+
+@query("""WITH m AS (SELECT max(o_orderkey) AS top FROM orders) SELECT 'new' AS what, count(*) AS n FROM orders, m WHERE 100 * o_orderkey <= top UNION ALL SELECT 'changed', count(*) FROM orders, m WHERE 100 * o_orderkey > 98 * top""")
+def run_counters(spark, sf):
+    """What an upsert counted while it wrote."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    top = rows.agg(F.max("o_orderkey")).first()[0] or 0
+    stored = RangeTable(spark, scratch(spark, "orders"), "o_orderkey long, o_orderstatus string", ["o_orderkey"], rows_per_file=10_000)
+    stored.upsert(rows)
+    told = stored.upsert(rows.filter(100 * F.col("o_orderkey") > 98 * top).unionByName(rows.filter(100 * F.col("o_orderkey") <= top).withColumn("o_orderkey", F.col("o_orderkey") + top)))
+    return spark.createDataFrame([(k, told[k]) for k in ("new", "changed")], "what string, n long")
+
+
 @query("SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_name END AS c_name, CASE WHEN c_acctbal < 5000 THEN 'X' || c_mktsegment ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer")
 def upsert_merge(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
