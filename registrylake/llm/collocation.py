@@ -4,7 +4,7 @@ A shard is some megabytes of one language's texts. Its words are numbered by pos
 position that no word has, so that no phrase crosses it. Each word of a shard has a bitmap of its positions, stored as gaps in
 variable-length bytes. In a task a bitmap is a list of positions or, from one in ``DENSE`` positions on, a bit set (so a shard
 has at most ``DENSE`` of these). The bitmap of where a phrase ends, shifted by one and ANDed with a word's, is that of the
-longer phrase's ends, and its popcount the phrase's occurrences in the shard. A list is ANDed with all words at once by
+longer phrase's ends, and its popcount the phrase's occurrences in the shard. Lists are ANDed with all words at once by
 looking up which word holds each shifted position.
 
 Counts are summed over shards in three rounds, each of which cuts what the next one tries: words, pairs of frequent words,
@@ -35,8 +35,8 @@ MOST_WORDS, LEAST, TOP, COVER, SHARD_BYTES, OPEN_SHARDS, DENSE = 5, 100, 2000, 1
 END = b"\xff"
 TOKEN_BYTES = bytes(END[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256)).lower()
 WORDS = "lang string, shard long, word string, n long, places binary"
-PAIRS = "lang string, shard long, first string, second string, n long"
-PHRASES = "lang string, phrase string, k int, n long"
+PAIRS = "shard long, a long, b long, n long"
+PHRASES = "ids array<long>, n long"
 
 
 def packed(gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,26 +116,28 @@ def sharded(docs: DataFrame, size: int = SHARD_BYTES) -> DataFrame:
 
 
 class Shard:
-    """The bitmaps of a shard's frequent words."""
+    """The bitmaps of a shard's frequent words, which have the numbers 0 to ``size``."""
 
     def __init__(self, rows: pa.Table):
         rows = rows.combine_chunks()
-        self.words = rows.column("word").to_pylist()
+        self.ids = rows.column("w").to_numpy()
+        self.size = len(self.ids)
         counts = rows.column("n").to_numpy()
-        places = pa.chunked_array(rows.column("places")).combine_chunks()
-        gaps = unpacked(np.concatenate([np.frombuffer(p, np.uint8) for p in places.to_pylist()]))
+        places = pa.concat_arrays(rows.column("places").chunks).cast(pa.large_binary())
+        at = np.frombuffer(places.buffers()[1], np.int64)[places.offset : places.offset + len(places) + 1]
+        gaps = unpacked(np.frombuffer(places.buffers()[2], np.uint8)[at[0] : at[-1]])
         first = np.cumsum(counts) - counts
         running = np.cumsum(gaps)
         place = running - np.repeat(running[first] - gaps[first], counts)
         self.span = int(place.max()) + 1
-        self.word_at = np.full(self.span + 1, -1, np.int32)
-        self.word_at[place] = np.repeat(np.arange(len(self.words), dtype=np.int32), counts)
-        self.lists = np.split(place, first[1:])
-        self.sets = {w: self.bits(p) for w, p in enumerate(self.lists) if self.dense(len(p))}
-        listed = ~np.isin(np.repeat(np.arange(len(self.words)), counts), list(self.sets))
-        self.listed = place[listed]
-
-    def dense(self, n: int) -> bool:
+        self.word_at = np.full(self.span + 1, -1, np.int64)
+        self.word_at[place] = np.repeat(np.arange(self.size), counts)
+        wide = self.dense(counts)
+        self.sets = {int(w): self.bits(place[first[w] : first[w] + counts[w]]) for w in np.flatnonzero(wide)}
+        listed = ~np.repeat(wide, counts)
+        self.listed, self.listed_word = place[listed], self.word_at[place[listed]]
+
+    def dense(self, n):
         return n * DENSE >= self.span
 
     def bits(self, places: np.ndarray) -> np.ndarray:
@@ -146,91 +148,133 @@ class Shard:
     def places(self, bits: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bits.view(np.uint8), bitorder="little"))
 
-    def extended(self, ends: np.ndarray):
-        """For a phrase that ends at ``ends``: (word, popcount, ends) of each phrase that is one word longer."""
-        if not self.dense(len(ends)):
-            yield from self._by_word(ends + 1)
-            return
-        shifted = self.bits(ends)
-        shifted = shifted << np.uint64(1) | np.concatenate([np.zeros(1, np.uint64), shifted[:-1] >> np.uint64(63)])
+    def after(self, ends: np.ndarray):
+        """For a phrase with the bit set ``ends``: (words, popcounts, places of the words one after another) of the phrases that are one word longer."""
+        shifted = ends << np.uint64(1) | np.concatenate([np.zeros(1, np.uint64), ends[:-1] >> np.uint64(63)])
         for w, bits in self.sets.items():
             both = shifted & bits
             if n := int(np.bitwise_count(both).sum()):
-                yield w, n, self.places(both)
-        yield from self._by_word(self.listed[shifted[self.listed >> 6] >> (self.listed & 63).astype(np.uint64) & np.uint64(1) == 1])
+                yield np.array([w]), np.array([n]), self.places(both)
+        on = shifted[self.listed >> 6] >> (self.listed & 63).astype(np.uint64) & np.uint64(1) == 1
+        words, counts = np.unique(self.listed_word[on], return_counts=True)
+        yield words, counts, self.listed[on]  # the lists stand in order of their words
 
-    def _by_word(self, places: np.ndarray):
-        word = self.word_at[places]
-        places, word = places[word >= 0], word[word >= 0]
-        order = np.argsort(word, kind="stable")
-        places, word = places[order], word[order]
-        first = np.flatnonzero(np.diff(word, prepend=-1))
-        for w, some in zip(word[first].tolist(), np.split(places, first[1:])):
-            if len(some):
-                yield w, len(some), some
+    def followed(self, phrase: np.ndarray, ends: np.ndarray) -> tuple:
+        """For lists, told apart by the number of their phrase: (phrase, next word, its place) wherever a word follows."""
+        word = self.word_at[ends + 1]
+        on = word >= 0
+        return phrase[on], word[on], ends[on] + 1
 
 
 def pairs_of(rows: pa.Table) -> pa.Table:
-    shard, got = Shard(rows), []
-    for w, ends in enumerate(shard.lists):
-        got += [(w, v, n) for v, n, _ in shard.extended(ends)]
-    a, b, n = (np.array(x, np.int64) for x in zip(*got)) if got else (np.zeros(0, np.int64),) * 3
-    words = pa.array(shard.words, pa.string())
-    return pa.table({"lang": pa.array([rows.column("lang")[0].as_py()] * len(n), pa.string()), "shard": pa.array([rows.column("shard")[0].as_py()] * len(n), pa.int64()), "first": words.take(pa.array(a)), "second": words.take(pa.array(b)), "n": pa.array(n)})
+    """All pairs of the shard's frequent words that stand side by side, with their occurrences."""
+    shard = Shard(rows)
+    a, b, _ = shard.followed(shard.listed_word, shard.listed)
+    key, n = np.unique(a * shard.size + b, return_counts=True)
+    keys, counts = [key], [n]
+    for w, bits in shard.sets.items():
+        for v, n, _ in shard.after(bits):
+            keys.append(w * shard.size + v)
+            counts.append(n)
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    return pa.table({"shard": pa.array(np.full(len(n), rows.column("shard")[0].as_py())), "a": pa.array(shard.ids[key // shard.size]), "b": pa.array(shard.ids[key % shard.size]), "n": pa.array(n)})
+
+
+class _Found:
+    """Phrases by their number of words, as rows of words beside their occurrences."""
+
+    def __init__(self):
+        self.words, self.n = defaultdict(list), defaultdict(list)
+
+    def add(self, words: np.ndarray, n: np.ndarray) -> None:
+        self.words[words.shape[1]].append(words)
+        self.n[words.shape[1]].append(n)
+
+    def table(self, ids: np.ndarray) -> pa.Table:
+        lists, counts = [], []
+        for k in sorted(self.words):
+            words = np.concatenate(self.words[k])
+            lists.append(pa.ListArray.from_arrays(pa.array(np.arange(0, k * len(words) + 1, k), pa.int32()), pa.array(ids[words.ravel()])))
+            counts.append(pa.array(np.concatenate(self.n[k])))
+        return pa.table({"ids": pa.chunked_array(lists, pa.list_(pa.int64())), "n": pa.chunked_array(counts, pa.int64())})
 
 
 def longer_of(rows: pa.Table, pairs: pa.Table, most: int) -> pa.Table:
-    """The phrases of 3 to ``most`` words whose pairs are all in ``pairs``, with their occurrences in the shard, depth first."""
-    out: dict = {"phrase": [], "k": [], "n": []}
-    lang = ""
-    if rows.num_rows and pairs.num_rows:
-        lang = rows.column("lang")[0].as_py()
-        shard = Shard(rows)
-        number, next_ = {w: i for i, w in enumerate(shard.words)}, defaultdict(set)
-        for a, b in zip(pairs.column("first").to_pylist(), pairs.column("second").to_pylist()):
-            next_[number[a]].add(number[b])
-
-        def deeper(words: list, ends: np.ndarray) -> None:
-            allowed = next_.get(words[-1], ())
-            if not allowed:
-                return
-            for w, n, at in shard.extended(ends):
-                if w in allowed:
-                    longer = [*words, w]
-                    if len(longer) > 2:
-                        out["phrase"].append(" ".join(shard.words[i] for i in longer))
-                        out["k"].append(len(longer))
-                        out["n"].append(n)
-                    if len(longer) < most:
-                        deeper(longer, at)
-
-        for w in list(next_):
-            deeper([w], shard.lists[w])
-    types = {"phrase": pa.string(), "k": pa.int32(), "n": pa.int64()}
-    return pa.table({"lang": pa.array([lang] * len(out["n"]), pa.string())} | {c: pa.array(v, types[c]) for c, v in out.items()})
+    """The phrases of 3 to ``most`` words whose pairs are all in ``pairs``, with their occurrences in the shard.
+
+    Bit sets are extended depth first, one phrase at a time. What comes out as a list waits until they are done: the lists of one
+    length are extended together, since each alone is short.
+    """
+    found = _Found()
+    if not (rows.num_rows and pairs.num_rows):
+        return found.table(np.zeros(0, np.int64))
+    shard = Shard(rows)
+    order = np.argsort(shard.ids)
+    number = lambda name: order[np.searchsorted(shard.ids, pairs.column(name).to_numpy(), sorter=order)]
+    allowed = np.unique(number("a") * shard.size + number("b"))
+    #: By number of words: (phrases, the phrase of each place, places).
+    lists = defaultdict(list)
+    lists[1].append((np.arange(shard.size)[:, None], shard.listed_word, shard.listed))
+
+    def may(last, word):
+        key = last * shard.size + word
+        return allowed[np.minimum(np.searchsorted(allowed, key), len(allowed) - 1)] == key
+
+    def deeper(phrase: list, ends: np.ndarray) -> None:
+        for words, counts, places in shard.after(ends):
+            keep = may(phrase[-1], words)
+            places, words, counts = places[np.repeat(keep, counts)], words[keep], counts[keep]
+            longer = np.column_stack([np.tile(np.array(phrase), (len(words), 1)), words])
+            if len(phrase) > 1:
+                found.add(longer, counts)
+            if len(phrase) + 1 < most:
+                if len(words) == 1 and shard.dense(counts[0]):
+                    deeper(longer[0].tolist(), shard.bits(places))
+                elif len(words):
+                    lists[len(phrase) + 1].append((longer, np.repeat(np.arange(len(words)), counts), places))
+
+    for w, bits in shard.sets.items():
+        deeper([w], bits)
+    for k in range(1, most):
+        if not lists[k]:
+            continue
+        base = np.cumsum([0] + [len(p) for p, _, _ in lists[k]])
+        phrases = np.concatenate([p for p, _, _ in lists[k]])
+        phrase, word, place = shard.followed(np.concatenate([of + b for (_, of, _), b in zip(lists[k], base)]), np.concatenate([x for _, _, x in lists[k]]))
+        on = may(phrases[phrase, -1], word)
+        key, of, n = np.unique(phrase[on] * shard.size + word[on], return_inverse=True, return_counts=True)
+        longer = np.column_stack([phrases[key // shard.size], key % shard.size])
+        if k > 1:
+            found.add(longer, n)
+        lists[k + 1].append((longer, of, place[on]))
+    return found.table(shard.ids)
 
 
 def frequent(counts: DataFrame, keys: list, least: int) -> DataFrame:
     return counts.groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, k, n) of all phrases of 1 to ``most`` words that occur ``least`` times, and (lang, n) of all words."""
+def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(ids, n) of all phrases of 1 to ``most`` words that occur ``least`` times; (lang, word, w) of their words; (lang, n) of all words.
+
+    A frequent word of a language has one number ``w``, so that phrases are rows of numbers until their texts are asked for.
+    """
     bitmaps = sharded(docs, size)
     totals = written(bitmaps.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    words = written(frequent(bitmaps, ["lang", "word"], least), "frequent-words")
-    told = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), "n")
+    words = written(frequent(bitmaps, ["lang", "word"], least).withColumn("w", F.monotonically_increasing_id()), "frequent-words")
+    told = words.select(F.array("w").alias("ids"), "n")
+    words = words.select("lang", "word", "w")
     if most < 2:
-        return told, totals
-    kept = written(bitmaps.join(words.select("lang", "word"), ["lang", "word"], "left_semi").select(*bitmaps.columns), "frequent-bitmaps")
-    local = written(kept.groupBy("lang", "shard").applyInArrow(pairs_of, PAIRS), "pairs")
-    pairs = written(frequent(local, ["lang", "first", "second"], least), "frequent-pairs")
-    told = told.unionByName(pairs.select("lang", F.concat_ws(" ", "first", "second").alias("phrase"), F.lit(2).alias("k"), "n"))
+        return told, words, totals
+    kept = written(bitmaps.join(words, ["lang", "word"]).select("shard", "w", "n", "places"), "frequent-bitmaps")
+    local = written(kept.groupBy("shard").applyInArrow(pairs_of, PAIRS), "pairs")
+    pairs = written(frequent(local, ["a", "b"], least), "frequent-pairs")
+    told = told.unionByName(pairs.select(F.array("a", "b").alias("ids"), "n"))
     if most > 2:
-        tried = local.join(pairs.select("lang", "first", "second"), ["lang", "first", "second"], "left_semi").select("lang", "shard", "first", "second")
-        longer = kept.groupBy("lang", "shard").cogroup(tried.groupBy("lang", "shard")).applyInArrow(lambda rows, some: longer_of(rows, some, most), PHRASES)
-        told = told.unionByName(frequent(longer, ["lang", "phrase", "k"], least))
-    return written(told, "phrases"), totals
+        tried = local.join(pairs.select("a", "b"), ["a", "b"], "left_semi").select("shard", "a", "b")
+        longer = kept.groupBy("shard").cogroup(tried.groupBy("shard")).applyInArrow(lambda rows, some: longer_of(rows, some, most), PHRASES)
+        told = told.unionByName(frequent(longer, ["ids"], least))
+    return written(told, "phrases"), words, totals
 
 
 def collocations(docs: DataFrame, most: int = MOST_WORDS, least: int = LEAST, top: int = TOP, cover: int = COVER, size: int = SHARD_BYTES) -> DataFrame:
@@ -239,22 +283,24 @@ def collocations(docs: DataFrame, most: int = MOST_WORDS, least: int = LEAST, to
     A phrase is left out if a longer one holds it and has at least ``cover`` per cent of its occurrences. Looking at phrases that
     are one word longer is enough: what lies between the two is at least as frequent as the longer one.
     """
-    told, totals = phrase_counts(docs, most, least, size)
+    told, words, totals = phrase_counts(docs, most, least, size)
+    told = told.withColumn("k", F.size("ids"))
     cand = told.filter(F.col("k") >= 2).withColumnRenamed("n", "a")
-    words = F.split("phrase", " ")
-    run = lambda start, n: F.array_join(F.slice(words, start, n), " ")
-    around = told.filter(F.col("k") >= 3).select("lang", F.explode(F.array(run(F.lit(1), F.col("k") - 1), run(F.lit(2), F.col("k") - 1))).alias("phrase"), "n")
-    around = around.groupBy("lang", "phrase").agg(F.max("n").alias("longer"))
-    free = cand.join(around, ["lang", "phrase"], "left").filter(F.coalesce(100 * F.col("longer") < cover * F.col("a"), F.lit(True))).drop("longer")
+    around = told.filter(F.col("k") >= 3).select(F.explode(F.array(F.slice("ids", F.lit(1), F.col("k") - 1), F.slice("ids", F.lit(2), F.col("k") - 1))).alias("ids"), "n")
+    around = around.groupBy("ids").agg(F.max("n").alias("longer"))
+    free = cand.join(around, "ids", "left").filter(F.coalesce(100 * F.col("longer") < cover * F.col("a"), F.lit(True))).drop("longer")
+    free = free.join(words.select(F.col("w").alias("__rl_w"), "lang"), F.get("ids", F.lit(0)) == F.col("__rl_w")).drop("__rl_w").join(totals, "lang")
     each = free.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
-    each = each.withColumns({"left": run(F.lit(1), F.col("cut")), "right": run(F.col("cut") + 1, F.col("k") - F.col("cut"))})
-    part = lambda side, name: told.select("lang", F.col("phrase").alias(side), F.col("n").alias(name))
-    each = each.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"]).join(totals, "lang")
+    each = each.withColumns({"left": F.slice("ids", F.lit(1), F.col("cut")), "right": F.slice("ids", F.col("cut") + 1, F.col("k") - F.col("cut"))})
+    part = lambda side, name: told.select(F.col("ids").alias(side), F.col("n").alias(name))
+    each = each.join(part("left", "l"), "left").join(part("right", "r"), "right")
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     exact = each.withColumns({"__rl_up": (F.lit(1000) * F.col("a")).cast("decimal(19,0)") * wide("n"), "__rl_down": wide("l") * wide("r")})
     score = F.expr("CAST(__rl_up div __rl_down AS BIGINT)")
-    best = exact.withColumn("score", score).groupBy("lang", "phrase", "a", "n").agg(F.min_by(F.struct("l", "r", "score"), F.struct("score", "cut")).alias("c"))
-    flat = best.select("lang", "phrase", "a", "c.l", "c.r", "n", "c.score")
+    best = exact.withColumn("score", score).groupBy("lang", "ids", "a", "n").agg(F.min_by(F.struct("l", "r", "score"), F.struct("score", "cut")).alias("c"))
+    spelt = best.select("*", F.posexplode("ids").alias("at", "w")).join(words.select("w", "word"), "w")
+    spelt = spelt.groupBy("ids").agg(F.any_value(F.struct("lang", "a", "c.l", "c.r", "n", "c.score")).alias("r"), F.array_sort(F.collect_list(F.struct("at", "word"))).alias("at"))
+    flat = spelt.select("r.*", F.array_join(F.transform("at", lambda x: x["word"]), " ").alias("phrase"))
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
     return flat.withColumn("rank", place.cast("long")).filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
