@@ -16,6 +16,7 @@ from registrylake.operators import chains, exclusions, latest, merging, pacing,
 from registrylake.operators.rangetable import RangeTable
 from registrylake.operators.shared import scratch
 from registrylake.plans import quality
+from registrylake.sources import runlog
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -166,6 +167,21 @@ def snapshot_on_any_of_three(spark, sf):
     return state.changed(old.select("c_custkey", *hashes), c.select("c_custkey", *hashes), ["c_custkey"], hashes).select("c_custkey", "change")
 
 
+@query("SELECT CASE WHEN event_type = 'purchase' THEN 'bought' ELSE 'looked' END AS run, event_id, user_id, value FROM events")
+def committed_append(spark, sf):
+    """K2, K4, K6: two runs are appended, one is repeated with other rows, and one is a dry run; only the first two count."""
+    rows = table(spark, sf, "events").select("event_id", "user_id", "value")
+    kind = table(spark, sf, "events").select("event_type", "event_id", "user_id", "value")
+    path = scratch(spark, "events-log")
+    runlog.append_run(kind.filter("event_type = 'purchase'"), path, "bought", rows.columns)
+    runlog.append_run(kind.filter("event_type <> 'purchase'"), path, "looked", rows.columns)
+    runlog.append_run(rows, path, "bought")
+    runlog.append_run(rows, path, "tried", dry_run=True)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    each = [runlog.committed(spark, path, schema, r["run"]).select(F.lit(r["run"]).alias("run"), *rows.columns) for r in runlog.runs(spark, path)]
+    return merging.bag_union(*each)
+
+
 ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double"
 
 
