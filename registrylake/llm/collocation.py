@@ -8,8 +8,8 @@ longer phrase's ends, and its popcount the phrase's occurrences in the shard. Li
 looking up which word holds each shifted position.
 
 Counts are summed over shards in three rounds, each of which cuts what the next one tries: words, pairs of frequent words,
-and, depth first from each frequent pair, longer phrases all of whose pairs are frequent. Shards meet what is frequent by
-joins; nothing is broadcast, and a frequent word is one row in each shard. The shards' bitmaps are tables, so that no text is read twice.
+and, depth first from each frequent pair, longer phrases all of whose pairs are frequent. Shards are told what is frequent where it
+was counted; nothing is broadcast, and a frequent word is one row in each shard. The shards' bitmaps are tables, so that no text is read twice.
 
 Nulls, empties, ties and repeats: a null text is empty and has no pieces; a null lang is ``und`` and counts with documents that say so;
 repeated rows count each; cuts of one score go to the shorter first part, phrases of one score and count by their bytes; an
@@ -31,11 +31,13 @@ from registrylake.llm.common import read_table, written
 from registrylake.llm.encode import row_chunks
 
 MOST_WORDS, LEAST, TOP, COVER, SHARD_BYTES, OPEN_SHARDS, DENSE = 5, 100, 2000, 100, 8 << 20, 4, 32
+#: So many occurrences of a word are the work of one task where pairs are counted.
+SHARE = 100_000_000
 #: A byte that UTF-8 never uses stands for the end of a piece.
 END = b"\xff"
 TOKEN_BYTES = bytes(END[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256)).lower()
 WORDS = "lang string, shard long, word string, n long, places binary"
-PAIRS = "shard long, a long, b long, n long"
+PAIRS = "shard long, a long, s long, b array<long>, n array<long>"
 PHRASES = "ids array<long>, n long"
 
 
@@ -166,8 +168,11 @@ class Shard:
         return phrase[on], word[on], ends[on] + 1
 
 
-def pairs_of(rows: pa.Table) -> pa.Table:
-    """All pairs of the shard's frequent words that stand side by side, with their occurrences."""
+def pairs_of(rows: pa.Table, share: int = SHARE) -> pa.Table:
+    """All pairs of the shard's frequent words that stand side by side: for each first word its second ones with their occurrences.
+
+    A word that is met more than ``share`` times in all shards has its second words dealt to so many more rows.
+    """
     shard = Shard(rows)
     a, b, _ = shard.followed(shard.listed_word, shard.listed)
     key, n = np.unique(a * shard.size + b, return_counts=True)
@@ -177,7 +182,14 @@ def pairs_of(rows: pa.Table) -> pa.Table:
             keys.append(w * shard.size + v)
             counts.append(n)
     key, n = np.concatenate(keys), np.concatenate(counts)
-    return pa.table({"shard": pa.array(np.full(len(n), rows.column("shard")[0].as_py())), "a": pa.array(shard.ids[key // shard.size]), "b": pa.array(shard.ids[key % shard.size]), "n": pa.array(n)})
+    a, b = key // shard.size, shard.ids[key % shard.size]
+    of = b % (1 + rows.column("f").to_numpy() // share)[a]
+    order = np.lexsort((b, of, a))
+    a, b, of, n = a[order], b[order], of[order], n[order]
+    first = np.flatnonzero((np.diff(a, prepend=-1) != 0) | (np.diff(of, prepend=-1) != 0))
+    at = pa.array(np.append(first, len(a)), pa.int32())
+    held = {"shard": pa.array(np.full(len(first), rows.column("shard")[0].as_py())), "a": pa.array(shard.ids[a[first]]), "s": pa.array(of[first])}
+    return pa.table(held | {"b": pa.ListArray.from_arrays(at, pa.array(b)), "n": pa.ListArray.from_arrays(at, pa.array(n))})
 
 
 class _Found:
@@ -254,7 +266,7 @@ def frequent(counts: DataFrame, keys: list, least: int) -> DataFrame:
     return counts.groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTES, share: int = SHARE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(ids, n) of all phrases of 1 to ``most`` words that occur ``least`` times; (lang, word, w) of their words; (lang, n) of all words.
 
     A frequent word of a language has one number ``w``, so that phrases are rows of numbers until their texts are asked for.
@@ -263,18 +275,23 @@ def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTE
     totals = written(bitmaps.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
     words = written(frequent(bitmaps, ["lang", "word"], least).withColumn("w", F.monotonically_increasing_id()), "frequent-words")
     told = words.select(F.array("w").alias("ids"), "n")
-    words = words.select("lang", "word", "w")
+    named = words.select("lang", "word", "w")
     if most < 2:
-        return told, words, totals
-    kept = written(bitmaps.join(words, ["lang", "word"]).select("shard", "w", "n", "places"), "frequent-bitmaps")
-    local = written(kept.groupBy("shard").applyInArrow(pairs_of, PAIRS), "pairs")
-    pairs = written(frequent(local, ["a", "b"], least), "frequent-pairs")
+        return told, named, totals
+    # Merged whatever the size, so that AQE can split a word that very many shards hold.
+    kept = bitmaps.join(words.withColumnRenamed("n", "f").hint("merge"), ["lang", "word"]).select("shard", "w", "f", "n", "places")
+    kept = written(kept, "frequent-bitmaps")
+    local = kept.groupBy("shard").applyInArrow(lambda rows: pairs_of(rows, share), PAIRS).repartition("a", "s")
+    # One exchange: the pairs of a word stay together while they are counted and while they are told to their shards.
+    each = local.select("shard", "a", "s", F.inline(F.arrays_zip("b", "n")))
+    each = each.withColumn("n", F.sum("n").over(W.partitionBy("a", "s", "b"))).filter(F.col("n") >= least)
+    tried = written(each.select("shard", "a", "b", "n"), "frequent-pairs")
+    pairs = tried.groupBy("a", "b").agg(F.max("n").alias("n"))
     told = told.unionByName(pairs.select(F.array("a", "b").alias("ids"), "n"))
     if most > 2:
-        tried = local.join(pairs.select("a", "b"), ["a", "b"], "left_semi").select("shard", "a", "b")
-        longer = kept.groupBy("shard").cogroup(tried.groupBy("shard")).applyInArrow(lambda rows, some: longer_of(rows, some, most), PHRASES)
+        longer = kept.groupBy("shard").cogroup(tried.select("shard", "a", "b").groupBy("shard")).applyInArrow(lambda rows, some: longer_of(rows, some, most), PHRASES)
         told = told.unionByName(frequent(longer, ["ids"], least))
-    return written(told, "phrases"), words, totals
+    return written(told, "phrases"), named, totals
 
 
 def collocations(docs: DataFrame, most: int = MOST_WORDS, least: int = LEAST, top: int = TOP, cover: int = COVER, size: int = SHARD_BYTES) -> DataFrame:

@@ -62,16 +62,19 @@ def test_dense_and_sparse_bitmaps_agree(spark, monkeypatch):
     number = {(r["lang"], r["word"]): i for i, r in enumerate(words)}
     shards = {}
     for r in bitmaps.collect():
-        shards.setdefault(r.shard, []).append({"shard": r.shard, "w": number[r.lang, r.word], "n": r.n, "places": bytes(r.places)})
+        shards.setdefault(r.shard, []).append({"shard": r.shard, "w": number[r.lang, r.word], "f": 10 * r.n, "n": r.n, "places": bytes(r.places)})
     for dense in (1, 4, 10**9):
         monkeypatch.setattr(co, "DENSE", dense)
         got = Counter()
         for part in shards.values():
             part = co.pa.Table.from_pylist(part)
-            pairs = co.pairs_of(part)
-            for a, b, n in zip(*(pairs.column(c).to_pylist() for c in "abn")):
+            rows = co.pairs_of(part, share=20).to_pylist()
+            assert len({(r["a"], r["s"]) for r in rows}) == len(rows)
+            flat = [(r["a"], b, n) for r in rows for b, n in zip(r["b"], r["n"])]
+            assert len({x[:2] for x in flat}) == len(flat)
+            for a, b, n in flat:
                 got[a, b] += n
-            longer = co.longer_of(part, pairs, 5)
+            longer = co.longer_of(part, co.pa.table({"a": [x[0] for x in flat], "b": [x[1] for x in flat]}), 5)
             for ids, n in zip(longer.column("ids").to_pylist(), longer.column("n").to_pylist()):
                 got[tuple(ids)] += n
         assert want and all(got[tuple(number[r[0], w] for w in r[2].split(" "))] == r[3] for r in want)
@@ -104,6 +107,29 @@ def test_products_beyond_64_bits(spark):
     assert row.phrase == "a b" and row.score == 1000 * 2_999_999_999 * 9_000_000_000_000 // (3_000_000_000 * 4_000_000_000)
 
 
+def test_a_frequent_word_is_dealt_to_several_rows(spark):
+    rows = texts(60, 5)
+    for share in (3, 10**9):
+        told, words, _ = co.phrase_counts(table(spark, rows), 3, 3, share=share)
+        text = {r.w: (r.lang, r.word) for r in words.collect()}
+        got = {(text[r.ids[0]][0], " ".join(text[i][1] for i in r.ids)): r.n for r in told.collect()}
+        want = {(r[0], r[2]): r[3] for r in brute(rows, most=3, least=3, cover=10**9)}
+        assert want and all(got[k] == n for k, n in want.items())
+
+
+def test_pairs_are_dealt_once(spark):
+    from unittest import mock
+
+    seen = []
+    with mock.patch.object(co, "written", side_effect=lambda df, name: seen.append((name, df._jdf.queryExecution().executedPlan().toString())) or real(df, name)) as _:
+        co.phrase_counts(table(spark, texts(30, 6)), 3, 3)
+    plan = dict(seen)["frequent-pairs"]
+    assert plan.count("Exchange hashpartitioning(a#") == 1 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+real = co.written
+
+
 def test_empty_tables_and_nulls(spark):
     assert run(spark, []) == []
     assert run(spark, [(None, None), ("en", ""), ("en", " .,\t\n")], least=1) == []
