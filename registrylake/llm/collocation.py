@@ -32,13 +32,12 @@ from registrylake.llm.encode import row_chunks
 
 MOST_WORDS, LEAST, TOP, COVER, SHARD_BYTES, OPEN_SHARDS, DENSE = 5, 100, 2000, 100, 8 << 20, 4, 32
 #: So many occurrences of a word are the work of one task where pairs are counted.
-SHARE = 100_000_000
+SHARE, TASK_WORDS, PER_TASK = 100_000_000, 4_000_000, 8
 #: A byte that UTF-8 never uses stands for the end of a piece.
 END = b"\xff"
 TOKEN_BYTES = bytes(END[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256)).lower()
 WORDS = "lang string, shard long, word string, n long, places binary"
-PAIRS = "shard long, a long, s long, b array<long>, n array<long>"
-PHRASES = "ids array<long>, n long"
+PAIRS = "shard long, p int, a array<long>, b array<long>, n array<long>"
 
 
 def packed(gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,10 +167,10 @@ class Shard:
         return phrase[on], word[on], ends[on] + 1
 
 
-def pairs_of(rows: pa.Table, share: int = SHARE) -> pa.Table:
-    """All pairs of the shard's frequent words that stand side by side: for each first word its second ones with their occurrences.
+def pairs_of(rows: pa.Table, buckets: int, share: int = SHARE) -> pa.Table:
+    """All pairs of the shard's frequent words that stand side by side, with their occurrences, dealt to buckets by their first word.
 
-    A word that is met more than ``share`` times in all shards has its second words dealt to so many more rows.
+    A word that is met more than ``share`` times in all shards has its second words dealt to so many more buckets.
     """
     shard = Shard(rows)
     a, b, _ = shard.followed(shard.listed_word, shard.listed)
@@ -184,12 +183,24 @@ def pairs_of(rows: pa.Table, share: int = SHARE) -> pa.Table:
     key, n = np.concatenate(keys), np.concatenate(counts)
     a, b = key // shard.size, shard.ids[key % shard.size]
     of = b % (1 + rows.column("f").to_numpy() // share)[a]
-    order = np.lexsort((b, of, a))
-    a, b, of, n = a[order], b[order], of[order], n[order]
-    first = np.flatnonzero((np.diff(a, prepend=-1) != 0) | (np.diff(of, prepend=-1) != 0))
-    at = pa.array(np.append(first, len(a)), pa.int32())
-    held = {"shard": pa.array(np.full(len(first), rows.column("shard")[0].as_py())), "a": pa.array(shard.ids[a[first]]), "s": pa.array(of[first])}
-    return pa.table(held | {"b": pa.ListArray.from_arrays(at, pa.array(b)), "n": pa.ListArray.from_arrays(at, pa.array(n))})
+    a = shard.ids[a]
+    return dealt(mixed(a, of) % buckets, {"a": a, "b": b, "n": n}, {"shard": rows.column("shard")[0].as_py()})
+
+
+def mixed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Numbers, not negative, that spread pairs of numbers."""
+    h = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + y.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (h >> np.uint64(33)).astype(np.int64)
+
+
+def dealt(bucket: np.ndarray, columns: dict, same: dict | None = None) -> pa.Table:
+    """One row a bucket with the columns' values as arrays, in their order: what goes to one task is packed, and like values stand side by side."""
+    order = np.lexsort((*reversed(columns.values()), bucket))
+    bucket = bucket[order]
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    at = pa.array(np.append(first, len(bucket)), pa.int32())
+    held = {c: pa.array(np.full(len(first), v, np.int64)) for c, v in (same or {}).items()} | {"p": pa.array(bucket[first], pa.int32())}
+    return pa.table(held | {c: pa.ListArray.from_arrays(at, pa.array(v[order], pa.int64())) for c, v in columns.items()})
 
 
 class _Found:
@@ -202,16 +213,16 @@ class _Found:
         self.words[words.shape[1]].append(words)
         self.n[words.shape[1]].append(n)
 
-    def table(self, ids: np.ndarray) -> pa.Table:
-        lists, counts = [], []
-        for k in sorted(self.words):
-            words = np.concatenate(self.words[k])
-            lists.append(pa.ListArray.from_arrays(pa.array(np.arange(0, k * len(words) + 1, k), pa.int32()), pa.array(ids[words.ravel()])))
-            counts.append(pa.array(np.concatenate(self.n[k])))
-        return pa.table({"ids": pa.chunked_array(lists, pa.list_(pa.int64())), "n": pa.chunked_array(counts, pa.int64())})
+    def table(self, ids: np.ndarray, most: int, buckets: int) -> pa.Table:
+        """The phrases as columns w1 to w``most``, -1 where a phrase is shorter, dealt to buckets by their first pair."""
+        every = [np.pad(w, ((0, 0), (0, most - k)), constant_values=-1) for k in sorted(self.words) for w in self.words[k]]
+        words = np.concatenate(every) if every else np.zeros((0, most), np.int64)
+        words = np.where(words < 0, -1, ids[words]) if len(words) else words
+        n = np.concatenate([x for k in sorted(self.n) for x in self.n[k]]) if every else np.zeros(0, np.int64)
+        return dealt(mixed(words[:, 0], words[:, 1]) % buckets, {f"w{i + 1}": words[:, i] for i in range(most)} | {"n": n})
 
 
-def longer_of(rows: pa.Table, pairs: pa.Table, most: int) -> pa.Table:
+def longer_of(rows: pa.Table, pairs: pa.Table, most: int, buckets: int) -> pa.Table:
     """The phrases of 3 to ``most`` words whose pairs are all in ``pairs``, with their occurrences in the shard.
 
     Bit sets are extended depth first, one phrase at a time. What comes out as a list waits until they are done: the lists of one
@@ -219,7 +230,7 @@ def longer_of(rows: pa.Table, pairs: pa.Table, most: int) -> pa.Table:
     """
     found = _Found()
     if not (rows.num_rows and pairs.num_rows):
-        return found.table(np.zeros(0, np.int64))
+        return found.table(np.zeros(0, np.int64), most, buckets)
     shard = Shard(rows)
     order = np.argsort(shard.ids)
     number = lambda name: order[np.searchsorted(shard.ids, pairs.column(name).to_numpy(), sorter=order)]
@@ -259,7 +270,7 @@ def longer_of(rows: pa.Table, pairs: pa.Table, most: int) -> pa.Table:
         if k > 1:
             found.add(longer, n)
         lists[k + 1].append((longer, of, place[on]))
-    return found.table(shard.ids)
+    return found.table(shard.ids, most, buckets)
 
 
 def frequent(counts: DataFrame, keys: list, least: int) -> DataFrame:
@@ -281,16 +292,22 @@ def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTE
     # Merged whatever the size, so that AQE can split a word that very many shards hold.
     kept = bitmaps.join(words.withColumnRenamed("n", "f").hint("merge"), ["lang", "word"]).select("shard", "w", "f", "n", "places")
     kept = written(kept, "frequent-bitmaps")
-    local = kept.groupBy("shard").applyInArrow(lambda rows: pairs_of(rows, share), PAIRS).repartition("a", "s")
-    # One exchange: the pairs of a word stay together while they are counted and while they are told to their shards.
-    each = local.select("shard", "a", "s", F.inline(F.arrays_zip("b", "n")))
-    each = each.withColumn("n", F.sum("n").over(W.partitionBy("a", "s", "b"))).filter(F.col("n") >= least)
+    # A task's share of pairs and phrases comes in a few buckets, so that buckets of unlike size even out.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (totals.agg(F.sum("n")).first()[0] or 0) // TASK_WORDS)
+    buckets = PER_TASK * tasks
+    local = kept.groupBy("shard").applyInArrow(lambda rows: pairs_of(rows, buckets, share), PAIRS).repartition(tasks, "p")
+    # One exchange: pairs stay in their bucket while they are counted and while they are told to their shards.
+    each = local.select("shard", "p", F.inline(F.arrays_zip("a", "b", "n")))
+    each = each.withColumn("n", F.sum("n").over(W.partitionBy("p", "a", "b"))).filter(F.col("n") >= least)
     tried = written(each.select("shard", "a", "b", "n"), "frequent-pairs")
     pairs = tried.groupBy("a", "b").agg(F.max("n").alias("n"))
     told = told.unionByName(pairs.select(F.array("a", "b").alias("ids"), "n"))
     if most > 2:
-        longer = kept.groupBy("shard").cogroup(tried.select("shard", "a", "b").groupBy("shard")).applyInArrow(lambda rows, some: longer_of(rows, some, most), PHRASES)
-        told = told.unionByName(frequent(longer, ["ids"], least))
+        ws = [f"w{i + 1}" for i in range(most)]
+        longer = kept.groupBy("shard").cogroup(tried.select("shard", "a", "b").groupBy("shard"))
+        longer = longer.applyInArrow(lambda rows, some: longer_of(rows, some, most, buckets), f"p int, {', '.join(f'{w} array<long>' for w in ws)}, n array<long>")
+        longer = longer.repartition(tasks, "p").select("p", F.inline(F.arrays_zip(*ws, "n")))
+        told = told.unionByName(frequent(longer, ["p", *ws], least).select(F.filter(F.array(*ws), lambda w: w >= 0).alias("ids"), "n"))
     return written(told, "phrases"), named, totals
 
 

@@ -68,15 +68,15 @@ def test_dense_and_sparse_bitmaps_agree(spark, monkeypatch):
         got = Counter()
         for part in shards.values():
             part = co.pa.Table.from_pylist(part)
-            rows = co.pairs_of(part, share=20).to_pylist()
-            assert len({(r["a"], r["s"]) for r in rows}) == len(rows)
-            flat = [(r["a"], b, n) for r in rows for b, n in zip(r["b"], r["n"])]
+            rows = co.pairs_of(part, 7, share=20).to_pylist()
+            assert len({r["p"] for r in rows}) == len(rows)
+            flat = [x for r in rows for x in zip(r["a"], r["b"], r["n"])]
             assert len({x[:2] for x in flat}) == len(flat)
             for a, b, n in flat:
                 got[a, b] += n
-            longer = co.longer_of(part, co.pa.table({"a": [x[0] for x in flat], "b": [x[1] for x in flat]}), 5)
-            for ids, n in zip(longer.column("ids").to_pylist(), longer.column("n").to_pylist()):
-                got[tuple(ids)] += n
+            longer = co.longer_of(part, co.pa.table({"a": [x[0] for x in flat], "b": [x[1] for x in flat]}), 5, 7).to_pylist()
+            for *ids, n in (x for r in longer for x in zip(*(r[f"w{i}"] for i in range(1, 6)), r["n"])):
+                got[tuple(i for i in ids if i >= 0)] += n
         assert want and all(got[tuple(number[r[0], w] for w in r[2].split(" "))] == r[3] for r in want)
 
 
@@ -124,7 +124,7 @@ def test_pairs_are_dealt_once(spark):
     with mock.patch.object(co, "written", side_effect=lambda df, name: seen.append((name, df._jdf.queryExecution().executedPlan().toString())) or real(df, name)) as _:
         co.phrase_counts(table(spark, texts(30, 6)), 3, 3)
     plan = dict(seen)["frequent-pairs"]
-    assert plan.count("Exchange hashpartitioning(a#") == 1 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    assert plan.count("Exchange hashpartitioning(p#") == 1 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
 
 
 real = co.written
