@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 
 from registrylake.operators.shared import written_once
 
-RANGE = "__rl_range"
+RANGE, RANGE_ROWS = "__rl_range", 1_000_000
 
 
 def ranged(rows: DataFrame, order: list, parts: int | None = None) -> DataFrame:
-    """``rows`` with the number of their range by ``order`` (key columns first) in ``RANGE``; written, since a second evaluation would cut other ranges."""
-    cut = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    """``rows`` with the number of their range by ``order`` (key columns first) in ``RANGE``; written, since a second evaluation would cut other ranges.
+
+    Without ``parts`` there are as many ranges as keep each at about ``RANGE_ROWS`` rows, and no fewer than shuffle partitions, so that a range does not
+    grow with a hot key. Counting, sampling and writing are jobs that run when this is called.
+    """
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.repartitionByRange(parts or max(least, -(-rows.count() // RANGE_ROWS)), *order)
     return written_once(cut.withColumn(RANGE, F.spark_partition_id()), "ranges")
 
 

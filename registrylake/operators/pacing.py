@@ -50,6 +50,42 @@ def gap_fold(rows: DataFrame, host: str, order: list[str], outcome: str, base: i
     return whole.select(host, gap.alias("gap_ms"), "n_429", "n_requests")
 
 
+def next_times(rows: DataFrame, host: str, order: list[str], outcome: str, retry_ms: str | None = None, base: int = BASE_GAP, parts: int | None = None) -> DataFrame:
+    """Last gap, next time (ms), 429s and requests of each host; ``order`` is the time and a tiebreak.
+
+    A request keeps the host's gap free after it; a 429 raises the gap and defers the host by its retry time (``retry_ms``, capped), or
+    by the raised gap where it names none. A host's history is cut into ranges as in ``gap_fold``; a range that knows the gap it starts from
+    is folded by itself, and the host's next time is the latest of its ranges'.
+    """
+    wait = F.col(retry_ms).cast("long") if retry_ms else F.lit(None).cast("long")
+    cut = ordered.ranged(rows.select(host, *order, F.col(outcome).alias("__rl_o"), wait.alias("__rl_w")), [host, *order], parts)
+    item = F.struct(*order, F.unix_millis(order[0]).alias("__rl_at"), "__rl_o", "__rl_w")
+    each = cut.groupBy(host, ordered.RANGE).agg(F.array_sort(F.collect_list(item)).alias("__rl_x"), F.count_if(F.col("__rl_o") == "429").alias("n_429"), F.count(F.lit(1)).alias("n_requests"))
+    moves = F.transform("__rl_x", lambda x: x["__rl_o"])
+    told = each.withColumns({"low": gap_after(moves, base), "high": gap_after(moves, base, F.lit(MAX_GAP).cast("long"))})
+    same = F.col("low") == F.col("high")
+    step = F.struct(ordered.RANGE, F.when(same, F.col("low")).alias("gap"), F.when(~same, F.filter(moves, lambda o: o.isin("429", "ok"))).alias("o"))
+    steps = told.groupBy(host).agg(F.array_sort(F.collect_list(step)).alias("__rl_steps"))
+    none = F.array().cast(f"array<struct<{ordered.RANGE}: int, gap: bigint>>")
+
+    def along(acc, x):
+        here = F.struct(x[ordered.RANGE].alias(ordered.RANGE), acc["gap"].alias("gap"))
+        return F.struct(F.coalesce(x["gap"], gap_after(x["o"], base, acc["gap"])).alias("gap"), F.concat(acc["starts"], F.array(here)).alias("starts"))
+
+    starts = F.aggregate("__rl_steps", F.struct(F.lit(base).cast("long").alias("gap"), none.alias("starts")), along)["starts"]
+    begun = steps.select(F.col(host).alias("__rl_host"), F.explode(starts).alias("s")).select("__rl_host", F.col(f"s.{ordered.RANGE}").alias("__rl_r"), F.col("s.gap").alias("__rl_gap"))
+    both = each.join(begun, F.col(host).eqNullSafe(F.col("__rl_host")) & (F.col(ordered.RANGE) == F.col("__rl_r")))
+
+    def fold(acc, x):
+        gap = gap_after(F.array(x["__rl_o"]), base, acc["gap"])
+        wait = F.when(x["__rl_w"].isNull(), gap).otherwise(F.least(x["__rl_w"], F.lit(MAX_RETRY_AFTER).cast("long")))
+        return F.struct(gap.alias("gap"), F.greatest(acc["next"], x["__rl_at"] + acc["gap"], F.when(x["__rl_o"] == "429", x["__rl_at"] + wait)).alias("next"))
+
+    end = F.aggregate("__rl_x", F.struct(F.col("__rl_gap").alias("gap"), F.lit(None).cast("long").alias("next")), fold)
+    done = both.withColumn("__rl_end", end)
+    return done.groupBy(host).agg(F.max_by("__rl_end.gap", ordered.RANGE).alias("gap_ms"), F.max("__rl_end.next").alias("next_ms"), F.sum("n_429").alias("n_429"), F.sum("n_requests").alias("n_requests"))
+
+
 def sweep_statistics(hosts: DataFrame, host: str, base: int = BASE_GAP) -> tuple[DataFrame, DataFrame]:
     """Totals over hosts, and the three busiest."""
     total = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.count_if(F.col("gap_ms") > base).alias("backed_off"), F.sum("n_429").alias("n_429"), F.max("gap_ms").alias("max_gap_ms"))

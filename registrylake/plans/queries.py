@@ -475,6 +475,18 @@ def gap_fold(spark, sf):
     return pacing.gap_fold(rows, "user_id", ["ts", "event_id"], "outcome")
 
 
+@query("""SELECT user_id, CAST(e.g AS BIGINT) AS gap_ms, CAST(e.x AS BIGINT) AS next_ms, n_429 FROM (
+SELECT user_id, n_429, list_reduce(o, lambda s, r: CASE
+ WHEN r.k = 1 THEN {'k': 0, 't': 0::DOUBLE, 'w': 0::DOUBLE, 'g': least(60000, greatest(150, s.g) * 4), 'x': greatest(s.x, r.t + s.g, r.t + CASE WHEN r.w < 0 THEN least(60000, greatest(150, s.g) * 4) ELSE least(r.w, 300000) END)}
+ ELSE {'k': 0, 't': 0::DOUBLE, 'w': 0::DOUBLE, 'g': greatest(150, floor(s.g * CAST(0.8 AS DOUBLE) + 0.5)), 'x': greatest(s.x, r.t + s.g)} END, {'k': 0, 't': 0::DOUBLE, 'w': 0::DOUBLE, 'g': 150::DOUBLE, 'x': 0::DOUBLE}) AS e
+FROM (SELECT user_id, count(*) FILTER (event_type = 'error') AS n_429, list({'k': CASE WHEN event_type = 'error' THEN 1 ELSE 0 END, 't': CAST(epoch_us(ts) // 1000 AS DOUBLE), 'w': CAST(CASE WHEN event_id % 3 = 0 THEN -1 ELSE event_id * 37 % 400000 END AS DOUBLE), 'g': 0::DOUBLE, 'x': 0::DOUBLE} ORDER BY ts, event_id) AS o FROM events GROUP BY user_id))""")
+def host_next_time(spark, sf):
+    """Gap and next time of each host; every third 429 names no retry time."""
+    retry = F.when(F.col("event_id") % 3 != 0, F.col("event_id") * 37 % 400_000)
+    rows = events(spark, sf).withColumns({"outcome": F.when(F.col("event_type") == "error", "429").otherwise("ok"), "retry_ms": retry})
+    return pacing.next_times(rows, "user_id", ["ts", "event_id"], "outcome", "retry_ms").select("user_id", "gap_ms", "next_ms", "n_429")
+
+
 @query("""WITH a AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS k FROM events)
 SELECT event_id, max(t - k * 20000000) OVER (PARTITION BY user_id ORDER BY k) + k * 20000000 AS start_ms FROM a""")
 def host_slots(spark, sf):

@@ -307,24 +307,3 @@ def test_streaming_upsert_is_idempotent(spark, tmp_path):
     before = table.versions()
     table.apply(table.read(), table.manifest()["epoch"], "n")
     assert table.versions() == before
-
-
-def test_streamed_pacing_equals_the_fold(spark, tmp_path):
-    from registrylake.operators.pacing import gap_fold
-    from registrylake.streaming.pacing import paced
-
-    kind = "host string, at long, ordinal long, outcome string"
-    script = ["429", "ok", "429", "other", "ok", "429", "ok", "ok"]
-    rows = [(h, i // 2, i, script[(i + k) % len(script)]) for k, h in enumerate("abc") for i in range(12)]
-    source = str(tmp_path / "in")
-    got: dict = {}
-
-    def keep(batch, _):
-        got.update({r["host"]: (r.gap_ms, r.n_429, r.n_requests) for r in batch.collect()})
-
-    for lo, hi in ((0, 3), (3, 6)):
-        spark.createDataFrame([r for r in rows if lo <= r[1] < hi], kind).coalesce(1).write.mode("append").parquet(source)
-        stream = paced(spark.readStream.schema(kind).parquet(source))
-        stream.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
-    want = {r["host"]: (r.gap_ms, r.n_429, r.n_requests) for r in gap_fold(spark.createDataFrame(rows, kind), "host", ["at", "ordinal"], "outcome").collect()}
-    assert got == want
