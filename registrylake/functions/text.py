@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from registrylake.functions.urlhost import host  # noqa: F401  F34, beside the other text functions
+
 INSTALL_FLOOR, TOOL_RATIO, EVENT_CAP = 100, 0.5, 100
 
 
@@ -92,19 +94,13 @@ def age_hours(newest: Column, now: Column) -> Column:
     return (F.unix_micros(now) - F.coalesce(F.unix_micros(newest), F.lit(0))) / F.lit(3.6e9)
 
 
-def host(url: Column) -> Column:
-    """lower-cased host; empty if there is none. ``parse_url`` keeps case and refuses ``_`` and braces."""
-    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/:?#]+)", 1))
-
-
 # Suffixes of tunnel hosts.
 TUNNEL_SUFFIXES = ["trycloudflare.com", "ngrok.io", "ngrok-free.app", "ngrok.app", "ngrok.dev", "loca.lt", "serveo.net", "localhost.run"]
 
 
 def tunnel_suffix(host_: Column, suffixes: list | None = None) -> Column:
     """the first suffix that the host equals or ends with behind a dot."""
-    known = F.array(*map(F.lit, suffixes or TUNNEL_SUFFIXES))
-    return F.get(F.filter(known, lambda s: (host_ == s) | host_.endswith(F.concat(F.lit("."), s))), 0)
+    return F.coalesce(*[F.when((host_ == s) | host_.endswith(f".{s}"), s) for s in suffixes or TUNNEL_SUFFIXES])
 
 
 def parse_limit(raw: str | None, fallback: int | None) -> int | None:

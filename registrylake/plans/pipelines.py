@@ -82,7 +82,7 @@ def live_endpoints(servers: DataFrame) -> DataFrame:
     live = servers.filter((F.col("status") != "deleted") & (F.json_array_length("remotes") > 0))
     each = live.select("name", F.explode(json_array(F.col("remotes"), "$")).alias("remote")).withColumn("endpoint_url", string_field(F.col("remote"), "$.url"))
     host = X.host(F.col("endpoint_url"))
-    return each.filter(F.col("endpoint_url") != "").select("name", "endpoint_url", F.when(host != "", host).otherwise(F.concat(F.lit("__unparseable__"), F.substring("endpoint_url", 1, 40))).alias("host"))
+    return each.filter(F.col("endpoint_url") != "").select("name", "endpoint_url", F.when(host.isNotNull(), host).otherwise(F.concat(F.lit("__unparseable__"), F.substring("endpoint_url", 1, 40))).alias("host"))
 
 
 # -- artifacts ---------------------------------------------------------------------------------------
@@ -263,7 +263,7 @@ def listing_targets(runs: DataFrame, probes: DataFrame) -> tuple[DataFrame, Data
     run = latest.latest_run_with_rows(runs, evidence, "probed_at")
     newest = latest.latest_per_key(latest.rows_in_run(evidence, run, "probed_at"), ["endpoint_url"], "probed_at", "server_id")
     ok = F.col("discover_status") == "ok"
-    return newest.filter(ok & (X.host(F.col("endpoint_url")) != "")), exclusions.histogram(newest.filter(~ok), "discover_status")
+    return newest.filter(ok & X.host(F.col("endpoint_url")).isNotNull()), exclusions.histogram(newest.filter(~ok), "discover_status")
 
 
 @dataclass(frozen=True)

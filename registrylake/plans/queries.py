@@ -311,6 +311,33 @@ def status_precedence(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", X.artifact_status(F.col("o_orderstatus") == "F", F.col("o_orderpriority") == "1-URGENT").alias("status"))
 
 
+#: Ways to write a host, by page_id: (what goes between scheme and path in Spark's SQL and DuckDB's alike, the hostname of the URL standard).
+HOST_FORMS = [
+    ("'//' || h || '/'", "h"),
+    ("'//USER:pw@' || upper(h) || ':8080?q'", "h"),
+    ("'//%' || CASE WHEN h < 'f' THEN '61' ELSE '7A' END || '.' || h || '#f'", "CASE WHEN h < 'f' THEN 'a' ELSE 'z' END || '.' || h"),
+    ("'//' || (16777216 + page_id) || '/'", "'1.' || (page_id // 65536) || '.' || (page_id // 256 % 256) || '.' || page_id % 256"),
+    ("'//0x7f.' || (page_id % 65536)", "'127.0.' || (page_id % 65536 // 256) || '.' || page_id % 256"),
+    ("'//010.0.0.' || page_id % 256 || '.'", "'8.0.0.' || page_id % 256"),
+    ("'//1.2.3.' || (256 + page_id)", "NULL"),
+    ("'//' || h || '<x/'", "NULL"),
+    ("'//[1:0:0:0:0:0:0:' || (page_id % 10) || ']/'", "CASE WHEN page_id % 10 = 0 THEN '[1::]' ELSE '[1::' || (page_id % 10) || ']' END"),
+    ("'//[::ffff:1.2.3.' || page_id % 256 || ']'", "NULL"),
+    ("'//b\u00fccher.' || h", "'xn--bcher-kva.' || h"),
+    ("'\\\\' || h || ':99999/'", "NULL"),
+    ("h || '/x'", "h"),
+]
+HOST_SQL = "SELECT page_id, CASE page_id % 13 " + " ".join(f"WHEN {i} THEN {want}" for i, (_, want) in enumerate(HOST_FORMS)) + " END AS host FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://([a-z.-]+)/', 1) AS h FROM pages)"
+
+
+@query(HOST_SQL.replace("WHEN 9 THEN NULL", "WHEN 9 THEN '[::ffff:102:' || printf('%x', 768 + page_id % 256) || ']'"))
+def url_hosts(spark, sf):
+    """hostnames of URLs in all the forms that the standard knows; the twin knows the host that each was made from."""
+    made = F.expr("CASE page_id % 13 " + " ".join(f"WHEN {i} THEN {form}" for i, (form, _) in enumerate(HOST_FORMS)) + " END")
+    rows = table(spark, sf, "pages").withColumn("h", F.regexp_extract("url", "^[a-z]+://([a-z.-]+)/", 1))
+    return rows.select("page_id", X.host(F.concat(F.lit("HTTP:"), made)).alias("host"))
+
+
 @query(r"SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#@]*@)?([^/:?#]+)', 2)) AS host FROM pages")
 def host_extract(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.host(F.col("url")).alias("host"))

@@ -147,7 +147,7 @@ def test_titles(spark, slug, title):
     assert one(spark, X.title_of_slug(F.lit(slug))) == title
 
 
-@pytest.mark.parametrize("url, host", [("HTTPS://User@Ex_Ample.COM:80/x", "ex_ample.com"), ("http://[::1]:8/", "[::1]"), ("http://{h}.x/", "{h}.x"), ("no url", ""), ("ftp://h?x", "h")])
+@pytest.mark.parametrize("url, host", [("HTTPS://User@Ex_Ample.COM:80/x", "ex_ample.com"), ("http://[::1]:8/", "[::1]"), ("http://{h}.x/", "{h}.x"), ("no url", None), ("ftp://h?x", "h"), ("mailto:a@b", "")])
 def test_hosts(spark, url, host):
     assert one(spark, X.host(F.lit(url))) == host
 
