@@ -22,6 +22,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -36,7 +37,7 @@ SHARE, TASK_WORDS, PER_TASK = 100_000_000, 4_000_000, 8
 #: A byte that UTF-8 never uses stands for the end of a piece.
 END = b"\xff"
 TOKEN_BYTES = bytes(END[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256)).lower()
-WORDS = "lang string, shard long, word string, n long, places binary"
+WORDS = "lang string, shard long, uid long, word string, n long, places binary"
 PAIRS = "shard long, p int, a array<long>, b array<long>, n array<long>"
 
 
@@ -67,8 +68,8 @@ def cuts(text: bytes, size: int):
     yield text[start:]
 
 
-def word_bitmaps(lang: str, shard: int, texts: list) -> pa.RecordBatch | None:
-    """The rows of a shard: each word, how often it occurs, and the gaps of its positions."""
+def word_bitmaps(lang: str, shard: int, uid: int, texts: list) -> pa.RecordBatch | None:
+    """The rows of a shard: each word with a number of its own (from ``uid`` on), how often it occurs, and the gaps of its positions."""
     tokens = END.join(texts).replace(END, b" " + END + b" ").split()
     coded = pa.array(tokens, pa.binary()).dictionary_encode()
     code, words = coded.indices.to_numpy(), coded.dictionary
@@ -84,21 +85,24 @@ def word_bitmaps(lang: str, shard: int, texts: list) -> pa.RecordBatch | None:
     rows = pa.RecordBatch.from_pydict({"word": words.filter(real).cast(pa.string()), "n": pa.array(counts).filter(real), "places": places.filter(real)})
     if not rows.num_rows:
         return None
-    return pa.RecordBatch.from_pydict({"lang": pa.array([lang] * rows.num_rows), "shard": pa.array([shard] * rows.num_rows, pa.int64()), **dict(zip(rows.schema.names, rows.columns))})
+    same = {"lang": pa.array([lang] * rows.num_rows), "shard": pa.array(np.full(rows.num_rows, shard)), "uid": pa.array(np.arange(uid, uid + rows.num_rows))}
+    return pa.RecordBatch.from_pydict({**same, **dict(zip(rows.schema.names, rows.columns))})
 
 
 def sharded(docs: DataFrame, size: int = SHARD_BYTES) -> DataFrame:
     """The word bitmaps of all shards, written. A task fills one shard a language, and closes the fullest when several are open."""
 
     def run(batches):
-        task, made, held = TaskContext.get().partitionId(), 0, defaultdict(list)
+        task, made, uid, held = TaskContext.get().partitionId(), 0, 0, defaultdict(list)
         full: dict = defaultdict(int)
 
         def closed(lang):
-            nonlocal made
+            nonlocal made, uid
             made += 1
             full.pop(lang)
-            return word_bitmaps(lang, task << 32 | made, held.pop(lang))
+            rows = word_bitmaps(lang, task << 32 | made, task << 36 | uid, held.pop(lang))
+            uid += rows.num_rows if rows else 0
+            return rows
 
         for part in (p for batch in batches for p in row_chunks(batch, 1)):
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -117,11 +121,15 @@ def sharded(docs: DataFrame, size: int = SHARD_BYTES) -> DataFrame:
 
 
 class Shard:
-    """The bitmaps of a shard's frequent words, which have the numbers 0 to ``size``."""
-
-    def __init__(self, rows: pa.Table):
-        rows = rows.combine_chunks()
-        self.ids = rows.column("w").to_numpy()
+    """The bitmaps of a shard's frequent words, which have the numbers 0 to ``size``. ``told`` says which of its rows these are (uid, w, f)."""
+
+    def __init__(self, rows: pa.Table, told: pa.Table):
+        told = told.sort_by("uid").combine_chunks()
+        uid = rows.column("uid").to_numpy()
+        at = np.minimum(np.searchsorted(told.column("uid").to_numpy(), uid), len(told) - 1)
+        known = told.column("uid").to_numpy()[at] == uid
+        rows = rows.filter(pa.array(known)).combine_chunks()
+        self.ids, self.f = told.column("w").to_numpy()[at[known]], told.column("f").to_numpy()[at[known]]
         self.size = len(self.ids)
         counts = rows.column("n").to_numpy()
         places = pa.concat_arrays(rows.column("places").chunks).cast(pa.large_binary())
@@ -167,12 +175,15 @@ class Shard:
         return phrase[on], word[on], ends[on] + 1
 
 
-def pairs_of(rows: pa.Table, buckets: int, share: int = SHARE) -> pa.Table:
+def pairs_of(rows: pa.Table, told: pa.Table, buckets: int, share: int = SHARE) -> pa.Table:
     """All pairs of the shard's frequent words that stand side by side, with their occurrences, dealt to buckets by their first word.
 
     A word that is met more than ``share`` times in all shards has its second words dealt to so many more buckets.
     """
-    shard = Shard(rows)
+    if not told.num_rows:
+        none = np.zeros(0, np.int64)
+        return dealt(none, {"a": none, "b": none, "n": none}, {"shard": 0})
+    shard = Shard(rows, told)
     a, b, _ = shard.followed(shard.listed_word, shard.listed)
     key, n = np.unique(a * shard.size + b, return_counts=True)
     keys, counts = [key], [n]
@@ -182,7 +193,7 @@ def pairs_of(rows: pa.Table, buckets: int, share: int = SHARE) -> pa.Table:
             counts.append(n)
     key, n = np.concatenate(keys), np.concatenate(counts)
     a, b = key // shard.size, shard.ids[key % shard.size]
-    of = b % (1 + rows.column("f").to_numpy() // share)[a]
+    of = b % (1 + shard.f // share)[a]
     a = shard.ids[a]
     return dealt(mixed(a, of) % buckets, {"a": a, "b": b, "n": n}, {"shard": rows.column("shard")[0].as_py()})
 
@@ -222,16 +233,17 @@ class _Found:
         return dealt(mixed(words[:, 0], words[:, 1]) % buckets, {f"w{i + 1}": words[:, i] for i in range(most)} | {"n": n})
 
 
-def longer_of(rows: pa.Table, pairs: pa.Table, most: int, buckets: int) -> pa.Table:
-    """The phrases of 3 to ``most`` words whose pairs are all in ``pairs``, with their occurrences in the shard.
+def longer_of(rows: pa.Table, told: pa.Table, most: int, buckets: int) -> pa.Table:
+    """The phrases of 3 to ``most`` words whose pairs are all frequent, with their occurrences in the shard; ``told`` has its frequent words and pairs.
 
     Bit sets are extended depth first, one phrase at a time. What comes out as a list waits until they are done: the lists of one
     length are extended together, since each alone is short.
     """
     found = _Found()
-    if not (rows.num_rows and pairs.num_rows):
+    words, pairs = told.filter(pc.is_valid(told.column("uid"))), told.filter(pc.is_valid(told.column("a")))
+    if not pairs.num_rows:
         return found.table(np.zeros(0, np.int64), most, buckets)
-    shard = Shard(rows)
+    shard = Shard(rows, words)
     order = np.argsort(shard.ids)
     number = lambda name: order[np.searchsorted(shard.ids, pairs.column(name).to_numpy(), sorter=order)]
     allowed = np.unique(number("a") * shard.size + number("b"))
@@ -284,18 +296,21 @@ def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTE
     """
     bitmaps = sharded(docs, size)
     totals = written(bitmaps.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    words = written(frequent(bitmaps, ["lang", "word"], least).withColumn("w", F.monotonically_increasing_id()), "frequent-words")
-    told = words.select(F.array("w").alias("ids"), "n")
-    named = words.select("lang", "word", "w")
+    # The rows of a word, one for each shard, are counted and told so where they meet; its number is the least of theirs.
+    word = W.partitionBy("lang", "word")
+    each = bitmaps.select("lang", "shard", "uid", "word", F.min("uid").over(word).alias("w"), F.sum("n").over(word).alias("f")).filter(F.col("f") >= least)
+    known = written(each, "frequent-words")
+    sole = known.filter(F.col("uid") == F.col("w"))
+    told, named = sole.select(F.array("w").alias("ids"), F.col("f").alias("n")), sole.select("lang", "word", "w")
     if most < 2:
         return told, named, totals
-    # Merged whatever the size, so that AQE can split a word that very many shards hold.
-    kept = bitmaps.join(words.withColumnRenamed("n", "f").hint("merge"), ["lang", "word"]).select("shard", "w", "f", "n", "places")
-    kept = written(kept, "frequent-bitmaps")
     # A task's share of pairs and phrases comes in a few buckets, so that buckets of unlike size even out.
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (totals.agg(F.sum("n")).first()[0] or 0) // TASK_WORDS)
     buckets = PER_TASK * tasks
-    local = kept.groupBy("shard").applyInArrow(lambda rows: pairs_of(rows, buckets, share), PAIRS).repartition(tasks, "p")
+    none = F.lit(None).cast("long")
+    of_shard = known.select("shard", "uid", "w", "f", none.alias("a"), none.alias("b"))
+    places = bitmaps.select("shard", "uid", "n", "places").groupBy("shard")
+    local = places.cogroup(of_shard.groupBy("shard")).applyInArrow(lambda rows, some: pairs_of(rows, some, buckets, share), PAIRS).repartition(tasks, "p")
     # One exchange: pairs stay in their bucket while they are counted and while they are told to their shards.
     each = local.select("shard", "p", F.inline(F.arrays_zip("a", "b", "n")))
     each = each.withColumn("n", F.sum("n").over(W.partitionBy("p", "a", "b"))).filter(F.col("n") >= least)
@@ -304,8 +319,8 @@ def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTE
     told = told.unionByName(pairs.select(F.array("a", "b").alias("ids"), "n"))
     if most > 2:
         ws = [f"w{i + 1}" for i in range(most)]
-        longer = kept.groupBy("shard").cogroup(tried.select("shard", "a", "b").groupBy("shard"))
-        longer = longer.applyInArrow(lambda rows, some: longer_of(rows, some, most, buckets), f"p int, {', '.join(f'{w} array<long>' for w in ws)}, n array<long>")
+        both = of_shard.unionByName(tried.select("shard", none.alias("uid"), none.alias("w"), none.alias("f"), "a", "b"))
+        longer = places.cogroup(both.groupBy("shard")).applyInArrow(lambda rows, some: longer_of(rows, some, most, buckets), f"p int, {', '.join(f'{w} array<long>' for w in ws)}, n array<long>")
         longer = longer.repartition(tasks, "p").select("p", F.inline(F.arrays_zip(*ws, "n")))
         told = told.unionByName(frequent(longer, ["p", *ws], least).select(F.filter(F.array(*ws), lambda w: w >= 0).alias("ids"), "n"))
     return written(told, "phrases"), named, totals

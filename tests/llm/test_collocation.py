@@ -60,21 +60,22 @@ def test_dense_and_sparse_bitmaps_agree(spark, monkeypatch):
     bitmaps = co.sharded(table(spark, rows))
     words = bitmaps.select("lang", "word").distinct().orderBy("lang", "word").toArrow().to_pylist()
     number = {(r["lang"], r["word"]): i for i, r in enumerate(words)}
-    shards = {}
+    shards, told = {}, {}
     for r in bitmaps.collect():
-        shards.setdefault(r.shard, []).append({"shard": r.shard, "w": number[r.lang, r.word], "f": 10 * r.n, "n": r.n, "places": bytes(r.places)})
+        shards.setdefault(r.shard, []).append({"shard": r.shard, "uid": r.uid, "n": r.n, "places": bytes(r.places)})
+        told.setdefault(r.shard, []).append({"uid": r.uid, "w": number[r.lang, r.word], "f": 10 * r.n, "a": None, "b": None})
     for dense in (1, 4, 10**9):
         monkeypatch.setattr(co, "DENSE", dense)
         got = Counter()
-        for part in shards.values():
-            part = co.pa.Table.from_pylist(part)
-            rows = co.pairs_of(part, 7, share=20).to_pylist()
+        for part, some in ((co.pa.Table.from_pylist(shards[k]), told[k]) for k in shards):
+            rows = co.pairs_of(part, co.pa.Table.from_pylist(some), 7, share=20).to_pylist()
             assert len({r["p"] for r in rows}) == len(rows)
             flat = [x for r in rows for x in zip(r["a"], r["b"], r["n"])]
             assert len({x[:2] for x in flat}) == len(flat)
             for a, b, n in flat:
                 got[a, b] += n
-            longer = co.longer_of(part, co.pa.table({"a": [x[0] for x in flat], "b": [x[1] for x in flat]}), 5, 7).to_pylist()
+            both = co.pa.Table.from_pylist(some + [{"uid": None, "w": None, "f": None, "a": x[0], "b": x[1]} for x in flat])
+            longer = co.longer_of(part, both, 5, 7).to_pylist()
             for *ids, n in (x for r in longer for x in zip(*(r[f"w{i}"] for i in range(1, 6)), r["n"])):
                 got[tuple(i for i in ids if i >= 0)] += n
         assert want and all(got[tuple(number[r[0], w] for w in r[2].split(" "))] == r[3] for r in want)
@@ -124,7 +125,7 @@ def test_pairs_are_dealt_once(spark):
     with mock.patch.object(co, "written", side_effect=lambda df, name: seen.append((name, df._jdf.queryExecution().executedPlan().toString())) or real(df, name)) as _:
         co.phrase_counts(table(spark, texts(30, 6)), 3, 3)
     plan = dict(seen)["frequent-pairs"]
-    assert plan.count("Exchange hashpartitioning(p#") == 1 and plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    assert plan.count("Exchange hashpartitioning(p#") == 1 and plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
 
 
 real = co.written
