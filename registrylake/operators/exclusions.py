@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from registrylake.operators.merging import refused
+
 # Fixed values.
 METHODS = ["discover", "tools", "resources", "prompts"]
 SCOPES = ["endpoint", "host", "server"]
@@ -52,8 +54,11 @@ def histogram(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column)
 
 
+def placeholders(targets: DataFrame, url: str) -> DataFrame:
+    """The targets that hold an unsubstituted placeholder."""
+    return targets.filter(F.col(url).contains("{"))
+
+
 def refuse_placeholders(targets: DataFrame, url: str) -> DataFrame:
-    """One placeholder stops the whole listing run."""
-    if targets.filter(F.col(url).contains("{")).limit(1).count():
-        raise ValueError("a target url holds a placeholder")
-    return targets
+    """One placeholder stops the whole listing run (R17): the job that meets it fails."""
+    return refused(targets, F.col(url).contains("{"), "a target url holds a placeholder")

@@ -109,8 +109,21 @@ def bag_union(*tables: DataFrame) -> DataFrame:
     return out
 
 
+def refused(rows: DataFrame, bad: Column, message: str) -> DataFrame:
+    """``rows``; a job that meets one for which ``bad`` holds fails with ``message``.
+
+    The test is a filter that also looks at the row's number, which Spark takes for an effect of its own: it neither drops the filter nor moves it
+    or later ones past each other. A row is judged even if nobody asks for it afterwards. No job runs for the test alone.
+    """
+    judged = F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.monotonically_increasing_id() >= 0)
+    return rows.filter(judged)
+
+
 def refuse_if_empty(rows: DataFrame, what: str) -> DataFrame:
-    """An empty corpus is a failure, not a result."""
-    if rows.limit(1).count() == 0:
-        raise ValueError(f"{what}: no rows")
-    return rows
+    """An empty corpus is a failure, not a result; the job that reads the rows fails.
+
+    A branch without rows counts up to one row and is part of the same plan.
+    """
+    seen = rows.limit(1).agg(F.count(F.lit(1)).alias("__rl_n"))
+    none = refused(seen, F.col("__rl_n") == 0, f"{what}: no rows").filter(F.col("__rl_n") < 0)
+    return rows.unionByName(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]))

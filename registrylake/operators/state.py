@@ -6,7 +6,7 @@ never reads what it overwrites.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from registrylake.operators import ordered
@@ -67,6 +67,13 @@ def changed(stored: DataFrame, incoming: DataFrame, keys: list[str], hashes: lis
     return both.withColumn("change", kind).filter(F.col("change").isNotNull()).select(*incoming.columns, "change")
 
 
+def counted(rows: DataFrame, counts: Observation | None) -> DataFrame:
+    """Rows of ``changed`` as they are; the job that writes them tells ``counts`` how many are new and how many changed."""
+    if counts is None:
+        return rows
+    return rows.observe(counts, F.count_if(F.col("change") == "new").alias("new"), F.count_if(F.col("change") == "changed").alias("changed"))
+
+
 def transitions(stored: DataFrame, incoming: DataFrame, keys: list[str], state: str) -> DataFrame:
     """Known rows whose state differs; a first sight or a NULL on either side is no transition."""
     old = stored.select(*keys, F.col(state).alias("from_state"))
@@ -93,6 +100,38 @@ def breaking_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return gone.unionByName(both.withColumn("change", kind).filter(F.col("change").isNotNull()).select(*keys, "name", "change"))
 
 
+def breaking_history(captures: DataFrame, parts: int | None = None) -> DataFrame:
+    """W5 over all captures (endpoint_url, captured_at, tool_name, param_set): what broke, and at which capture.
+
+    Each capture of an endpoint is compared with the one before it: ``tool_removed`` (also when a tool that came back goes again),
+    ``required_added`` and ``type_changed`` as in ``breaking_changes``, and ``tool_returned``, which breaks nothing and is
+    compared with the tool as it was last seen. A capture lists each tool once; of rows that repeat any one counts. One without tools has a row
+    with a null ``tool_name``. A hot endpoint's history is cut into ranges.
+    """
+    rows = captures.dropDuplicates(["endpoint_url", "captured_at", "tool_name"])
+    each = captures.select("endpoint_url", "captured_at").distinct()
+    steps = ordered.carried(each, ["endpoint_url"], ["captured_at"], F.col("captured_at"), "prev_at", parts)
+    steps = steps.select(F.col("endpoint_url").alias("__rl_e"), F.col("captured_at").alias("__rl_at"), "prev_at")
+    tools = rows.filter(F.col("tool_name").isNotNull()).select("endpoint_url", "captured_at", "tool_name", "param_set")
+    seen = ordered.carried(tools, ["endpoint_url", "tool_name"], ["captured_at"], F.struct(F.col("captured_at").alias("at"), F.col("param_set").alias("p")), "before", parts)
+    here = seen.join(steps, seen["endpoint_url"].eqNullSafe(F.col("__rl_e")) & (seen["captured_at"] == F.col("__rl_at")))
+    keys = ["endpoint_url", "tool_name", "captured_at"]
+    known = here.filter(F.col("before").isNotNull())
+    back = known.filter(F.col("before.at") < F.col("prev_at")).select(*keys, F.lit(None).cast("string").alias("name"), F.lit("tool_returned").alias("change"))
+    old = F.map_from_entries(F.transform("before.p", lambda p: F.struct(p["name"], F.struct(p["type"].alias("type"), p["required"].alias("required")))))
+    # Without an old parameter both its fields are null.
+    both = known.select(*keys, F.explode("param_set").alias("p"), old.alias("old")).withColumn("was", F.try_element_at("old", F.col("p.name")))
+    kind = F.when(F.col("p.required") & ~F.coalesce(F.col("was.required"), F.lit(False)), "required_added").when(F.col("was").isNotNull() & ~F.col("p.type").eqNullSafe(F.col("was.type")), "type_changed")
+    params = both.withColumn("change", kind).filter(F.col("change").isNotNull()).select(*keys, F.col("p.name").alias("name"), "change")
+    # A tool of one capture that the next one lacks is removed there.
+    follow = steps.filter(F.col("prev_at").isNotNull())
+    due = tools.select(F.col("endpoint_url"), F.col("tool_name"), F.col("captured_at").alias("__rl_was")).join(follow, F.col("endpoint_url").eqNullSafe(F.col("__rl_e")) & (F.col("__rl_was") == F.col("prev_at")))
+    now = tools.select(F.col("endpoint_url").alias("__rl_e2"), F.col("tool_name").alias("__rl_t2"), F.col("captured_at").alias("__rl_at2"))
+    gone = due.join(now, F.col("endpoint_url").eqNullSafe(F.col("__rl_e2")) & (F.col("tool_name") == F.col("__rl_t2")) & (F.col("__rl_at") == F.col("__rl_at2")), "left_anti")
+    removed = gone.select("endpoint_url", "tool_name", F.col("__rl_at").alias("captured_at"), F.lit(None).cast("string").alias("name"), F.lit("tool_removed").alias("change"))
+    return removed.unionByName(params).unionByName(back)
+
+
 def newer_than(rows: DataFrame, marks: DataFrame, keys: list[str], at: str) -> DataFrame:
     """X11: rows at or after their key's watermark; all rows of a key without one. Re-reading is harmless before ``upsert``."""
     return rows.join(marks, keys, "left").filter(F.col("newest").isNull() | (F.col(at) >= F.col("newest"))).drop("newest")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from registrylake.functions import classify as C
@@ -70,11 +70,14 @@ def registry_rows(pages: DataFrame, run_at: Column) -> DataFrame:
 SERVER_HASHES = ["definition_hash", "status_hash", "status_message_hash"]
 
 
-def registry_run(stored: DataFrame, pages: DataFrame, run_at: Column) -> tuple[DataFrame, DataFrame]:
-    """(next state, snapshots to append); both read the stored version, which is never overwritten."""
+def registry_run(stored: DataFrame, pages: DataFrame, run_at: Column, counts: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """(next state, snapshots to append); both read the stored version, which is never overwritten.
+
+    ``counts`` (A17) is told by the write of the snapshots: ``new`` and ``changed`` servers.
+    """
     rows = registry_rows(pages, run_at)
     update = [c for c in rows.columns if c != "name"]
-    return state.upsert(stored, rows, ["name"], update), state.changed(stored, rows, ["name"], SERVER_HASHES)
+    return state.upsert(stored, rows, ["name"], update), state.counted(state.changed(stored, rows, ["name"], SERVER_HASHES), counts)
 
 
 def live_endpoints(servers: DataFrame) -> DataFrame:
@@ -139,10 +142,9 @@ def package_rows(pages: DataFrame, downloads: DataFrame, run_at: Column) -> Data
 
 
 def refuse_truncated(trees: DataFrame) -> DataFrame:
-    """A truncated tree is refused; ``trees``: body."""
-    if trees.filter(F.get_json_object("body", "$.truncated") == "true").limit(1).count():
-        raise ValueError("a tree listing is truncated")
-    entries = trees.select(F.posexplode(json_array(F.col("body"), "$.tree")).alias("pos", "e"))
+    """A truncated tree is refused where it is read; ``trees``: body."""
+    whole = merging.refused(trees, F.get_json_object("body", "$.truncated") == "true", "a tree listing is truncated")
+    entries = whole.select(F.posexplode(json_array(F.col("body"), "$.tree")).alias("pos", "e"))
     return entries.select("pos", F.get_json_object("e", "$.path").alias("path"), F.get_json_object("e", "$.type").alias("type")).filter("type = 'blob'")
 
 
@@ -182,11 +184,11 @@ def node_rows(trees: DataFrame, texts: DataFrame) -> DataFrame:
 ARTIFACT_KEY = ["kind", "source", "external_id"]
 
 
-def artifact_run(stored: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(next state, snapshots to append)."""
+def artifact_run(stored: DataFrame, rows: DataFrame, counts: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """(next state, snapshots to append); ``counts`` (A17) is told by the write of the snapshots."""
     update = [c for c in rows.columns if c not in ARTIFACT_KEY]
     snapshots = state.changed(stored, rows, ARTIFACT_KEY, ["definition_hash"]).select(state.capture_id(*map(F.col, ARTIFACT_KEY)).alias("artifact_id"), F.col("last_seen").alias("captured_at"), "definition_hash", "manifest", "change")
-    return state.upsert(stored, rows, ARTIFACT_KEY, update), snapshots
+    return state.upsert(stored, rows, ARTIFACT_KEY, update), state.counted(snapshots, counts)
 
 
 # -- governance --------------------------------------------------------------------------------------

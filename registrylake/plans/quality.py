@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 import uuid
 from collections.abc import Callable
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +61,50 @@ def isolated(segments: dict[str, Callable[[], object]]) -> tuple[dict, dict]:
     return done, errors
 
 
+def within_deadline(spark: SparkSession, segments: dict[str, Callable[[], object]], seconds: float, grace: float = 30.0) -> tuple[dict, dict]:
+    """Segments side by side, each under a job tag of its own; (results, errors).
+
+    When time is up, the jobs of segments that still run are interrupted by their tags, and again until the segment
+    ends, since it may start further ones; it is reported as late, whatever it returns. The others' results stand. All failing raises.
+    """
+    done, errors, late, lock = {}, {}, set(), threading.Lock()
+    tags = {name: f"segment-{uuid.uuid4().hex}" for name in segments}
+
+    def run(name: str) -> None:
+        spark.addTag(tags[name])
+        try:
+            result = segments[name]()
+            with lock:
+                if name not in late:
+                    done[name] = result
+        except Exception as e:  # noqa: BLE001  a segment's failure is recorded, not hidden
+            with lock:
+                if name not in late:
+                    errors[name] = f"{type(e).__name__}: {e}"
+        finally:
+            spark.removeTag(tags[name])
+
+    threads = {name: InheritableThread(target=run, args=(name,), daemon=True) for name in segments}
+    end = time.monotonic() + seconds
+    for t in threads.values():
+        t.start()
+    for t in threads.values():
+        t.join(max(0.0, end - time.monotonic()))
+    with lock:
+        for name, t in threads.items():
+            if t.is_alive() and name not in done and name not in errors:
+                late.add(name)
+                errors[name] = f"late: not done within {seconds} seconds"
+    give_up = time.monotonic() + grace
+    while any(threads[n].is_alive() for n in late) and time.monotonic() < give_up:
+        for name in late:
+            spark.interruptTag(tags[name])
+            threads[name].join(0.5)
+    if segments and not done:
+        raise RunFailed(f"every segment failed: {errors}")
+    return done, errors
+
+
 def write_access_problems(facts: dict) -> list:
     """What a role lacks. Extra columns are no problem, an absent one is."""
     problems = []

@@ -578,6 +578,36 @@ def breaking_changes(spark, sf):
     return state.breaking_changes(held(c.filter("turn < 4")), held(c.filter("turn >= 4")))
 
 
+@query("""WITH r AS (SELECT l_suppkey AS e, date_trunc('month', l_shipdate) AS ts, l_linenumber AS t, min(l_orderkey) AS k FROM lineitem GROUP BY 1, 2, 3),
+p AS (SELECT *, k % 3 AS ty, k % 5 = 0 AS rq, k % 7 = 0 AS second, k % 2 = 0 AS rq2 FROM r),
+c AS (SELECT e, ts, lag(ts) OVER (PARTITION BY e ORDER BY ts) AS prev FROM (SELECT DISTINCT e, ts FROM r)),
+s AS (SELECT p.*, lag(p.ts) OVER w AS bat, lag(ty) OVER w AS bty, lag(rq) OVER w AS brq, lag(second) OVER w AS bsecond, lag(rq2) OVER w AS brq2, c.prev FROM p JOIN c ON p.e = c.e AND p.ts = c.ts WINDOW w AS (PARTITION BY p.e, t ORDER BY p.ts)),
+x AS (
+ SELECT e, t, ts, NULL AS name, 'tool_returned' AS change FROM s WHERE bat < prev
+ UNION ALL SELECT e, t, ts, 'a', CASE WHEN rq AND NOT brq THEN 'required_added' WHEN ty <> bty THEN 'type_changed' END FROM s WHERE bat IS NOT NULL
+ UNION ALL SELECT e, t, ts, 'b', CASE WHEN rq2 AND NOT coalesce(bsecond AND brq2, false) THEN 'required_added' END FROM s WHERE bat IS NOT NULL AND second
+ UNION ALL SELECT p.e, p.t, c.ts, NULL, 'tool_removed' FROM p JOIN c ON p.e = c.e AND p.ts = c.prev WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.e = p.e AND q.t = p.t AND q.ts = c.ts))
+SELECT CAST(e AS VARCHAR) AS endpoint_url, CAST(t AS VARCHAR) AS tool_name, strftime(ts, '%Y-%m') AS captured, name, change FROM x WHERE change IS NOT NULL""")
+def breaking_history(spark, sf):
+    """A supplier's months are captures, its line numbers tools; one parameter changes its type and need, a second one comes and goes."""
+    at = F.date_trunc("month", "l_shipdate")
+    rows = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("endpoint_url"), at.alias("captured_at"), F.col("l_linenumber").cast("string").alias("tool_name")).agg(F.min("l_orderkey").alias("k"))
+    k = F.col("k")
+    one = lambda name, kind, need: F.struct(F.lit(name).alias("name"), kind.cast("string").alias("type"), need.alias("required"))
+    a, b = one("a", k % 3, k % 5 == 0), one("b", F.lit("x"), k % 2 == 0)
+    held = rows.withColumn("param_set", F.when(k % 7 == 0, F.array(a, b)).otherwise(F.array(a)))
+    return state.breaking_history(held).select("endpoint_url", "tool_name", F.date_format("captured_at", "yyyy-MM").alias("captured"), "name", "change")
+
+
+@query("SELECT page_id, replace(url, '?', '{') AS url FROM pages WHERE contains(url, '?')")
+def placeholder_refusal(spark, sf):
+    """The rows for which ``refuse_placeholders`` would stop a run; those without one go through it."""
+    rows = table(spark, sf, "pages").select("page_id", F.replace("url", F.lit("?"), F.lit("{")).alias("url"))
+    held = exclusions.placeholders(rows, "url")
+    fine = exclusions.refuse_placeholders(rows.join(held.select("page_id"), "page_id", "left_anti"), "url")
+    return held.unionByName(fine.filter(F.col("url").contains("{")))
+
+
 @query("""SELECT page_id, CASE WHEN contains(url, '#') THEN 'other' WHEN contains(url, '?') THEN 'ok' ELSE 'http_error' END AS error_class, CASE WHEN contains(url, '#') THEN NULL WHEN contains(url, '?') THEN 200 ELSE 404 END AS http_status,
 CASE WHEN contains(url, '?') AND NOT contains(url, '#') THEN 'https://moved/' END AS redirect_target, CASE WHEN contains(url, '#') THEN 'EPIPE broken' END AS note FROM pages""")
 def reach_rows(spark, sf):

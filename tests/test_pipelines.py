@@ -105,8 +105,8 @@ def test_webhook_sources(spark):
     texts = spark.createDataFrame([("Git/GitTrigger.node.ts", "polling: true"), ("git/OtherTrigger.node.ts", "webhooks = [")], "path string, text string")
     rows = {r.external_id: r for r in P.node_rows(nodes, texts).collect()}
     assert (rows["git"].mode, rows["git"].collisions, rows["form"].mode, rows["form"].provider_type) == ("instant", 1, "unclassified", "platform_internal")
-    with pytest.raises(ValueError):
-        P.app_rows(bodies(spark, tree("a/b", truncated=True)), texts)
+    with pytest.raises(Exception, match="truncated"):
+        P.app_rows(bodies(spark, tree("a/b", truncated=True)), texts).collect()
 
 
 # -- governance --------------------------------------------------------------------------------------
@@ -246,8 +246,9 @@ def test_batches_and_caps(spark):
     assert all(got[f"n{i:04d}"] == i // 128 for i in range(300))
     kept, left = merging.capped(names, ["name"], 10)
     assert kept.count() == 10 and left.first().dropped == 290
-    with pytest.raises(ValueError):
-        merging.refuse_if_empty(names.limit(0), "names")
+    with pytest.raises(Exception, match="names: no rows"):
+        merging.refuse_if_empty(names.filter("name > 'x'"), "names").count()
+    assert merging.refuse_if_empty(names, "names").count() == 300
 
 
 def test_latest_breaks_ties(spark):

@@ -107,3 +107,32 @@ def test_facts_equal_the_single_functions(spark):
     for row in df.select(J.schema_facts(s).alias("f"), J.schema_hash(s).alias("h"), J.contract_hash(s).alias("c"), J.param_set(s).alias("p"), J.required_count(s).alias("r"), J.max_depth(s).alias("d"), J.false_drift(s).alias("x")).collect():
         assert (row.f.schema_hash, row.f.contract_hash, row.f.param_set, row.f.required_count, row.f.max_depth) == (row.h, row.c, row.p, row.r, row.d)
         assert tuple(row.f[n] for n in J.FLAGS.names) == tuple(row.x)
+
+
+def test_a_late_segment_is_interrupted_and_its_peers_stand(spark, tmp_path):
+    import time
+
+    def stuck():
+        for _ in range(1000):  # interrupted jobs are followed by new ones
+            try:
+                spark.range(10**13, numPartitions=2).selectExpr("sum(id * id % 7)").collect()
+            except Exception:
+                time.sleep(0.05)
+                if (tmp_path / "stop").exists():
+                    raise
+
+    def rows():
+        spark.range(5).write.parquet(str(tmp_path / "rows"))
+        return "written"
+
+    def broken():
+        raise KeyError("x")
+
+    began = time.monotonic()
+    done, errors = q.within_deadline(spark, {"stuck": stuck, "rows": rows, "broken": broken}, 8, grace=2)
+    assert done == {"rows": "written"} and errors["stuck"].startswith("late") and errors["broken"] == "KeyError: 'x'" and time.monotonic() - began < 40
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 5
+    (tmp_path / "stop").write_text("")
+    with pytest.raises(q.RunFailed):
+        q.within_deadline(spark, {"stuck": lambda: spark.range(10**13, numPartitions=2).selectExpr("sum(id * id % 7)").collect()}, 2)
+    assert q.within_deadline(spark, {}, 1) == ({}, {}) and spark.range(3).count() == 3
