@@ -45,10 +45,15 @@ def member(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f',"{name}":'), value.cast("string")), F.lit(""))
 
 
-def joined(rows: DataFrame, by: list, order: str, item: Column, head: str, tail: str) -> DataFrame:
-    """One body for each value of ``by``: ``item`` texts in order of ``order`` between ``head`` and ``tail``."""
+#: Keys of one body: recorded pages have a fixed size, so there are more of them when a table grows.
+SPAN = 20_000
+
+
+def joined(rows: DataFrame, by: list, order: str, item: Column, head: str, tail: str, span: int | None = SPAN) -> DataFrame:
+    """Bodies for each value of ``by``: ``item`` texts in order of ``order`` between ``head`` and ``tail``, one body (``body_no``) for each ``span`` of the order's numbers."""
     listed = F.transform(F.array_sort(F.collect_list(F.struct(order, item.alias("i")))), lambda x: x["i"])
-    return rows.groupBy(*by).agg(F.concat(F.lit(head), F.array_join(listed, ","), F.lit(tail)).alias("body"))
+    number = (F.floor(F.col(order) / span) if span else F.lit(0)).cast("int").alias("body_no")
+    return rows.groupBy(*by, number).agg(F.concat(F.lit(head), F.array_join(listed, ","), F.lit(tail)).alias("body"))
 
 
 # -- registry ----------------------------------------------------------------------------------------
@@ -65,7 +70,7 @@ def registry_pages(rows: DataFrame) -> DataFrame:
     flag = F.when(F.col("odd"), F.lit('"true"')).otherwise(F.col("latest").cast("string"))
     meta = F.concat(F.lit('{"reg.example/official":{"isLatest":'), flag, member("status", quoted("status")), member("statusMessage", quoted("message")), F.lit("}}"))
     item = F.concat(F.lit('{"server":'), server, F.lit(',"_meta":'), meta, F.lit("}"))
-    return joined(rows, ["page_no"], "k", item, '{"servers":[', '],"metadata":{"nextCursor":null}}').withColumn("page_no", F.col("page_no").cast("int"))
+    return joined(rows, ["page_no"], "k", item, '{"servers":[', '],"metadata":{"nextCursor":null}}').withColumn("page_no", (F.col("page_no") * 1_000_000 + F.col("body_no")).cast("int"))
 
 
 @query(f"WITH reg AS ({twin(REG)}) SELECT name, description, version, status, remotes, {HASHES} FROM ({BEST.format(more='')})")
@@ -166,10 +171,10 @@ def package_rows(spark, sf):
     p = derived(spark, sf, PACK, "part")
     fields = F.concat(member("version", quoted("version")), member("license", quoted("license")), member("scope", quoted("scope")), member("keywords", F.col("keywords")), member("publisher", F.concat(F.lit('{"username":'), quoted("username"), F.lit("}"))))
     package = F.concat(F.lit('{"package":{"x":1'), F.when(F.col("nameless"), "").otherwise(member("name", quoted("name"))), fields, F.lit("}}"))
-    pages = joined(p, ["keyword", "keyword_no", "page_no"], "k", package, '{"objects":[', '],"total":7}')
+    pages = joined(p, ["keyword", "keyword_no", "page_no"], "k", package, '{"objects":[', '],"total":7}').withColumn("page_no", F.col("page_no") * 10_000 + F.col("body_no"))
     figures = p.filter("m % 3 < 2").select("name", "m").distinct()
     figure = F.concat(quoted("name"), F.when(F.col("m") % 3 == 0, F.concat(F.lit(':{"downloads":'), 10 * F.col("m"), F.lit(',"start":"s","end":"e"}'))).otherwise(":null"))
-    rows = P.package_rows(pages, joined(figures, [], "name", figure, "{", "}"), run_at())
+    rows = P.package_rows(pages, joined(figures, [], "name", figure, "{", "}", None), run_at())
     return rows.select("external_id", "publisher", "version", F.get_json_object("metrics", "$.weekly_downloads").cast("long").alias("weekly_downloads"), "definition_hash")
 
 
@@ -475,10 +480,10 @@ def last_given(spark, sf):
     return chains.last_given(c, ["conv_id"], "last_reply", "turn")
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 OR c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN '{"n":' || c_custkey || '}' END AS value FROM customer""")
+@query("""SELECT c_custkey, CASE WHEN c_custkey // 100 % 5 = 0 OR c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN '{"n":' || c_custkey || '}' END AS value FROM customer""")
 def lookup_results(spark, sf):
     """A failed batch leaves its members unmeasured, and so does a null or absent entry."""
-    c = table(spark, sf, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("name"), (F.col("c_custkey") % 5).alias("batch"))
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("name"), F.floor(F.col("c_custkey") / 100).alias("batch"))
     entry = F.concat(F.lit('"'), "name", F.when(F.col("c_custkey") % 3 == 1, F.concat(F.lit('":{"n":'), "name", F.lit("}"))).otherwise('":null'))
-    bodies = joined(c.filter("c_custkey % 3 <> 2"), ["batch"], "c_custkey", entry, "{", "}").withColumn("body", F.when(F.col("batch") != 0, F.col("body")))
+    bodies = joined(c.filter("c_custkey % 3 <> 2"), ["batch"], "c_custkey", entry, "{", "}", None).withColumn("body", F.when(F.col("batch") % 5 != 0, F.col("body")))
     return merging.lookup_results(c.select("name", "batch"), "name", bodies).select(F.col("name").cast("long").alias("c_custkey"), "value")

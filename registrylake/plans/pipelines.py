@@ -89,10 +89,15 @@ def live_endpoints(servers: DataFrame) -> DataFrame:
 
 
 # -- artifacts ---------------------------------------------------------------------------------------
+def part_no(bodies: DataFrame) -> Column:
+    """The number of a body among the parts of a document; a document that is whole has none."""
+    return (F.col("body_no") if "body_no" in bodies.columns else F.lit(0)).cast("long")
+
+
 def analytics(document: DataFrame, name: str) -> DataFrame:
-    """Counts of an analytics document (body); the last duplicate wins."""
-    items = document.select(F.posexplode(json_array(F.col("body"), "$.items")).alias("pos", "item"))
-    rows = items.select(F.get_json_object("item", "$.formula").alias("name"), "pos", X.parsed_count(F.get_json_object("item", "$.count")).alias(name)).filter(F.col("name").isNotNull())
+    """Counts of an analytics document (body; in parts if it has a ``body_no``); the last duplicate wins."""
+    items = document.select(part_no(document).alias("part"), F.posexplode(json_array(F.col("body"), "$.items")).alias("pos", "item"))
+    rows = items.select(F.get_json_object("item", "$.formula").alias("name"), (F.col("part") * 10**9 + F.col("pos")).alias("pos"), X.parsed_count(F.get_json_object("item", "$.count")).alias(name)).filter(F.col("name").isNotNull())
     return merging.last_wins(rows, "name", "pos")
 
 
@@ -144,8 +149,8 @@ def package_rows(pages: DataFrame, downloads: DataFrame, run_at: Column) -> Data
 def refuse_truncated(trees: DataFrame) -> DataFrame:
     """A truncated tree is refused where it is read; ``trees``: body."""
     whole = merging.refused(trees, F.get_json_object("body", "$.truncated") == "true", "a tree listing is truncated")
-    entries = whole.select(F.posexplode(json_array(F.col("body"), "$.tree")).alias("pos", "e"))
-    return entries.select("pos", F.get_json_object("e", "$.path").alias("path"), F.get_json_object("e", "$.type").alias("type")).filter("type = 'blob'")
+    entries = whole.select(part_no(trees).alias("part"), F.posexplode(json_array(F.col("body"), "$.tree")).alias("pos", "e"))
+    return entries.select((F.col("part") * 10**9 + F.col("pos")).alias("pos"), F.get_json_object("e", "$.path").alias("path"), F.get_json_object("e", "$.type").alias("type")).filter("type = 'blob'")
 
 
 def app_rows(trees: DataFrame, texts: DataFrame) -> DataFrame:
