@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from registrylake.functions.urlhost import host
+
 from registrylake.functions.text import trimmed
 
 # Transport classes, and codes that point at each.
@@ -69,10 +71,9 @@ def tls_valid(url: Column, error_class: Column, arrived: Column) -> Column:
 
 def not_attempted_reason(url: Column, templates: bool = True) -> Column:
     """P14, P14b (``templates``) and P14c: why no request is made, in order; NULL if one is."""
-    scheme = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+    scheme = F.lower(F.regexp_extract(url, r"^\s*([A-Za-z][A-Za-z0-9+.\-]*):", 1))
     reason = F.when(F.lit(templates) & url.rlike(r"\{[^}]*\}"), "template_placeholder")
-    valid = (scheme != "") & (~scheme.isin("http", "https") | url.rlike(r"(?i)^https?:/*[^/?#\s]+"))
-    return reason.when(~valid, "invalid_url").when(~scheme.isin("http", "https"), "scheme")
+    return reason.when(host(url).isNull(), "invalid_url").when(~scheme.isin("http", "https"), "scheme")
 
 
 def let(value: Column, use) -> Column:

@@ -411,10 +411,10 @@ def names_and_kinds(spark, sf):
     return c.select("c_custkey", scope.alias("scope"), kind.alias("provider_type"), X.has_caveats(F.when(k % 3 == 0, " \t").when(k % 3 == 2, " x ")).alias("has_caveats"))
 
 
-@query("SELECT event_id, left(concat(repeat('a', CAST(user_id AS INT)), props, repeat('b', 50)), 40) AS body FROM events")
+@query("SELECT event_id, CASE WHEN user_id >= 40 THEN repeat('a', 40) ELSE repeat('a', CAST(user_id AS INT)) || repeat('é', CAST((40 - user_id) // 2 AS INT)) END AS body FROM events")
 def bounded_body(spark, sf):
-    """Plain texts, where bytes are characters."""
-    body = F.concat(F.repeat(F.lit("a"), F.col("user_id").cast("int")), "props", F.repeat(F.lit("b"), F.lit(50)))
+    """Characters of two bytes, which the cut meets at their end or in their middle."""
+    body = F.concat(F.repeat(F.lit("a"), F.col("user_id").cast("int")), F.repeat(F.lit("é"), F.lit(50)))
     return table(spark, sf, "events").select("event_id", S.bounded_body(body, 40).alias("body"))
 
 
@@ -461,13 +461,14 @@ def locale_order(spark, sf):
     return rows.groupBy("p_size").agg(F.array_join(merging.locale_sorted(F.collect_list("t")), ",").alias("paths"))
 
 
-@query("""WITH h AS (SELECT 'u' || user_id AS host, 1 + count(*) FILTER (event_type = 'error') AS n_429, count(*) AS n_requests, CASE WHEN count(*) % 2 = 0 THEN 150 ELSE 150 + user_id END AS gap_ms FROM events GROUP BY user_id)
+@query("""WITH h AS (SELECT 'u' || user_id AS host, n_429, n_requests, CAST(list_reduce(list_prepend(CAST(150 AS DOUBLE), o), lambda g, x: CASE WHEN x = 1 THEN least(60000, greatest(150, g) * 4) ELSE greatest(150, floor(g * CAST(0.8 AS DOUBLE) + 0.5)) END) AS BIGINT) AS gap_ms
+ FROM (SELECT user_id, list(CASE WHEN event_type = 'error' THEN CAST(1 AS DOUBLE) ELSE 0 END ORDER BY ts, event_id) AS o, count(*) FILTER (event_type = 'error') AS n_429, count(*) AS n_requests FROM events GROUP BY user_id))
 SELECT 'total' AS what, NULL AS host, count(*) AS hosts, count(*) FILTER (gap_ms > 150) AS backed_off, CAST(sum(n_429) AS BIGINT) AS n, CAST(max(gap_ms) AS BIGINT) AS gap FROM h
 UNION ALL SELECT * FROM (SELECT 'busiest', host, NULL, NULL, n_requests, CAST(gap_ms AS BIGINT) FROM h ORDER BY n_requests DESC, host LIMIT 3)""")
 def sweep_statistics(spark, sf):
-    """A16, T8."""
-    u = table(spark, sf, "events").groupBy("user_id").agg((1 + F.count_if(F.col("event_type") == "error")).alias("n_429"), F.count(F.lit(1)).alias("n_requests"))
-    h = u.select(F.concat(F.lit("u"), "user_id").alias("host"), "n_429", "n_requests", F.when(F.col("n_requests") % 2 == 0, F.lit(150).cast("long")).otherwise(150 + F.col("user_id")).alias("gap_ms"))
+    """Over the gaps that the fold of all outcomes gives."""
+    rows = table(spark, sf, "events").select(F.concat(F.lit("u"), "user_id").alias("host"), F.col("ts").cast("timestamp").alias("ts"), "event_id", F.when(F.col("event_type") == "error", "429").otherwise("ok").alias("outcome"))
+    h = pacing.gap_fold(rows, "host", ["ts", "event_id"], "outcome")
     total, busiest = pacing.sweep_statistics(h, "host")
     no = F.lit(None).cast("long")
     return total.select(F.lit("total").alias("what"), F.lit(None).cast("string").alias("host"), "hosts", "backed_off", F.col("n_429").alias("n"), F.col("max_gap_ms").alias("gap")).unionByName(busiest.select(F.lit("busiest").alias("what"), "host", no.alias("hosts"), no.alias("backed_off"), F.col("n_requests").alias("n"), F.col("gap_ms").alias("gap")))

@@ -343,9 +343,11 @@ def host_extract(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.host(F.col("url")).alias("host"))
 
 
-@query(r"""WITH h AS (SELECT page_id, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host FROM pages) SELECT page_id, CASE WHEN host = 'example.com' OR ends_with(host, '.example.com') THEN 'example.com' WHEN host = 'example.net' OR ends_with(host, '.example.net') THEN 'example.net' END AS suffix FROM h""")
+@query(r"""WITH h AS (SELECT page_id, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host FROM pages) SELECT page_id, CASE WHEN host LIKE '%.example.com' THEN 'ngrok.io' WHEN host LIKE '%.example.net' THEN 'trycloudflare.com' END AS suffix FROM h""")
 def tunnel_suffix(spark, sf):
-    return table(spark, sf, "pages").select("page_id", X.tunnel_suffix(X.host(F.col("url")), ["example.com", "example.net"]).alias("suffix"))
+    """hosts of two tunnel services, upper case and with an escaped dot, and others."""
+    url = F.replace(F.replace("url", F.lit(".example.com"), F.lit("%2ENGROK.io")), F.lit(".example.net"), F.lit(".TryCloudflare.com"))
+    return table(spark, sf, "pages").select("page_id", X.tunnel_suffix(X.host(url)).alias("suffix"))
 
 
 @query(r"""SELECT page_id, len(v) AS n, array_to_string(list_sort(v), '|') AS event_values FROM (SELECT page_id, list_distinct(regexp_extract_all(replace(html, 'href=', 'value: '), 'value:\s*["''`]([^"''`\n]{1,80})["''`]', 1)) AS v FROM pages)""")
@@ -370,10 +372,10 @@ def token_estimate(spark, sf):
     return table(spark, sf, "documents").select("doc_id", J.token_estimate(F.col("text")).alias("tokens"))
 
 
-@query("""SELECT event_id, true AS same, sha256('{"7":null,"event_type":"' || event_type || '","k":[1,100],"user_id":' || user_id || '}') AS hash FROM events""")
+@query("""SELECT event_id, event_id % 3 <> 0 AS same, sha256('{"7":null,"event_type":"' || event_type || '","k":[1,100],"user_id":' || user_id || '}') AS hash FROM events""")
 def canonical_hash_equal(spark, sf):
     a = F.format_string('{"user_id": %d, "k": [1.0, 1e2], "event_type": "%s", "7": null}', "user_id", "event_type")
-    b = F.format_string('{"7": null, "event_type": "%s", "user_id": %d, "k": [1, 100]}', "event_type", "user_id")
+    b = F.format_string('{"7": null, "event_type": "%s", "user_id": %d, "k": [1, %s]}', "event_type", "user_id", F.when(F.col("event_id") % 3 == 0, "100.5").otherwise("1E+2"))
     return table(spark, sf, "events").select("event_id", J.hash_canonical(a).alias("hash"), (J.hash_canonical(a) == J.hash_canonical(b)).alias("same"))
 
 
@@ -450,6 +452,40 @@ def not_attempted(spark, sf):
     return table(spark, sf, "events").select("event_id", C.not_attempted_reason(url).alias("reason"), C.tls_valid(url, cls, kind.isin("signup", "purchase")).alias("tls"))
 
 
+@query("SELECT event_id, CASE event_type WHEN 'view' THEN 'scheme' WHEN 'error' THEN 'invalid_url' END AS reason FROM events")
+def listing_not_attempted(spark, sf):
+    """The listing collectors' predicate, which lets placeholders through."""
+    kind = F.col("event_type")
+    url = F.when(kind == "click", "https://{host}/x").when(kind == "view", "mailto:a@b").when(kind == "error", "http://1.2.3.456/").when(kind == "signup", " HTTPS://h/x").otherwise("http://h/x")
+    return table(spark, sf, "events").select("event_id", C.not_attempted_reason(url, templates=False).alias("reason"))
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY c_name DESC, c_custkey LIMIT 100")
+def smoke_slice(spark, sf):
+    """The first rows of the corpus by name; the limit is the feature."""
+    from registrylake.plans.pipelines import smoke_slice as first
+
+    return first(table(spark, sf, "customer").select("c_custkey", "c_name"), [F.desc("c_name"), "c_custkey"], 100)[0]
+
+
+GRANTS = """WITH g AS (SELECT o_orderpriority AS role, CASE WHEN o_custkey % 2 = 0 THEN 'items' ELSE 'transitions' END AS relation, o_orderkey % 9 AS place, CASE o_orderkey % 3 WHEN 0 THEN 'INSERT' WHEN 1 THEN 'SELECT' ELSE 'UPDATE' END AS privilege FROM orders WHERE o_totalprice > 300000)"""
+
+
+@query(GRANTS + """, mine AS (SELECT * FROM g WHERE role = '1-URGENT'), c AS (SELECT unnest(['title', 'state', 'author', 'labels', 'created_at', 'updated_at', 'url', 'fetched_at']) AS name, unnest(range(8)) AS place)
+SELECT name AS fact, EXISTS (SELECT 1 FROM mine WHERE relation = 'items' AND privilege = 'UPDATE' AND mine.place IN (c.place, 8)) AS held FROM c
+UNION ALL SELECT 'items_insert', EXISTS (SELECT 1 FROM mine WHERE relation = 'items' AND privilege = 'INSERT' AND place = 8)
+UNION ALL SELECT 'items_select', EXISTS (SELECT 1 FROM mine WHERE relation = 'items' AND privilege = 'SELECT' AND place = 8)
+UNION ALL SELECT 'transitions_insert', EXISTS (SELECT 1 FROM mine WHERE relation = 'transitions' AND privilege = 'INSERT' AND place = 8)""")
+def access_facts(spark, sf):
+    """What a role may do, from a table of grants: the dear orders, each of which grants one privilege on a relation or one of its columns."""
+    k, columns = F.col("o_orderkey"), F.array(*map(F.lit, quality.UPDATE_COLUMNS))
+    privilege = F.when(k % 3 == 0, "INSERT").when(k % 3 == 1, "SELECT").otherwise("UPDATE")
+    grants = table(spark, sf, "orders").filter("o_totalprice > 300000").select(F.col("o_orderpriority").alias("role"), F.when(F.col("o_custkey") % 2 == 0, "items").otherwise("transitions").alias("relation"), F.get(columns, (k % 9).cast("int")).alias("column"), privilege.alias("privilege"))
+    facts = quality.access_facts(grants, "1-URGENT")
+    flat = list(facts.pop("items_update_cols").items()) + list(facts.items())
+    return spark.createDataFrame(flat, "fact string, held boolean")
+
+
 @query("""SELECT event_id, CASE WHEN user_id % 10 = 3 THEN NULL WHEN strlen(repeat(props || 'é', CAST(user_id AS INT))) <= 400 THEN repeat(props || 'é', CAST(user_id AS INT)) ELSE '{"_omitted":"result exceeded MAX_RAW_BYTES","bytes":' || strlen(repeat(props || 'é', CAST(user_id AS INT))) || ',"cap":400}' END AS raw FROM events""")
 def bounded_raw(spark, sf):
     text = F.when(F.col("user_id") % 10 != 3, F.repeat(F.concat("props", F.lit("é")), F.col("user_id").cast("int")))

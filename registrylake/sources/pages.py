@@ -54,8 +54,9 @@ def last_attempt(rows: DataFrame) -> DataFrame:
 
 
 def bounded_body(body, cap: int):
-    """The first ``cap`` bytes; a character that the cut splits is dropped."""
-    return F.when(F.octet_length(body) <= cap, body).otherwise(F.try_validate_utf8(F.decode(F.substring(F.encode(body, "UTF-8"), 1, cap), "UTF-8")))
+    """The first ``cap`` bytes; a character that the cut splits is dropped. A character has at most four bytes."""
+    cut = lambda n: F.try_validate_utf8(F.substring(body.cast("binary"), 1, max(n, 0)).cast("string"))
+    return F.when(F.octet_length(body) <= cap, body).otherwise(F.coalesce(*[cut(cap - i) for i in range(4)]))
 
 
 def _store(path: str):

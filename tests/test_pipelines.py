@@ -292,7 +292,11 @@ def test_cursor_pages(spark, tmp_path):
     with pytest.raises(ValueError):
         S.required("", "place")
     cut = spark.createDataFrame([("aé" * 3,), ("ab",)], "b string").select(S.bounded_body(F.col("b"), 4).alias("x"), F.octet_length("b").alias("n")).collect()
-    assert cut[1].x == "ab"
+    assert cut[1].x == "ab" and cut[0].x == "aéa"
+    for cap in range(14):
+        text = "a\u20ac\U0001f600\u00e9\ufffd"
+        got = spark.createDataFrame([(text,)], "b string").select(S.bounded_body(F.col("b"), cap)).first()[0]
+        assert got == text.encode()[:cap].decode("utf-8", "ignore")
 
 
 def test_streaming_upsert_is_idempotent(spark, tmp_path):
