@@ -304,13 +304,16 @@ def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTE
     told, named = sole.select(F.array("w").alias("ids"), F.col("f").alias("n")), sole.select("lang", "word", "w")
     if most < 2:
         return told, named, totals
-    # A task's share of pairs and phrases comes in a few buckets, so that buckets of unlike size even out.
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (totals.agg(F.sum("n")).first()[0] or 0) // TASK_WORDS)
+    # A task's share of pairs and phrases comes in a few buckets, so that buckets of unlike size even out. The session's shuffle partitions,
+    # which AQE puts together by size, are enough until the words ask for more.
+    least_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least_tasks, (totals.agg(F.sum("n")).first()[0] or 0) // TASK_WORDS)
     buckets = PER_TASK * tasks
+    by_bucket = lambda rows: rows.repartition(tasks, "p") if tasks > least_tasks else rows.repartition("p")
     none = F.lit(None).cast("long")
     of_shard = known.select("shard", "uid", "w", "f", none.alias("a"), none.alias("b"))
     places = bitmaps.select("shard", "uid", "n", "places").groupBy("shard")
-    local = places.cogroup(of_shard.groupBy("shard")).applyInArrow(lambda rows, some: pairs_of(rows, some, buckets, share), PAIRS).repartition(tasks, "p")
+    local = by_bucket(places.cogroup(of_shard.groupBy("shard")).applyInArrow(lambda rows, some: pairs_of(rows, some, buckets, share), PAIRS))
     # One exchange: pairs stay in their bucket while they are counted and while they are told to their shards.
     each = local.select("shard", "p", F.inline(F.arrays_zip("a", "b", "n")))
     each = each.withColumn("n", F.sum("n").over(W.partitionBy("p", "a", "b"))).filter(F.col("n") >= least)
@@ -321,7 +324,7 @@ def phrase_counts(docs: DataFrame, most: int, least: int, size: int = SHARD_BYTE
         ws = [f"w{i + 1}" for i in range(most)]
         both = of_shard.unionByName(tried.select("shard", none.alias("uid"), none.alias("w"), none.alias("f"), "a", "b"))
         longer = places.cogroup(both.groupBy("shard")).applyInArrow(lambda rows, some: longer_of(rows, some, most, buckets), f"p int, {', '.join(f'{w} array<long>' for w in ws)}, n array<long>")
-        longer = longer.repartition(tasks, "p").select("p", F.inline(F.arrays_zip(*ws, "n")))
+        longer = by_bucket(longer).select("p", F.inline(F.arrays_zip(*ws, "n")))
         told = told.unionByName(frequent(longer, ["p", *ws], least).select(F.filter(F.array(*ws), lambda w: w >= 0).alias("ids"), "n"))
     return written(told, "phrases"), named, totals
 
