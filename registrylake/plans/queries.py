@@ -186,7 +186,7 @@ ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice do
 
 
 @query("""WITH m AS (SELECT max(o_orderkey) AS top FROM orders),
-incoming AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders, m WHERE 100 * o_orderkey > 98 * top UNION ALL SELECT o_orderkey + top, 'N', o_totalprice FROM orders, m WHERE 100 * o_orderkey <= top)
+incoming AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders, m WHERE 100 * o_orderkey > 98 * top UNION ALL SELECT o_orderkey + top + 1, 'N', o_totalprice FROM orders, m WHERE 100 * o_orderkey <= top)
 SELECT coalesce(o.o_orderkey, i.o_orderkey) AS o_orderkey, o.o_custkey, CASE WHEN i.o_orderkey IS NULL THEN o.o_orderstatus ELSE i.o_orderstatus END AS o_orderstatus, CASE WHEN i.o_orderkey IS NULL THEN CAST(o.o_totalprice AS DOUBLE) ELSE CAST(i.o_totalprice AS DOUBLE) END AS o_totalprice
 FROM orders o FULL JOIN incoming i ON o.o_orderkey = i.o_orderkey""")
 def upsert_ranges(spark, sf):
@@ -195,7 +195,7 @@ def upsert_ranges(spark, sf):
     top = rows.agg(F.max("o_orderkey")).first()[0] or 0
     price = F.col("o_totalprice")
     later = rows.filter(100 * F.col("o_orderkey") > 98 * top).select("o_orderkey", F.lit("X").alias("o_orderstatus"), (price + 1).alias("o_totalprice"))
-    more = rows.filter(100 * F.col("o_orderkey") <= top).select((F.col("o_orderkey") + top).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), price)
+    more = rows.filter(100 * F.col("o_orderkey") <= top).select((F.col("o_orderkey") + top + 1).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), price)
     stored = RangeTable(spark, scratch(spark, "orders"), ORDERS, ["o_orderkey"], rows_per_file=10_000)
     stored.upsert(rows)
     stored.upsert(later.unionByName(more), ["o_orderstatus", "o_totalprice"])
@@ -209,7 +209,7 @@ def run_counters(spark, sf):
     top = rows.agg(F.max("o_orderkey")).first()[0] or 0
     stored = RangeTable(spark, scratch(spark, "orders"), "o_orderkey long, o_orderstatus string", ["o_orderkey"], rows_per_file=10_000)
     stored.upsert(rows)
-    told = stored.upsert(rows.filter(100 * F.col("o_orderkey") > 98 * top).unionByName(rows.filter(100 * F.col("o_orderkey") <= top).withColumn("o_orderkey", F.col("o_orderkey") + top)))
+    told = stored.upsert(rows.filter(100 * F.col("o_orderkey") > 98 * top).unionByName(rows.filter(100 * F.col("o_orderkey") <= top).withColumn("o_orderkey", F.col("o_orderkey") + top + 1)))
     return spark.createDataFrame([(k, told[k]) for k in ("new", "changed")], "what string, n long")
 
 
