@@ -1,15 +1,18 @@
 """HTML extraction by wrapper induction.
 
-Pages are read into trees of block elements. The pages of a host are aligned by simple tree matching
+Pages are read into trees of block elements; neighbours of one shape are one node. The pages of a host are aligned by simple tree matching
 (the order-preserving matching of equal nodes with the most pairs, by dynamic programming over the children in linear
-space) and merged into one template tree. Tasks merge the pages they meet, exact copies once; partial templates of a host are merged in
-two steps, so that a host with a third of all pages is no task's burden. Then every page is aligned with its host's template, and the
-pages that hold a text at a node are counted exactly, whatever the number of texts there; pages of a host with the same texts at the
-same nodes (copies) count as one. For extraction a page is aligned once more: a text that the share ``SHARE`` of all the host's differing
-pages hold at the same node is template, other texts fill slots and are content. Two differing pages are enough evidence for that, but
-inside an article element, where near copies of an article agree as a frame does, it takes ``WITNESSES``. Element names decide what a template
-cannot tell: slots inside navigation, advert, form and comment elements are no content, and where a page has article elements (or else main
-elements) the others are their neighbours. What is left is the main text, in page order and whatever its size.
+space) and merged into one template tree. Tasks merge the pages they meet, exact copies once; partial templates of a host are folded in
+rounds, so that a host with a third of all pages is no task's burden. Then every page is aligned with its host's template, and facts of each node are summed
+over the host's differing pages (those with the same texts at the same nodes are copies and count as one): how many pages reach it, how many
+neighbours it stands for, its share of the page's text without links, whether it holds blocks; and how many pages hold each text at it.
+
+The template decides in two ways. From the top it goes down while one child, alone of its shape, holds blocks (with hardly any text beside them) and at least half of the text on
+pages that nearly all reach it: what stands beside that path is template whatever its words, and the node where it ends is the content root, the slot that varies in
+structure. Inside it a text that the share ``SHARE`` of the differing pages hold at one node is template too, unless all pages together have less text of
+their own there than one page has: then they are near copies of one text. For extraction a page is aligned once more and keeps the slots of the content root. Element names break the ties that alignment leaves:
+a heading or an article element ends the way down, named adverts and comments are no content root, inside it slots in navigation, advert, form and comment elements are no content, and where it has article elements
+(or else main elements) the others are their neighbours. On pages without a content root (a host of one page, or of pages that differ in all) names alone decide. What is left is the main text, in page order and whatever its size.
 
 A partial template of at least 64 pages forgets nodes that fewer than an eighth of them reach. No template text is lost by that: a node that
 ``SHARE`` of a host's pages reach is reached by that share of the pages of one partial template at least, and merging keeps it.
@@ -33,12 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrylake.llm.common import written
+from registrylake.llm.common import partitions_of, written, written_at
 from registrylake.llm.encode import row_chunks
 
-KNOWN = ("template", "fixed", "pages")
+KNOWN = ("template", "fixed", "facts", "pages")
+TEXT = "struct<node: int, digest: long, chars: long>"
+FACT = "struct<node: int, pages: long, members: long, share: long, inner: long, named: long, chars: long>"
 RESULT = "page_id long, url string, host string, text string, n_chars long"
-SHARE, WITNESSES, SHIP_BYTES, DEEPEST = 0.7, 5, 64 << 20, 250
+SHARE, SHIP_BYTES, BUCKET_BYTES, RANGE_BYTES, FAN_IN, DEEPEST = 0.7, 64 << 20, 16 << 20, 128 << 20, 32, 250
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 sys.setrecursionlimit(max(sys.getrecursionlimit(), 40 * DEEPEST))
 _TAG = re.compile(r"""<(?:!--(?:.*?(?:-->|\Z))|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*'|["'])*)(?:>|\Z))""", re.DOTALL)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
@@ -60,12 +66,12 @@ KEPT, INHERITED, SOFT, HARD = range(4)
 
 
 class Node:
-    """``why``: why the element is no content; a soft reason yields to an article inside."""
+    """``why``: why the element is no content; a soft reason yields to an article inside. ``links``: characters of its own text in links."""
 
-    __slots__ = ("tag", "sig", "why", "kids", "group")
+    __slots__ = ("tag", "sig", "why", "kids", "links", "runs", "shape", "group")
 
     def __init__(self, tag: str, sig: str, why: int):
-        self.tag, self.sig, self.why, self.kids, self.group = tag, sig, why, [], None
+        self.tag, self.sig, self.why, self.kids, self.links, self.runs, self.shape, self.group = tag, sig, why, [], 0, [], 0, None
 
     @property
     def skip(self) -> bool:
@@ -105,7 +111,7 @@ def parse(page: str | None) -> Node:
     """Tree of block elements; their kids are nodes, and strings for runs of text."""
     root = Node("#", "#", KEPT)
     stack, run, at, page = [root], [], 0, page or ""
-    hidden = 0  # depth of inline elements that are boilerplate
+    hidden, linked = 0, False  # depth of inline elements that are boilerplate; inside a link
 
     def flush() -> None:
         if run:
@@ -119,6 +125,8 @@ def parse(page: str | None) -> Node:
         piece = page[at : m.start() if m else len(page)]
         if piece and not hidden:
             run.append(html_.unescape(piece) if "&" in piece else piece)
+            if linked:
+                stack[-1].links += len(piece)
         if not m:
             break
         at = m.end()
@@ -137,13 +145,15 @@ def parse(page: str | None) -> Node:
                 flush()
             continue
         if tag in INLINE:
+            if tag == "a":
+                linked = not close
             if hidden:
                 hidden += -1 if close else 1
             elif not close and attrs and _opened(tag, attrs, False).skip:
                 hidden = 1
             continue
         flush()
-        hidden = 0
+        hidden, linked = 0, False
         if close:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
@@ -167,33 +177,47 @@ def parse(page: str | None) -> Node:
         if not attrs.endswith("/"):
             stack.append(node)
     flush()
+    shaped(root)
     return root
 
 
+def shaped(node: Node) -> None:
+    """Sets ``shape`` and ``runs``, the neighbours of one shape. Two equal elements that hold blocks may be a text and what stands beside it; three are a list."""
+    found: list = []
+    for k in node.kids:
+        if isinstance(k, str):
+            continue
+        shaped(k)
+        if found and found[-1][0].shape == k.shape:
+            found[-1].append(k)
+        else:
+            found.append([k])
+    for run in found:
+        node.runs += [[k] for k in run] if len(run) == 2 and run[0].runs else [run]
+    node.shape = hash((node.sig, *(run[0].shape for run in node.runs)))
+
+
 class Group:
-    """Equal neighbours of a page as one node: signature, texts, child groups; ``shape`` and ``size`` of the tree of groups."""
+    """Neighbours of one shape as one node: signature, members, child groups; ``shape`` and ``size`` of the tree of groups."""
 
-    __slots__ = ("sig", "texts", "kids", "match", "shape", "size")
+    __slots__ = ("sig", "members", "kids", "match", "shape", "size", "own", "mass")
 
     def __init__(self, sig: str, members: list):
-        self.sig, self.texts, self.kids, self.match = sig, [], [], None
-        kids: list = []
+        self.sig, self.members, self.match, self.own, self.mass = sig, members, None, 0, 0
         for m in members:
             m.group = self
-            for k in m.kids:
-                (self.texts if isinstance(k, str) else kids).append(k)
-        at = 0
-        while at < len(kids):
-            upto = at + 1
-            while upto < len(kids) and kids[upto].sig == kids[at].sig:
-                upto += 1
-            self.kids.append(Group(kids[at].sig, kids[at:upto]))
-            at = upto
+        self.kids = [Group(place[0][0].sig, [k for run in place for k in run]) for place in zip(*(m.runs for m in members))]
         measure(self)
 
+    def weigh(self) -> int:
+        """Sets ``own`` and ``mass``: the characters outside links here, and here and below."""
+        self.own = max(0, sum(sum(len(k) for k in m.kids if isinstance(k, str)) - m.links for m in self.members))
+        self.mass = self.own + sum(k.weigh() for k in self.kids)
+        return self.mass
+
 
 class Template:
-    """A template node: signature, pages that reached it, children; its number and its template texts once it is complete."""
+    """A template node: signature, pages that reached it, children; its number (in preorder) and its template texts once it is complete."""
 
     __slots__ = ("sig", "pages", "kids", "shape", "size", "number", "fixed")
 
@@ -334,17 +358,45 @@ def forget(template: Template, least: float) -> None:
     measure(template)
 
 
-def loaded(data: bytes | None, fixed: list | None, pages: int | None) -> tuple | None:
-    """A stored template, its nodes numbered in preorder, with the template texts ``fixed`` (node, digest), and the host's differing pages."""
+class Known:
+    """What extraction needs of a host: the template, its nodes numbered, with their template texts, and the content root."""
+
+    __slots__ = ("template", "root")
+
+    def __init__(self, template: Template, root: Template | None):
+        self.template, self.root = template, root
+
+
+def content_root(template: Template, facts: dict, pages: int) -> Template | None:
+    """Where the way down through children that hold the most text ends (see above); None if it does not leave the top or there is one page only."""
+    node = template
+    while pages > 1 and node.sig.partition(".")[0] != "article":
+        known = [(facts[k.number], k) for k in node.kids if k.number in facts and facts[k.number]["pages"] >= SHARE * pages]
+        fits = [(f["share"], k) for f, k in known if f["members"] <= 1.1 * f["pages"] and 2 * f["inner"] >= f["pages"] and 2 * f["named"] < f["pages"]]
+        share, best = max(fits, key=lambda x: x[0], default=(0, None))
+        if best is None or not share or 2 * share < facts[node.number]["share"] or any(k.sig.partition(".")[0] in HEADINGS for _, k in known):
+            break
+        node = best
+    return None if node is template else node
+
+
+def loaded(data: bytes | None, fixed: list | None, facts: list | None, pages: int | None) -> Known | None:
+    """A stored template with the template texts ``fixed`` (node, digest, characters on all pages) and the ``facts`` of its nodes, sums over the host's differing ``pages``."""
     if data is None:
         return None
     template = Template.load(data)
     flat = list(template.nodes())
     for number, t in enumerate(flat):
         t.number = number
-    for f in fixed or ():
-        flat[f["node"]].fixed.add(f["digest"])
-    return template, pages or 0
+    of = {f["node"]: f for f in facts or ()}
+    root = content_root(template, of, pages or 0) if 0 in of else None
+    top = root or template
+    inside = lambda f: top.number <= f["node"] < top.number + top.size
+    constant, total = (sum(f["chars"] for f in x if inside(f)) for x in (fixed or (), facts or ()))
+    if (pages or 0) * (total - constant) >= total:  # together the pages have a page's worth of their own
+        for f in fixed or ():
+            flat[f["node"]].fixed.add(f["digest"])
+    return Known(template, root)
 
 
 def align(group: Group, template: Template) -> None:
@@ -353,58 +405,86 @@ def align(group: Group, template: Template) -> None:
         align(group.kids[j], template.kids[i])
 
 
+def _matched(node: Node) -> Template | None:
+    return None if node.group is None else node.group.match
+
+
 def _constant(node: Node, text: str) -> bool:
-    t = node.group.match
+    t = _matched(node)
     return t is not None and bool(t.fixed) and digest(text) in t.fixed
 
 
-def _held(node: Node, out: set) -> None:
-    """(number of the template node or -1, digest) of the texts below a node outside boilerplate."""
-    if node.skip:
-        return
-    t = node.group.match
+def _held(node: Node, above: int, out: set, chars: dict) -> None:
+    """(number of the template node or -1, digest, length) of the texts below a node outside boilerplate; ``chars``: their length by the nearest template node."""
+    t = _matched(node)
+    number, near = (-1, above) if t is None else (t.number, t.number)
     for k in node.kids:
         if isinstance(k, str):
-            out.add((-1 if t is None else t.number, digest(k)))
-        else:
-            _held(k, out)
+            text = (number, digest(k), len(k))
+            if text not in out:
+                out.add(text)
+                chars[near] = chars.get(near, 0) + len(k)
+        elif not k.skip:
+            _held(k, near, out, chars)
+
+
+def facts_of(group: Group, chars: dict) -> list:
+    """Of each template node that a page reaches: 1, the members of its group, its share of the page's text in thousandths, whether it holds blocks and hardly any text of its own, whether its name speaks against it, characters of its own."""
+    whole, out, todo = max(1, group.weigh()), [], [group]
+    while todo:
+        g = todo.pop()
+        if g.match is not None:
+            named = any(m.why == HARD for m in g.members)
+            out.append({"node": g.match.number, "pages": 1, "members": len(g.members), "share": 1000 * g.mass // whole, "inner": int(bool(g.kids) and 20 * g.own <= g.mass), "named": int(named), "chars": chars.get(g.match.number, 0)})
+            todo += g.kids
+    return sorted(out, key=lambda f: f["node"])
 
 
 def _slots(node: Node, out: list) -> None:
-    """(text, is template) of the texts below a node outside boilerplate, in page order."""
-    if node.skip:
-        return
+    """(text, is template) of the texts below a node, but for boilerplate below it, in page order."""
     for k in node.kids:
         if isinstance(k, str):
             out.append((k, _constant(node, k)))
-        else:
+        elif k.why < SOFT:
             _slots(k, out)
 
 
-def _articles(node: Node, tag: str, out: list) -> None:
+def _regions(node: Node, root: Template, out: list) -> None:
+    """The elements that are matched with the content root."""
     for k in node.kids:
-        if not isinstance(k, str) and not k.skip:
-            if k.tag == tag:
+        if not isinstance(k, str):
+            if _matched(k) is root:
                 out.append(k)
             else:
-                _articles(k, tag, out)
+                _regions(k, root, out)
 
 
-def extract(page: str | None, known: tuple | None) -> str:
-    """Main text of a page; ``known`` is its host's template as ``loaded`` gives it."""
-    root = parse(page)
-    group = Group("#", [root])
+def _articles(node: Node, tag: str, out: list) -> None:
+    if node.tag == tag:
+        out.append(node)
+        return
+    for k in node.kids:
+        if not isinstance(k, str) and k.why < SOFT:
+            _articles(k, tag, out)
+
+
+def extract(page: str | None, known: Known | None) -> str:
+    """Main text of a page; ``known`` is what ``loaded`` gives for its host."""
+    top = parse(page)
+    group = Group("#", [top])
+    regions: list = []
     if known is not None:
-        align(group, known[0])
+        align(group, known.template)
+        if known.root is not None:
+            _regions(top, known.root, regions)
+    regions = regions or [top]
     roots: list = []
-    _articles(root, "article", roots)
-    if not roots:
-        _articles(root, "main", roots)
+    for tag in ("article", "main"):
+        for r in regions if not roots else ():
+            _articles(r, tag, roots)
     slots: list = []
-    for r in roots or [root]:
+    for r in roots or regions:
         _slots(r, slots)
-    if roots and known is not None and known[1] < WITNESSES:
-        slots = [(t, False) for t, _ in slots]
     kept = [t for t, fixed in slots if not fixed]
     return " ".join(kept if kept else [t for t, _ in slots])
 
@@ -419,13 +499,15 @@ def induce(pages: DataFrame, most_nodes: int = 200_000) -> DataFrame:
     def learn(batches):
         held: dict = {}
         met: set = set()
-        part = TaskContext.get().partitionId() % 32
+        part = TaskContext.get().partitionId() << 24
 
         def out() -> pa.RecordBatch:
+            nonlocal part
+            part += 1
             for t in held.values():
                 if t.pages >= 64:
                     forget(t, t.pages / 8)
-            made = pa.RecordBatch.from_pydict({"host": pa.array(list(held), pa.string()), "part": pa.array([part] * len(held), pa.int32()), "template": pa.array([t.dump() for t in held.values()], pa.binary())})
+            made = pa.RecordBatch.from_pydict({"host": pa.array(list(held), pa.string()), "part": pa.array([part] * len(held), pa.int64()), "template": pa.array([t.dump() for t in held.values()], pa.binary())})
             held.clear()
             met.clear()
             return made
@@ -459,78 +541,109 @@ def induce(pages: DataFrame, most_nodes: int = 200_000) -> DataFrame:
                 total = t
             else:
                 merge(total, t)
-        names = [c for c in ("host", "part") if c in table.column_names]
-        return pa.table({**{c: table.column(c)[:1] for c in names}, "template": pa.array([total.dump()], pa.binary())})
+        return pa.table({"host": table.column("host")[:1], "part": table.column("part")[:1], "template": pa.array([total.dump()], pa.binary())})
 
-    partial = pages.select("host", "html").mapInArrow(learn, "host string, part int, template binary")
-    return partial.groupBy("host", "part").applyInArrow(join, "host string, part int, template binary").select("host", "template").groupBy("host").applyInArrow(join, "host string, template binary")
+    schema = "host string, part long, template binary"
+    parts = written(pages.select("host", "html").mapInArrow(learn, schema), "partial-trees")
+    while True:  # a round leaves 2 of FAN_IN partial templates of the host that has most
+        most = parts.groupBy("host").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= FAN_IN:
+            return parts.groupBy("host").applyInArrow(join, schema).select("host", "template")
+        dealt = parts.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(-(-most * 2 // FAN_IN))))
+        parts = written(dealt.groupBy("host", "part").applyInArrow(join, schema), "partial-trees")
 
 
 def with_templates(pages: DataFrame, templates: DataFrame, ship_bytes: int, make, schema: str) -> DataFrame:
-    """``make`` of batches (page_id, url, host, html) and their pages' templates, for all ``pages``."""
-    size = F.sum(F.length("template") + 16 * F.greatest(F.size("fixed"), F.lit(0)))
-    small = (templates.agg(size).first()[0] or 0) <= ship_bytes
+    """``make`` of batches (page_id, url, host, html) and what is known of their pages' hosts, for all ``pages``.
 
-    if small:  # their size was just measured
+    Templates of at most ``ship_bytes`` are broadcast. More of them are a table in the shared folder, cut by hosts into buckets of about
+    ``BUCKET_BYTES``; pages are sorted by bucket and host, so that a task reads a bucket once and no page row carries a template.
+    """
+    size = F.length("template") + 24 * F.greatest(F.size("fixed"), F.lit(0)) + 56 * F.greatest(F.size("facts"), F.lit(0))
+    total = templates.agg(F.sum(size)).first()[0] or 0
+    spark = pages.sparkSession
+    if total <= ship_bytes:
         got = templates.toArrow()
-        shared = pages.sparkSession.sparkContext.broadcast(dict(zip(got.column("host").to_pylist(), zip(*(got.column(c).to_pylist() for c in KNOWN)))))
-        rows = pages
+        shared, folder = spark.sparkContext.broadcast(_by_host(got)), None
+        rows = pages.select("page_id", "url", "host", "html", F.lit(0).alias("bucket"))
     else:
-        shared = None
-        rows = pages.join(templates, "host", "left").select("page_id", "url", "host", "html", *KNOWN)
+        bucket = F.pmod(F.xxhash64("host"), F.lit(total // BUCKET_BYTES + 1)).cast("int")
+        shared, folder = None, written_at(templates.withColumn("bucket", bucket).repartition("bucket"), "template-buckets", ["bucket"])[1]
+        rows = pages.select("page_id", "url", "host", "html", bucket.alias("bucket"))
+        parts = partitions_of(rows, F.length("html"), RANGE_BYTES)
+        rows = rows.repartitionByRange(parts, "bucket", "host", F.xxhash64("html")).sortWithinPartitions("bucket", "host")
 
     def run(batches):
         known: dict = {}
+        held, at = (shared.value if shared is not None else {}), 0
         for batch in batches:
             for part in row_chunks(batch, 3, 256):
-                given = [None] * part.num_rows if shared is not None else zip(*(part.column(4 + i).to_pylist() for i in range(len(KNOWN))))
                 met = []
-                for host, data in zip(part.column(2).to_pylist(), given):
+                for host, bucket in zip(part.column(2).to_pylist(), part.column(4).to_pylist()):
                     if host not in known:
+                        if folder is not None and (not held or bucket != at):
+                            held, at = _by_host(_bucket(folder, bucket)), bucket
                         if len(known) >= 256:
                             known.clear()
-                        known[host] = loaded(*(shared.value.get(host, (None, None, None)) if shared is not None else data))
+                        known[host] = loaded(*held.get(host, (None,) * len(KNOWN)))
                     met.append(known[host])
                 yield make(part, met)
 
     return rows.mapInArrow(run, schema)
 
 
-def constant_texts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> DataFrame:
-    """host, pages, fixed: the host's differing pages and the (node, digest) that SHARE of them hold, by exact counts."""
-    keys = pa.list_(pa.struct([("node", pa.int32()), ("digest", pa.int64())]))
+def _by_host(table: pa.Table) -> dict:
+    return dict(zip(table.column("host").to_pylist(), zip(*(table.column(c).to_pylist() for c in KNOWN))))
+
+
+def _bucket(path: str, bucket: int) -> pa.Table:
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, folder = fs.FileSystem.from_uri(f"{path}/bucket={bucket}")
+    files = [i.path for i in store.get_file_info(fs.FileSelector(folder)) if i.path.endswith(".parquet")]
+    return pa.concat_tables(pq.ParquetFile(store.open_input_file(f)).read(["host", *KNOWN]) for f in files)
+
+
+def node_facts(pages: DataFrame, templates: DataFrame, ship_bytes: int) -> DataFrame:
+    """host, pages, facts, fixed: the host's differing pages, sums of the facts of its template's nodes, and the texts that SHARE of the pages hold at a node, by exact counts."""
+    keys = pa.list_(pa.struct([("node", pa.int32()), ("digest", pa.int64()), ("chars", pa.int64())]))
+    sums = ("pages", "members", "share", "inner", "named", "chars")
+    facts = pa.list_(pa.struct([("node", pa.int32()), *((c, pa.int64()) for c in sums)]))
 
     def place(part: pa.RecordBatch, met: list) -> pa.RecordBatch:
-        out = []
-        for page, template in zip(part.column(3).to_pylist(), met):
-            root, held = parse(page), set()
-            group = Group("#", [root])
-            if template is not None:
-                align(group, template[0])
-            _held(root, held)
-            out.append([{"node": n, "digest": d} for n, d in [(-1, None), *sorted(held)]])
-        return pa.RecordBatch.from_pydict({"host": part.column(2), "keys": pa.array(out, keys)})
-
-    placed = with_templates(pages, templates, ship_bytes, place, "host string, keys array<struct<node: int, digest: long>>")
-    # A page's keys begin with the mark (-1, null), so that the host's differing pages are counted with the texts.
-    one = placed.distinct().select("host", F.explode("keys").alias("k")).filter((F.col("k.node") >= 0) | F.col("k.digest").isNull())
-    counts = one.groupBy("host", F.col("k.node").alias("node"), F.col("k.digest").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
-    counts = written(counts.filter(F.col("n") >= 2), "texts")
-    total = counts.filter(F.col("digest").isNull()).select("host", F.col("n").alias("pages"))
-    texts = counts.filter(F.col("digest").isNotNull()).join(total, "host").filter(F.col("n") >= SHARE * F.col("pages"))
-    return total.join(texts.groupBy("host").agg(F.collect_list(F.struct("node", "digest")).alias("fixed")), "host", "left")
+        texts, of = [], []
+        for page, known in zip(part.column(3).to_pylist(), met):
+            top, held, chars = parse(page), set(), {}
+            group = Group("#", [top])
+            if known is not None:
+                align(group, known.template)
+            _held(top, 0, held, chars)
+            texts.append([{"node": n, "digest": d, "chars": c} for n, d, c in sorted(held)])
+            of.append(facts_of(group, chars))
+        return pa.RecordBatch.from_pydict({"host": part.column(2), "texts": pa.array(texts, keys), "facts": pa.array(of, facts)})
+
+    placed = with_templates(pages, templates, ship_bytes, place, f"host string, texts array<{TEXT}>, facts array<{FACT}>")
+    # Copies differ in no text outside boilerplate; the least of their facts stands for all.
+    one = written(placed.groupBy("host", "texts").agg(F.min("facts").alias("facts")), "differing-pages")
+    total = one.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    summed = one.select("host", F.explode("facts").alias("f")).groupBy("host", "f.node").agg(*[F.sum(f"f.{c}").alias(c) for c in sums])
+    summed = summed.groupBy("host").agg(F.collect_list(F.struct("node", *sums)).alias("facts"))
+    counts = one.select("host", F.explode("texts").alias("k")).filter("k.node >= 0").groupBy("host", "k.node", "k.digest").agg(F.count(F.lit(1)).alias("n"), F.sum("k.chars").alias("chars"))
+    fixed = counts.filter("n >= 2").join(total, "host").filter(F.col("n") >= SHARE * F.col("pages"))
+    return total.join(summed, "host", "left").join(fixed.groupBy("host").agg(F.collect_list(F.struct("node", "digest", "chars")).alias("fixed")), "host", "left")
 
 
 def main_texts(pages: DataFrame, ship_bytes: int = SHIP_BYTES) -> DataFrame:
     """page_id, url, host, text, n_chars of every row of ``pages`` (page_id, url, html)."""
     url = F.col("url").cast("string")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"), F.col("html").cast("string").alias("html"))
-    none = {"fixed": F.lit(None).cast("array<struct<node: int, digest: long>>"), "pages": F.lit(None).cast("long")}
-    templates = written(induce(pages).withColumns(none), "trees")
-    templates = written(templates.select("host", "template").join(constant_texts(pages, templates, ship_bytes), "host", "left").select("host", *KNOWN), "templates")
+    none = {"fixed": F.lit(None).cast(f"array<{TEXT}>"), "facts": F.lit(None).cast(f"array<{FACT}>"), "pages": F.lit(None).cast("long")}
+    trees = written(induce(pages).withColumns(none), "trees")
+    templates = written(trees.select("host", "template").join(node_facts(pages, trees, ship_bytes), "host", "left").select("host", *KNOWN), "templates")
 
     def make(part: pa.RecordBatch, met: list) -> pa.RecordBatch:
-        texts = [extract(page, template) for page, template in zip(part.column(3).to_pylist(), met)]
+        texts = [extract(page, known) for page, known in zip(part.column(3).to_pylist(), met)]
         return pa.RecordBatch.from_pydict({"page_id": part.column(0), "url": part.column(1), "host": part.column(2), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
 
     return with_templates(pages, templates, ship_bytes, make, RESULT)

@@ -95,7 +95,7 @@ def test_long_alternating_siblings_merge_fast():
     began = time.time()
     wr.merge(a, b)
     assert time.time() - began < 1.5
-    known = wr.loaded(a.dump(), None, 2)
+    known = wr.loaded(a.dump(), None, None, 2)
     assert wr.extract(alternating(1600, 2), known).split()[:3] == ["part", "0", "2"] and len(wr.extract(alternating(1600, 2), known).split()) == 1600 * 6 + sum((2 * i) % 7 == 3 for i in range(1600))
 
 
@@ -200,3 +200,50 @@ def test_copies_count_once(spark):
 ])
 def test_no_text_is_left_out_for_its_size(page, text):
     assert wr.extract(page, None) == text
+
+
+def varying(i, kind):
+    """A page whose menu, advert and footer carry other words on every page; ``kind`` ``div``: all blocks are plain div elements."""
+    r = random.Random(i)
+    words = lambda n: " ".join(f"w{r.randrange(10**5)}" for _ in range(n))
+    head, para, item = ("div", "div", "div") if kind == "div" else ("h1", "p", "li")
+    title, paras = words(4), [words(r.randrange(20, 90)) for _ in range(1 + i % 5)]
+    menu = "".join(f"<{item}><a href='/{k}'>{words(1)}</a></{item}>" for k in range(6))
+    page = f"<body><div><div>{menu}</div></div>" + (f"<div>{words(9)}</div>" if i % 9 else "")
+    page += f"<div><{head}>{title}</{head}>" + "".join(f"<{para}>{p}</{para}>" for p in paras) + f"</div><div>&copy; {words(8)}</div></body>"
+    return page, " ".join([title, *paras])
+
+
+@pytest.mark.parametrize("ship", [wr.SHIP_BYTES, 0])
+@pytest.mark.parametrize("kind", ["div", "p"])
+def test_the_template_decides_where_boilerplate_varies_and_has_no_name(spark, kind, ship):
+    pages = [varying(i, kind) for i in range(60)]
+    got = {r.page_id: r.text for r in wr.main_texts(frame(spark, [(i, f"http://v{i % 3}.example/", p) for i, (p, _) in enumerate(pages)]), ship).collect()}
+    assert got == {i: t for i, (_, t) in enumerate(pages)}
+    assert all(wr.extract(p, None) != t for p, t in pages)
+
+
+@pytest.mark.parametrize("n, own", [(2, False), (2, True), (4, True), (12, True)])
+def test_near_copies_are_told_by_what_pages_have_of_their_own(spark, n, own):
+    """Two pages that share most of an article are near copies; pages of one host with a notice inside articles of their own are not, however few they are."""
+    notice = "Notice of this house"
+    text = lambda i: f"Text {i} of this page alone, with more words than the notice has {i}" if own else f"But for {i}"
+    rows = [(i, "http://n.example/", f"<article><h1>{'Title ' + str(i) if own else 'Same'}</h1><p>{text(i)}</p><p>{notice}</p></article>") for i in range(n)]
+    want = {i: f"Title {i} {text(i)}" if own else f"Same {text(i)} {notice}" for i in range(n)}
+    assert {r.page_id: r.text for r in wr.main_texts(frame(spark, rows)).collect()} == want
+
+
+def test_partial_templates_are_folded_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(wr, "FAN_IN", 4)
+    rows = [(i, "http://hot.example/", varying(i, "p")[0]) for i in range(90)]
+    (made,) = wr.induce(frame(spark, rows).select("host", "html").repartition(18)).collect()
+    monkeypatch.undo()
+    (once,) = wr.induce(frame(spark, rows).select("host", "html").repartition(1)).collect()
+    folded, whole = wr.Template.load(made.template), wr.Template.load(once.template)
+    assert folded.pages == whole.pages == 90
+    assert [(t.sig, t.pages) for t in folded.nodes() if t.pages > 60] == [(t.sig, t.pages) for t in whole.nodes() if t.pages > 60]
+
+
+def test_named_comments_are_no_content_root(spark):
+    rows = [(i, "http://talk.example/", f"<body><div class='text'><h1>Title {i}</h1><p>own {i}</p></div><div class='comments'>" + "".join(f"<p>reader {i} {k} says very much</p>" for k in range(2 + i % 4)) + "</div></body>") for i in range(12)]
+    assert {r.page_id: r.text for r in wr.main_texts(frame(spark, rows)).collect()} == {i: f"Title {i} own {i}" for i in range(12)}
