@@ -1,11 +1,13 @@
 """Exact top-k inner-product search by branch and bound on one ball tree per shard.
 
-Every component x becomes floor(1024 * x). A shard of at most ``shard_size`` vectors is a balanced
-ball tree, kept as one row of a table in the shared folder, and so are blocks of queries; a task goes through the blocks
-with its tree, one block at a time. Each shard first scores every query's most promising leaf; the k-th best of all
-shards' findings is a lower bound of the query's k-th score and is shared with all shards, and raised again by what a
-first part of the shards finds. Each shard goes down its tree with all queries at once, drops (query, node) pairs whose bound
-``q.center + |q| * radius`` falls below the shared or its own k-th score, and takes the leaves that are
+Every component x becomes floor(1024 * x). Vectors are dealt by the cells of a top tree, which is split by the widest dimension of a sample of some
+``SAMPLE`` vectors and says only which vectors lie together; cells are range-sorted, so that a cell of any size is the work of several tasks. A shard, at
+most ``shard_size`` neighbours of that order, is a balanced ball tree, kept as one row of a table in the shared folder, its own ball in another; so are blocks of queries, in the same order.
+
+No shard meets all queries. Each block compares its queries with the balls of the shards, a chunk of balls at a time: at first a query's best shard is searched; the k-th score found there
+bounds the query's k-th score from below, and only (shard, block) pairs in which some query's bound ``q.center + |q| * radius`` reaches that score are read, an eighth of them first, whose scores
+are shared before the others are chosen. Within a shard the search goes down the tree with all queries of a block at once, drops (query, node) pairs
+whose bound falls below the shared or its own k-th score, and takes the leaves that are
 left in order of their bounds. Scores are exact integers; bounds are widened by more than their rounding.
 
 Nulls, empties and ties: vectors that are null, or hold a null or a non-finite component, take no part;
@@ -18,6 +20,7 @@ or smallest long; an empty table gives no rows.
 from __future__ import annotations
 
 import io
+import itertools
 import pickle
 
 import numpy as np
@@ -29,8 +32,9 @@ from pyspark.sql import functions as F
 
 from registrylake.llm.common import rows_at, written, written_at
 
-K, LEAF, SHARD, BLOCK = 10, 64, 16_384, 4_096
+K, LEAF, SHARD, BLOCK, SAMPLE, CHUNK = 10, 64, 16_384, 4_096, 8_192, 512
 BLOCKS = "b long, queries binary, kth binary"
+TREES = "s long, tree binary, center binary, radius double, scale double"
 FOUND = "b long, q int, query_id long, vec_id long, score long"
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 NO_ID = HIGH  # stands for a null vec_id inside a shard
@@ -45,10 +49,8 @@ def usable(table: DataFrame) -> DataFrame:
 
 def whole(rows: list) -> np.ndarray:
     """Matrix of floor(1024 * x), zero-padded; int64, or Python integers where those are too small."""
-    width = max(map(len, rows), default=0)
-    out = np.zeros((len(rows), width))
-    for i, r in enumerate(rows):
-        out[i, : len(r)] = r
+    out = padded(rows)
+    width = out.shape[1]
     out = np.floor(1024 * out)
     if not np.isfinite(out).all():
         import math
@@ -57,6 +59,13 @@ def whole(rows: list) -> np.ndarray:
     return out.astype(np.int64) if not out.size or np.abs(out).max() < 2.0**62 else np.array([[int(x) for x in r] for r in out], object)
 
 
+def padded(rows: list, width: int = 0) -> np.ndarray:
+    out = np.zeros((len(rows), max(width, max(map(len, rows), default=0))))
+    for i, r in enumerate(rows):
+        out[i, : len(r)] = r
+    return out
+
+
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Exact inner products of the rows of q and v, as int64."""
     d = min(q.shape[1], v.shape[1])
@@ -200,31 +209,139 @@ def top(found: list, k: int) -> tuple:
     return who[keep], ids[keep], score[keep]
 
 
+def top_cells(vectors: DataFrame, n: int, size: int) -> list:
+    """Splits (dimension, threshold, left, right) of a top tree whose cells hold about ``size`` of the ``n`` vectors; a cell is a number below zero, -1 first.
+
+    It is learned from some ``SAMPLE`` vectors, chosen by their ids' hashes, and decides only which vectors share a shard, never a result.
+    """
+    some = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(-(-n // SAMPLE) or 1)) == 0).limit(2 * SAMPLE)
+    rows = padded([r[0] for r in some.select("embedding").collect()])
+    splits: list = []
+    cells = itertools.count(1)
+
+    def cut(part: np.ndarray, depth: int) -> int:
+        spread = np.ptp(part, axis=0) if part.size else np.zeros(0)
+        if depth == 64 or len(part) <= max(8, size * len(rows) // max(n, 1)) or not spread.size or not spread.max():
+            return -next(cells)
+        dim = int(np.argmax(spread))
+        line = np.sort(part[:, dim])
+        lo, hi = len(line) // 4, max(len(line) - len(line) // 4, len(line) // 4 + 2)
+        gaps, most = np.diff(line[lo:hi]), line[len(line) // 2]
+        if gaps.max():  # the widest gap of the middle half, so that few clusters are cut
+            limit = float(line[lo + int(np.argmax(gaps)) + 1])
+        else:  # one value fills it: what lies on the fuller side of it is parted
+            above = line[line > most]
+            limit = float(above[0] if 2 * len(above) >= (line != most).sum() else most)
+        left = part[:, dim] < limit
+        at = len(splits)
+        splits.append(None)
+        splits[at] = (dim, limit, cut(part[left], depth + 1), cut(part[~left], depth + 1))
+        return at
+
+    cut(rows, 0)
+    return splits
+
+
+def cell_of(rows: np.ndarray, splits: list) -> np.ndarray:
+    """The cell of each row: 1 and up, in the order of the tree's leaves."""
+    cell = np.ones(len(rows), np.int32)
+    todo = [(0, np.arange(len(rows)))] if splits else []
+    while todo:
+        at, who = todo.pop()
+        if at < 0:
+            cell[who] = -at
+        elif len(who):
+            dim, limit, left, right = splits[at]
+            below = (rows[who, dim] if dim < rows.shape[1] else np.zeros(len(who))) < limit
+            todo += [(left, who[below]), (right, who[~below])]
+    return cell
+
+
+def arranged(vectors: DataFrame, splits: list, n: int, size: int) -> DataFrame:
+    """``vectors`` sorted by cell; partitions hold up to about 2 * ``size`` of the ``n`` rows, whatever the cells' sizes."""
+
+    def place(batches):
+        for batch in batches:
+            cell = cell_of(padded(batch.column(1).to_pylist()), splits)
+            yield pa.RecordBatch.from_pydict({"vec_id": batch.column(0), "embedding": batch.column(1), "cell": pa.array(cell)})
+
+    least = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-n // (2 * size)), min(least, -(-4 * n // size)))
+    placed = vectors.mapInArrow(place, "vec_id long, embedding array<double>, cell int")
+    return placed.repartitionByRange(parts, "cell", F.xxhash64("vec_id")).sortWithinPartitions("cell")
+
+
 def build_trees(vectors: DataFrame, shard_size: int = SHARD) -> DataFrame:
-    """One row ``tree`` for each shard; ``vectors`` from ``usable``."""
+    """s, tree, and the tree's own ball (center, radius, scale) of each shard of ``vectors`` in their order; a shard a quarter full ends with its cell, if there is a column of cells."""
+    cells = "cell" in vectors.columns
 
     def build(batches):
-        ids, rows = [], []
+        ids, rows, made, last = [], [], TaskContext.get().partitionId() << 24, 0
 
-        def tree() -> pa.RecordBatch:
-            made = BallTree(np.array([NO_ID if i is None else i for i in ids], np.int64), whole(rows)).dump()
+        def out() -> pa.RecordBatch:
+            nonlocal made
+            tree = BallTree(np.array([NO_ID if i is None else i for i in ids], np.int64), whole(rows))
             ids.clear(), rows.clear()
-            return pa.RecordBatch.from_pydict({"tree": pa.array([made], pa.binary())})
+            made += 1
+            ball = {"center": pa.array([tree.centers[0].tobytes()], pa.binary()), "radius": pa.array([tree.radii[0]]), "scale": pa.array([tree.scale])}
+            return pa.RecordBatch.from_pydict({"s": pa.array([made], pa.int64()), "tree": pa.array([tree.dump()], pa.binary()), **ball})
 
         for batch in batches:
-            for i, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i, r, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist() if cells else itertools.repeat(0)):
+                if len(ids) >= shard_size or (cell != last and 4 * len(ids) >= shard_size):
+                    yield out()
                 ids.append(i)
                 rows.append(r)
-                if len(ids) >= shard_size:
-                    yield tree()
+                last = cell
         if ids:
-            yield tree()
+            yield out()
+
+    return written(vectors.mapInArrow(build, TREES), "trees")
 
-    return written(vectors.mapInArrow(build, "tree binary"), "trees")
+
+def pairs(blocks: DataFrame, balls: str, best: bool = False) -> DataFrame:
+    """(s, b) of the shards, whose balls are the table at ``balls``, that some query of a block may find more in; ``best``: of each query's shard with the highest bound alone."""
+
+    def choose(batches):
+        for batch in batches:
+            for b, queries, kth in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                q = pickle.loads(queries)[1].astype(np.float64)
+                norm = np.sqrt((q**2).sum(axis=1)) * (1 + 1e-12)
+                known = np.full(len(q), -np.inf) if kth is None else np.frombuffer(kth, np.float64)
+                high, where = np.full(len(q), -np.inf), np.full(len(q), -1, np.int64)
+                for some in itertools.batched(rows_at(balls), CHUNK):
+                    s, centers, radii, scales = zip(*some)
+                    bound = ball_bounds(q, norm, padded([np.frombuffer(c, np.float64) for c in centers]), np.array(radii), np.array(scales))
+                    s = np.array(s)
+                    if best:
+                        at = np.argmax(bound, axis=1)
+                        top_ = bound[np.arange(len(q)), at]
+                        better = (where < 0) | (top_ > high)
+                        high[better], where[better] = top_[better], s[at[better]]
+                    else:
+                        s = s[~(bound < known[:, None]).all(axis=0)]
+                        yield pa.RecordBatch.from_pydict({"s": pa.array(s, pa.int64()), "b": pa.array(np.full(len(s), b), pa.int64())})
+                if best:
+                    s = np.unique(where[where >= 0])
+                    yield pa.RecordBatch.from_pydict({"s": pa.array(s, pa.int64()), "b": pa.array(np.full(len(s), b), pa.int64())})
+
+    return blocks.select("b", "queries", "kth").mapInArrow(choose, "s long, b long")
+
+
+def ball_bounds(q: np.ndarray, norm: np.ndarray, centers: np.ndarray, radii: np.ndarray, scales: np.ndarray) -> np.ndarray:
+    """Of each query and ball, a number that no inner product with a vector in the ball exceeds."""
+    d = min(q.shape[1], centers.shape[1])
+    size = norm[:, None] * (np.sqrt((centers**2).sum(axis=1)) + radii)
+    return (q[:, :d] @ centers[:, :d].T + norm[:, None] * radii + 1e-9 * size + 1e-9) * scales
+
+
+def with_blocks(trees: DataFrame, chosen: DataFrame, parts: int) -> DataFrame:
+    """The trees that ``chosen`` (s, b) names, each with its blocks ``bs``: one number for each block of queries at most."""
+    return trees.select("s", "tree").join(chosen.groupBy("s").agg(F.sort_array(F.collect_list("b")).alias("bs")), "s").repartition(parts, "s")
 
 
 def query_blocks(queries: DataFrame, block: int) -> tuple[DataFrame, str]:
-    """b, queries (ids and matrix of at most ``block`` rows), kth (none yet): a table of the shared folder, and its path."""
+    """b, queries (ids and matrix of at most ``block`` rows), kth (none yet): a table of the shared folder with a folder for each b, and its path."""
 
     def build(batches):
         ids, rows, made = [], [], TaskContext.get().partitionId() << 24
@@ -245,23 +362,32 @@ def query_blocks(queries: DataFrame, block: int) -> tuple[DataFrame, str]:
         if ids:
             yield out()
 
-    return written_at(queries.mapInArrow(build, BLOCKS), "queries")
+    return written_at(queries.mapInArrow(build, BLOCKS), "queries", ["b"])
+
+
+def block_numbers(path: str) -> list:
+    from pyarrow import fs
+
+    store, folder = fs.FileSystem.from_uri(path)
+    return sorted(int(i.base_name[2:]) for i in store.get_file_info(fs.FileSelector(folder)) if i.base_name.startswith("b="))
 
 
 def found(trees: DataFrame, path: str, k: int, first_only: bool = False) -> DataFrame:
-    """What the shards of ``trees`` find for the query blocks at ``path``: a task holds one tree and one block at a time."""
+    """What the shards of ``trees`` find for the query blocks ``bs`` (without that column: for all) at ``path``: a task holds one tree and one block at a time."""
+    chosen = "bs" in trees.columns
 
     def search(batches):
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                tree = BallTree.load(data)
-                for b, queries, kth in rows_at(path):
-                    ids, matrix = pickle.loads(queries)
-                    known = np.full(len(ids), -np.inf) if kth is None else np.frombuffer(kth, np.float64)
-                    who, near, score = tree.search(ids, matrix, known, k, first_only)
-                    yield pa.RecordBatch.from_pydict({"b": pa.array(np.full(len(who), b), pa.int64()), "q": pa.array(who, pa.int32()), "query_id": pa.array(ids[who], pa.int64()), "vec_id": pa.array(near, pa.int64()), "score": pa.array(score, pa.int64())})
+            for at in range(batch.num_rows):
+                tree = BallTree.load(batch.column(0)[at].as_py())
+                for b in batch.column(1)[at].as_py() if chosen else block_numbers(path):
+                    for queries, kth in rows_at(f"{path}/b={b}"):
+                        ids, matrix = pickle.loads(queries)
+                        known = np.full(len(ids), -np.inf) if kth is None else np.frombuffer(kth, np.float64)
+                        who, near, score = tree.search(ids, matrix, known, k, first_only)
+                        yield pa.RecordBatch.from_pydict({"b": pa.array(np.full(len(who), b), pa.int64()), "q": pa.array(who, pa.int32()), "query_id": pa.array(ids[who], pa.int64()), "vec_id": pa.array(near, pa.int64()), "score": pa.array(score, pa.int64())})
 
-    return trees.select("tree").mapInArrow(search, FOUND)
+    return trees.select("tree", *(["bs"] if chosen else [])).mapInArrow(search, FOUND)
 
 
 def shared_scores(blocks: DataFrame, rows: DataFrame, k: int) -> tuple[DataFrame, str]:
@@ -283,21 +409,30 @@ def shared_scores(blocks: DataFrame, rows: DataFrame, k: int) -> tuple[DataFrame
                 kth.append(known.tobytes())
             yield pa.RecordBatch.from_pydict({"b": batch.column(0), "queries": batch.column(1), "kth": pa.array(kth, pa.binary())})
 
-    return written_at(blocks.join(each, "b", "left").select("b", "queries", "kth", "qs", "scores").mapInArrow(put, BLOCKS), "queries")
+    return written_at(blocks.join(each, "b", "left").select("b", "queries", "kth", "qs", "scores").mapInArrow(put, BLOCKS), "queries", ["b"])
 
 
 def top_k(table: DataFrame, queries: DataFrame, k: int = K, shard_size: int = SHARD, block: int = BLOCK) -> DataFrame:
     """The k best vectors of ``table`` for every row of ``queries`` (both: vec_id, embedding).
 
-    Three waves, whatever the sizes: every shard's most promising leaf, then an eighth of the shards, then the others; the k-th
-    scores that a wave brings are shared with all shards of the next.
+    Three waves, whatever the sizes: each query's best shard, an eighth of the pairs of shards and blocks that are left, then the others that are left; the
+    k-th scores that a wave brings decide which pairs the next one reads.
     """
-    trees = build_trees(usable(table), shard_size).withColumn("wave", F.pmod(F.xxhash64("tree"), F.lit(8)) == 0)
-    blocks, path = query_blocks(usable(queries), block)
-    blocks, path = shared_scores(blocks, found(trees, path, k, first_only=True), k)
-    early = written(found(trees.filter("wave"), path, k), "found")
-    blocks, path = shared_scores(blocks, early, k)
-    every = early.unionByName(found(trees.filter(~F.col("wave")), path, k))
+    vectors, asked = usable(table), usable(queries)
+    n = vectors.count()
+    splits = top_cells(vectors, n, shard_size)
+    trees = build_trees(arranged(vectors, splits, n, shard_size), shard_size)
+    balls = written_at(trees.select("s", "center", "radius", "scale"), "balls")[1]
+    parts = max(int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // (4 * shard_size))
+    blocks, path = query_blocks(arranged(asked, splits, asked.count(), block), block)
+    first = written(pairs(blocks, balls, best=True), "pairs")
+    every = written(found(with_blocks(trees, first, parts), path, k), "found")
+    blocks, path = shared_scores(blocks, every, k)
+    left = written(pairs(blocks, balls).join(first, ["s", "b"], "left_anti").withColumn("early", F.pmod(F.xxhash64("s", "b"), F.lit(8)) == 0), "pairs")
+    every = every.unionByName(written(found(with_blocks(trees, left.filter("early"), parts), path, k), "found"))
+    blocks, path = shared_scores(blocks, every, k)
+    last = pairs(blocks, balls).join(left.filter("NOT early"), ["s", "b"], "left_semi")
+    every = every.unionByName(found(with_blocks(trees, last, parts), path, k))
     order = W.partitionBy("b", "q").orderBy(F.desc("score"), "vec_id")
     ranked = every.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")

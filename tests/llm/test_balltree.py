@@ -96,3 +96,57 @@ def test_large_components_are_exact(spark):
     got = {r[2]: r[3] for r in run(spark, rows)}
     f = lambda x: math.floor(1024 * float(np.float32(x)))
     assert got[1] == min(bt.HIGH, f(3e9) * f(2e9) + 1024 * 7168) and got[3] == bt.LOW
+
+
+def clustered(seed, groups, each, d=8):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(groups, d)) * 8
+    return [(g * each + i, [float(np.float32(c)) for c in centers[g] + rng.normal(size=d) * 0.2]) for g in range(groups) for i in range(each)]
+
+
+def test_less_than_half_of_the_pairs_are_read_on_clustered_vectors(spark, monkeypatch):
+    rows = clustered(5, 40, 100)
+    read = []
+    with_blocks = bt.with_blocks
+    monkeypatch.setattr(bt, "with_blocks", lambda trees, chosen, parts: read.append((trees.count(), chosen.count())) or with_blocks(trees, chosen, parts))
+    blocks = []
+    query_blocks = bt.query_blocks
+    monkeypatch.setattr(bt, "query_blocks", lambda q, block: blocks.append(query_blocks(q, block)) or blocks[0])
+    assert run(spark, rows, shard_size=100, block=4) == brute(rows, rows[::100], 10)
+    trees, n = read[0][0], blocks[0][0].count()
+    assert trees >= 30 and n >= 8 and sum(c for _, c in read) < 0.5 * trees * n
+
+
+def test_a_cell_of_equal_vectors_is_cut(spark):
+    rows = clustered(6, 4, 100, d=3) + [(1000 + i, [1.0, 2.0, 3.0]) for i in range(300)]
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA)
+    vectors = bt.usable(table)
+    splits = bt.top_cells(vectors, len(rows), 50)
+    sizes = [len(p) for p in bt.arranged(vectors, splits, len(rows), 50).rdd.glom().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 300
+    assert run(spark, rows, shard_size=50) == brute(rows, [(i, v) for i, v in rows if i % 100 == 0], 10)
+
+
+def test_cells_follow_the_order_of_the_splits():
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(500, 3))
+    splits = [(0, 0.0, 1, 2), (1, 0.5, -1, -2), (2, -0.5, -3, -4)]
+    want = np.where(rows[:, 0] < 0, np.where(rows[:, 1] < 0.5, 1, 2), np.where(rows[:, 2] < -0.5, 3, 4))
+    assert bt.cell_of(rows, splits).tolist() == want.tolist() and bt.cell_of(rows, []).tolist() == [1] * 500
+
+
+def test_no_product_exceeds_the_bound_of_a_ball():
+    rng = np.random.default_rng(4)
+    q, v = (rng.normal(size=(n, 6)) * 1024 for n in (40, 200))
+    center = v.mean(axis=0)
+    radius = np.sqrt(((v - center) ** 2).sum(axis=1).max())
+    bound = bt.ball_bounds(q, np.sqrt((q**2).sum(axis=1)), center[None, :], np.array([radius]), np.ones(1))
+    assert (bound[:, 0] >= (q @ v.T).max(axis=1)).all()
+
+
+def test_top_cells_of_a_hot_vector_with_strays(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(600)] + [(600 + i, [1.0 + 3.0**i, 2.0]) for i in range(60)] + [(700 + i, [1.0, -float(i)]) for i in range(60)]
+    vectors = bt.usable(spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA))
+    splits = bt.top_cells(vectors, len(rows), 20)
+    cells = bt.cell_of(np.array([v for _, v in rows]), splits)
+    assert len(set(cells[:600])) == 1 and len(set(cells[600:])) >= 3 and cells[0] not in cells[601:]
