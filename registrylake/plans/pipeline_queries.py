@@ -16,6 +16,7 @@ from registrylake.functions import classify as C
 from registrylake.functions import jsonhash as J
 from registrylake.functions import text as X
 from registrylake.operators import chains, exclusions, merging, pacing
+from registrylake.operators.shared import written_once
 from registrylake.plans import pipelines as P
 from registrylake.plans.queries import QUERIES, SQL, query, table  # noqa: F401  the entry reads both here
 from registrylake.sources import pages as S
@@ -150,7 +151,8 @@ def measured_counts(spark, sf):
 SELECT 'state' AS what, external_id, status AS value FROM rows UNION ALL
 SELECT 'snapshot', r.external_id, CASE WHEN o.external_id IS NULL THEN 'new' ELSE 'changed' END FROM rows r LEFT JOIN old o ON r.external_id = o.external_id WHERE o.h IS DISTINCT FROM r.definition_hash""")
 def artifact_run(spark, sf):
-    rows = formulae(spark, sf)
+    """The run's rows are written once: five branches read them."""
+    rows = written_once(formulae(spark, sf), "artifacts")
     old = rows.filter("status <> 'deprecated'").withColumn("definition_hash", F.when(F.get_json_object("metrics", "$.install_30d").isNull(), "x").otherwise(F.col("definition_hash")))
     state_, snapshots = P.artifact_run(old, rows)
     named = rows.select(P.state.capture_id("kind", "source", "external_id").alias("artifact_id"), "external_id")

@@ -32,3 +32,8 @@ def test_formulae_are_dealt_to_all_partitions(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert n > 1
     assert dealt(QUERIES["formula_rows"](spark, SF)) == n
+
+
+def test_rows_of_a_run_are_computed_once(spark):
+    plan = QUERIES["artifact_run"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "EvalPython" not in plan and "Generate" not in plan
