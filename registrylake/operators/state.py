@@ -7,9 +7,11 @@ never reads what it overwrites.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from registrylake.operators import ordered
+from registrylake.operators.shared import written_once
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
@@ -106,30 +108,56 @@ def breaking_history(captures: DataFrame, parts: int | None = None) -> DataFrame
     Each capture of an endpoint is compared with the one before it: ``tool_removed`` (also when a tool that came back goes again),
     ``required_added`` and ``type_changed`` as in ``breaking_changes``, and ``tool_returned``, which breaks nothing and is
     compared with the tool as it was last seen. A capture lists each tool once; of rows that repeat any one counts. One without tools has a row
-    with a null ``tool_name``. A hot endpoint's history is cut into ranges.
+    with a null ``tool_name``. A hot endpoint's history is cut into ranges of whole captures. Rows are dealt to ranges once and to windows once;
+    what a range must see of its neighbours comes in as rows beside its own.
     """
-    rows = captures.dropDuplicates(["endpoint_url", "captured_at", "tool_name"])
-    each = captures.select("endpoint_url", "captured_at").distinct()
-    steps = ordered.carried(each, ["endpoint_url"], ["captured_at"], F.col("captured_at"), "prev_at", parts)
-    steps = steps.select(F.col("endpoint_url").alias("__rl_e"), F.col("captured_at").alias("__rl_at"), "prev_at")
-    tools = rows.filter(F.col("tool_name").isNotNull()).select("endpoint_url", "captured_at", "tool_name", "param_set")
-    seen = ordered.carried(tools, ["endpoint_url", "tool_name"], ["captured_at"], F.struct(F.col("captured_at").alias("at"), F.col("param_set").alias("p")), "before", parts)
-    here = seen.join(steps, seen["endpoint_url"].eqNullSafe(F.col("__rl_e")) & (seen["captured_at"] == F.col("__rl_at")))
-    keys = ["endpoint_url", "tool_name", "captured_at"]
-    known = here.filter(F.col("before").isNotNull())
-    back = known.filter(F.col("before.at") < F.col("prev_at")).select(*keys, F.lit(None).cast("string").alias("name"), F.lit("tool_returned").alias("change"))
+    rows = captures.dropDuplicates(["endpoint_url", "captured_at", "tool_name"]).select("endpoint_url", "captured_at", "tool_name", "param_set")
+    cut = ordered.ranged(written_once(rows, "captures"), ["endpoint_url", "captured_at"], parts).withColumn("__rl_real", F.lit(True))
+    w, here = W.partitionBy("endpoint_url", ordered.RANGE), W.partitionBy("endpoint_url", ordered.RANGE, "captured_at")
+    all_ = cut.unionByName(_neighbours(cut).withColumn("__rl_real", F.lit(False)))
+    # The captures around a row's own: rows of one capture follow each other, so its first row sees the one before and its last row the one after.
+    near = all_.withColumns({"__rl_lag": F.lag("captured_at").over(w.orderBy("captured_at")), "__rl_lead": F.lead("captured_at").over(w.orderBy("captured_at"))})
+    other = lambda c: F.max(F.when(~F.col(c).eqNullSafe(F.col("captured_at")), F.col(c))).over(here)
+    near = near.withColumns({"prev_at": other("__rl_lag"), "next_at": other("__rl_lead")}).drop("__rl_lag", "__rl_lead")
+    own = W.partitionBy("endpoint_url", ordered.RANGE, "tool_name").orderBy("captured_at")
+    seen = near.withColumns({"before": F.lag(F.struct(F.col("captured_at").alias("at"), F.col("param_set").alias("p"))).over(own), "after": F.lead("captured_at").over(own)})
+    seen = seen.filter(F.col("__rl_real") & F.col("tool_name").isNotNull() & F.col("captured_at").isNotNull())
     old = F.map_from_entries(F.transform("before.p", lambda p: F.struct(p["name"], F.struct(p["type"].alias("type"), p["required"].alias("required")))))
+    told = seen.select("endpoint_url", "tool_name", "captured_at", "prev_at", "next_at", "before", "after", "param_set", F.when(F.col("before").isNotNull(), old).alias("old"))
     # Without an old parameter both its fields are null.
-    both = known.select(*keys, F.explode("param_set").alias("p"), old.alias("old")).withColumn("was", F.try_element_at("old", F.col("p.name")))
-    kind = F.when(F.col("p.required") & ~F.coalesce(F.col("was.required"), F.lit(False)), "required_added").when(F.col("was").isNotNull() & ~F.col("p.type").eqNullSafe(F.col("was.type")), "type_changed")
-    params = both.withColumn("change", kind).filter(F.col("change").isNotNull()).select(*keys, F.col("p.name").alias("name"), "change")
+    was = lambda p: F.try_element_at("old", p["name"])
+    kind = lambda p: F.when(p["required"] & ~F.coalesce(was(p)["required"], F.lit(False)), "required_added").when(was(p).isNotNull() & ~p["type"].eqNullSafe(was(p)["type"]), "type_changed")
+    change = lambda at, name, what: F.struct(F.col(at).alias("captured_at"), name.cast("string").alias("name"), what.alias("change"))
+    none = F.lit(None).cast("string")
+    params = F.transform(F.when(F.col("before").isNotNull(), F.col("param_set")), lambda p: change("captured_at", p["name"], kind(p)))
+    back = change("captured_at", none, F.when(F.col("before.at") < F.col("prev_at"), "tool_returned"))
     # A tool of one capture that the next one lacks is removed there.
-    follow = steps.filter(F.col("prev_at").isNotNull())
-    due = tools.select(F.col("endpoint_url"), F.col("tool_name"), F.col("captured_at").alias("__rl_was")).join(follow, F.col("endpoint_url").eqNullSafe(F.col("__rl_e")) & (F.col("__rl_was") == F.col("prev_at")))
-    now = tools.select(F.col("endpoint_url").alias("__rl_e2"), F.col("tool_name").alias("__rl_t2"), F.col("captured_at").alias("__rl_at2"))
-    gone = due.join(now, F.col("endpoint_url").eqNullSafe(F.col("__rl_e2")) & (F.col("tool_name") == F.col("__rl_t2")) & (F.col("__rl_at") == F.col("__rl_at2")), "left_anti")
-    removed = gone.select("endpoint_url", "tool_name", F.col("__rl_at").alias("captured_at"), F.lit(None).cast("string").alias("name"), F.lit("tool_removed").alias("change"))
-    return removed.unionByName(params).unionByName(back)
+    gone = change("next_at", none, F.when(F.col("next_at").isNotNull() & ~F.col("after").eqNullSafe(F.col("next_at")), "tool_removed"))
+    listed = f"array<struct<captured_at: {rows.schema['captured_at'].dataType.simpleString()}, name: string, change: string>>"
+    changes = F.filter(F.concat(F.array(back, gone).cast(listed), F.coalesce(params.cast(listed), F.array().cast(listed))), lambda c: c["change"].isNotNull())
+    return told.select("endpoint_url", "tool_name", F.explode(changes).alias("c")).select("endpoint_url", "tool_name", "c.captured_at", "c.name", "c.change")
+
+
+def _neighbours(cut: DataFrame) -> DataFrame:
+    """What a range must see of others of its endpoint: the captures around it, and its tools as they were last seen before and are first seen after.
+
+    Only endpoints that are cut take part; a boundary cuts one, so they are at most as many as there are ranges.
+    """
+    key, tool = ["endpoint_url", ordered.RANGE], ["endpoint_url", "tool_name", ordered.RANGE]
+    ends = cut.groupBy(*key).agg(F.min("captured_at").alias("first"), F.max("captured_at").alias("last"))
+    along = lambda keys: W.partitionBy(*keys).orderBy(ordered.RANGE)
+    e = along(["endpoint_url"])
+    ends = ends.withColumns({"prev": F.lag("last").over(e), "next": F.lead("first").over(e), "n": F.count(F.lit(1)).over(W.partitionBy("endpoint_url"))}).filter("n > 1")
+    marks = ends.select(*key, F.explode(F.array("prev", "next")).alias("captured_at")).filter(F.col("captured_at").isNotNull())
+    marks = marks.select(*key, "captured_at", F.lit(None).cast("string").alias("tool_name"), F.lit(None).cast(cut.schema["param_set"].dataType).alias("param_set"))
+    split = ends.select(F.col("endpoint_url").alias("__rl_e"), F.col(ordered.RANGE).alias("__rl_r"))
+    held = cut.filter(F.col("tool_name").isNotNull()).join(F.broadcast(split), F.col("endpoint_url").eqNullSafe(F.col("__rl_e")) & (F.col(ordered.RANGE) == F.col("__rl_r")), "left_semi")
+    seen = F.struct("captured_at", "param_set")
+    sides = held.groupBy(*tool).agg(F.min_by(seen, F.struct("captured_at")).alias("first"), F.max_by(seen, F.struct("captured_at")).alias("last"))
+    t = along(["endpoint_url", "tool_name"])
+    sides = sides.withColumns({"prev": F.lag("last").over(t), "next": F.lead("first").over(t)})
+    tools = sides.select(*tool, F.explode(F.array("prev", "next")).alias("s")).filter(F.col("s").isNotNull())
+    return marks.unionByName(tools.select(*tool, "s.captured_at", "s.param_set"))
 
 
 def newer_than(rows: DataFrame, marks: DataFrame, keys: list[str], at: str) -> DataFrame:

@@ -37,3 +37,9 @@ def test_formulae_are_dealt_to_all_partitions(spark):
 def test_rows_of_a_run_are_computed_once(spark):
     plan = QUERIES["artifact_run"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "EvalPython" not in plan and "Generate" not in plan
+
+
+def test_a_history_is_not_joined_with_itself(spark):
+    """Rows are dealt once; the one join is with the endpoints that a range's boundary cuts."""
+    plan = QUERIES["breaking_history"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 1
