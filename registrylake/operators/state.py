@@ -115,6 +115,8 @@ def breaking_history(captures: DataFrame, parts: int | None = None) -> DataFrame
     cut = ordered.ranged(written_once(rows, "captures"), ["endpoint_url", "captured_at"], parts).withColumn("__rl_real", F.lit(True))
     w, here = W.partitionBy("endpoint_url", ordered.RANGE), W.partitionBy("endpoint_url", ordered.RANGE, "captured_at")
     all_ = cut.unionByName(_neighbours(cut).withColumn("__rl_real", F.lit(False)))
+    # As many tasks as Spark is told: sized by bytes alone they would be few, and their sorts would spill.
+    all_ = all_.repartition(int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")), "endpoint_url", ordered.RANGE)
     # The captures around a row's own: rows of one capture follow each other, so its first row sees the one before and its last row the one after.
     near = all_.withColumns({"__rl_lag": F.lag("captured_at").over(w.orderBy("captured_at")), "__rl_lead": F.lead("captured_at").over(w.orderBy("captured_at"))})
     other = lambda c: F.max(F.when(~F.col(c).eqNullSafe(F.col("captured_at")), F.col(c))).over(here)
