@@ -3,8 +3,8 @@
 Words are counted over the whole training corpus. The words with at least 2**-20 of all tokens (so at most 2**20 of them,
 whatever the corpus) have numbers; texts are kept as numbers, and the other words beside them.
 
-Exchange clustering works on the *units*, the words with at least 2**-17 of all tokens: each round counts over the whole
-training corpus how often each unit stands before and after each class, proposes to every unit the class that raises the
+Exchange clustering works on the *units*, the words with at least 2**-17 of all tokens: what stands side by side is counted
+once in each some million tokens, and each round sums over the whole training corpus how often each unit stands before and after each class, proposes to every unit the class that raises the
 likelihood of the class bigrams most, and moves a random share of them. As units move together, the new likelihood is
 counted, and a round that does not raise it is taken back and tried with a quarter of its moves, at last with the best
 one alone; so the likelihood never falls. The share follows what the moves brought together of what they promised alone.
@@ -28,7 +28,6 @@ empty training corpus gives every token probability one; an empty table gives no
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,6 +45,8 @@ UNIT_SHARE, TABLE_SHARE, BLOCK = 1 << 17, 1 << 20, 256
 END = b""  # the end token; no word is empty
 #: Numbers 0 and 1 are the end token and any word without a number; so are the classes of both, the first and the last.
 FIRST_WORD, RARE = 2, CLASSES - 1
+#: White space to blanks, A-Z to a-z.
+SPACED = bytes(0x20 if 9 <= c <= 13 else c for c in range(256)).lower()
 
 
 def tokens_of(text: str | None) -> list:
@@ -54,22 +55,47 @@ def tokens_of(text: str | None) -> list:
     return words
 
 
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all ``texts`` one after another, and how many each has: ``tokens_of`` without its ends, on whole buffers."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    data = np.frombuffer((raw[at[0] : at[-1]].to_pybytes() if raw else b"").translate(SPACED), np.uint8)
+    at = at - at[0]
+    solid = data != 0x20
+    begin, end = solid.copy(), solid.copy()
+    begin[1:] &= ~solid[:-1]
+    end[:-1] &= ~solid[1:]
+    first, last = at[at < len(data)], at[at > 0] - 1  # a word ends with its text
+    begin[first], end[last] = solid[first], solid[last]
+    starts = np.flatnonzero(begin)
+    places = np.append(0, np.cumsum(np.flatnonzero(end) - starts + 1)).astype(np.int32)
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[solid])])
+    return words, np.diff(np.searchsorted(starts, at))
+
+
 def is_held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def count_words(docs: DataFrame, most: int = 400_000) -> DataFrame:
-    """word, c over all of ``docs``; tasks hold ``most`` words at a time."""
+def count_words(docs: DataFrame, most: int = 6_000_000) -> DataFrame:
+    """word, c over all of ``docs``; tasks hold the words of some ``most`` tokens at a time."""
+
+    def counted(held, texts):
+        values, n = pc.value_counts(pa.chunked_array(held, pa.binary())).flatten()
+        yield pa.RecordBatch.from_arrays([values, n], names=["word", "c"])
+        yield pa.RecordBatch.from_pydict({"word": pa.array([END], pa.binary()), "c": pa.array([texts], pa.int64())})
 
     def tally(batches):
-        held: Counter = Counter()
+        held, texts = [], 0
         for part in (p for batch in batches for p in row_chunks(batch, 0)):
-            for text in part.column(0).to_pylist():
-                held.update(tokens_of(text))
-                if len(held) > most:
-                    yield pa.RecordBatch.from_pydict({"word": pa.array(list(held), pa.binary()), "c": pa.array(list(held.values()), pa.int64())})
-                    held.clear()
-        yield pa.RecordBatch.from_pydict({"word": pa.array(list(held), pa.binary()), "c": pa.array(list(held.values()), pa.int64())})
+            held.append(words_in(part.column(0))[0])
+            texts += part.num_rows
+            if sum(map(len, held)) >= most:
+                yield from counted(held, texts)
+                held, texts = [], 0
+        if texts:
+            yield from counted(held, texts)
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tally, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -95,16 +121,20 @@ def numbered(docs: DataFrame, numbers: Numbers) -> DataFrame:
     kind = kind_of(numbers.size)
 
     def run(batches):
-        get = shared.value.__getitem__
+        get = shared.value.get
         row = TaskContext.get().partitionId() << 32
-        for part in (p for batch in batches for p in row_chunks(batch, 2)):
-            ids, rare = [], []
-            for words in map(tokens_of, part.column(2).to_pylist()):
-                n = np.fromiter(map(get, words), kind, len(words))
-                ids.append(n.tobytes())
-                rare.append([words[i] for i in np.flatnonzero(n == 1).tolist()])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(ids))), part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))], names=["rid", "doc_id", "held_out", "ids", "rare"])
-            row += len(ids)
+        for part in (p for batch in batches for p in row_chunks(batch, 2, 4096, 8 << 20)):
+            words, n = words_in(part.column(2))
+            coded = words.dictionary_encode()  # a word is looked up once in a part
+            u = np.array([get(w, 1) for w in coded.dictionary.to_pylist()], kind)[coded.indices.to_numpy()]
+            ends = np.append(0, np.cumsum(n + 1))
+            ids = np.zeros(ends[-1], kind)
+            ids[np.arange(len(u)) + np.repeat(np.arange(len(n)), n)] = u
+            where = np.flatnonzero(u == 1)
+            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(where, np.append(0, np.cumsum(n))), pa.int32()), words.take(pa.array(where)))
+            texts = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((ends * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(n))), part.column(0), part.column(1), texts, rare], names=["rid", "doc_id", "held_out", "ids", "rare"])
+            row += len(n)
 
     doc_id = F.col("doc_id").cast("long")
     rows = docs.select(doc_id.alias("doc_id"), is_held_out(doc_id).alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -129,14 +159,19 @@ def streams(batches, kind: str, least: int = 1 << 20):
         yield np.frombuffer(b"".join(held), kind)
 
 
-def unit_streams(sequences: DataFrame, kind: str, size: int) -> DataFrame:
-    """``sequences`` for the rounds of the exchange: numbers from ``size`` on as 1, some million tokens in a row."""
+def unit_pairs(sequences: DataFrame, kind: str, size: int, least: int = 1 << 22) -> DataFrame:
+    """unit, before, n for the rounds of the exchange: what stands side by side in ``least`` tokens, and how often; numbers from ``size`` on are 1."""
 
     def run(batches):
-        for ids in streams(batches, kind):
-            yield pa.RecordBatch.from_pydict({"ids": pa.array([np.where(ids < size, ids, 1).astype(kind_of(size)).tobytes()], pa.binary())})
+        for ids in streams(batches, kind, least):
+            u = np.where(ids < size, ids, 1).astype(np.int64)
+            key = u * size
+            key[1:] += u[:-1]
+            key, n = np.unique(key, return_counts=True)
+            parts = (key // size).astype(kind_of(size)), (key % size).astype(kind_of(size)), n.astype("<u4")
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["unit", "before", "n"])
 
-    return written(sequences.mapInArrow(run, "ids binary"), "units")
+    return written(sequences.mapInArrow(run, "unit binary, before binary, n binary"), "unit-pairs")
 
 
 def phi(x: np.ndarray) -> np.ndarray:
@@ -181,22 +216,23 @@ def moves(before: np.ndarray, after: np.ndarray, twice: np.ndarray, pairs: np.nd
     return best, gains
 
 
-def context_counts(sequences: DataFrame, kind: str, size: int, classes: np.ndarray) -> DataFrame:
+def context_counts(sides: DataFrame, size: int, classes: np.ndarray) -> DataFrame:
     """block, data, pairs: counts of (unit, class before), of (unit, class after) and of units that follow themselves, a
-    unit's block being its number modulo the number of blocks (frequent ones are spread); and the class pairs that begin there.
+    unit's block being its number modulo the number of blocks (frequent ones are spread); and the class pairs that begin there. ``sides`` are the ``unit_pairs``.
     """
-    shared = sequences.sparkSession.sparkContext.broadcast(classes[:size])
+    shared = sides.sparkSession.sparkContext.broadcast(classes[:size])
     blocks = -(-size // BLOCK)
 
     def run(batches):
         cls = shared.value.astype(np.int64)
-        before, after, twice = np.zeros((size, CLASSES), np.int64), np.zeros((size, CLASSES), np.int64), np.zeros(size, np.int64)
-        for ids in streams(batches, kind):
-            u = ids.astype(np.int64)
-            prev = np.concatenate(([0], u[:-1]))
-            before += np.bincount(u * CLASSES + cls[prev], minlength=before.size).reshape(before.shape)
-            after += np.bincount(prev * CLASSES + cls[u], minlength=after.size).reshape(after.shape)
-            twice += np.bincount(u[u == prev], minlength=size)
+        # Sums of whole numbers, exact in doubles.
+        before, after, twice = np.zeros((size, CLASSES)), np.zeros((size, CLASSES)), np.zeros(size)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                u, prev, n = (np.frombuffer(c[i].as_buffer(), k).astype(np.int64) for c, k in zip(batch.columns, (kind_of(size), kind_of(size), "<u4")))
+                before += np.bincount(u * CLASSES + cls[prev], n, before.size).reshape(before.shape)
+                after += np.bincount(prev * CLASSES + cls[u], n, after.size).reshape(after.shape)
+                twice += np.bincount(u[u == prev], n[u == prev], size)
         for block in range(blocks):
             part = np.concatenate([x[block::blocks].ravel() for x in (before, after, twice)])
             at = np.flatnonzero(part)
@@ -213,7 +249,7 @@ def context_counts(sequences: DataFrame, kind: str, size: int, classes: np.ndarr
         np.add.at(pairs, cls, total[len(cls) * CLASSES : -len(cls)].reshape(-1, CLASSES))
         return pa.table({"block": pa.array([block], pa.int32()), "data": pa.array([total.tobytes()], pa.binary()), "pairs": pa.array([pairs.tobytes()], pa.binary())})
 
-    counts = sequences.mapInArrow(run, "block int, at binary, n binary").groupBy("block").applyInArrow(add, "block int, data binary, pairs binary")
+    counts = sides.mapInArrow(run, "block int, at binary, n binary").groupBy("block").applyInArrow(add, "block int, data binary, pairs binary")
     return written(counts, "contexts")
 
 
@@ -248,9 +284,9 @@ def proposals(counts: DataFrame, size: int, classes: np.ndarray, pairs: np.ndarr
     return unit[order], new[order], gain[order]
 
 
-def exchange(sequences: DataFrame, kind: str, size: int, classes: np.ndarray, rounds: int = MOST_ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, list, np.ndarray]:
+def exchange(sides: DataFrame, size: int, classes: np.ndarray, rounds: int = MOST_ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, list, np.ndarray]:
     """Classes after rounds of checked moves, (likelihood, units moved) at the start and after each round, and the class pairs."""
-    counts = context_counts(sequences, kind, size, classes)
+    counts = context_counts(sides, size, classes)
     pairs = class_pairs(counts)
     tokens, history, share = max(1.0, pairs.sum()), [(likelihood(pairs), 0)], 0.5
     chance = np.random.default_rng(len(classes))
@@ -264,7 +300,7 @@ def exchange(sequences: DataFrame, kind: str, size: int, classes: np.ndarray, ro
             take = np.flatnonzero(chance.random(len(unit)) < share) if share > 1 / len(unit) else np.arange(1)
             trial = classes.copy()
             trial[unit[take]] = new[take]
-            counts_ = context_counts(sequences, kind, size, trial)
+            counts_ = context_counts(sides, size, trial)
             pairs_ = class_pairs(counts_)
             value = likelihood(pairs_)
             if value > before or share <= 1 / len(unit):
@@ -353,21 +389,21 @@ def rare_contexts(table: DataFrame, kind: str, classes: np.ndarray, schema: str,
 
 
 def place_rare(table: DataFrame, kind: str, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
-    """word, c, class, contexts of the training words without a number."""
+    """word, c, class, contexts (a code for each occurrence, of which there are fewer than one in 2**20 tokens) of the training words without a number."""
 
     def columns(part, words, row, before, after):
-        return pa.RecordBatch.from_pydict({"word": words, "code": pa.array(before * CLASSES + after, pa.int32()), "n": pa.array(np.ones(len(row), np.int64))})
+        return pa.RecordBatch.from_pydict({"word": words, "code": pa.array(before * CLASSES + after, pa.int32())})
 
     def place(batches):
         for batch in batches:
-            contexts = batch.column(2)
-            codes, n = (contexts.flatten().field(i).to_numpy() for i in (0, 1))
-            word = np.repeat(np.arange(batch.num_rows), pc.list_value_length(contexts).to_numpy())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(by_contexts(codes, n, word, batch.num_rows, pairs), pa.int32())], names=["word", "c", "contexts", "class"])
+            codes = batch.column(2).flatten().to_numpy()
+            word = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(2)).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(by_contexts(codes, np.ones(len(codes)), word, batch.num_rows, pairs), pa.int32())], names=["word", "c", "contexts", "class"])
 
-    rows = rare_contexts(table, kind, classes, "word binary, code int, n long", columns)
-    kinds = "word binary, c long, contexts array<struct<code: int, n: long>>, class int"
-    return written(grouped(rows, "word").select("word", "c", "contexts").mapInArrow(place, kinds), "rare-words")
+    # Most contexts of these words differ: they are listed as they are, in one shuffle by word.
+    rows = rare_contexts(table, kind, classes, "word binary, code int", columns).repartition("word")
+    listed = rows.groupBy("word").agg(F.count("code").alias("c"), F.collect_list("code").alias("contexts"))
+    return written(listed.mapInArrow(place, "word binary, c long, contexts array<int>, class int"), "rare-words")
 
 
 # -- the model -----------------------------------------------------------------------------------------
@@ -408,13 +444,13 @@ def train(docs: DataFrame, rounds: int = MOST_ROUNDS) -> BrownModel:
     table = numbered(docs, numbers)
     training = table.filter(~F.col("held_out"))
     sequences = training.select("ids")
-    classes, history, pairs = exchange(unit_streams(sequences, kind, units), kind_of(units), units, classes, rounds)
+    classes, history, pairs = exchange(unit_pairs(sequences, kind, units), units, classes, rounds)
     classes = place_numbered(sequences, kind, units, classes, pairs)
     pairs = pair_counts(sequences, kind, classes)
     rare = place_rare(training, kind, classes, pairs)
     # A word without a number counted as the class RARE; it now counts as a token of its own class.
     pairs[:, RARE] = 0
-    each = rare.select("class", F.explode("contexts").alias("x")).groupBy(F.floor(F.col("x.code") / CLASSES).alias("v"), "class").agg(F.sum("x.n").alias("n"))
+    each = rare.select("class", F.explode("contexts").alias("code")).groupBy(F.floor(F.col("code") / CLASSES).alias("v"), "class").agg(F.count("code").alias("n"))
     for v, w, n in each.collect():  # at most CLASSES**2 rows
         pairs[v, w] += n
     size = pairs.sum(axis=0)  # tokens of each class

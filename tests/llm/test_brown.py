@@ -143,3 +143,32 @@ def test_empty_tables(docs_of):
     only = next(i for i in range(100) if held(i))
     (row,) = run(docs_of([(only, "a b")]))
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_words_of_whole_buffers():
+    """Each text is cut as ``tokens_of`` cuts it, wherever texts, slices and white space begin and end."""
+    import pyarrow as pa
+
+    texts = [None, "", "Ab c", "d", " \t\n\x0b\x0c\re F ", "", "g", "\x1cÄb\xa0C d\x00 É", " ", None, "x  y"]
+    for lo in range(len(texts)):
+        for hi in range(lo, len(texts) + 1):
+            words, n = brown.words_in(pa.array(texts, pa.string()).slice(lo, hi - lo))
+            assert [words.to_pylist()[e - k : e] for e, k in zip(np.cumsum(n), n)] == [brown.tokens_of(x)[:-1] for x in texts[lo:hi]]
+
+
+def test_rounds_read_each_pair_once(docs_of):
+    """What the rounds of the exchange read are counted pairs, fewer than the tokens; their sums are those of the tokens."""
+    rows = phrases(400, 6)
+    table = brown.numbered(docs_of(rows), brown.Numbers([f"{k}{i}".encode() for k in ("art", "adj", "noun") for i in range(40)]))
+    sides = brown.unit_pairs(table.select("ids").repartition(2), "<u2", 82)
+    sums, entries = Counter(), 0
+    for r in sides.collect():
+        unit, before, n = (np.frombuffer(x, k).tolist() for x, k in zip(r, ("<u2", "<u2", "<u4")))
+        entries += len(n)
+        sums.update({(b, u): 0 for b, u in zip(before, unit)})
+        for b, u, m in zip(before, unit, n):
+            sums[b, u] += m
+    number = {brown.END: 0} | {f"{k}{i}".encode(): 2 + 40 * j + i for j, k in enumerate(("art", "adj")) for i in range(40)}
+    docs = [[number.get(t, 1) for t in brown.tokens_of(x)] for _, x in rows]
+    assert sums == Counter((p, t) for d in docs for p, t in zip([0, *d], d))
+    assert entries <= 2 * len(sums) < sum(sums.values()) / 2
