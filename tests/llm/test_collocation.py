@@ -128,7 +128,18 @@ def test_pairs_are_dealt_once(spark):
     assert plan.count("Exchange hashpartitioning(p#") == 1 and plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
 
 
-real = co.written
+def test_proposed_phrases_do_not_grow_with_the_square_of_a_group(spark):
+    from unittest import mock
+
+    text, made = " ".join(f"w{i}" for i in range(40)), {}
+    for copies, size in [(100, 100), (200, 100), (100, co.SHARD_BYTES), (200, co.SHARD_BYTES)]:
+        with mock.patch.object(co, "frequent", side_effect=lambda rows, *how: made.update({(copies, size): rows.count()}) or real_frequent(rows, *how)):
+            co.phrase_counts(table(spark, [("en", text)] * copies), 5, 100, size=size)
+    each = 38 + 37 + 36  # at most three a word in each shard, whatever the number of copies there
+    assert made == {(100, 100): 100 * each, (200, 100): 200 * each, (100, co.SHARD_BYTES): 3 * each, (200, co.SHARD_BYTES): 3 * each}
+
+
+real, real_frequent = co.written, co.frequent
 
 
 def test_empty_tables_and_nulls(spark):
