@@ -549,6 +549,20 @@ class NameSorter:
             near &= made < bound
         return int(made[near].min()) if near.any() else None
 
+    def _runs(self, at: np.ndarray):
+        """Suffixes of one symbol, then those that stand one place before them in a run of it, and so on; some at a time."""
+        symbol, held, size = self.text[at[0]], [], 0
+        while len(at):
+            held.append(at)
+            size += len(at)
+            if size >= BLOCK:
+                yield np.concatenate(held)
+                held, size = [], 0
+            at = at[at > 0] - 1
+            at = at[self.text[at] == symbol]
+        if held:
+            yield np.concatenate(held)
+
     def _deal(self, queue: BucketQueue, at: np.ndarray, descending: bool) -> None:
         """Pushes suffixes to the ranges of their symbols, in their order."""
         symbol = np.asarray(self.text[at])
@@ -616,14 +630,16 @@ class NameSorter:
                     new_at, new_key = induced(now_at[:stop], now_key[:stop])
                     now_at, now_key = now_at[stop:], now_key[stop:]
                     wait: list = []
-                    while len(new_at):
-                        # A run of one symbol: what is induced on the key that is being passed comes next.
-                        next_ = new_key == here
-                        if not next_.all():
-                            wait.append((new_at[~next_], new_key[~next_]))
-                        if not next_.any():
-                            break
-                        new_at, new_key = induced(new_at[next_], new_key[next_])
+                    next_ = new_key == here
+                    if not next_.all():
+                        wait.append((new_at[~next_], new_key[~next_]))
+                    if next_.any():
+                        # Runs of one symbol: what is induced on the key that is being passed comes next, and is known before it is passed.
+                        for part in self._runs(new_at[next_]):
+                            new_at, new_key = induced(part, np.full(len(part), here))
+                            next_ = new_key == here
+                            if not next_.all():
+                                wait.append((new_at[~next_], new_key[~next_]))
                     if wait:
                         now_at, now_key = np.concatenate([now_at, *(w[0] for w in wait)]), np.concatenate([now_key, *(w[1] for w in wait)])
                         order = np.argsort(now_key, kind="stable")

@@ -5,7 +5,8 @@ each window of ``LENGTH`` bytes depends on the window's bytes alone. Neighbourin
 anchor make a segment, whose context is the bytes that its windows cover. Anchors that occur once are
 dropped; segments with equal contexts keep the earliest (the windows of the others all start earlier
 there), with no more than sums and minima per group; and the different contexts of an anchor go to a
-shard, where an external induced suffix sort (``esais``) with common-prefix values tells which windows
+shard. There contexts lose the windows that cannot be equal to others, since no other context of their anchor has a
+string that the windows around them have in common (``shared_windows``), and an external induced suffix sort (``esais``) with common-prefix values tells which windows
 are equal. The sort streams: a shard's bytes, the places of its contexts and all orders are in files of the task, and the
 sorted suffixes are settled chunk by chunk; queues spill and names recurse at the default sizes already. An anchor with more
 bytes of contexts than ``hot_bytes`` is spread over the shards by its windows, so that no shard grows with it; the same sort settles
@@ -22,6 +23,7 @@ the text are one document (each such row gets its result); an empty table gives
 from __future__ import annotations
 
 import hashlib
+import os
 import tempfile
 
 import numpy as np
@@ -35,10 +37,12 @@ from registrylake.llm.encode import in_chunks, row_chunks
 from registrylake.llm.esais import Folder, Stream, SuffixSorter
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES, HOT_BYTES, FILTER_BITS = 4 << 20, 64 << 20, 1 << 28
+SHARD_BYTES, HOT_BYTES, FILTER_BITS = 8 << 20, 64 << 20, 1 << 28
 BUDGET, BASE = 1 << 20, 1 << 19
+#: Windows that may be equal are told by strings they have in common; so many a context, counted in so many places.
+SLOTS, COUNTERS = 8, 1 << 23
 PLACE = np.dtype([("doc", "<i8"), ("t", "<i8"), ("start", "<i4"), ("size", "<i4"), ("null", "?")])
-SEGMENT = "doc_id long, t long, start int, n int, h long, c long, self boolean, ctx binary"
+SEGMENT = "doc_id long, t long, start int, n int, h long, c long, g int, ctx binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 _ODD = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,7 +68,7 @@ def _slide(values: np.ndarray, width: int, take) -> np.ndarray:
 
 
 def segments(data: np.ndarray, sizes: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Of documents lying end to end in ``data``: document, start, windows, anchor, context digest, repeats within."""
+    """Of documents lying end to end in ``data``: document, start, windows, anchor, context digest; and the hashes of all strings of ``gram`` bytes."""
     n, width = len(data), length - gram + 1
     if n < length:
         return (np.zeros(0, np.int64),) * 6
@@ -90,16 +94,37 @@ def segments(data: np.ndarray, sizes: np.ndarray, length: int = LENGTH, gram: in
     digest = (sums[start + count - 1 + length] - sums[start]) * down[start]
     digest ^= digest >> np.uint64(32)
     digest = digest * np.uint64(0xC2B2AE3D27D4EB4F) + count.astype(np.uint64)
-    # Places whose hash is an anchor; a segment that holds its anchor twice may repeat a window within itself.
-    high = _slide(np.concatenate((np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64))), width, np.maximum)[: len(h)]
-    place = np.flatnonzero(h == high)
-    lo, hi = np.searchsorted(place, start), np.searchsorted(place, start + count + width - 1)
-    many = hi - lo
-    of = np.repeat(np.arange(len(start)), many)
-    at = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + lo[of]
-    twice = np.bincount(of, h[place[at]] == anchor[of], len(start)) > 1
     begin = ends - sizes
-    return doc[start], start - begin[doc[start]], count, anchor.view(np.int64), digest.view(np.int64), twice
+    return doc[start], start - begin[doc[start]], count, anchor.view(np.int64), digest.view(np.int64), h
+
+
+def stand_twice(h: np.ndarray, at: np.ndarray, n: np.ndarray, anchor: np.ndarray, width: int) -> np.ndarray:
+    """Whether the anchors of segments that begin ``at`` stand there more than once: such a segment may repeat a window within itself."""
+    if not len(at):
+        return np.zeros(0, bool)
+    least, anchor = np.zeros(len(h) + width - 1, np.uint64), anchor.view(np.uint64)
+    # Places whose hash is an anchor: the greatest least value of the windows that hold them.
+    least[np.repeat(at + width - 1 - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] = np.repeat(anchor, n)
+    place = np.flatnonzero(h == _slide(least, width, np.maximum)[: len(h)])
+    lo = np.searchsorted(place, at)
+    many = np.searchsorted(place, at + n + width - 1) - lo
+    of = np.repeat(np.arange(len(at)), many)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(many) - many - lo, many)
+    return np.bincount(of, h[place[k]] == anchor[of], len(at)) > 1
+
+
+def places_of(h: np.ndarray, at: np.ndarray, n: np.ndarray, anchor: np.ndarray, width: int) -> np.ndarray:
+    """Where in their segments the anchors stand; -1 if more than once."""
+    many, out, anchor = n + width - 1, np.full(len(at), -1, np.int64), anchor.view(np.uint64)
+    for lo in range(0, len(at), 4096):
+        part = many[lo : lo + 4096]
+        of = np.repeat(np.arange(lo, lo + len(part)), part)
+        k = np.arange(len(of)) - np.repeat(np.cumsum(part) - part, part)
+        hit = np.flatnonzero(h[at[of] + k] == anchor[of])
+        out[of[hit]] = k[hit]
+        again = of[hit]
+        out[again[1:][again[1:] == again[:-1]]] = -1
+    return out
 
 
 def _texts(batch):
@@ -174,7 +199,8 @@ def anchor_groups(keyed: DataFrame, length: int, gram: int) -> tuple[DataFrame,
     def run(batches):
         for batch in batches:
             for _, _, data, sizes in _texts(batch):
-                _, _, _, h, c, twice = segments(data, sizes, length, gram)
+                doc, start, n, h, c, hashes = segments(data, sizes, length, gram)
+                twice = stand_twice(hashes, (np.cumsum(sizes) - sizes)[doc] + start, n, h, length - gram + 1)
                 yield pa.RecordBatch.from_pydict({"h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64()), "w": pa.array(1 + twice.astype(np.int64), pa.int64())})
 
     rows = keyed.mapInArrow(run, "h long, c long, w long").groupBy("h").agg(F.sum("w").alias("w"), F.max("w").alias("most"), F.min("c").alias("c1"), F.max("c").alias("c2"))
@@ -182,27 +208,96 @@ def anchor_groups(keyed: DataFrame, length: int, gram: int) -> tuple[DataFrame,
 
 
 def candidates(keyed: DataFrame, groups: DataFrame, length: int, gram: int) -> DataFrame:
-    """The segments of ``groups``; those of mixed anchors with their bytes."""
+    """The segments of ``groups``; those of mixed anchors with their bytes and the anchor's place (``g``) in them."""
     shared = keyed.sparkSession.sparkContext.broadcast(filter_of(groups))
 
     def run(batches):
         seen = shared.value
         for batch in batches:
             for doc_id, t, data, sizes in _texts(batch):
-                doc, start, n, h, c, twice = segments(data, sizes, length, gram)
+                doc, start, n, h, c, hashes = segments(data, sizes, length, gram)
                 keep = np.flatnonzero(seen.holds(0, h)) if len(h) else np.zeros(0, np.int64)
                 if not len(keep):
                     continue
-                doc, start, n, h, c, twice = (x[keep] for x in (doc, start, n, h, c, twice))
+                doc, start, n, h, c = (x[keep] for x in (doc, start, n, h, c))
                 begin = (np.cumsum(sizes) - sizes)[doc] + start
-                raw = data.tobytes()
-                ctx = [raw[b : b + k + length - 1] if m else None for b, k, m in zip(begin.tolist(), n.tolist(), seen.holds(1, h).tolist())]
+                raw, mixed = data.tobytes(), seen.holds(1, h)
+                ctx = [raw[b : b + k + length - 1] if m else None for b, k, m in zip(begin.tolist(), n.tolist(), mixed.tolist())]
+                g = np.zeros(len(doc), np.int64)
+                g[mixed] = places_of(hashes, begin[mixed], n[mixed], h[mixed], length - gram + 1)
                 rows = pa.array(doc)
-                yield pa.RecordBatch.from_pydict({"doc_id": doc_id.take(rows), "t": t.take(rows), "start": pa.array(start, pa.int32()), "n": pa.array(n, pa.int32()), "h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64()), "self": pa.array(twice, pa.bool_()), "ctx": pa.array(ctx, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"doc_id": doc_id.take(rows), "t": t.take(rows), "start": pa.array(start, pa.int32()), "n": pa.array(n, pa.int32()), "h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64()), "g": pa.array(g, pa.int32()), "ctx": pa.array(ctx, pa.binary())})
 
     return written(keyed.mapInArrow(run, SEGMENT).join(groups, "h").withColumn("ctx", F.when(F.col("mixed"), F.col("ctx"))), "segments")
 
 
+def shared_windows(batches, path: str, length: int, width: int):
+    """Of a shard's contexts (doc_id, t, start, ctx, s, g) those stretches whose windows may be equal to others of the shard, as (doc_id, t, start, ctx).
+
+    Equal windows have their anchor, if it stands once in either context, at one place; windows with the anchor at neighbouring places
+    (a slot) have a string in common that is little shorter than they are. Where no other context of the anchor ``s`` has that string, no
+    window of the slot is equal to another one. Strings are told apart by digests in a fixed number of counters, so that a full shard keeps more, never less.
+    Contexts wait in a file. An anchor that stands twice in a context (``g`` below 0) keeps all of its contexts whole.
+    """
+    edges = np.arange(SLOTS + 1) * width // SLOTS
+    lo, hi = edges[:-1][::-1], edges[1:][::-1] - 1  # places of the anchor, from the first windows of a context to its last
+    times, whole = np.zeros(COUNTERS, np.uint8), np.zeros(COUNTERS >> 3, bool)
+    shift = np.uint64(64 - (COUNTERS.bit_length() - 1))
+    counter = lambda key: ((key ^ key >> np.uint64(29)) * np.uint64(_ODD) >> shift).astype(np.int64)
+    anchors = lambda batch: batch.column(4).to_numpy().view(np.uint64)
+
+    def ranges(batch):
+        """First and last window of each context in each slot, none if the first comes behind the last."""
+        sizes, g = pc.binary_length(batch.column(3)).to_numpy().astype(np.int64), batch.column(5).to_numpy().astype(np.int64)
+        n = sizes - length + 1
+        first, last = np.maximum(g[:, None] - hi, 0), np.minimum(g[:, None] - lo, n[:, None] - 1)
+        return sizes, n, g, first, last, (first <= last) & (g >= 0)[:, None]
+
+    def counters(batch):
+        sizes, _, g, _, _, there = ranges(batch)
+        sizes = np.where(g < 0, 0, sizes)  # these alone may be long
+        data = np.frombuffer(b"".join(b for b, k in zip(batch.column(3).to_pylist(), sizes.tolist()) if k), np.uint8)
+        up, down = _powers(len(data) + 1)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[: len(data)])))
+        row, slot = np.nonzero(there)
+        at = (np.cumsum(sizes) - sizes + g)[row]
+        digest = (sums[at - hi[slot] + length] - sums[at - lo[slot]]) * down[at - lo[slot]]
+        out = np.zeros(there.shape, np.uint32)
+        out[row, slot] = counter(digest ^ anchors(batch)[row] ^ slot.astype(np.uint64) << np.uint64(56))
+        return out, there
+
+    held, writer = os.path.join(path, "contexts"), None
+    with open(held, "wb") as sink:
+        for batch in (b.slice(k, 4096) for b in batches for k in range(0, b.num_rows, 4096)):
+            if writer is None:
+                writer = pa.ipc.new_stream(sink, batch.schema)
+            writer.write_batch(batch)
+            whole[counter(anchors(batch)[batch.column(5).to_numpy() < 0]) >> 3] = True
+            at, there = counters(batch)
+            value, many = np.unique(at[there], return_counts=True)
+            times[value] = np.minimum(times[value] + many, 2)
+        if writer is None:
+            return
+        writer.close()
+    with pa.ipc.open_stream(pa.OSFile(held)) as reader:
+        os.unlink(held)
+        for batch in reader:
+            _, n, _, first, last, there = ranges(batch)
+            at, _ = counters(batch)
+            keep = there & (times[at] > 1)
+            all_ = whole[counter(anchors(batch)) >> 3]
+            keep[all_] = False
+            edge = np.diff(np.pad(keep, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+            (row, a), (_, b) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+            one = np.flatnonzero(all_)
+            of = np.concatenate((row, one))
+            a, b = np.concatenate((first[row, a], np.zeros(len(one), np.int64))), np.concatenate((last[row, b - 1], n[one] - 1))
+            text = batch.column(3).to_pylist()
+            ctx = [text[i][x : y + length] for i, x, y in zip(of.tolist(), a.tolist(), b.tolist())]
+            start = batch.column(2).to_numpy()[of] + a
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).take(pa.array(of)), "t": batch.column(1).take(pa.array(of)), "start": pa.array(start, pa.int32()), "ctx": pa.array(ctx, pa.binary())})
+
+
 class Shard:
     """Contexts of one shard: their bytes in a file, their places beside it; and which of their windows are lost."""
 
@@ -317,32 +412,33 @@ def sorted_shard(batches, length: int, budget: int, base: int, report: dict | No
             report.update(spills=folder.spills, recursions=folder.recursions)
 
 
-def lost_windows(rows: DataFrame, length: int, shard_bytes: int, hot_bytes: int, budget: int, base: int) -> DataFrame:
+def lost_windows(rows: DataFrame, length: int, gram: int, shard_bytes: int, hot_bytes: int, budget: int, base: int) -> DataFrame:
     """doc_id, t, a, b: windows a to b of a document start earlier elsewhere; from ``candidates``."""
     keyed = rows.withColumn("o", _order())
     # Written, so that it is made once and the joins have a shuffle on either side, whose hot keys AQE may split.
     firsts = written(keyed.groupBy("h", "c").agg(F.min("o").alias("first")), "firsts")
     met = keyed.drop("ctx").join(firsts, ["h", "c"]).filter("o <> first")
     copies = met.select("doc_id", "t", F.col("start").alias("a"), (F.col("start") + F.col("n") - 1).alias("b"))
-    mixed = keyed.filter(F.col("ctx").isNotNull()).join(firsts, ["h", "c"]).filter("o = first").dropDuplicates(["h", "c"]).select("h", "doc_id", "t", "start", "n", "ctx")
+    mixed = keyed.filter(F.col("ctx").isNotNull()).join(firsts, ["h", "c"]).filter("o = first").dropDuplicates(["h", "c"]).select("h", "doc_id", "t", "start", "n", "g", "ctx")
     mixed = written(mixed, "contexts")
     hot = mixed.groupBy("h").agg(F.sum(F.length("ctx")).alias("bytes"), F.sum("n").alias("windows")).filter(F.col("bytes") > hot_bytes)
     hot = written(hot, "hot-anchors")
     more, least, any_hot = hot.agg(F.coalesce(F.sum("windows"), F.lit(0)) * (length + 1), F.coalesce(F.sum("bytes"), F.lit(0)), F.count("h")).first()
     total = (mixed.agg(F.sum(F.length("ctx") + 1)).first()[0] or 0) - least + more
     shards = max(1, -(-total // shard_bytes))
-    shard = mixed.select("doc_id", "t", "start", "ctx", F.xxhash64("h").alias("s"))
+    shard = mixed.select("doc_id", "t", "start", "ctx", F.xxhash64("h").alias("s"), "g")
     if any_hot:
         # A hot anchor is spread by its windows: equal ones meet in one shard, where the sort settles them as any others.
         each = mixed.join(hot.select("h"), "h", "left_semi").select("doc_id", "t", "start", "ctx", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
         window = F.substring("ctx", F.col("k") + 1, length)
-        single = each.select("doc_id", "t", (F.col("start") + F.col("k")).cast("int").alias("start"), window.alias("ctx"), F.xxhash64(window).alias("s"))
-        shard = mixed.join(hot.select("h"), "h", "left_anti").select("doc_id", "t", "start", "ctx", F.xxhash64("h").alias("s")).unionByName(single)
+        single = each.select("doc_id", "t", (F.col("start") + F.col("k")).cast("int").alias("start"), window.alias("ctx"), F.xxhash64(window).alias("s"), F.lit(0).alias("g"))
+        shard = mixed.join(hot.select("h"), "h", "left_anti").select("doc_id", "t", "start", "ctx", F.xxhash64("h").alias("s"), "g").unionByName(single)
 
     def sort(batches):
-        yield from sorted_shard(batches, length, budget, base)
+        with tempfile.TemporaryDirectory() as path:
+            yield from sorted_shard(shared_windows(batches, path, length, length - gram + 1), length, budget, base)
 
-    sorted_ = shard.repartition(shards, "s").select("doc_id", "t", "start", "ctx").mapInArrow(sort, "doc_id long, t long, a int, b int")
+    sorted_ = shard.repartition(shards, "s").mapInArrow(sort, "doc_id long, t long, a int, b int")
     return copies.unionByName(sorted_)
 
 
@@ -352,7 +448,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sh
     groups, path = anchor_groups(keyed, length, gram)
     rows = candidates(keyed, groups, length, gram)
     drop_path(docs.sparkSession, path)
-    lost = lost_windows(rows, length, shard_bytes, hot_bytes, budget, base)
+    lost = lost_windows(rows, length, gram, shard_bytes, hot_bytes, budget, base)
     whole = lost.groupBy(F.col("doc_id").alias("i"), F.col("t").alias("d")).agg(F.collect_list(F.struct("a", "b")).alias("lost"))
     both = keyed.join(whole.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(F.col("i")) & (keyed["t"] == F.col("d")), "left").select("doc_id", "text", "lost")
 

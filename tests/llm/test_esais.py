@@ -60,3 +60,13 @@ def test_names_are_sorted_by_recursive_induction(tmp_path, window, base, budget)
             order = esais.NameSorter(text, len(set(raw)) + 1, folder, budget, 10**6, base, window).order()
             assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
             assert budget > 50 or len(raw) < 300 or len(set(raw)) < 100 or folder.spills
+
+
+def test_a_run_of_one_name_is_passed_at_once(tmp_path, monkeypatch):
+    """A run of thousands of equal names is written in a few steps, not one for each of its places."""
+    adds, add = [], esais.Stream.add
+    monkeypatch.setattr(esais.Stream, "add", lambda self, values: (adds.append(len(values)), add(self, values))[1])
+    raw = [*[5] * 3000, 9, 1, *[4] * 2000, 2, 7]
+    order = esais.NameSorter(np.array([*raw, 0], np.int64), 10, esais.Folder(str(tmp_path)), 1 << 20, 10**6, 4).order()
+    assert order.tolist() == sorted(range(len(raw) + 1), key=lambda i: [*raw, 0][i:])
+    assert len(adds) < 300

@@ -139,3 +139,37 @@ def test_memory_stays_far_below_the_shard(monkeypatch):
         tracemalloc.stop()
         assert rows > 0 and report["spills"] > 0 and report["recursions"] > 0
     assert peaks[1] < 10 << 20 and peaks[1] < 3 * peaks[0], peaks
+
+
+def contexts_of(texts, length, gram):
+    """The contexts of one-text documents with their anchors, as a shard gets them; of equal ones the first."""
+    made = {}
+    for i, text in enumerate(texts):
+        data = np.frombuffer(text, np.uint8)
+        _, start, n, h, c, hashes = suffix.segments(data, np.array([len(data)]), length, gram)
+        g = suffix.places_of(hashes, start, n, h, length - gram + 1)
+        assert ((g < 0) == suffix.stand_twice(hashes, start, n, h, length - gram + 1)).all()
+        for a, k, s, d, x in zip(start.tolist(), n.tolist(), h.tolist(), c.tolist(), g.tolist()):
+            made.setdefault((s, d), (i, 0, a, text[a : a + k + length - 1], s, x))
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32())
+    return pa.RecordBatch.from_pydict(dict(zip(("doc_id", "t", "start", "ctx", "s", "g"), (pa.array(c, k) for c, k in zip(zip(*made.values()), kinds)))))
+
+
+@pytest.mark.parametrize("counters", [suffix.COUNTERS, 1 << 6])
+def test_only_windows_that_may_be_equal_are_sorted(tmp_path, monkeypatch, counters):
+    """Contexts that share their anchor but no window are left out, and no equal window is; a run of one letter repeats within itself."""
+    monkeypatch.setattr(suffix, "COUNTERS", counters)
+    r = random.Random(6)
+    some = lambda n: bytes(r.choice(b"abcdefgh") for _ in range(n))
+    short, whole = some(70), some(260)
+    texts = [some(150) + short + some(150) for _ in range(40)] + [some(90) + whole + some(90) for _ in range(4)] + [b"x" * 300, some(50) + b"xy" * 120, some(150)]
+    batch = contexts_of(texts, 100, 32)
+    kept = [*suffix.shared_windows(iter([batch.slice(0, 50), batch.slice(50)]), str(tmp_path), 100, 69)]
+    assert lost_of(kept) == lost_of([batch.select(["doc_id", "t", "start", "ctx"])])
+    assert len(lost_of(kept)) > 3 * 161
+    size = sum(len(x) for b in kept for x in b.column(3).to_pylist())
+    assert counters < 1000 or size < 0.5 * sum(len(x) for x in batch.column(3).to_pylist())
+
+
+def test_no_contexts_no_windows(tmp_path):
+    assert [*suffix.shared_windows(iter([]), str(tmp_path), 100, 69)] == []
